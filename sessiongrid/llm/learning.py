@@ -9,7 +9,7 @@ from .common import held_out
 
 #: Labelled rows of each class that a classifier is fitted on, at most. The lowest hashes of doc_id are taken,
 #: so the sample is the same however the table is partitioned.
-SAMPLE_PER_CLASS = 5_000
+SAMPLE_PER_CLASS = 4_000
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, quality, simhash, toxicity, warc
+from . import bpe, chat, decontaminate, fingerprints, quality, simhash, toxicity, warc
 from .common import new_folder, table
 from .learning import with_contract
 
@@ -74,7 +74,37 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark),
+runs AS (
+  SELECT item, least(len(w), 10) AS n, list_slice(w, s, s + 9) AS run
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM runs),
+hits AS (
+  SELECT DISTINCT x.r, x.s, x.n, runs.item
+  FROM (SELECT r, s, n, list_slice(w, s, s + n - 1) AS run
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d CROSS JOIN lens WHERE len(w) >= n)) x
+  JOIN runs ON runs.run = x.run AND runs.n = x.n),
+hit_words AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + n)) AS p FROM hits) GROUP BY r),
+hit_items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op5_warc, op6_quality, op7_fingerprints, op8_simhash)
+    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination)
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL}

@@ -26,10 +26,13 @@ from .learning import SAMPLE_PER_CLASS, training_sample
 
 BUCKETS = 1 << 19
 SENTENCE, WORD = r"[^.!?\n]+", r"\w+"
-STEM = 5
+#: Lengths of the beginnings of longer words that count as stems.
+STEMS = (3, 4, 5, 6, 7)
 #: A sentence is offending from this score on.
 OFFENDING = 0.5
-START_BIAS = -6.0
+START_BIAS = -5.0
+#: Documents of the sample that a bucket must occur in, and the L1 penalty of its weight.
+MIN_DOCS, L1 = 4, 1e-4
 
 
 @dataclass(frozen=True)
@@ -38,15 +41,16 @@ class ToxicityModel:
     bias: float
 
 
-def buckets_of(word: str) -> tuple[int, int]:
-    """A word's own bucket and that of its first letters."""
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS, zlib.crc32(b"^" + word[:STEM].encode("utf-8", "surrogatepass")) % BUCKETS
+def buckets_of(word: str) -> list[int]:
+    """A word's own bucket and those of its stems, the beginnings that it goes beyond."""
+    crc = lambda mark, x: zlib.crc32(mark + x.encode("utf-8", "surrogatepass")) % BUCKETS
+    return [crc(b"", word), *(crc(b"^", word[:k]) for k in STEMS if k < len(word))]
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(label, feature buckets, where sentences begin) of each document that has words."""
     sentence, word = re.compile(SENTENCE), re.compile(WORD)
-    seen: dict[str, tuple[int, int]] = {}
+    seen: dict[str, list[int]] = {}
     for batch in batches:
         ys, feats, starts = [], [], []
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -65,7 +69,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array(feats, pa.list_(pa.int32())), pa.array(starts, pa.list_(pa.int32()))], names=["label", "features", "starts"])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, epochs: int = 6, rate: float = 0.15, batch_docs: int = 128) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, epochs: int = 20, rate: float = 0.3, batch_docs: int = 128) -> ToxicityModel:
     """Fit by Adagrad on the bounded sample of labelled documents (numpy on the driver)."""
     sample = training_sample(docs, labels, "toxic", per_class).orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "label")
     got = sample.mapInArrow(_bags, "label int, features array<int>, starts array<int>").toArrow().combine_chunks()
@@ -74,6 +78,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     y_all = got.column("label").to_numpy().astype(float)
     feats = [x.values.to_numpy() for x in got.column("features")]
     starts = [x.values.to_numpy() for x in got.column("starts")]
+    if len(y_all):
+        # What few documents have in common is chance; only buckets of several documents may carry weight.
+        seen_in = np.bincount(np.concatenate([np.unique(f) for f in feats]), minlength=BUCKETS)
+        useful = seen_in >= MIN_DOCS
     order = np.random.default_rng(42)
     for _ in range(epochs if len(y_all) else 0):
         shuffled = order.permutation(len(y_all))
@@ -90,9 +98,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
             y = y_all[some]
             slope = np.where(y > 0, -none / np.maximum(1 - none, 1e-9), 1.0)[of_doc] * p / len(some)
             grad = np.bincount(f, weights=np.repeat(slope, length), minlength=BUCKETS)
-            hit = np.flatnonzero(grad)
+            hit = np.flatnonzero((grad != 0) & useful)
             squares[hit] += grad[hit] ** 2
-            weights[hit] -= rate * grad[hit] / np.sqrt(squares[hit])
+            step = rate / np.sqrt(squares[hit])
+            moved = weights[hit] - step * grad[hit]
+            weights[hit] = np.sign(moved) * np.maximum(np.abs(moved) - step * L1, 0)
             bias_square += slope.sum() ** 2
             bias -= rate * slope.sum() / np.sqrt(bias_square)
     return ToxicityModel(weights.astype(np.float32), float(bias))
@@ -108,8 +118,7 @@ class _Weights(dict):
         self.table = table
 
     def __missing__(self, word: str) -> float:
-        a, b = buckets_of(word)
-        value = float(self.table[a]) + float(self.table[b])
+        value = float(sum(self.table[b] for b in buckets_of(word)))
         if len(self) < self.LIMIT:
             self[word] = value
         return value
