@@ -33,6 +33,8 @@ BLOCKS = (11, 11, 11, 11, 10, 10)
 CHUNK = 2048
 #: Node pairs expanded at once in a task, and the number of leaf pairs below which nodes are compared outright.
 FRONTIER, LEAVES = 1 << 18, 16
+#: Rows of whole tries that a task walks at the same time.
+TOGETHER = 100_000
 
 
 def lower_ascii(text: bytes) -> bytes:
@@ -92,17 +94,18 @@ def _cross(lo1, hi1, lo2, hi2):
     return np.repeat(lo1, total) + k // np.maximum(width, 1), np.repeat(lo2, total) + k % np.maximum(width, 1)
 
 
-def trie_links(fps: np.ndarray, left: np.ndarray | None, max_bits: int) -> np.ndarray:
-    """Spanning forest of the links between fingerprints (uint64, ascending, distinct) of one trie.
+def trie_links(fps: np.ndarray, ends: np.ndarray, left: np.ndarray, across: np.ndarray, max_bits: int) -> np.ndarray:
+    """Spanning forest of the links between fingerprints (uint64) of many tries, walked at the same time.
 
-    left: for a pair of chunks, which fingerprints are of the first; only links across the two are sought.
+    ends: where the tries end, one behind the other, each ascending and distinct. across: for each fingerprint, whether
+    its trie is a pair of chunks, of which only links across the two are sought; left: whether it is of the first.
     """
-    n = len(fps)
-    root = np.arange(n)
+    root = np.arange(len(fps))
     forest: list[np.ndarray] = []
     zero = [np.concatenate([[0], np.cumsum((fps >> np.uint64(63 - d)) & np.uint64(1) == 0)]) for d in range(64)]
-    lefts = None if left is None else np.concatenate([[0], np.cumsum(left)])
-    stack = [(0, np.array([0]), np.array([n]), np.array([0]), np.array([n]), np.array([0]))]
+    lefts = np.concatenate([[0], np.cumsum(left)])
+    begins = np.concatenate([[0], ends[:-1]])
+    stack = [(0, begins, ends, begins, ends, np.zeros(len(ends), np.int64))]
 
     def join(i: np.ndarray, j: np.ndarray) -> None:
         """Unite by hooking roots onto smaller ones; the links that did so are the forest."""
@@ -128,14 +131,13 @@ def trie_links(fps: np.ndarray, left: np.ndarray | None, max_bits: int) -> np.nd
                 stack.append((d, lo1[half:], hi1[half:], lo2[half:], hi2[half:], bits[half:]))
                 lo1, hi1, lo2, hi2, bits = lo1[:half], hi1[:half], lo2[:half], hi2[:half], bits[:half]
             need = ~((lo1 + 1 == hi1) & (lo2 + 1 == hi2) & (root[lo1] == root[lo2]))  # leaves already united
-            if lefts is not None:  # nodes of one chunk alone need no walk
-                ours = lefts[hi1] - lefts[lo1] + lefts[hi2] - lefts[lo2]
-                need &= (ours > 0) & (ours < hi1 - lo1 + hi2 - lo2)
+            ours = lefts[hi1] - lefts[lo1] + lefts[hi2] - lefts[lo2]
+            need &= ~across[lo1] | (ours > 0) & (ours < hi1 - lo1 + hi2 - lo2)  # nodes of one chunk alone
             small = need & (((hi1 - lo1) * (hi2 - lo2) <= LEAVES) | (d == 64))
             if small.any():
                 i, j = _cross(lo1[small], hi1[small], lo2[small], hi2[small])
                 near = np.bitwise_count(fps[i] ^ fps[j]) <= max_bits
-                near &= i < j if left is None else left[i] != left[j]
+                near &= np.where(across[i], left[i] != left[j], i < j)
                 join(i[near], j[near])
             go = need & ~small
             lo1, hi1, lo2, hi2, bits = lo1[go], hi1[go], lo2[go], hi2[go], bits[go]
@@ -164,41 +166,37 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(others))
     dealt = dealt.select("fp", "block", "value", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    trie_order = [F.col("fp") < 0, F.col("fp")]  # unsigned
     keys = ["block", "value", "c1", "c2"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by trie; small tries are walked as they end."""
-        last, held = None, []
-
-        def walk() -> Iterator[pa.RecordBatch]:
-            fp = np.concatenate([h[0] for h in held])
-            own = np.concatenate([h[1] for h in held])
-            fp, at = np.unique(fp.view(np.uint64), return_index=True)
-            found = trie_links(fp, None if last[2] == last[3] else own[at] == last[2], max_bits)
-            if found.shape[1]:
-                found = found.view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found.min(axis=0)), pa.array(found.max(axis=0))], names=["a", "b"])
+    def walk(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """rows: fp, the trie's four keys, own; whole tries, sorted by trie and fingerprint."""
+        change = np.zeros(len(rows[0]), bool)
+        for k in range(1, 5):
+            change[1:] |= rows[k][1:] != rows[k][:-1]
+        ends = np.append(np.flatnonzero(change), len(rows[0]))
+        found = trie_links(rows[0], ends, rows[5] == rows[3], rows[3] != rows[4], max_bits).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(found.min(axis=0)), pa.array(found.max(axis=0))], names=["a", "b"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by trie; whole tries are held until there are enough for a walk."""
+        held: list[np.ndarray] | None = None
         for batch in batches:
-            cols = [batch.column(k).to_numpy() for k in range(6)]
-            n = batch.num_rows
-            if not n:
-                continue
-            change = np.zeros(n, bool)
-            for k in range(1, 5):
-                change[1:] |= cols[k][1:] != cols[k][:-1]
-            cuts = [0, *np.flatnonzero(change).tolist(), n]
-            for i, j in zip(cuts, cuts[1:]):
-                key = tuple(int(cols[k][i]) for k in range(1, 5))
-                if key != last:
-                    if held and sum(len(h[0]) for h in held) > 1:
-                        yield from walk()
-                    last, held = key, []
-                held.append((cols[0][i:j], cols[5][i:j]))
-        if held and sum(len(h[0]) for h in held) > 1:
-            yield from walk()
-
-    spread = dealt.repartition(shuffle_partitions(fps.sparkSession), *keys).sortWithinPartitions(*keys)
+            new = [batch.column(k).to_numpy() for k in range(6)]
+            new[0] = new[0].view(np.uint64)
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            if len(held[0]) >= TOGETHER:
+                same = np.ones(len(held[0]), bool)  # as the last trie, which may go on
+                for k in range(1, 5):
+                    same &= held[k] == held[k][-1]
+                done = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+                if done:
+                    yield from walk([x[:done] for x in held])
+                    held = [x[done:] for x in held]
+        if held is not None and len(held[0]):
+            yield from walk(held)
+
+    spread = dealt.repartition(shuffle_partitions(fps.sparkSession), *keys).sortWithinPartitions(*keys, *trie_order)
     return spread.select("fp", *keys, "own").mapInArrow(run, schema).distinct()
 
 
