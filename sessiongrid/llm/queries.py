@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, fingerprints, quality, simhash, toxicity, warc
+from . import bpe, chat, decontaminate, fingerprints, quality, simhash, suffixes, toxicity, warc
 from .common import new_folder, table
 from .learning import with_contract
 
@@ -55,6 +55,10 @@ FROM rows GROUP BY conv_id
 """
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
 
@@ -105,6 +109,6 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination)
+    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op4_suffix_dedup, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination)
 }
 ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL}
