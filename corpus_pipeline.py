@@ -1,4 +1,66 @@
-"""placeholder"""
+"""The corpus pipeline: toxicity, line dedup, SimHash near-dedup, benchmark decontamination, BPE.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. The first four return the columns of
+documents; the last adds what the tokenizer makes of each text. ``run`` writes each stage as Parquet in the shared
+folder before the next reads it, so a lost executor repeats one stage at most.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sessiongrid.llm import bpe, decontaminate, lines, simhash, toxicity
+from sessiongrid.llm.common import cut, keep_table, table
+from sessiongrid.llm.queries import TOXIC_FROM, tokenizer_path
+
+#: The near-duplicate stage takes shingles of five words.
+SHINGLE = 5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the threshold by a model of the labelled ones among them."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).where(F.col("score") < TOXIC_FROM).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that resemble an earlier one."""
+    done = lines.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return done.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of linked fingerprints, the document with the smallest id; documents without words stay."""
+    found = simhash.near_duplicates(docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")), SHINGLE)
+    copies = cut(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of the benchmark occurs."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the text decoded from them."""
+    return bpe.round_trip(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("simhash_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
+
+#: The first stage applies a trained model, which SQL cannot express; tests compare each stage with brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = keep_table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

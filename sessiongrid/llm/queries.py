@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, fingerprints, quality, simhash, suffixes, toxicity, warc
+from . import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, suffixes, toxicity, warc
 from .common import new_folder, table
 from .learning import with_contract
 
@@ -108,7 +108,38 @@ FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH l AS (
+  SELECT doc_id, k, lines[k] AS line, list_distinct(regexp_extract_all(lines[k], '[^ \t\x0B\f\r]+')) AS w
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS k
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))),
+c AS (SELECT row_number() OVER (ORDER BY doc_id, k) AS id, w, len(w) AS n, doc_id, k FROM (
+        SELECT list_sort(w) AS w, arg_min(doc_id, (doc_id, k)) AS doc_id, arg_min(k, (doc_id, k)) AS k
+        FROM l WHERE len(w) > 0 GROUP BY 1)),
+f AS (SELECT tok, count(*) AS df FROM (SELECT unnest(w) AS tok FROM c) GROUP BY tok),
+p AS (SELECT id, n, tok FROM (
+        SELECT id, n, tok, row_number() OVER (PARTITION BY id ORDER BY df, tok) AS r
+        FROM (SELECT id, n, unnest(w) AS tok FROM c) JOIN f USING (tok))
+      WHERE r <= n - CAST(ceil(n * 0.8 - 1e-9) AS BIGINT) + 1),
+pairs AS (SELECT DISTINCT a.id AS early, b.id AS late FROM p a JOIN p b USING (tok)
+          WHERE a.id < b.id AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n)),
+gone AS (SELECT DISTINCT late AS id FROM pairs JOIN c a ON a.id = early JOIN c b ON b.id = late
+         WHERE len(list_intersect(a.w, b.w)) * 10 >= (a.n + b.n - len(list_intersect(a.w, b.w))) * 8),
+stay AS (SELECT doc_id, k FROM c WHERE id NOT IN (SELECT id FROM gone)),
+t AS (SELECT l.doc_id, count(*) AS n_lines,
+        count(*) FILTER (len(l.w) > 0 AND stay.k IS NULL) AS n_removed,
+        coalesce(string_agg(l.line, chr(10) ORDER BY l.k) FILTER (len(l.w) = 0 OR stay.k IS NOT NULL), '') AS kept
+      FROM l LEFT JOIN stay ON stay.doc_id = l.doc_id AND stay.k = l.k GROUP BY l.doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN t USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op4_suffix_dedup, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination)
+    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op4_suffix_dedup, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination, op10_line_dedup)
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}
