@@ -31,8 +31,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked fingerprints, the document with the smallest id; documents without words stay."""
-    found = simhash.near_duplicates(docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")), SHINGLE)
+    """Of each class of linked fingerprints, the document with the smallest id."""
+    found = simhash.near_duplicates(docs, SHINGLE)
     copies = cut(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
