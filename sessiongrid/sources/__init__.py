@@ -1,0 +1 @@
+"""Tables in files: snapshots, reference CSVs, HTML pages and reports."""

@@ -1,0 +1 @@
+"""The reference has no streams: everything is batch over closed sessions, so nothing is built here."""
