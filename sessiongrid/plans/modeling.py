@@ -49,7 +49,7 @@ def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldCon
     """
     learner = learner or Learner()
     table = fold_ops.folds(calendar, config)
-    parts = fold_ops.split(panel, table)
+    parts = fold_ops.split(panel, table).persist()  # each fold fits and scores from it
     out = None
     for row in table.select("fold_id").orderBy("fold_id").collect():
         own = parts.where(F.col("fold_id") == row["fold_id"])

@@ -1,8 +1,8 @@
 """Queries over the driver's tables, each with equivalent SQL where SQL can say it."""
 
-from . import features
+from . import features, rules, universe
 
-MODULES = (features,)
+MODULES = (features, rules, universe)
 
 
 def all_queries() -> dict:

@@ -14,12 +14,15 @@ class Registry:
         self.sql: dict[str, str] = {}
 
     def query(self, text: str | None = None, name: str | None = None, dates: tuple[str, ...] = ("prediction_date",)):
-        """Register a function of (spark, sf_dir). dates: the date columns that the SQL returns."""
+        """Register a function of (spark, sf_dir).
+
+        dates: columns that both sides return as text: dates, and booleans that may be null.
+        """
 
         def keep(f):
             def run(spark, sf_dir) -> DataFrame:
                 df = f(spark, sf_dir)
-                return df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "date"})
+                return df.withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "date" or c in dates})
 
             key = name or f.__name__
             self.queries[key] = run
