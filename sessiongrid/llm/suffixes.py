@@ -11,7 +11,7 @@ same offset; the windows that share an anchor form a chunk of text around it. Th
    (repartitionByRange). Each bucket sorts its windows by multikey quicksort, eight bytes at a time: runs of equal keys
    go one level deeper, single ones drop out. Windows equal to the end are repeated.
 3. A run of one gram may lie across a boundary. For the first and last gram of each bucket the digests of the distinct
-   windows are compared between buckets.
+   windows are dealt by gram and digest and compared between buckets.
 4. The ranges of repeated windows go back to all chunks of equal content, and from there to the documents.
 
 Null counts as empty; shorter texts than the window keep everything. Documents with one id and different texts are told
@@ -32,10 +32,14 @@ from pyspark.sql import types as T
 from .common import cut, keep_table, shuffle_partitions
 
 WINDOW, GRAM = 200, 64
-#: Bytes hashed together in a task; longer texts are taken in overlapping pieces.
-BLOCK = 1 << 21
+#: Bytes hashed together in a task, so that its arrays fit a cache; longer texts are taken in overlapping pieces.
+BLOCK = 1 << 16
 #: Rows of chunks that a bucket sorts at the same time (whole grams).
-TOGETHER = 20_000
+TOGETHER = 2_000
+#: A window at a boundary between buckets: digest, chunk, offset, and whether its bucket has no other like it.
+EDGE = np.dtype([("d1", "<i8"), ("d2", "<i8"), ("chunk", "<i8"), ("k", "<i4"), ("alone", "?")])
+#: Bytes of documents that a task returns at a time.
+RETURNED = 4_000_000
 
 
 class Hashes:
@@ -180,35 +184,53 @@ def _words(buf: np.ndarray) -> np.ndarray:
     return out
 
 
+def _repeats(active: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the runs of one member; run counts from 0 and is sorted."""
+    more = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
+    active, run = active[more], run[more]
+    return active, np.cumsum(np.append(True, run[1:] != run[:-1])) - 1 if len(run) else run
+
+
 def equal_windows(words: np.ndarray, at: np.ndarray, group: np.ndarray, window: int) -> np.ndarray:
     """Class number of each window that equals another of its group, -1 of single ones; by multikey quicksort.
 
-    Each level sorts the runs that are still equal by their next eight bytes; runs of one leave.
+    All runs are partitioned at the same time, each by the next eight bytes of the member in its middle. Members equal
+    to that pivot go a level deeper, lesser and greater ones are runs of their own at the same level; runs of one leave.
     """
-    result = np.full(len(at), -1, np.int64)
-    active, run = np.arange(len(at)), group
-    for depth in range(-1, -(-window // 8)):
-        if depth >= 0:
+    result, classes = np.full(len(at), -1, np.int64), 0
+    order = np.argsort(group, kind="stable")
+    run = np.unique(group[order], return_inverse=True)[1] if len(order) else order
+    stack = [(0, *_repeats(order, run))]
+    levels = -(-window // 8)
+    while stack:
+        depth, active, run = stack.pop()
+        while len(active) and depth < levels:
             back = max(0, 8 * (depth + 1) - window)  # the last key overlaps the one before
-            key = words[at[active] + 8 * depth - back]
-            order = np.lexsort((key, run))
-        else:
-            key, order = np.zeros(len(at), np.uint64), np.argsort(run, kind="stable")
-        active, run, key = active[order], run[order], key[order]
-        new = np.ones(len(active), bool)
-        new[1:] = (run[1:] != run[:-1]) | (key[1:] != key[:-1])
-        run = np.cumsum(new)
-        more = np.bincount(run)[run] > 1 if len(run) else new
-        active, run = active[more], run[more]
-        if not len(active):
-            return result
-    result[active] = run
+            key = words[at[active] + (8 * depth - back)]
+            begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+            size = np.diff(np.append(begin, len(run)))
+            pivot = key[begin + size // 2][run]
+            same = key == pivot
+            if not same.all():
+                aside = ~same
+                part = run[aside] * 2 + (key[aside] > pivot[aside])
+                way = np.argsort(part, kind="stable")
+                stack.append((depth, *_repeats(active[aside][way], np.unique(part[way], return_inverse=True)[1])))
+                active, run = active[same], run[same]
+                active, run = _repeats(active, np.unique(run, return_inverse=True)[1])
+            depth += 1
+        if len(active):
+            result[active] = classes + run
+            classes += int(run[-1]) + 1
     return result
 
 
-def _sort_bucket(window: int):
-    """A task's work on a bucket: rows sorted by leading bytes, gram and chunk in; ranges and boundary windows out."""
-    names = ["gram", "chunk", "first", "last", "d1", "d2", "alone"]
+def _sort_bucket(window: int, ranges: int):
+    """A task's work on a bucket: rows sorted by leading bytes, gram and chunk in; ranges and boundary windows out.
+
+    Boundary windows come packed, a value for each gram and each of ``ranges`` ranges of digests.
+    """
+    names = ["gram", "chunk", "first", "last", "part", "edge"]
 
     def sort(rows: list, edge_grams: set[int]) -> Iterator[pa.RecordBatch]:
         g, c, whole, anchor, texts = rows
@@ -230,8 +252,7 @@ def _sort_bucket(window: int):
             lo = np.flatnonzero(cuts)
             hi = np.append(lo[1:], len(at)) - 1
             owner = of[at[lo]]
-            nothing = pa.nulls(len(lo), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(g[owner]), pa.array(c[owner]), pa.array(k[at[lo]], pa.int32()), pa.array(k[at[hi]], pa.int32()), nothing, nothing, pa.nulls(len(lo), pa.bool_())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(g[owner]), pa.array(c[owner]), pa.array(k[at[lo]], pa.int32()), pa.array(k[at[hi]], pa.int32()), pa.nulls(len(lo), pa.int32()), pa.nulls(len(lo), pa.binary())], names=names)
         if edge_grams:
             edge = np.flatnonzero(np.isin(g, list(edge_grams))[of])
             single = edge[classes[edge] < 0]
@@ -239,11 +260,21 @@ def _sort_bucket(window: int):
             shared = shared[np.unique(classes[shared], return_index=True)[1]]
             chosen = np.concatenate([single, shared])
             alone = np.concatenate([~whole[of[single]], np.zeros(len(shared), bool)])
-            digests = np.array([np.frombuffer(hashlib.blake2b(buf[a : a + window].tobytes(), digest_size=16).digest(), np.int64) for a in (begin[of] + k)[chosen].tolist()]).reshape(-1, 2)
             if len(chosen):
-                owner = of[chosen]
-                place = pa.array(k[chosen], pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(g[owner]), pa.array(c[owner]), place, place, pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(alone)], names=names)
+                yield packed(g, c, of, k, begin, buf, chosen, alone)
+
+    def packed(g, c, of, k, begin, buf, chosen, alone) -> pa.RecordBatch:
+        """One value for each gram and range of digests: the digests of its windows with chunk, offset and alone."""
+        digests = np.array([np.frombuffer(hashlib.blake2b(buf[a : a + window].tobytes(), digest_size=16).digest(), np.int64) for a in (begin[of] + k)[chosen].tolist()])
+        rows = np.zeros(len(chosen), EDGE)
+        rows["d1"], rows["d2"], rows["chunk"], rows["k"], rows["alone"] = digests[:, 0], digests[:, 1], c[of[chosen]], k[chosen], alone
+        owner, part = g[of[chosen]], (digests[:, 0].view(np.uint64) % np.uint64(ranges)).astype(np.int32)
+        order = np.lexsort((part, owner))
+        rows, owner, part = rows[order], owner[order], part[order]
+        cut_at = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])))
+        values = [rows[i:j].tobytes() for i, j in zip(cut_at.tolist(), [*cut_at[1:].tolist(), len(rows)])]
+        n = len(values)
+        return pa.RecordBatch.from_arrays([pa.array(owner[cut_at]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.array(part[cut_at]), pa.array(values, pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, first = None, None
@@ -265,6 +296,31 @@ def _sort_bucket(window: int):
     return run
 
 
+def _compare_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed windows sorted by gram and range in; ranges of the windows that two buckets have out."""
+    last, held = None, []
+
+    def compare() -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(held)
+        order = np.lexsort((rows["d2"], rows["d1"]))
+        rows = rows[order]
+        same = (rows["d1"][1:] == rows["d1"][:-1]) & (rows["d2"][1:] == rows["d2"][:-1])
+        found = rows[(np.append(same, False) | np.append(False, same)) & rows["alone"]]
+        if len(found):
+            gram = pa.array(np.full(len(found), last[0], np.int64))
+            yield pa.RecordBatch.from_arrays([gram, pa.array(found["chunk"]), pa.array(found["k"]), pa.array(found["k"])], names=["gram", "chunk", "first", "last"])
+
+    for batch in batches:
+        for gram, part, edge in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            if (gram, part) != last:
+                if len(held) > 1:
+                    yield from compare()
+                last, held = (gram, part), []
+            held.append(np.frombuffer(edge, EDGE))
+    if len(held) > 1:
+        yield from compare()
+
+
 def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, tag, first, last): inclusive ranges of starts of repeated windows."""
     spark = docs.sparkSession
@@ -277,11 +333,10 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     texts = keep_table(_fetched(docs, mixed, window), "chunks")
     order = [F.expr("substring(text, anchor + 1, 16)"), "gram", "chunk"]  # leading bytes of the suffix first
     buckets = texts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = cut(buckets.mapInArrow(_sort_bucket(window), "gram long, chunk long, first int, last int, d1 long, d2 long, alone boolean"))
-    edges = found.where(F.col("d1").isNotNull())
-    across = edges.groupBy("d1", "d2").agg(F.count("*").alias("buckets")).where("buckets > 1")
-    across = edges.where("alone").join(across, ["d1", "d2"]).select("gram", "chunk", "first", "last")
-    part = found.where(F.col("d1").isNull()).select("gram", "chunk", "first", "last").unionByName(across)
+    found = cut(buckets.mapInArrow(_sort_bucket(window, parts), "gram long, chunk long, first int, last int, part int, edge binary"))
+    edges = found.where(F.col("edge").isNotNull()).select("gram", "part", "edge").repartition(parts, "gram", "part").sortWithinPartitions("gram", "part")
+    across = edges.mapInArrow(_compare_edges, "gram long, chunk long, first int, last int")
+    part = found.where(F.col("edge").isNull()).select("gram", "chunk", "first", "last").unionByName(across)
     whole = kinds.where("copies > 1").select("gram", "chunk", F.lit(0).alias("first"), (F.col("place").bitwiseAND(F.lit(255)) - 1).cast("int").alias("last"))
     everywhere = chunk_rows(docs, window, gram, False).select("gram", "chunk", "doc_id", "place")
     start = F.shiftright("place", 8).bitwiseAND(F.lit((1 << 31) - 1))
@@ -311,15 +366,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            sizes, removed, kept = [], [], []
-            for raw, first, last in zip(batch.column(1), batch.column(2), batch.column(3)):
+            sizes, removed, kept, at, held = [], [], [], 0, 0
+            for k, (raw, first, last) in enumerate(zip(batch.column(1), batch.column(2), batch.column(3))):
                 raw = raw.as_py()
                 gone = spans(first.values.to_numpy(), last.values.to_numpy(), window) if first.is_valid else []
                 sizes.append(len(raw))
                 removed.append([{"start": a, "end": b} for a, b in gone])
                 ends = [0, *(x for s in gone for x in s), len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, span_type), pa.array(kept, pa.binary())], names=schema.names)
+                held += len(raw)
+                if held > RETURNED or k == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sizes)), pa.array(sizes, pa.int64()), pa.array(removed, span_type), pa.array(kept, pa.binary())], names=schema.names)
+                    at, held = k + 1, 0
+                    sizes, removed, kept = [], [], []
 
     return joined.mapInArrow(run, schema)
 
