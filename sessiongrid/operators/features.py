@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import security, finite, full, is_true, last_rows, positive, ratio
+from ..functions.nulls import finite, is_true, last_rows, positive, ratio, security
 
 #: Base features with the sessions that each needs (fixed values).
 HISTORY = {
@@ -57,26 +57,40 @@ def base_features(grid: DataFrame) -> DataFrame:
     })
     r1, trc, lv = F.col("_r1"), F.col("_tr"), F.col("_lv")
     prior = security().rowsBetween(-20, -1)
-    vol5, vol20 = full(r1, 5, F.stddev_samp), full(r1, 20, F.stddev_samp)
-    up, down = full(F.col("_gain"), 14, F.avg), full(F.col("_loss"), 14, F.avg)
+    # Each window aggregate is a column once; Spark does not merge equal ones inside larger expressions.
+    sets = [("_close", 5), ("_close", 20), ("_high", 20), ("_up", 5), ("_r1", 5), ("_r1", 20), ("_tr", 5), ("_tr", 20), ("_tl_volume", 5), ("_tl_volume", 20), ("_illiquid", 20), ("_gain", 14), ("_loss", 14)]
+    aggs = {("_close", 5): "avg", ("_close", 20): "avg", ("_high", 20): "max", ("_r1", 5): "stddev_samp", ("_r1", 20): "stddev_samp"}
+    step = step.withColumns({"_up": F.when(r1.isNotNull(), (r1 > 0).cast("double")), "_illiquid": ratio(F.abs(r1), v)})
+    wide = {f"_n{x}_{n}": F.count(x).over(last_rows(n)) for x, n in sets}
+    wide |= {f"_a{x}_{n}": getattr(F, aggs.get((x, n), "avg"))(x).over(last_rows(n)) for x, n in sets}
+    wide |= {"_s_volume_20": F.stddev_samp("_tl_volume").over(last_rows(20)), "_n_prior": F.count("_lv").over(prior), "_a_prior": F.avg("_lv").over(prior), "_s_prior": F.stddev_samp("_lv").over(prior)}
+    wide |= {"_volumes": F.collect_list("_tl_volume").over(last_rows(20))}
+    step = step.withColumns(wide)
+
+    def of(x: str, n: int) -> Column:
+        return F.when(F.col(f"_n{x}_{n}") == n, F.col(f"_a{x}_{n}"))
+
+    up, down = of("_gain", 14), of("_loss", 14)
     rsi = F.when((up == 0) & (down == 0), 50.0).when(down == 0, 100.0).when(up == 0, 0.0).otherwise(100.0 - 100.0 / (1.0 + ratio(up, down)))
-    median = lambda x: F.percentile(x, 0.5)
+    ordered = F.sort_array("_volumes")
+    median = F.when(F.size("_volumes") == 20, (ordered[9] + ordered[10]) / 2)
+    known = F.col("_n_prior") == 20
     made = {
         **{f"ret_{n}": F.col(f"_r{n}") for n in (1, 2, 3, 5, 10, 20)},
-        "close_to_sma_5": ratio(c, full(c, 5, F.avg)) - 1,
-        "close_to_sma_20": ratio(c, full(c, 20, F.avg)) - 1,
-        "distance_from_high_20": ratio(c, full(h, 20, F.max)) - 1,
-        "positive_day_ratio_5": full(F.when(r1.isNotNull(), (r1 > 0).cast("double")), 5, F.avg),
-        "return_volatility_5": vol5,
-        "return_volatility_20": vol20,
-        "volatility_ratio_5_20": ratio(vol5, vol20),
+        "close_to_sma_5": ratio(c, of("_close", 5)) - 1,
+        "close_to_sma_20": ratio(c, of("_close", 20)) - 1,
+        "distance_from_high_20": ratio(c, of("_high", 20)) - 1,
+        "positive_day_ratio_5": of("_up", 5),
+        "return_volatility_5": of("_r1", 5),
+        "return_volatility_20": of("_r1", 20),
+        "volatility_ratio_5_20": ratio(of("_r1", 5), of("_r1", 20)),
         "true_range_pct": trc,
-        "range_expansion_5_20": ratio(full(trc, 5, F.avg), full(trc, 20, F.avg)),
-        "log_median_tl_volume_20": F.log1p(full(v, 20, median)),
-        "tl_volume_ratio_5_20": ratio(full(v, 5, F.avg), full(v, 20, F.avg)),
-        "tl_volume_zscore_20": ratio(lv - full(lv, 20, F.avg, prior), full(lv, 20, F.stddev_samp, prior)),
-        "tl_volume_cv_20": ratio(full(v, 20, F.stddev_samp), full(v, 20, F.avg)),
-        "amihud_20": F.log1p(1e9 * full(ratio(F.abs(r1), v), 20, F.avg)),
+        "range_expansion_5_20": ratio(of("_tr", 5), of("_tr", 20)),
+        "log_median_tl_volume_20": F.log1p(median),
+        "tl_volume_ratio_5_20": ratio(of("_tl_volume", 5), of("_tl_volume", 20)),
+        "tl_volume_zscore_20": F.when(known, ratio(lv - F.col("_a_prior"), F.col("_s_prior"))),
+        "tl_volume_cv_20": ratio(F.when(F.col("_n_tl_volume_20") == 20, F.col("_s_volume_20")), of("_tl_volume", 20)),
+        "amihud_20": F.log1p(1e9 * of("_illiquid", 20)),
         "overnight_gap": ratio(o, F.col("_before")) - 1,
         "intraday_return": ratio(c, o) - 1,
         "close_location_value": ratio(2 * c - h - low, h - low),
