@@ -201,7 +201,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of edges (a, b); root is the smallest node that it reaches.
+    """(node, root) of every node of edges (a, b) but the roots; a root is the smallest node that its component has.
 
     Alternating large-star and small-star steps until nothing changes; each step is cut from its lineage.
     """
