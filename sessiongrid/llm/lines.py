@@ -1,146 +1,177 @@
 """Line dedup by an exact set-similarity join; built-in functions only.
 
-A line's tokens are its distinct words. A line goes if an earlier line (by doc_id, then line number; of any document)
-has a Jaccard similarity of ``threshold`` or more to it, whether or not that one stays. The steps:
-
-1. Word counts of the whole corpus, in COUNTERS counters of fixed number, order the tokens by rarity. A token is a
-   64-bit integer: the rank of its counter in the high bits, the rest of its hash below, so sorting a line's tokens
-   puts the rare ones first.
-2. Lines of one token set are one class; its first line stands for it. All later ones go.
-3. Classes meet where they share a prefix token: the first n - ceil(threshold * n) + 1 of n tokens. Length and positional
-   filters apply in the join; Jaccard is verified on the whole token lists.
-4. Large groups of near copies do not meet pair by pair: each class is first compared with the earliest class of each
-   of its prefix tokens; only classes not yet removed are joined with all earlier ones.
-
-Lines without words (also empty ones) always stay. Null texts have no lines; removing all lines leaves the empty text.
-Rows without an id come last in the order. Repeated ids stand for one document: their lines at the same place are the
-same line. Token hashes of 64 bits stand for words.
+A line's tokens are its distinct shingles of five words (words are parted by blanks; a line of fewer words is one token).
+A line goes if an earlier line (by doc_id, then line number; of any document) has a Jaccard similarity of ``threshold`` or
+more to it, whether or not that one stays. The steps:
+
+1. Word counts of the whole corpus, in a fixed number of counters, give words a rank of rarity. A token is a 64-bit
+   integer: the rank of its rarest word in the high bits, its hash below. Sorted tokens are in order of rarity.
+2. Lines of one token set are one class; all but the first line of a class go.
+3. Classes meet where they share a prefix token: the first n - ceil(threshold * n) + 1 of n tokens. Tokens that occur once
+   are ruled out first. Length and positional filters apply in the joins, and a bitmap filter: tokens toggle bits of two
+   64-bit maps, and sets whose maps differ in k bits differ in k tokens at least. Jaccard is verified on the whole token
+   sets of the texts.
+4. Large groups of near copies do not meet pair by pair: each class is first compared with the earliest classes of its
+   prefix tokens (LEADERS of them, dealt by hash); only classes that stay are joined with all earlier ones.
+
+Lines to fetch or to remove are joined to the documents by broadcast while they number BROADCAST_LINES at most, else by
+a shuffle of the texts. Lines without words always stay. Null texts have no lines; removing all lines leaves the
+empty text. Rows without an id come last in the order. Repeated ids stand for one document: their lines at the same place
+are the same line. Token hashes of 64 bits stand for shingles.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, keep_table
 
-THRESHOLD = 0.8
+THRESHOLD, SHINGLE = 0.8, 5
 COUNTERS = 1 << 14
-SPACE = r"[ \t\x0B\f\r]+"
+BITS = COUNTERS.bit_length() - 1
+LEADERS = 8
+BROADCAST_LINES = 2_000_000
 LAST = (1 << 63) - 1
+LINE_BITS = 1 << 31
 
 
 def line_array(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, SPACE), "")
-
-
 def rarity_ranks(docs: DataFrame) -> Column:
-    """The rank of each counter, rarest first, as a constant array of COUNTERS integers."""
-    words = docs.select(F.explode(F.split("text", r"[ \t\x0B\f\r\n]+")).alias("w"))
+    """The rank of each word counter, rarest first, as a constant array of COUNTERS integers."""
+    words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).cast("int").alias("c")).agg(F.count("*").alias("n")).collect()
     n = dict.fromkeys(range(COUNTERS), 0) | {r["c"]: r["n"] for r in counts}
     rank = {c: k for k, c in enumerate(sorted(n, key=lambda c: (n[c], c)))}
-    return F.split(F.lit(",".join(str(rank[c]) for c in range(COUNTERS))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(rank[c] - COUNTERS // 2) for c in range(COUNTERS))), ",").cast("array<bigint>")
 
 
-def token_list(line: Column, ranks: Column) -> Column:
-    """Distinct tokens of a line as integers, rare ones first."""
-    bits = COUNTERS.bit_length() - 1
+def with_tokens(rows: DataFrame, ranks: Column, *keep: str) -> DataFrame:
+    """keep and tokens (sorted, rare first) of the column line; lines without words are left out.
 
-    def token(w: Column) -> Column:
+    A word is its rank above its hash; two runs of words join into one with the lesser rank above the hash of both.
+    Shingles of five grow from runs of two and four, so each step reads two arrays side by side.
+    """
+    high = F.lit(-1 << (64 - BITS))
+
+    def word(w: Column) -> Column:
         h = F.xxhash64(w)
-        rank = ranks[h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")]
-        return F.shiftleft((rank - COUNTERS // 2).cast("long"), 64 - bits).bitwiseOR(F.shiftrightunsigned(h, bits))
+        return F.shiftleft(ranks[h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")], 64 - BITS).bitwiseOR(F.shiftrightunsigned(h, BITS))
+
+    def join(a: Column, b: Column) -> Column:
+        return F.least(a, b).bitwiseAND(high).bitwiseOR(F.shiftrightunsigned(F.xxhash64(a, b), BITS))
+
+    def beside(a: str, b: str, by: int, n: Column) -> Column:
+        return F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1 + by), n), join)
+
+    rows = rows.select(*keep, F.transform(F.array_remove(F.split("line", " "), ""), word).alias("one")).where(F.size("one") > 0)
+    n = F.greatest(F.size("one") - SHINGLE + 1, F.lit(0))
+    rows = rows.withColumn("two", beside("one", "one", 1, F.size("one") - 1)).withColumn("four", beside("two", "two", 2, F.greatest(F.size("two") - 2, F.lit(0))))
+    many = F.sort_array(F.array_distinct(beside("four", "one", 4, n)))
+    few = F.array(F.array_min("one").bitwiseAND(high).bitwiseOR(F.shiftrightunsigned(F.xxhash64("one"), BITS)))
+    return rows.select(*keep, F.when(F.size("one") < SHINGLE, few).otherwise(many).alias("tokens"))
+
+
+def _bitmap(which: int) -> Column:
+    """64 bits, toggled by the tokens whose bit 6 is ``which``."""
 
-    return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
+    def toggle(acc: Column, x: Column) -> Column:
+        return F.when(F.shiftright(x, 6).bitwiseAND(F.lit(1)) == which, acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")))).otherwise(acc)
 
+    return F.aggregate("tokens", F.lit(0).cast("long"), toggle)
 
-def _place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
+
+def _place(d: Column, line_no: Column) -> Column:
     """The order of lines as one number."""
-    return (F.coalesce(F.col(doc_id), F.lit(LAST)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col(line_no)).cast("decimal(33,0)")
+    return (d.cast("decimal(20,0)") * F.lit(LINE_BITS).cast("decimal(11,0)") + line_no).cast("decimal(33,0)")
 
 
-def tokenised(docs: DataFrame, ranks: Column) -> DataFrame:
-    """Lines with words: doc_id, line_no, tokens, n, cls (hash of the token list)."""
-    rows = docs.select("doc_id", F.posexplode(line_array(F.col("text"))).alias("line_no", "line"))
-    rows = rows.select("doc_id", "line_no", token_list(F.col("line"), ranks).alias("tokens")).where(F.size("tokens") > 0)
-    return rows.select("doc_id", "line_no", "tokens", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("cls"))
+def _unplaced(at: Column) -> tuple[Column, Column]:
+    bits = F.lit(LINE_BITS).cast("decimal(11,0)")
+    return F.floor(at / bits).cast("decimal(20,0)").cast("long"), F.pmod(at, bits).cast("int")
 
 
-def _overlap(n1: Column, n2: Column, threshold: float) -> Column:
-    """The least number of shared tokens for that Jaccard similarity; in integers, to be exact."""
-    t = round(threshold * 1000)
+def _least_shared(n1: Column, n2: Column, t: int) -> Column:
+    """The least number of shared tokens for a similarity of t thousandths."""
     return F.ceil((n1 + n2) * F.lit(t) / F.lit(1000 + t) - F.lit(1e-9))
 
 
-def removed_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(classes, removed): classes has cls, at (its first line's place), doc_id and line_no; removed the cls to drop."""
-    t = round(threshold * 1000)
-    ranks = rarity_ranks(docs)
-    lines = tokenised(docs, ranks)
-    prefix = F.slice("tokens", F.lit(1), F.col("n") - F.ceil(F.col("n") * F.lit(t) / F.lit(1000) - F.lit(1e-9)).cast("int") + 1)
-    classes = lines.select("cls", "n", prefix.alias("prefix"), _place().alias("at")).groupBy("cls", "n", "prefix").agg(F.min("at").alias("at"))
-    classes = keep_table(classes, "classes")
-    posts = classes.select("cls", "n", "at", F.posexplode("prefix").alias("pos", "token"))
-    groups = posts.groupBy("token").agg(F.count("*").alias("size"), F.min_by("cls", "at").alias("lead"), F.min_by("n", "at").alias("lead_n"), F.min("at").alias("lead_at")).where("size > 1")
-    met = posts.join(groups, "token")
-    close = lambda a, b: (F.least(a, b) * 1000 >= F.greatest(a, b) * t)
-    first = met.where((F.col("cls") != F.col("lead")) & close(F.col("n"), F.col("lead_n"))).select("cls", F.col("lead").alias("other")).distinct()
-    shared = keep_table(met.where("size > 2").select("cls", "n", "at", "pos", "token"), "posts")
-    first = cut(first)
-    resolved = cut(_verified(docs, ranks, classes, first, threshold).select("cls").distinct())
-    probe = shared.join(resolved, "cls", "left_anti")
-    other = shared.select(F.col("cls").alias("other"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("pos").alias("pos2"), "token")
-    room = 1 + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) - 1  # tokens from here on, this one with them
-    pairs = probe.join(other, "token").where((F.col("at2") < F.col("at")) & close(F.col("n"), F.col("n2")) & (room + F.least("pos", "pos2") >= _overlap(F.col("n"), F.col("n2"), threshold)))
-    pairs = pairs.select("cls", "other").distinct().join(first, ["cls", "other"], "left_anti")
-    more = _verified(docs, ranks, classes, cut(pairs), threshold).select("cls").distinct()
-    return classes, cut(resolved.unionByName(more).distinct())
-
-
-def _verified(docs: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (cls, other) whose token lists have that similarity."""
-    t = round(threshold * 1000)
+def _by_document(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """docs with line_nos of their lines among ``lines`` (d, line_no; materialised); inner join."""
+    few = lines.count() <= BROADCAST_LINES
+    grouped = lines.groupBy("d").agg(F.collect_list("line_no").alias("line_nos"))
+    return docs.join(F.broadcast(grouped) if few else grouped, "d", "left")
+
+
+def _verified(docs: DataFrame, ranks: Column, firsts: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
+    """The pairs (cls, other) whose token sets have that similarity."""
     wanted = pairs.select("cls").union(pairs.select("other")).distinct()
-    two31 = F.lit(1 << 31).cast("decimal(11,0)")
-    places = classes.join(wanted, "cls").select(F.floor(F.col("at") / two31).cast("decimal(20,0)").alias("d"), F.pmod("at", two31).cast("int").alias("line_no"))
-    by_doc = places.groupBy("d").agg(F.collect_list("line_no").alias("line_nos"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)").alias("d"), "text").join(by_doc, "d")
+    d, line_no = _unplaced(F.col("at"))
+    places = cut(firsts.join(wanted, "cls").select(d.alias("d"), line_no.alias("line_no")))
+    texts = _by_document(docs.select("d", "text"), places).where("line_nos is not null")
     rows = texts.select(line_array(F.col("text")).alias("all"), F.explode("line_nos").alias("k")).where(F.col("k") < F.size("all")).select(F.col("all")[F.col("k")].alias("line"))
-    tokens = rows.select(token_list(F.col("line"), ranks).alias("tokens")).select(F.xxhash64("tokens").alias("cls"), "tokens").dropDuplicates(["cls"])
-    left = pairs.join(tokens, "cls")
-    both = left.join(tokens.select(F.col("cls").alias("other"), F.col("tokens").alias("tokens2")), "other")
+    tokens = keep_table(with_tokens(rows, ranks).select(F.xxhash64("tokens").alias("cls"), "tokens").dropDuplicates(["cls"]), "tokens")
+    both = pairs.join(tokens, "cls").join(tokens.select(F.col("cls").alias("other"), F.col("tokens").alias("tokens2")), "other")
     common = F.size(F.array_intersect("tokens", "tokens2"))
     return both.where(common * 1000 >= (F.size("tokens") + F.size("tokens2") - common) * t).select("cls", "other")
 
 
-def kept_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """d (doc_id, LAST for null) and line_nos: the lines with words that stay."""
-    classes, removed = removed_classes(docs, threshold)
-    two31 = F.lit(1 << 31).cast("decimal(11,0)")
-    stay = classes.select("cls", "at").join(removed, "cls", "left_anti")
-    return stay.select(F.floor(F.col("at") / two31).cast("decimal(20,0)").alias("d"), F.pmod("at", two31).cast("int").alias("line_no")).groupBy("d").agg(F.collect_list("line_no").alias("line_nos"))
+def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(d, line_no) of the lines to remove; docs: d (doc_id, LAST for null) and text."""
+    t = round(threshold * 1000)
+    ranks = rarity_ranks(docs)
+    lines = docs.select("d", F.posexplode(line_array(F.col("text"))).alias("line_no", "line"))
+    n = F.size("tokens")
+    prefix = F.slice("tokens", F.lit(1), n - F.ceil(n * F.lit(t) / F.lit(1000) - F.lit(1e-9)).cast("int") + 1)
+    lines = with_tokens(lines, ranks, "d", "line_no").select("d", "line_no", n.alias("n"), F.xxhash64("tokens").alias("cls"), prefix.alias("prefix"), _bitmap(0).alias("b0"), _bitmap(1).alias("b1"))
+    lines = keep_table(lines, "lines")
+
+    posts = lines.select("cls", F.posexplode("prefix").alias("pos", "token"))
+    shared = posts.groupBy("token").agg(F.count("*").alias("posts")).where("posts > 1").select("token")
+    met = keep_table(posts.join(shared.hint("shuffle_hash"), "token").select("token", "cls", "pos").distinct(), "posts")
+    sizes = lines.groupBy("cls").agg(F.min(_place(F.col("d"), F.col("line_no"))).alias("at"), F.min("n").alias("n"), F.min("b0").alias("b0"), F.min("b1").alias("b1"), F.count("*").alias("members"))
+    meeting = met.select("cls", F.lit(True).alias("meets")).distinct()
+    firsts = keep_table(sizes.join(meeting, "cls", "left").where("members > 1 or meets").drop("meets"), "classes")
+
+    met = met.join(firsts.select("cls", "n", "at", "b0", "b1"), "cls")
+    several = met.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    met = keep_table(met.join(several, "token"), "meetings")
+    lead = met.groupBy("token", F.pmod("cls", F.lit(LEADERS)).alias("deal")).agg(F.min_by("cls", "at").alias("other"), F.min_by("n", "at").alias("n2"), F.min_by("b0", "at").alias("c0"), F.min_by("b1", "at").alias("c1"), F.min("at").alias("at2"))
+    least = _least_shared(F.col("n"), F.col("n2"), t)
+    differ = F.bit_count(F.col("b0").bitwiseXOR(F.col("c0"))) + F.bit_count(F.col("b1").bitwiseXOR(F.col("c1")))
+    close = (F.least("n", "n2") * 1000 >= F.greatest("n", "n2") * t) & (F.col("n") + F.col("n2") - differ >= 2 * least)
+    first = cut(met.join(lead, "token").where((F.col("at2") < F.col("at")) & close).select("cls", "other").distinct())
+    gone = cut(_verified(docs, ranks, firsts, first, t).select("cls").distinct())
+
+    probe = met.join(gone, "cls", "left_anti")
+    other = met.select("token", F.col("cls").alias("other"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("pos").alias("pos2"), F.col("b0").alias("c0"), F.col("b1").alias("c1"))
+    # shared tokens can stand before both places, or from there on
+    most = F.least("pos", "pos2") + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+    pairs = probe.join(other, "token").where((F.col("at2") < F.col("at")) & close & (most >= least))
+    pairs = cut(pairs.select("cls", "other").distinct().join(first, ["cls", "other"], "left_anti"))
+    more = _verified(docs, ranks, firsts, pairs, t).select("cls").distinct()
+
+    decided = firsts.join(gone.unionByName(more).distinct().withColumn("gone", F.lit(True)), "cls", "left").where("members > 1 or gone")
+    marked = lines.select("d", "line_no", "cls").join(decided.select("cls", "at", "gone"), "cls")
+    later = _place(F.col("d"), F.col("line_no")) > F.col("at")
+    return cut(marked.where(F.coalesce("gone", F.lit(False)) | later).select("d", "line_no").distinct())
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with text reduced to the lines that stay, and n_lines and n_removed."""
-    kept = kept_lines(docs, threshold)
-    own = docs.withColumn("d", F.coalesce("doc_id", F.lit(LAST)).cast("decimal(20,0)"))
-    joined = own.join(kept, "d", "left")
+    """docs with text reduced to the lines that stay, and n_lines and n_removed (these names are replaced)."""
+    keyed = docs.withColumn("d", F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long"))
+    joined = _by_document(keyed, removed_lines(keyed.select("d", "text"), threshold))
     lines = line_array(F.col("text"))
-    # places sorted once; a line without words stays wherever it is
-    stay = F.filter(lines, lambda line, k: ~line.rlike(r"[^ \t\x0B\f\r]") | F.coalesce(F.array_contains("line_nos", k), F.lit(False)))
-    out = joined.withColumn("__stay", stay)
-    size = F.greatest(F.size(lines), F.lit(0))
-    return out.select(*[F.when(F.col("text").isNotNull(), F.array_join("__stay", "\n")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], size.cast("long").alias("n_lines"), (size - F.greatest(F.size("__stay"), F.lit(0))).cast("long").alias("n_removed"))
+    stay = F.filter(lines, lambda line, k: ~F.array_contains("line_nos", k))
+    text = F.when(F.col("line_nos").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
+    kept = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+    return joined.select(*kept, n.alias("n_lines"), F.when(F.col("text").isNull() | F.col("line_nos").isNull(), 0).otherwise(F.size("line_nos")).cast("long").alias("n_removed"))
 
 
 def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     done = dedup_lines(docs.select("doc_id", "text"), threshold)
-    return done.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

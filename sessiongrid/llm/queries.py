@@ -114,9 +114,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH l AS (
-  SELECT doc_id, k, lines[k] AS line, list_distinct(regexp_extract_all(lines[k], '[^ \t\x0B\f\r]+')) AS w
-  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS k
-        FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))),
+  SELECT doc_id, k, line, CASE WHEN len(x) >= 5 THEN list_distinct(list_transform(range(1, len(x) - 3), lambda i: array_to_string(list_slice(x, i, i + 4), ' ')))
+                               WHEN len(x) > 0 THEN [array_to_string(x, ' ')] ELSE [] END AS w
+  FROM (SELECT doc_id, k, lines[k] AS line, list_filter(string_split(lines[k], ' '), lambda s: s <> '') AS x
+        FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS k
+              FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)))),
 c AS (SELECT row_number() OVER (ORDER BY doc_id, k) AS id, w, len(w) AS n, doc_id, k FROM (
         SELECT list_sort(w) AS w, arg_min(doc_id, (doc_id, k)) AS doc_id, arg_min(k, (doc_id, k)) AS k
         FROM l WHERE len(w) > 0 GROUP BY 1)),
