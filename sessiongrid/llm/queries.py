@@ -63,6 +63,17 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
 
 
+OP5_SQL = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT h, n, max(page_id) AS newest FROM p GROUP BY ALL)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda k:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(h, CAST(5 * i + 1 AS INT), 5) AS BIGINT) >> (15 - 5 * k)) % 32 + 1 AS INT), 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> newest THEN newest END AS refers_to, true AS digest_ok
+FROM p JOIN m USING (h, n)
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -144,4 +155,4 @@ FROM documents LEFT JOIN t USING (doc_id)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op4_suffix_dedup, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination, op10_line_dedup)
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op5_warc": OP5_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}

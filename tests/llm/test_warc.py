@@ -3,9 +3,11 @@
 import base64
 import hashlib
 
+from comparing import rows_of, rows_of_sql
+
 from sessiongrid.llm import warc
 from sessiongrid.llm.common import new_folder
-from sessiongrid.llm.queries import QUERIES
+from sessiongrid.llm.queries import ORACLE_SQL, QUERIES
 
 PAGE = "page_id long, url string, html string"
 
@@ -70,3 +72,9 @@ def test_query(spark, sf_dir):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     got = QUERIES["op5_warc"](spark, sf_dir).collect()
     assert {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in got} == {k: (len(h.encode()), b32(h.encode())) for k, h in pages.items()}
+
+
+def test_query_equals_sql(spark, duck, sf_dir):
+    df = QUERIES["op5_warc"](spark, sf_dir)
+    want, names = rows_of_sql(duck, ORACLE_SQL["op5_warc"])
+    assert sorted(df.columns) == names and rows_of(df) == want
