@@ -104,12 +104,14 @@ def base_features(grid: DataFrame) -> DataFrame:
 def cross_sectional(rows: DataFrame, minimum: int = MIN_CROSS_SECTION) -> DataFrame:
     """rows with the rank features: (average rank - 1) / (valid - 1) within a date, null below ``minimum`` valid values."""
 
+    day = Window.partitionBy("prediction_date")
+
     def rank(source: str) -> Column:
+        # nulls sort last both ways, and the mean of a value's least and greatest place is its average rank: one shuffle
         x = F.col(source)
-        day = Window.partitionBy("prediction_date", x.isNull())
-        ties = F.count("*").over(Window.partitionBy("prediction_date", x))
-        valid = F.count(x).over(Window.partitionBy("prediction_date"))
-        average = F.rank().over(day.orderBy(x)) + (ties - 1) / 2
+        up, down = F.rank().over(day.orderBy(x.asc_nulls_last())), F.rank().over(day.orderBy(x.desc_nulls_last()))
+        valid = F.count(x).over(day)
+        average = (up + valid - down + 1) / 2
         return F.when(x.isNotNull() & (valid >= minimum), (average - 1) / (valid - 1))
 
     return rows.withColumns({name: rank(source) for name, source in RANKS.items()})
