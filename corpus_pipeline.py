@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessiongrid.llm import bpe, decontaminate, lines, simhash, toxicity
+from sessiongrid.llm import bpe, decontaminate, lines, nearcopies, toxicity
 from sessiongrid.llm.common import cut, keep_table, table
 from sessiongrid.llm.queries import TOXIC_FROM, tokenizer_path
 
@@ -31,9 +31,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked fingerprints, the document with the smallest id."""
-    found = simhash.near_duplicates(docs, SHINGLE)
-    copies = cut(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
+    """Of each class of near copies, the document with the smallest id."""
+    found = nearcopies.near_copies(docs, SHINGLE).select("doc_id", "class")
+    lows = found.groupBy("class").agg(F.min("doc_id").alias("low"))
+    copies = cut(found.join(lows, "class").where(F.col("doc_id") != F.col("low")).select("doc_id").distinct())
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

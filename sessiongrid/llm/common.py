@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_key(text: str = "text") -> Column:
+    """Hash of a text, null as empty; with doc_id it tells rows apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def mark_copies(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """rows with the boolean column name: false for one row of each value of keys (not null), true for all others.
+
+    Rows that share their keys are written once, so that their numbers hold; usually there are none.
+    """
+    several = cut(rows.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n > 1").select(*keys))
+    if several.isEmpty():
+        return rows.withColumn(name, F.lit(False))
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    alone = rows.join(several, keys, "left_anti").select(*columns, F.lit(False).alias(name))
+    many = keep_table(rows.join(several, keys, "left_semi").select(*columns, F.monotonically_increasing_id().alias("__row")), "copies")
+    first = many.groupBy(*keys).agg(F.min("__row").alias("__first"))
+    marked = many.join(first, keys).select(*columns, (F.col("__row") != F.col("__first")).alias(name))
+    return alone.unionByName(marked)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

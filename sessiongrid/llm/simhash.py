@@ -15,7 +15,7 @@ documents without an id are fingerprinted but give no class its number, a class
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -41,26 +41,36 @@ def lower_ascii(text: bytes) -> bytes:
     return text.lower()  # bytes: A-Z only
 
 
-def fingerprint(text: str | None, words_per_shingle: int = WORDS_PER_SHINGLE) -> int:
+def shingle_hashes(text: str | None, words_per_shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of the shingles, repeats included, at most 65,536 at a time (big-endian); none of a text without words."""
     import xxhash
 
     raw = b" ".join(re.findall(rb"[^\x20\x09-\x0D]+", lower_ascii((text or "").encode("utf-8", "surrogatepass"))))
     if not raw:
-        return 0
+        return
     at = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
     starts = np.concatenate([[0], at + 1])
     n = max(1, len(starts) - words_per_shingle + 1)
     ends = np.concatenate([at, [len(raw)]])[min(words_per_shingle, len(starts)) - 1 :]
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
     for lo in range(0, n, 1 << 16):
-        h = np.array([digest(raw[a:b], SEED) for a, b in zip(starts[lo : min(n, lo + (1 << 16))].tolist(), ends[lo : lo + (1 << 16)].tolist())], dtype=">u8")
+        yield np.array([digest(raw[a:b], SEED) for a, b in zip(starts[lo : min(n, lo + (1 << 16))].tolist(), ends[lo : lo + (1 << 16)].tolist())], dtype=">u8")
+
+
+def majority(blocks: Iterable[np.ndarray]) -> int:
+    counts, n = np.zeros(64, np.int64), 0
+    for h in blocks:
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
         for k in range(0, len(bits), 255):  # sums of up to 255 bits fit a byte
             counts += np.add.reduce(bits[k : k + 255], axis=0, dtype=np.uint8)
+        n += len(h)
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
+def fingerprint(text: str | None, words_per_shingle: int = WORDS_PER_SHINGLE) -> int:
+    return majority(shingle_hashes(text, words_per_shingle))
+
+
 def fingerprints(docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint as a signed 64-bit integer."""
     chosen = docs.select("doc_id", "text")
