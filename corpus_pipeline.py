@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessiongrid.llm import bpe, decontaminate, lines, nearcopies, toxicity
-from sessiongrid.llm.common import cut, keep_table, table
+from sessiongrid.llm.common import cut, keep_table, mark_copies, table, text_key
 from sessiongrid.llm.queries import TOXIC_FROM, tokenizer_path
 
 #: The near-duplicate stage takes shingles of five words.
@@ -31,11 +31,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies, the document with the smallest id."""
-    found = nearcopies.near_copies(docs, SHINGLE).select("doc_id", "class")
-    lows = found.groupBy("class").agg(F.min("doc_id").alias("low"))
-    copies = cut(found.join(lows, "class").where(F.col("doc_id") != F.col("low")).select("doc_id").distinct())
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of each class of near copies one row, the first by doc_id (null last) and hash of the text."""
+    place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "key")
+    found = nearcopies.near_copies(docs, SHINGLE).select(place.alias("place"), "class")
+    lows = found.groupBy("class").agg(F.min("place").alias("low"))
+    copies = cut(found.join(lows, "class").where(F.col("place") != F.col("low")).select("place.*").distinct())
+    keyed = docs.withColumns({"last": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0)), "key": text_key()})
+    kept = keyed.join(copies, ["last", "id", "key"], "left_anti")
+    return mark_copies(kept, ["last", "id", "key"], "again").where(~F.col("again")).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

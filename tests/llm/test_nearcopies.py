@@ -45,3 +45,11 @@ def test_stage_finds_all_of_similarity_0_8(spark, sf_dir):
     got = pipeline.drop_near_copies(spark, df, sf_dir)
     assert got.columns == df.columns
     assert sorted(r["doc_id"] for r in got.collect()) == lowest_of_classes(rows)
+
+
+def test_one_row_of_each_group_without_ids_or_with_repeated_ones(spark, sf_dir):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, a), (None, d), (None, d), (None, b + " more")]
+    df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], DOCS).repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in pipeline.drop_near_copies(spark, df, sf_dir).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (3, c), (None, d)], key=str)
