@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity join; built-in functions only.
 
 A line's tokens are its distinct shingles of five words (words are parted by blanks; a line of fewer words is one token).
-A line goes if an earlier line (by doc_id, then line number; of any document) has a Jaccard similarity of ``threshold`` or
+A line goes if an earlier line (by doc_id, hash of the text, line number; of any row) has a Jaccard similarity of ``threshold`` or
 more to it, whether or not that one stays. The steps:
 
 1. Word counts of the whole corpus, in a fixed number of counters, give words a rank of rarity. A token is a 64-bit
@@ -16,8 +16,9 @@ more to it, whether or not that one stays. The steps:
 
 Lines to fetch or to remove are joined to the documents by broadcast while they number BROADCAST_LINES at most, else by
 a shuffle of the texts. Lines without words always stay. Null texts have no lines; removing all lines leaves the
-empty text. Rows without an id come last in the order. Repeated ids stand for one document: their lines at the same place
-are the same line. Token hashes of 64 bits stand for shingles.
+empty text. A row is told apart by its id and the hash of its text, and so ordered: ids first, rows without an id last.
+Of rows equal in both, one is the first; the others are copies and lose each line with words. Hashes of 64 bits stand for
+shingles and texts.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keep_table
+from .common import cut, keep_table, mark_copies, text_key
 
 THRESHOLD, SHINGLE = 0.8, 5
 COUNTERS = 1 << 14
@@ -33,7 +34,6 @@ BITS = COUNTERS.bit_length() - 1
 LEADERS = 8
 BROADCAST_LINES = 2_000_000
 LAST = (1 << 63) - 1
-LINE_BITS = 1 << 31
 
 
 def line_array(text: Column) -> Column:
@@ -84,14 +84,9 @@ def _bitmap(which: int) -> Column:
     return F.aggregate("tokens", F.lit(0).cast("long"), toggle)
 
 
-def _place(d: Column, line_no: Column) -> Column:
-    """The order of lines as one number."""
-    return (d.cast("decimal(20,0)") * F.lit(LINE_BITS).cast("decimal(11,0)") + line_no).cast("decimal(33,0)")
-
-
-def _unplaced(at: Column) -> tuple[Column, Column]:
-    bits = F.lit(LINE_BITS).cast("decimal(11,0)")
-    return F.floor(at / bits).cast("decimal(20,0)").cast("long"), F.pmod(at, bits).cast("int")
+def _place() -> Column:
+    """The order of lines."""
+    return F.struct("d", "key", "line_no")
 
 
 def _least_shared(n1: Column, n2: Column, t: int) -> Column:
@@ -100,18 +95,17 @@ def _least_shared(n1: Column, n2: Column, t: int) -> Column:
 
 
 def _by_document(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs with line_nos of their lines among ``lines`` (d, line_no; materialised); inner join."""
+    """docs with line_nos of their lines among ``lines`` (d, key, line_no; materialised)."""
     few = lines.count() <= BROADCAST_LINES
-    grouped = lines.groupBy("d").agg(F.collect_list("line_no").alias("line_nos"))
-    return docs.join(F.broadcast(grouped) if few else grouped, "d", "left")
+    grouped = lines.groupBy("d", "key").agg(F.collect_list("line_no").alias("line_nos"))
+    return docs.join(F.broadcast(grouped) if few else grouped, ["d", "key"], "left")
 
 
 def _verified(docs: DataFrame, ranks: Column, firsts: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
     """The pairs (cls, other) whose token sets have that similarity."""
     wanted = pairs.select("cls").union(pairs.select("other")).distinct()
-    d, line_no = _unplaced(F.col("at"))
-    places = cut(firsts.join(wanted, "cls").select(d.alias("d"), line_no.alias("line_no")))
-    texts = _by_document(docs.select("d", "text"), places).where("line_nos is not null")
+    places = cut(firsts.join(wanted, "cls").select("at.*"))
+    texts = _by_document(docs.select("d", "key", "text"), places).where("line_nos is not null")
     rows = texts.select(line_array(F.col("text")).alias("all"), F.explode("line_nos").alias("k")).where(F.col("k") < F.size("all")).select(F.col("all")[F.col("k")].alias("line"))
     tokens = keep_table(with_tokens(rows, ranks).select(F.xxhash64("tokens").alias("cls"), "tokens").dropDuplicates(["cls"]), "tokens")
     both = pairs.join(tokens, "cls").join(tokens.select(F.col("cls").alias("other"), F.col("tokens").alias("tokens2")), "other")
@@ -120,19 +114,19 @@ def _verified(docs: DataFrame, ranks: Column, firsts: DataFrame, pairs: DataFram
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(d, line_no) of the lines to remove; docs: d (doc_id, LAST for null) and text."""
+    """(d, key, line_no) of the lines to remove; docs: d (doc_id, LAST for null), key (hash of the text) and text."""
     t = round(threshold * 1000)
     ranks = rarity_ranks(docs)
-    lines = docs.select("d", F.posexplode(line_array(F.col("text"))).alias("line_no", "line"))
+    lines = docs.select("d", "key", F.posexplode(line_array(F.col("text"))).alias("line_no", "line"))
     n = F.size("tokens")
     prefix = F.slice("tokens", F.lit(1), n - F.ceil(n * F.lit(t) / F.lit(1000) - F.lit(1e-9)).cast("int") + 1)
-    lines = with_tokens(lines, ranks, "d", "line_no").select("d", "line_no", n.alias("n"), F.xxhash64("tokens").alias("cls"), prefix.alias("prefix"), _bitmap(0).alias("b0"), _bitmap(1).alias("b1"))
+    lines = with_tokens(lines, ranks, "d", "key", "line_no").select("d", "key", "line_no", n.alias("n"), F.xxhash64("tokens").alias("cls"), prefix.alias("prefix"), _bitmap(0).alias("b0"), _bitmap(1).alias("b1"))
     lines = keep_table(lines, "lines")
 
     posts = lines.select("cls", F.posexplode("prefix").alias("pos", "token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("posts")).where("posts > 1").select("token")
     met = keep_table(posts.join(shared.hint("shuffle_hash"), "token").select("token", "cls", "pos").distinct(), "posts")
-    sizes = lines.groupBy("cls").agg(F.min(_place(F.col("d"), F.col("line_no"))).alias("at"), F.min("n").alias("n"), F.min("b0").alias("b0"), F.min("b1").alias("b1"), F.count("*").alias("members"))
+    sizes = lines.groupBy("cls").agg(F.min(_place()).alias("at"), F.min("n").alias("n"), F.min("b0").alias("b0"), F.min("b1").alias("b1"), F.count("*").alias("members"))
     meeting = met.select("cls", F.lit(True).alias("meets")).distinct()
     firsts = keep_table(sizes.join(meeting, "cls", "left").where("members > 1 or meets").drop("meets"), "classes")
 
@@ -155,21 +149,23 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     more = _verified(docs, ranks, firsts, pairs, t).select("cls").distinct()
 
     decided = firsts.join(gone.unionByName(more).distinct().withColumn("gone", F.lit(True)), "cls", "left").where("members > 1 or gone")
-    marked = lines.select("d", "line_no", "cls").join(decided.select("cls", "at", "gone"), "cls")
-    later = _place(F.col("d"), F.col("line_no")) > F.col("at")
-    return cut(marked.where(F.coalesce("gone", F.lit(False)) | later).select("d", "line_no").distinct())
+    marked = lines.select("d", "key", "line_no", "cls").join(decided.select("cls", "at", "gone"), "cls")
+    return cut(marked.where(F.coalesce("gone", F.lit(False)) | (_place() > F.col("at"))).select("d", "key", "line_no").distinct())
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with text reduced to the lines that stay, and n_lines and n_removed (these names are replaced)."""
-    keyed = docs.withColumn("d", F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long"))
-    joined = _by_document(keyed, removed_lines(keyed.select("d", "text"), threshold))
+    keyed = docs.withColumns({"d": F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long"), "key": text_key()})
+    gone = removed_lines(keyed.select("d", "key", "text"), threshold)
+    joined = _by_document(mark_copies(keyed, ["d", "key"], "again"), gone)
     lines = line_array(F.col("text"))
-    stay = F.filter(lines, lambda line, k: ~F.array_contains("line_nos", k))
-    text = F.when(F.col("line_nos").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
+    wordless = lambda line: F.replace(line, F.lit(" "), F.lit("")) == ""
+    stay = F.when(F.col("again"), F.filter(lines, wordless)).when(F.col("line_nos").isNull(), lines).otherwise(F.filter(lines, lambda line, k: ~F.array_contains("line_nos", k)))
+    text = F.when(F.col("line_nos").isNull() & ~F.col("again") | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     kept = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
-    return joined.select(*kept, n.alias("n_lines"), F.when(F.col("text").isNull() | F.col("line_nos").isNull(), 0).otherwise(F.size("line_nos")).cast("long").alias("n_removed"))
+    removed = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size(stay)).cast("long")
+    return joined.select(*kept, n.alias("n_lines"), removed.alias("n_removed"))
 
 
 def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

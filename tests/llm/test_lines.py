@@ -70,3 +70,29 @@ def test_columns_stay(spark):
     assert got.columns == ["doc_id", "text", "lang", "n_lines", "n_removed"]
     assert sorted((r["text"][:3], r["n_lines"], r["n_removed"]) for r in got.collect()) == [("a", 2, 1), ("zzz", 1, 0)]
     assert lines.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_are_rows_of_their_own(spark):
+    import xxhash
+
+    rng = random.Random(5)
+    body = lambda k: "\n".join(f"own line {k} {n} of a text" for n in range(3))
+    rows = [(1, "head\na line that repeats"), (7, "x y z"), (7, "x y z\nmore of seven"), (7, "x y z")]
+    rows += [(None, body(k) + ("\na line that repeats" if k % 3 == 0 else "")) for k in range(40)]
+    rows += [(None, "same place"), (None, "same place\nother"), (None, "equal text\n \nin two rows"), (None, "equal text\n \nin two rows")]
+    rng.shuffle(rows)
+    rows += random_rows(30) + [(500, None), (501, ""), (None, "one"), (None, "a line under no id")]
+    number = lambda t: (x := xxhash.xxh64_intdigest(t.encode(), 42)) - (x >> 63 << 64)
+    seen, want = [], []
+    for k, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, number(r[1] or ""))):
+        own = [] if text is None else text.split("\n")
+        kept = []
+        for line in own:
+            s = shingles(line)
+            if not any(len(o & s) * 1000 >= 800 * len(o | s) for o in seen if s):
+                kept.append(line)
+            if s:
+                seen.append(s)
+        want.append((k, None if text is None else "\n".join(kept), len(own) - len(kept)))
+    got = [(r["doc_id"], r["text"], r["n_removed"]) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
