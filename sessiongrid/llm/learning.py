@@ -7,22 +7,20 @@ from pyspark.sql import functions as F
 
 from .common import held_out
 
-#: Labelled rows of each class that a classifier is fitted on, at most. The lowest hashes of doc_id are taken,
-#: so the sample is the same however the table is partitioned.
+#: Labelled rows that a classifier is fitted on, at most, for each of the two classes on average. The lowest hashes of
+#: doc_id are taken over both classes together, so the sample is the same however the table is partitioned, and its
+#: ratio of classes is that of all labelled rows however large the table is: the thresholds of scores stay what they mean.
 SAMPLE_PER_CLASS = 4_000
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(doc_id, text, label) of at most per_class documents of each class outside the held-out fold.
+    """(doc_id, text, label) of at most 2 x per_class documents outside the held-out fold.
 
-    Only ids and labels are sorted; the ids chosen (2 x per_class at most) are broadcast to the scan of texts.
+    Only ids and labels are sorted; the ids chosen are broadcast to the scan of texts.
     """
     known = labels.select("doc_id", F.col(label_col).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & ~held_out())
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = None
-    for y in (0, 1):
-        part = known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label")).where(F.col("label").isin(0, 1))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
 

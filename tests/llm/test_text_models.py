@@ -76,3 +76,17 @@ def test_queries_keep_the_contract(spark, sf_dir, texts, name):
     for r in got:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= at)
+
+
+def test_the_bound_keeps_the_ratio_of_classes(spark):
+    """Of ten documents with the same words one is bad; the scores say so with the cap as without."""
+    from sessiongrid.llm.learning import training_sample
+
+    rows = [(i, f"the same words. {'a b c d e f g h'[i % 8 * 2 :]}", int(i % 10 == 0)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = df.select("doc_id", "text"), df.select("doc_id", "toxic", (1 - F.col("toxic")).alias("quality"))
+    sample = training_sample(docs, labels, "toxic", 200).agg(F.count("*"), F.avg("label")).first()
+    assert sample[0] == 400 and abs(sample[1] - 0.1) < 0.05
+    for kind, label, share in ((toxicity, "toxic", 0.1), (quality, "quality", 0.9)):
+        means = [kind.score_documents(docs, kind.train(docs, labels, per_class)).agg(F.avg("score")).first()[0] for per_class in (200, 3000)]
+        assert all(abs(m - share) < 0.07 for m in means), (label, means)
