@@ -118,32 +118,31 @@ def _pieces(values: list[bytes], window: int) -> Iterator[tuple[list[int], list[
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    """doc_id, tag (24 bits of the text's hash, tells apart texts of one id) and the text's bytes."""
+    """doc_id, tag (the text's hash, tells apart texts of one id) and the text's bytes."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.xxhash64(text).bitwiseAND(F.lit((1 << 24) - 1)).alias("tag"), F.encode(text, "UTF-8").alias("raw"))
+    return docs.select("doc_id", F.xxhash64(text).alias("tag"), F.encode(text, "UTF-8").alias("raw"))
 
 
-#: tag, start and number of windows of a chunk in one integer.
-def _place(tag, start, n):
-    return tag << 39 | start << 8 | n
+#: Start and number of windows of a chunk in one integer.
+def _place(start, n):
+    return start << 8 | n
 
 
 def chunk_rows(docs: DataFrame, window: int, gram: int, combine: bool) -> DataFrame:
-    """gram, chunk (hashes), doc_id, place, copies: each chunk, or with combine one of each kind in a batch."""
+    """gram, chunk (hashes), doc_id, tag, place, copies: each chunk, or with combine one of each kind in a batch."""
     if not gram < window < gram + 256:
         raise ValueError("a chunk has 255 windows at most")
     keyed = _with_key(docs)
-    schema = T.StructType([T.StructField("gram", T.LongType()), T.StructField("chunk", T.LongType()), docs.schema["doc_id"], T.StructField("place", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("anchor", T.IntegerType())])
+    schema = T.StructType([T.StructField("gram", T.LongType()), T.StructField("chunk", T.LongType()), docs.schema["doc_id"], T.StructField("tag", T.LongType()), T.StructField("place", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("anchor", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes(BLOCK)
         for batch in batches:
-            tags = batch.column(1).to_numpy()
             for rows, offsets, parts in _pieces(batch.column(2).to_pylist(), window):
                 sizes = np.fromiter(map(len, parts), np.int64, len(parts))
                 text, start, n, anchor, g, c = chunks(np.frombuffer(b"".join(parts), np.uint8), sizes, hashes, window, gram)
                 row, copies = np.array(rows)[text], np.ones(len(text), np.int64)
-                place = _place(tags[row], start + np.array(offsets)[text], n)
+                place = _place(start + np.array(offsets)[text], n)
                 if combine and len(c):
                     order = np.lexsort((g, c))
                     edge = np.ones(len(c), bool)
@@ -152,14 +151,14 @@ def chunk_rows(docs: DataFrame, window: int, gram: int, combine: bool) -> DataFr
                     copies = np.diff(np.append(kept, len(c)))
                     kept = order[kept]
                     g, c, row, place, anchor = g[kept], c[kept], row[kept], place[kept], anchor[kept]
-                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), batch.column(0).take(pa.array(row)), pa.array(place), pa.array(copies), pa.array(anchor, pa.int32())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(place), pa.array(copies), pa.array(anchor, pa.int32())], names=schema.names)
 
     return keyed.mapInArrow(run, schema)
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """The texts of chunks: gram, chunk, whole (repeated as it is), anchor (offset), text."""
-    places = wanted.select("doc_id", F.shiftright("place", 39).alias("tag"), F.struct(F.col("gram"), F.col("chunk"), (F.col("copies") > 1).alias("whole"), F.col("anchor"), F.shiftright("place", 8).bitwiseAND(F.lit((1 << 31) - 1)).alias("start"), F.col("place").bitwiseAND(F.lit(255)).alias("n")).alias("c"))
+    places = wanted.select("doc_id", "tag", F.struct(F.col("gram"), F.col("chunk"), (F.col("copies") > 1).alias("whole"), F.col("anchor"), F.shiftright("place", 8).alias("start"), F.col("place").bitwiseAND(F.lit(255)).alias("n")).alias("c"))
     by_doc = places.groupBy("doc_id", "tag").agg(F.collect_list("c").alias("cs"))
     keyed = _with_key(docs)
     joined = keyed.join(by_doc, keyed["doc_id"].eqNullSafe(by_doc["doc_id"]) & (keyed["tag"] == by_doc["tag"])).select("raw", "cs")
@@ -326,9 +325,9 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     dealt = chunk_rows(docs, window, gram, True).repartition(parts, "gram")
-    kinds = dealt.groupBy("gram", "chunk").agg(F.sum("copies").alias("copies"), F.first("doc_id").alias("doc_id"), F.first("place").alias("place"), F.first("anchor").alias("anchor"))
+    kinds = dealt.groupBy("gram", "chunk").agg(F.sum("copies").alias("copies"), F.first("doc_id").alias("doc_id"), F.first("tag").alias("tag"), F.first("place").alias("place"), F.first("anchor").alias("anchor"))
     grams = dealt.groupBy("gram").agg(F.sum("copies").alias("total"), (F.min("chunk") != F.max("chunk")).alias("differ")).where("total > 1")
-    kinds = keep_table(kinds.join(grams, "gram").select("gram", "chunk", "copies", "doc_id", "place", "anchor", "differ"), "kinds")
+    kinds = keep_table(kinds.join(grams, "gram").select("gram", "chunk", "copies", "doc_id", "tag", "place", "anchor", "differ"), "kinds")
     mixed = kinds.where("differ")
     texts = keep_table(_fetched(docs, mixed, window), "chunks")
     order = [F.expr("substring(text, anchor + 1, 16)"), "gram", "chunk"]  # leading bytes of the suffix first
@@ -338,9 +337,9 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFra
     across = edges.mapInArrow(_compare_edges, "gram long, chunk long, first int, last int")
     part = found.where(F.col("edge").isNull()).select("gram", "chunk", "first", "last").unionByName(across)
     whole = kinds.where("copies > 1").select("gram", "chunk", F.lit(0).alias("first"), (F.col("place").bitwiseAND(F.lit(255)) - 1).cast("int").alias("last"))
-    everywhere = chunk_rows(docs, window, gram, False).select("gram", "chunk", "doc_id", "place")
-    start = F.shiftright("place", 8).bitwiseAND(F.lit((1 << 31) - 1))
-    return everywhere.join(whole.unionByName(part), ["gram", "chunk"]).select("doc_id", F.shiftright("place", 39).alias("tag"), (start + F.col("first")).alias("first"), (start + F.col("last")).alias("last"))
+    everywhere = chunk_rows(docs, window, gram, False).select("gram", "chunk", "doc_id", "tag", "place")
+    start = F.shiftright("place", 8)
+    return everywhere.join(whole.unionByName(part), ["gram", "chunk"]).select("doc_id", "tag", (start + F.col("first")).alias("first"), (start + F.col("last")).alias("last"))
 
 
 def spans(first: np.ndarray, last: np.ndarray, window: int) -> list[tuple[int, int]]:

@@ -80,3 +80,19 @@ def test_multikey_quicksort_finds_equal_windows():
         if c >= 0:
             assert classes.setdefault(k, c) == c
     assert len(set(classes.values())) == len(classes)
+
+
+def test_texts_without_an_id_whose_hashes_agree_in_24_bits(spark):
+    import xxhash
+
+    base, seen, pair = "".join(random.Random(8).choice("abcdefgh") for _ in range(60)), {}, None
+    for k in range(1 << 17):  # collisions are likely from some thousands on
+        text = f"{k:06d}" + (base if k % 2 else "")
+        low = xxhash.xxh64_intdigest(text.encode(), 42) & ((1 << 24) - 1)
+        if len(seen.get(low, text)) != len(text):
+            pair = seen[low], text
+            break
+        seen[low] = text
+    rows = [(None, pair[0]), (None, pair[1]), (1, base + "#")]
+    got = sorted(map(tuple, suffixes.report(spark.createDataFrame(rows, "doc_id long, text string"), 20, 8).collect()), key=str)
+    assert got == brute([(d, t.encode()) for d, t in rows], 20)
