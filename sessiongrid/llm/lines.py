@@ -1,171 +1,246 @@
 """Line dedup by an exact set-similarity join; built-in functions only.
 
-A line's tokens are its distinct shingles of five words (words are parted by blanks; a line of fewer words is one token).
-A line goes if an earlier line (by doc_id, hash of the text, line number; of any row) has a Jaccard similarity of ``threshold`` or
-more to it, whether or not that one stays. The steps:
-
-1. Word counts of the whole corpus, in a fixed number of counters, give words a rank of rarity. A token is a 64-bit
-   integer: the rank of its rarest word in the high bits, its hash below. Sorted tokens are in order of rarity.
-2. Lines of one token set are one class; all but the first line of a class go.
-3. Classes meet where they share a prefix token: the first n - ceil(threshold * n) + 1 of n tokens. Tokens that occur once
-   are ruled out first. Length and positional filters apply in the joins, and a bitmap filter: tokens toggle bits of two
-   64-bit maps, and sets whose maps differ in k bits differ in k tokens at least. Jaccard is verified on the whole token
-   sets of the texts.
-4. Large groups of near copies do not meet pair by pair: each class is first compared with the earliest classes of its
-   prefix tokens (LEADERS of them, dealt by hash); only classes that stay are joined with all earlier ones.
-
-Lines to fetch or to remove are joined to the documents by broadcast while they number BROADCAST_LINES at most, else by
-a shuffle of the texts. Lines without words always stay. Null texts have no lines; removing all lines leaves the
-empty text. A row is told apart by its id and the hash of its text, and so ordered: ids first, rows without an id last.
-Of rows equal in both, one is the first; the others are copies and lose each line with words. Hashes of 64 bits stand for
-shingles and texts.
+A line's tokens are its distinct words (parted by blanks, tabs, VT, FF, CR). A line goes if an earlier line (of any row) has a
+Jaccard similarity of ``threshold`` or more to it, whether or not that one stays. Rows are ordered by doc_id (null
+last), then by the hash of their text; each row is a document of its own, also one without an id, with a repeated id, or
+equal to another in both (of such, one is the first). The steps:
+
+1. The texts are sorted by that order and written once; a line's place is one integer that ascends with it.
+2. Word counts of the whole corpus, in a fixed number of counters, order the tokens by rarity: a token is a 64-bit
+   integer, the level of its counter above its hash.
+3. Lines of one token set are one class (128 bits of hash); all but the first line of a class go.
+4. Classes meet where they share a prefix token: the first n - ceil(threshold * n) + 1 of n tokens, which similar sets
+   must share. A frequent token alone would gather too many: it is joined with each token that follows it in a prefix longer
+   by one, as similar sets share a second token there. The first shared token bounds how many can follow (position), sizes
+   bound the similarity (length), and a bitmap bounds it too: tokens toggle bits of a map, and sets whose maps differ in k
+   bits differ in k tokens at least.
+5. Large groups of near copies do not meet pair by pair: each class is first compared with the earliest of those that
+   share one of its LEADING prefix tokens, in one of SALTS groups; only classes that stay seek all earlier ones.
+6. The similarity is verified on the words themselves, not on hashes.
+
+Lines without words always stay. Null texts have no lines; removing all lines leaves the empty text. Lists of lines go to
+the texts by broadcast up to BROADCAST_BYTES, else by a shuffle. Any type of doc_id that Spark can sort will do.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keep_table, mark_copies, text_key
+from .common import cut, keep_table, text_key
 
-THRESHOLD, SHINGLE = 0.8, 5
-COUNTERS = 1 << 14
-BITS = COUNTERS.bit_length() - 1
-LEADERS = 8
-BROADCAST_LINES = 2_000_000
-LAST = (1 << 63) - 1
+THRESHOLD = 0.8
+#: Counters of words, 16 to a long integer of the table of levels.
+COUNTERS = 1 << 18
+#: A token whose counter holds this many words or more is frequent.
+FREQUENT = 512
+LEADING, SALTS = 3, 16
+#: Pairs of one early line beyond which they are dealt out.
+DEALT = 1000
+BROADCAST_BYTES = 32 << 20
+#: Bits of a place that one long integer holds; beyond, places are decimals.
+PLACE_BITS = 62
 
 
-def line_array(text: Column) -> Column:
-    return F.split(text, "\n")
+def ordered_texts(docs: DataFrame) -> DataFrame:
+    """seq (ascends with the order of rows), row (all columns of docs) and n_lines, written once."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    n = F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))), F.lit(0))
+    keyed = docs.select(row.alias("row"), n.alias("n_lines"), F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), text_key().alias("key"), F.monotonically_increasing_id().alias("tie"))
+    order = ["last", "id", "key", "tie"]
+    dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return keep_table(dealt.select(F.monotonically_increasing_id().alias("seq"), "row", "n_lines"), "texts")
 
 
-def rarity_ranks(docs: DataFrame) -> Column:
-    """The rank of each word counter, rarest first, as a constant array of COUNTERS integers."""
-    words = docs.select(F.explode(F.split("text", " ")).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).cast("int").alias("c")).agg(F.count("*").alias("n")).collect()
-    n = dict.fromkeys(range(COUNTERS), 0) | {r["c"]: r["n"] for r in counts}
-    rank = {c: k for k, c in enumerate(sorted(n, key=lambda c: (n[c], c)))}
-    return F.split(F.lit(",".join(str(rank[c] - COUNTERS // 2) for c in range(COUNTERS))), ",").cast("array<bigint>")
+class Places:
+    """Packs (seq, line number) into one number and back; seq is a partition above 33 bits of row."""
 
+    def __init__(self, kept: DataFrame):
+        row = F.col("seq").bitwiseAND(F.lit((1 << 33) - 1))
+        most = kept.agg(F.max(F.shiftrightunsigned("seq", 33)).alias("part"), F.max(row).alias("row"), F.max("n_lines").alias("line")).first()
+        part, self.row, self.line = (int(x or 0).bit_length() for x in most)
+        self.long = part + self.row + self.line <= PLACE_BITS
 
-def with_tokens(rows: DataFrame, ranks: Column, *keep: str) -> DataFrame:
-    """keep and tokens (sorted, rare first) of the column line; lines without words are left out.
+    def pack(self, seq: Column, line: Column) -> Column:
+        if self.long:
+            at = F.shiftleft(F.shiftrightunsigned(seq, 33), self.row).bitwiseOR(seq.bitwiseAND(F.lit((1 << self.row) - 1)))
+            return F.shiftleft(at, self.line).bitwiseOR(line.cast("long"))
+        return (seq.cast("decimal(20,0)") * F.lit(1 << self.line).cast("decimal(11,0)") + line).cast("decimal(32,0)")
 
-    A word is its rank above its hash; two runs of words join into one with the lesser rank above the hash of both.
-    Shingles of five grow from runs of two and four, so each step reads two arrays side by side.
-    """
-    high = F.lit(-1 << (64 - BITS))
+    def unpack(self, at: Column) -> tuple[Column, Column]:
+        if self.long:
+            doc = F.shiftrightunsigned(at, self.line)
+            seq = F.shiftleft(F.shiftrightunsigned(doc, self.row), 33).bitwiseOR(doc.bitwiseAND(F.lit((1 << self.row) - 1)))
+            return seq, at.bitwiseAND(F.lit((1 << self.line) - 1)).cast("int")
+        size = F.lit(1 << self.line).cast("decimal(11,0)")
+        return F.floor(at / size).cast("long"), F.pmod(at, size).cast("int")
 
-    def word(w: Column) -> Column:
-        h = F.xxhash64(w)
-        return F.shiftleft(ranks[h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")], 64 - BITS).bitwiseOR(F.shiftrightunsigned(h, BITS))
 
-    def join(a: Column, b: Column) -> Column:
-        return F.least(a, b).bitwiseAND(high).bitwiseOR(F.shiftrightunsigned(F.xxhash64(a, b), BITS))
+def _plain(text: Column) -> Column:
+    """text with the other separators as blanks."""
+    odd = text.contains("\t") | text.contains("\r") | text.contains("\x0b") | text.contains("\x0c")
+    return F.when(odd, F.translate(text, "\t\r\x0b\x0c", "    ")).otherwise(text)
 
-    def beside(a: str, b: str, by: int, n: Column) -> Column:
-        return F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1 + by), n), join)
 
-    rows = rows.select(*keep, F.transform(F.array_remove(F.split("line", " "), ""), word).alias("one")).where(F.size("one") > 0)
-    n = F.greatest(F.size("one") - SHINGLE + 1, F.lit(0))
-    rows = rows.withColumn("two", beside("one", "one", 1, F.size("one") - 1)).withColumn("four", beside("two", "two", 2, F.greatest(F.size("two") - 2, F.lit(0))))
-    many = F.sort_array(F.array_distinct(beside("four", "one", 4, n)))
-    few = F.array(F.array_min("one").bitwiseAND(high).bitwiseOR(F.shiftrightunsigned(F.xxhash64("one"), BITS)))
-    return rows.select(*keep, F.when(F.size("one") < SHINGLE, few).otherwise(many).alias("tokens"))
+def _words(line: Column) -> Column:
+    return F.array_remove(F.split(line, " "), "")
 
 
-def _bitmap(which: int) -> Column:
-    """64 bits, toggled by the tokens whose bit 6 is ``which``."""
+def _counter(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
 
-    def toggle(acc: Column, x: Column) -> Column:
-        return F.when(F.shiftright(x, 6).bitwiseAND(F.lit(1)) == which, acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")))).otherwise(acc)
 
-    return F.aggregate("tokens", F.lit(0).cast("long"), toggle)
+def rarity_levels(texts: DataFrame) -> tuple[Column, int]:
+    """Four-bit levels of all counters (doublings of the count, level 4 at the mean), and the level where frequent begins."""
+    words = texts.select(F.explode(F.split(F.translate(_plain(F.col("text")), "\n", " "), " ")).alias("w")).where("w <> ''")
+    counts = cut(words.groupBy(_counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n")))
+    mean = max(1, counts.agg(F.sum("n")).first()[0] or 1) / COUNTERS
+    level = F.least(F.greatest(F.floor(F.log2(F.col("n") / F.lit(mean))) + 4, F.lit(0)), F.lit(15)).cast("long")
+    nibble = F.call_function("shiftleft", level, F.shiftleft(F.col("c").bitwiseAND(F.lit(15)), 2))
+    packed = {r["at"]: r["bits"] for r in counts.groupBy(F.shiftright("c", 4).alias("at")).agg(F.bit_or(nibble).alias("bits")).collect()}
+    table = F.split(F.lit(",".join(str(packed.get(k, 0)) for k in range(COUNTERS // 16))), ",").cast("array<bigint>")
+    return table, math.ceil(math.log2(FREQUENT / mean)) + 4
 
 
-def _place() -> Column:
-    """The order of lines."""
-    return F.struct("d", "key", "line_no")
+def token_lists(lines: DataFrame, levels: Column, *keep: str) -> DataFrame:
+    """keep and tokens (distinct, rare first) of the column line; lines without words are left out."""
 
+    def token(w: Column) -> Column:
+        h = F.xxhash64(w)
+        c = _counter(h)
+        level = F.coalesce(F.get(levels, F.shiftright(c, 4)), F.lit(0).cast("long"))
+        level = F.call_function("shiftright", level, F.shiftleft(c.bitwiseAND(F.lit(15)), 2)).bitwiseAND(F.lit(15).cast("long"))
+        return F.shiftleft(level, 59).bitwiseOR(F.shiftrightunsigned(h, 5))
 
-def _least_shared(n1: Column, n2: Column, t: int) -> Column:
-    """The least number of shared tokens for a similarity of t thousandths."""
-    return F.ceil((n1 + n2) * F.lit(t) / F.lit(1000 + t) - F.lit(1e-9))
+    tokens = F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), token)))
+    return lines.select(*keep, tokens.alias("tokens")).where(F.size("tokens") > 0)
 
 
-def _by_document(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs with line_nos of their lines among ``lines`` (d, key, line_no; materialised)."""
-    few = lines.count() <= BROADCAST_LINES
-    grouped = lines.groupBy("d", "key").agg(F.collect_list("line_no").alias("line_nos"))
-    return docs.join(F.broadcast(grouped) if few else grouped, ["d", "key"], "left")
+def _bitmap(half: bool) -> Column:
+    """64 bits toggled by the tokens; with ``half`` by those with bit 6 alone."""
 
+    def toggle(acc: Column, x: Column) -> Column:
+        done = acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")))
+        return F.when(x.bitwiseAND(F.lit(64)) == 0, acc).otherwise(done) if half else done
 
-def _verified(docs: DataFrame, ranks: Column, firsts: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
-    """The pairs (cls, other) whose token sets have that similarity."""
-    wanted = pairs.select("cls").union(pairs.select("other")).distinct()
-    places = cut(firsts.join(wanted, "cls").select("at.*"))
-    texts = _by_document(docs.select("d", "key", "text"), places).where("line_nos is not null")
-    rows = texts.select(line_array(F.col("text")).alias("all"), F.explode("line_nos").alias("k")).where(F.col("k") < F.size("all")).select(F.col("all")[F.col("k")].alias("line"))
-    tokens = keep_table(with_tokens(rows, ranks).select(F.xxhash64("tokens").alias("cls"), "tokens").dropDuplicates(["cls"]), "tokens")
-    both = pairs.join(tokens, "cls").join(tokens.select(F.col("cls").alias("other"), F.col("tokens").alias("tokens2")), "other")
-    common = F.size(F.array_intersect("tokens", "tokens2"))
-    return both.where(common * 1000 >= (F.size("tokens") + F.size("tokens2") - common) * t).select("cls", "other")
+    return F.aggregate("tokens", F.lit(0).cast("long"), toggle)
 
 
-def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(d, key, line_no) of the lines to remove; docs: d (doc_id, LAST for null), key (hash of the text) and text."""
-    t = round(threshold * 1000)
-    ranks = rarity_ranks(docs)
-    lines = docs.select("d", "key", F.posexplode(line_array(F.col("text"))).alias("line_no", "line"))
+def _least_shared(n1: Column, n2: Column, t: int) -> Column:
+    """The least number of shared tokens for a similarity of t thousandths."""
+    return F.ceil((n1 + n2) * F.lit(t) / F.lit(1000 + t) - F.lit(1e-9))
+
+
+def line_table(texts: DataFrame, places: Places, t: int) -> DataFrame:
+    """at, c1 and c2 (class), n, prefix (30 bits of each token; -1 - bits if frequent) and bitmaps of the lines with words."""
+    levels, frequent = rarity_levels(texts)
+    lines = texts.select("seq", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line"))
+    lines = token_lists(lines.select(places.pack(F.col("seq"), F.col("line_no")).alias("at"), "line"), levels, "at")
     n = F.size("tokens")
-    prefix = F.slice("tokens", F.lit(1), n - F.ceil(n * F.lit(t) / F.lit(1000) - F.lit(1e-9)).cast("int") + 1)
-    lines = with_tokens(lines, ranks, "d", "key", "line_no").select("d", "key", "line_no", n.alias("n"), F.xxhash64("tokens").alias("cls"), prefix.alias("prefix"), _bitmap(0).alias("b0"), _bitmap(1).alias("b1"))
-    lines = keep_table(lines, "lines")
-
-    posts = lines.select("cls", F.posexplode("prefix").alias("pos", "token"))
-    shared = posts.groupBy("token").agg(F.count("*").alias("posts")).where("posts > 1").select("token")
-    met = keep_table(posts.join(shared.hint("shuffle_hash"), "token").select("token", "cls", "pos").distinct(), "posts")
-    sizes = lines.groupBy("cls").agg(F.min(_place()).alias("at"), F.min("n").alias("n"), F.min("b0").alias("b0"), F.min("b1").alias("b1"), F.count("*").alias("members"))
-    meeting = met.select("cls", F.lit(True).alias("meets")).distinct()
-    firsts = keep_table(sizes.join(meeting, "cls", "left").where("members > 1 or meets").drop("meets"), "classes")
-
-    met = met.join(firsts.select("cls", "n", "at", "b0", "b1"), "cls")
-    several = met.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    met = keep_table(met.join(several, "token"), "meetings")
-    lead = met.groupBy("token", F.pmod("cls", F.lit(LEADERS)).alias("deal")).agg(F.min_by("cls", "at").alias("other"), F.min_by("n", "at").alias("n2"), F.min_by("b0", "at").alias("c0"), F.min_by("b1", "at").alias("c1"), F.min("at").alias("at2"))
-    least = _least_shared(F.col("n"), F.col("n2"), t)
-    differ = F.bit_count(F.col("b0").bitwiseXOR(F.col("c0"))) + F.bit_count(F.col("b1").bitwiseXOR(F.col("c1")))
-    close = (F.least("n", "n2") * 1000 >= F.greatest("n", "n2") * t) & (F.col("n") + F.col("n2") - differ >= 2 * least)
-    first = cut(met.join(lead, "token").where((F.col("at2") < F.col("at")) & close).select("cls", "other").distinct())
-    gone = cut(_verified(docs, ranks, firsts, first, t).select("cls").distinct())
-
-    probe = met.join(gone, "cls", "left_anti")
-    other = met.select("token", F.col("cls").alias("other"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("pos").alias("pos2"), F.col("b0").alias("c0"), F.col("b1").alias("c1"))
-    # shared tokens can stand before both places, or from there on
-    most = F.least("pos", "pos2") + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
-    pairs = probe.join(other, "token").where((F.col("at2") < F.col("at")) & close & (most >= least))
-    pairs = cut(pairs.select("cls", "other").distinct().join(first, ["cls", "other"], "left_anti"))
-    more = _verified(docs, ranks, firsts, pairs, t).select("cls").distinct()
-
-    decided = firsts.join(gone.unionByName(more).distinct().withColumn("gone", F.lit(True)), "cls", "left").where("members > 1 or gone")
-    marked = lines.select("d", "key", "line_no", "cls").join(decided.select("cls", "at", "gone"), "cls")
-    return cut(marked.where(F.coalesce("gone", F.lit(False)) | (_place() > F.col("at"))).select("d", "key", "line_no").distinct())
+    few = n - F.ceil(n * F.lit(t) / F.lit(1000) - F.lit(1e-9)).cast("int") + 2
+
+    def short(x: Column) -> Column:
+        bits = x.bitwiseAND(F.lit((1 << 30) - 1)).cast("int")
+        return F.when(F.shiftright(x, 59) >= frequent, F.lit(-1) - bits).otherwise(bits)
+
+    prefix = F.transform(F.slice("tokens", F.lit(1), few), short)
+    maps = [_bitmap(False).alias("b"), F.when(n > 64, _bitmap(True)).otherwise(F.lit(0).cast("long")).alias("half")]
+    return keep_table(lines.select("at", F.xxhash64("tokens").alias("c1"), F.xxhash64(F.lit(1), "tokens").alias("c2"), n.alias("n"), prefix.alias("prefix"), *maps), "lines")
+
+
+def _close(a: str, b: str, t: int) -> Column:
+    """Length and bitmap filters for classes a and b."""
+    n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
+    x, y = F.col(f"{a}.b").bitwiseXOR(F.col(f"{b}.b")), F.col(f"{a}.half").bitwiseXOR(F.col(f"{b}.half"))
+    differ = F.when((n1 > 64) & (n2 > 64), F.bit_count(y) + F.bit_count(x.bitwiseXOR(y))).otherwise(F.bit_count(x))
+    return (F.least(n1, n2) * 1000 >= F.greatest(n1, n2) * t) & (n1 + n2 - differ >= 2 * _least_shared(n1, n2, t))
+
+
+def _leaders(classes: DataFrame, t: int) -> DataFrame:
+    """(late, early): each class with the earliest of its salt that share one of its leading tokens."""
+    tokens = F.slice(F.sort_array(F.transform(F.slice("prefix", F.lit(1), F.size("prefix") - 1), lambda x: F.xxhash64(x))), 1, LEADING)
+    posts = classes.select("at", "n", "b", "half", F.explode(tokens).alias("token")).withColumn("salt", F.pmod(F.xxhash64("at"), F.lit(SALTS)))
+    leads = posts.groupBy("token", "salt").agg(F.min(F.struct("at", "n", "b", "half")).alias("lead"), F.count("*").alias("size")).where("size > 1")
+    leads = leads.select("token", "salt", "lead.*")
+    met = posts.alias("x").join(leads.alias("y"), ["token", "salt"]).where((F.col("y.at") < F.col("x.at")) & _close("x", "y", t))
+    return cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early")).distinct())
+
+
+def _meetings(classes: DataFrame, gone: DataFrame, t: int) -> DataFrame:
+    """(late, early): classes that share a prefix token or, of a frequent one, two; late ones of ``gone`` are left out."""
+    seeks = F.when(F.col("gone").isNull(), 1).otherwise(0)
+    rows = classes.join(gone.select(F.col("late").alias("at"), F.lit(True).alias("gone")), "at", "left").select("at", "n", "b", "half", "prefix", seeks.alias("seeks"))
+    keep = ["at", "n", "b", "half", "seeks"]
+    posts = rows.select(*keep, "prefix", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < F.size("prefix") - 1)
+    alone = posts.where("token >= 0").select(*keep, "pos", F.col("token").cast("long").alias("key"))
+    paired = posts.where("token < 0").select(*keep, "pos", "token", F.explode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("next"))
+    posts = alone.unionByName(paired.select(*keep, "pos", F.xxhash64("token", "next").alias("key")))
+    # the token of the post is the first that both share, or another post finds them
+    shared = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    # both sides read the same columns and no filter is of one side alone, so that one shuffle serves both
+    late = (F.col("y.at") < F.col("x.at")) & (F.col("x.seeks") * 2 + F.col("y.seeks") >= 2)
+    room = shared >= _least_shared(F.col("x.n"), F.col("y.n"), t)
+    met = posts.alias("x").join(posts.alias("y"), F.col("x.key") == F.col("y.key")).where(late & room & _close("x", "y", t))
+    return cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early")).distinct())
+
+
+def _lists(places: Places, at: DataFrame) -> DataFrame:
+    """seq and line_nos of the places in column at."""
+    seq, line = places.unpack(F.col("at"))
+    return at.select(seq.alias("seq"), line.alias("line_no")).groupBy("seq").agg(F.collect_list("line_no").alias("line_nos"))
+
+
+def _beside(texts: DataFrame, lists: DataFrame, lines: int, how: str) -> DataFrame:
+    """texts joined with lists of ``lines`` line numbers in all (a list takes 64 bytes at most beside its numbers)."""
+    return texts.join(F.broadcast(lists) if lines * 72 <= BROADCAST_BYTES else lists, "seq", how)
+
+
+def _verified(texts: DataFrame, places: Places, pairs: DataFrame, t: int) -> DataFrame:
+    """The pairs (late, early) whose sets of words have that similarity."""
+    wanted = cut(pairs.select(F.col("late").alias("at")).union(pairs.select("early")).distinct())
+    found = _beside(texts.select("seq", F.split(_plain(F.col("text")), "\n").alias("lines")), _lists(places, wanted), wanted.count(), "inner")
+    found = found.select("seq", F.explode(F.transform("line_nos", lambda k: F.struct(k.alias("k"), F.get("lines", k).alias("line")))).alias("x"))
+    words = keep_table(found.select(places.pack(F.col("seq"), F.col("x.k")).alias("at"), F.array_distinct(_words(F.col("x.line"))).alias("words")), "words")
+    # pairs of an early line that has many are dealt out over copies of its words
+    many = pairs.groupBy("early").agg(F.ceil(F.count("*") / DEALT).alias("deals")).where("deals > 1")
+    dealt = pairs.join(many, "early", "left").select("late", "early", F.pmod(F.xxhash64("late"), F.coalesce("deals", F.lit(1))).alias("deal"))
+    copies = words.join(many.withColumnRenamed("early", "at"), "at", "left").select(F.col("at").alias("early"), F.col("words").alias("words2"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("deals", F.lit(1)) - 1)).alias("deal"))
+    both = dealt.join(copies, ["early", "deal"]).join(words.select(F.col("at").alias("late"), "words"), "late")
+    common = F.size(F.array_intersect("words", "words2"))
+    return cut(both.where(common * 1000 >= (F.size("words") + F.size("words2") - common) * t).select("late").distinct())
+
+
+def removed_lines(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[Places, DataFrame]:
+    """The places (at) of the lines to remove; texts: seq, text and n_lines."""
+    if not 0.5 < threshold <= 1:
+        raise ValueError("the threshold must be above 0.5 and at most 1")
+    t = round(threshold * 1000)
+    places = Places(texts)
+    lines = line_table(texts, places, t)
+    same = lines.groupBy("c1", "c2").agg(F.min(F.struct("at", "n", "b", "half", "prefix")).alias("first"))
+    classes = keep_table(same.select("first.*"), "classes")
+    several = classes.where("n > 1")  # a single word is similar to itself alone
+    gone = _verified(texts, places, _leaders(several, t), t)
+    more = _verified(texts, places, _meetings(several, gone, t), t)
+    stay = classes.select("at").join(gone.unionByName(more).withColumnRenamed("late", "at"), "at", "left_anti")
+    return places, cut(lines.select("at").join(stay, "at", "left_anti"))
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with text reduced to the lines that stay, and n_lines and n_removed (these names are replaced)."""
-    keyed = docs.withColumns({"d": F.coalesce(F.col("doc_id"), F.lit(LAST)).cast("long"), "key": text_key()})
-    gone = removed_lines(keyed.select("d", "key", "text"), threshold)
-    joined = _by_document(mark_copies(keyed, ["d", "key"], "again"), gone)
-    lines = line_array(F.col("text"))
-    wordless = lambda line: F.replace(line, F.lit(" "), F.lit("")) == ""
-    stay = F.when(F.col("again"), F.filter(lines, wordless)).when(F.col("line_nos").isNull(), lines).otherwise(F.filter(lines, lambda line, k: ~F.array_contains("line_nos", k)))
-    text = F.when(F.col("line_nos").isNull() & ~F.col("again") | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
-    kept = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
-    removed = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines) - F.size(stay)).cast("long")
-    return joined.select(*kept, n.alias("n_lines"), removed.alias("n_removed"))
+    """docs with text reduced to the lines that stay, and n_lines and n_removed (columns of these names are replaced)."""
+    kept = ordered_texts(docs)
+    places, gone = removed_lines(kept.select("seq", F.col("row.text").alias("text"), "n_lines"), threshold)
+    name = next(c for c in docs.columns if c.lower() == "text")
+    others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != name]
+    rows = kept.select("seq", F.struct(F.lit(0), *others).alias("rest"), F.split("row.text", "\n").alias("lines"), "n_lines")
+    rows = _beside(rows, _lists(places, gone), gone.count(), "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "line_nos")
+    text = F.when(F.col("line_nos").isNull(), F.array_join("lines", "\n")).otherwise(F.array_join(F.transform(left, lambda k: F.get("lines", k)), "\n"))
+    out = [text.alias(c) if c == name else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+    removed = F.when(F.col("line_nos").isNull(), 0).otherwise(F.size("line_nos"))
+    return rows.select(*out, F.col("n_lines").cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
 
 
 def report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -1,46 +1,51 @@
 """Line dedup against SQL and brute force."""
 
-import hashlib
 import random
+import re
 
 import pytest
+import xxhash
 from comparing import rows_of, rows_of_sql
 
 from sessiongrid.llm import lines
 from sessiongrid.llm.queries import ORACLE_SQL, QUERIES
 
 
-def shingles(line):
-    w = [x for x in line.split(" ") if x]
-    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+def words(line):
+    return set(re.findall(r"[^ \t\x0b\f\r]+", line))
 
 
 def brute(rows, t=0.8):
-    placed = sorted(((k if k is not None else lines.LAST, n, shingles(x)) for k, text in rows if text is not None for n, x in enumerate(text.split("\n"))), key=lambda r: r[:2])
-    gone = set()
-    for j, (k, n, s) in enumerate(placed):
-        if s and any(o and len(o & s) * 1000 >= t * 1000 * len(o | s) for a, b, o in placed[:j] if (a, b) != (k, n)):
-            gone.add((k, n))
-    out = []
-    for k, text in rows:
-        d = k if k is not None else lines.LAST
-        own = text.split("\n") if text is not None else []
-        kept = [x for n, x in enumerate(own) if (d, n) not in gone]
-        out.append((k, len(own), len(own) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    """(doc_id, text, n_lines, n_removed); every row is a document of its own, by id (null last) and hash of the text."""
+    number = lambda x: (h := xxhash.xxh64_intdigest(x.encode(), 42)) - (h >> 63 << 64)
+    seen, out = [], []
+    for k, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, number(r[1] or ""))):
+        own, kept = [] if text is None else text.split("\n"), []
+        for line in own:
+            s = words(line)
+            if not any(len(o & s) * 1000 >= t * 1000 * len(o | s) for o in seen if s):
+                kept.append(line)
+            if s:
+                seen.append(s)
+        out.append((k, None if text is None else "\n".join(kept), len(own), len(own) - len(kept)))
     return sorted(out, key=str)
 
 
 def random_rows(n=60, seed=1):
     rng = random.Random(seed)
-    base = [" ".join(rng.choice("alpha beta gamma delta eps zeta eta theta iota kappa".split()) + str(rng.randint(0, 9)) for _ in range(rng.choice([3, 12, 30, 60]))) for _ in range(12)]
+    base = [" ".join(rng.choice("alpha beta gamma delta eps zeta eta theta iota kappa".split()) + str(rng.randint(0, 9)) for _ in range(rng.choice([3, 5, 9, 12, 30, 60, 90]))) for _ in range(14)]
 
     def line():
         w = rng.choice(base).split(" ")
-        for _ in range(rng.randint(0, 2)):
+        for _ in range(rng.randint(0, 1 + len(w) // 6)):
             w[rng.randrange(len(w))] = f"new{rng.randint(0, 99)}"
-        return (" " * rng.randint(1, 2)).join(w)
+        return rng.choice([" ", "  ", "\t", " \r"]).join(w)
+
+    return [(k, "\n".join(line() if rng.random() < 0.8 else rng.choice(["", " ", "one", "two words", "\t\f\x0b"]) for _ in range(rng.randint(1, 6)))) for k in range(n)]
 
-    return [(k, "\n".join(line() if rng.random() < 0.8 else rng.choice(["", " ", "one", "two words"]) for _ in range(rng.randint(1, 6)))) for k in range(n)]
+
+def found(spark, rows, schema="doc_id long, text string", t=0.8):
+    return sorted(map(tuple, lines.dedup_lines(spark.createDataFrame(rows, schema).repartition(5), t).select("doc_id", "text", "n_lines", "n_removed").collect()), key=str)
 
 
 def test_query_equals_sql(spark, duck, sf_dir):
@@ -49,50 +54,60 @@ def test_query_equals_sql(spark, duck, sf_dir):
     assert sorted(df.columns) == names and rows_of(df) == want
 
 
-@pytest.mark.parametrize("limit", [2_000_000, 3])
-def test_random_lines(spark, monkeypatch, limit):
-    monkeypatch.setattr(lines, "BROADCAST_LINES", limit)
+@pytest.mark.parametrize("limit, frequent, bits, dealt", [(32 << 20, 512, 62, 1000), (0, 1, 62, 2), (32 << 20, 4, 3, 3)])
+def test_random_lines(spark, monkeypatch, limit, frequent, bits, dealt):
+    """Also with shuffles for broadcasts, with frequent tokens only, with decimal places and dealt pairs."""
+    for name, value in [("BROADCAST_BYTES", limit), ("FREQUENT", frequent), ("PLACE_BITS", bits), ("DEALT", dealt)]:
+        monkeypatch.setattr(lines, name, value)
     rows = random_rows() + [(500, None), (501, ""), (None, "one"), (None, "a line under no id")]
-    got = lines.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
-    assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert found(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("t", [0.6, 0.9, 1.0])
+def test_other_thresholds(spark, t):
+    rows = random_rows(40, seed=3)
+    assert found(spark, rows, t=t) == brute(rows, t)
+
+
+def test_one_word_of_thirty_changed_is_removed(spark):
+    w = [f"w{k}" for k in range(30)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:12] + ["other"] + w[13:])), (3, " ".join(w[:9])), (4, " ".join(w[:8] + ["x"]))]
+    assert [r[3] for r in found(spark, rows)] == [0, 1, 0, 1]  # 29 / 31 goes, 9 / 30 stays, 8 / 10 goes
 
 
 def test_near_copies_resolve_without_all_pairs(spark):
-    words = [f"w{k}" for k in range(80)]
-    rows = [(k, " ".join(words[:40] + [f"x{k}"] + words[41:])) for k in range(200)]
-    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sum(r["n_removed"] for r in got) == 199 and next(r for r in got if r["doc_id"] == 0)["n_removed"] == 0
+    w = [f"w{k}" for k in range(80)]
+    rows = [(k, " ".join(w[:40] + [f"x{k}"] + w[41:])) for k in range(200)]
+    got = found(spark, rows)
+    assert sum(r[3] for r in got) == 199 and next(r for r in got if r[0] == 0)[3] == 0
 
 
 def test_columns_stay(spark):
-    df = spark.createDataFrame([(1, "a\na", "en", 7), (2, "z" * 200_000, "de", 8)], "doc_id long, text string, lang string, n_lines int")
+    schema = "doc_id long, text string, lang string, n_lines int, d string, line_nos string, seq string, `row` string, `a.b` string"
+    df = spark.createDataFrame([(1, "a\na", "en", 7, *"pqrst"), (2, "z" * 200_000, "de", 8, *"uvwxy")], schema)
     got = lines.dedup_lines(df)
-    assert got.columns == ["doc_id", "text", "lang", "n_lines", "n_removed"]
-    assert sorted((r["text"][:3], r["n_lines"], r["n_removed"]) for r in got.collect()) == [("a", 2, 1), ("zzz", 1, 0)]
+    assert got.columns == ["doc_id", "text", "lang", "d", "line_nos", "seq", "row", "a.b", "n_lines", "n_removed"]
+    assert sorted((r["text"][:3], r["d"], r["line_nos"], r["seq"], r["row"], r["a.b"], r["n_lines"], r["n_removed"]) for r in got.collect()) == [("a", *"pqrst", 2, 1), ("zzz", *"uvwxy", 1, 0)]
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
 def test_rows_without_an_id_are_rows_of_their_own(spark):
-    import xxhash
-
     rng = random.Random(5)
-    body = lambda k: "\n".join(f"own line {k} {n} of a text" for n in range(3))
+    body = lambda k: "\n".join(f"own{k} line{n} {k}of {n}a {k}-{n}text" for n in range(3))
     rows = [(1, "head\na line that repeats"), (7, "x y z"), (7, "x y z\nmore of seven"), (7, "x y z")]
     rows += [(None, body(k) + ("\na line that repeats" if k % 3 == 0 else "")) for k in range(40)]
     rows += [(None, "same place"), (None, "same place\nother"), (None, "equal text\n \nin two rows"), (None, "equal text\n \nin two rows")]
     rng.shuffle(rows)
     rows += random_rows(30) + [(500, None), (501, ""), (None, "one"), (None, "a line under no id")]
-    number = lambda t: (x := xxhash.xxh64_intdigest(t.encode(), 42)) - (x >> 63 << 64)
-    seen, want = [], []
-    for k, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, number(r[1] or ""))):
-        own = [] if text is None else text.split("\n")
-        kept = []
-        for line in own:
-            s = shingles(line)
-            if not any(len(o & s) * 1000 >= 800 * len(o | s) for o in seen if s):
-                kept.append(line)
-            if s:
-                seen.append(s)
-        want.append((k, None if text is None else "\n".join(kept), len(own) - len(kept)))
-    got = [(r["doc_id"], r["text"], r["n_removed"]) for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()]
-    assert sorted(got, key=str) == sorted(want, key=str)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_string_ids(spark):
+    rows = [("b", "one line of words\nfresh"), ("a", "one line of words"), (None, "one line of words\nlast")]
+    assert found(spark, rows, "doc_id string, text string") == [("a", "one line of words", 1, 0), ("b", "fresh", 2, 1), (None, "last", 2, 1)]
+
+
+def test_native(spark, sf_dir):
+    plan = QUERIES["op10_line_dedup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    source = open(lines.__file__).read()
+    assert "Python" not in plan and "InArrow" not in plan and not re.search(r"udf|mapIn|applyIn|\.rdd|pandas|pyarrow", source)
