@@ -36,6 +36,13 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table made by keep_table that nothing reads again."""
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

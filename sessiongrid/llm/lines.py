@@ -1,11 +1,11 @@
-"""Line dedup by an exact set-similarity join; built-in functions only.
+"""Line dedup by an exact set-similarity join.
 
 A line's tokens are its distinct words (parted by blanks, tabs, VT, FF, CR). A line goes if an earlier line (of any row) has a
 Jaccard similarity of ``threshold`` or more to it, whether or not that one stays. Rows are ordered by doc_id (null
 last), then by the hash of their text; each row is a document of its own, also one without an id, with a repeated id, or
 equal to another in both (of such, one is the first). The steps:
 
-1. The texts are sorted by that order and written once; a line's place is one integer that ascends with it.
+1. The texts are written once, and their ids sorted; a line's place is one integer that ascends with that order.
 2. Word counts of the whole corpus, in a fixed number of counters, order the tokens by rarity: a token is a 64-bit
    integer, the level of its counter above its hash.
 3. Lines of one token set are one class (128 bits of hash); all but the first line of a class go.
@@ -18,22 +18,29 @@ equal to another in both (of such, one is the first). The steps:
    share one of its LEADING prefix tokens, in one of SALTS groups; only classes that stay seek all earlier ones.
 6. The similarity is verified on the words themselves, not on hashes.
 
+Steps 1 and 3 to 6 are built-in functions. Words are counted and turned into tokens in Arrow batches, as that takes
+a quarter of the time of built-in array functions (figures in the README).
+
 Lines without words always stay. Null texts have no lines; removing all lines leaves the empty text. Lists of lines go to
 the texts by broadcast up to BROADCAST_BYTES, else by a shuffle. Any type of doc_id that Spark can sort will do.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, keep_table, text_key
+from .common import cut, drop_table, keep_table, shuffle_partitions, text_key
 
 THRESHOLD = 0.8
-#: Counters of words, 16 to a long integer of the table of levels.
-COUNTERS = 1 << 18
+#: Counters of words, and how many of them are one row when they are added up.
+COUNTERS, TOGETHER = 1 << 20, 1 << 12
+#: Bytes of text that are turned into tokens at once (whole texts; more if a text is longer).
+SLICE = 1 << 20
 #: A token whose counter holds this many words or more is frequent.
 FREQUENT = 512
 LEADING, SALTS = 3, 16
@@ -44,14 +51,20 @@ BROADCAST_BYTES = 32 << 20
 PLACE_BITS = 62
 
 
-def ordered_texts(docs: DataFrame) -> DataFrame:
-    """seq (ascends with the order of rows), row (all columns of docs) and n_lines, written once."""
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """seq (ascends with the order of rows), row (all columns of docs) and n_lines.
+
+    The texts are written once, with a number for each; only ids and hashes are sorted.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     n = F.coalesce(F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))), F.lit(0))
-    keyed = docs.select(row.alias("row"), n.alias("n_lines"), F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), text_key().alias("key"), F.monotonically_increasing_id().alias("tie"))
-    order = ["last", "id", "key", "tie"]
-    dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    return keep_table(dealt.select(F.monotonically_increasing_id().alias("seq"), "row", "n_lines"), "texts")
+    texts = keep_table(docs.select(F.monotonically_increasing_id().alias("number"), row.alias("row"), n.alias("n_lines"), text_key().alias("key")), "texts")
+    order = [F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.col("key"), F.col("number")]
+    ids = texts.select("number", *[c.alias(f"k{k}") for k, c in enumerate(order[:3])])
+    ids = ids.repartitionByRange("k0", "k1", "k2", "number").sortWithinPartitions("k0", "k1", "k2", "number")
+    ids = cut(ids.select("number", F.monotonically_increasing_id().alias("seq")))
+    few = ids.count() * 16 <= BROADCAST_BYTES
+    return texts.join(F.broadcast(ids) if few else ids, "number").select("seq", "row", "n_lines")
 
 
 class Places:
@@ -88,44 +101,124 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(line, " "), "")
 
 
-def _counter(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")
-
-
-def rarity_levels(texts: DataFrame) -> tuple[Column, int]:
-    """Four-bit levels of all counters (doublings of the count, level 4 at the mean), and the level where frequent begins."""
-    words = texts.select(F.explode(F.split(F.translate(_plain(F.col("text")), "\n", " "), " ")).alias("w")).where("w <> ''")
-    counts = cut(words.groupBy(_counter(F.xxhash64("w")).alias("c")).agg(F.count("*").alias("n")))
-    mean = max(1, counts.agg(F.sum("n")).first()[0] or 1) / COUNTERS
-    level = F.least(F.greatest(F.floor(F.log2(F.col("n") / F.lit(mean))) + 4, F.lit(0)), F.lit(15)).cast("long")
-    nibble = F.call_function("shiftleft", level, F.shiftleft(F.col("c").bitwiseAND(F.lit(15)), 2))
-    packed = {r["at"]: r["bits"] for r in counts.groupBy(F.shiftright("c", 4).alias("at")).agg(F.bit_or(nibble).alias("bits")).collect()}
-    table = F.split(F.lit(",".join(str(packed.get(k, 0)) for k in range(COUNTERS // 16))), ",").cast("array<bigint>")
-    return table, math.ceil(math.log2(FREQUENT / mean)) + 4
-
+def _mixed(x: np.ndarray, by: int) -> np.ndarray:
+    """A one-to-one mix of 64-bit integers."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(by)
+    return x ^ (x >> np.uint64(29))
+
+
+#: Odd multipliers of the mixes, and of the first bytes of a word.
+MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
+BYTES = _mixed(_mixed(np.arange(1, 65, dtype=np.uint64), MIX[0]), MIX[1]) | np.uint64(1)
+PARTS = np.zeros(256, bool)
+PARTS[list(b" \t\n\x0b\x0c\r")] = True
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, line number) of every word of texts, in order."""
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    inside = ~PARTS[raw]
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sizes = ends - starts
+    firsts = np.cumsum(sizes) - sizes
+    at = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
+    # a sum of bytes by multipliers; from byte 64 on, the multipliers are mixed anew with the number of the block
+    by = BYTES[at & 63]
+    if (long := at >= 64).any():
+        by[long] = _mixed(by[long] ^ (at[long] >> 6).astype(np.uint64), MIX[2]) | np.uint64(1)
+    hashes = _mixed(np.add.reduceat((raw[inside].astype(np.uint64) + np.uint64(1)) * by, firsts), MIX[0])
+    breaks = np.flatnonzero(raw == 10)
+    line = np.searchsorted(breaks, starts)
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    text = np.searchsorted(begins, starts, side="right") - 1
+    return hashes, text, line - np.searchsorted(breaks, begins)[text]
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts) of runs of rows that have SLICE bytes of text, or one row; null as empty."""
+    values = batch.column(column)
+    values = values.view(pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary())
+    first, held, size = 0, [], 0
+    for k in range(len(values)):
+        held.append(values[k].as_py() or b"")
+        size += len(held[-1])
+        if size >= SLICE:
+            yield first, held
+            first, held, size = k + 1, [], 0
+    if held:
+        yield first, held
+
+
+def rarity_levels(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """Levels 0 to 15 of all counters (doublings of the count, level 4 at the mean), and the level where frequent begins."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for _, some in _slices(batch, 0):
+                n += np.bincount((word_hashes(some)[0] & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        rows = [(k, np.ascontiguousarray(n[k * TOGETHER : (k + 1) * TOGETHER]).tobytes()) for k in range(COUNTERS // TOGETHER)]
+        yield pa.RecordBatch.from_pydict({"block": pa.array([k for k, _ in rows], pa.int32()), "counts": pa.array([c for _, c in rows], pa.binary())})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[k] = sums.get(k, 0) + np.frombuffer(c, np.int64)
+        yield pa.RecordBatch.from_pydict({"block": pa.array(list(sums), pa.int32()), "counts": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
+
+    schema = "block int, counts binary"
+    counted = texts.select("text").mapInArrow(count, schema).repartition(min(shuffle_partitions(texts.sparkSession), COUNTERS // TOGETHER), "block")
+    n = np.zeros(COUNTERS, np.int64)
+    for r in counted.mapInArrow(add, schema).collect():
+        n[r["block"] * TOGETHER : (r["block"] + 1) * TOGETHER] = np.frombuffer(r["counts"], np.int64)
+    mean = max(1, int(n.sum())) / COUNTERS
+    levels = np.clip(np.floor(np.log2(np.maximum(n, 1) / mean)) + 4, 0, 15).astype(np.uint8)
+    return levels, int(np.ceil(np.log2(FREQUENT / mean))) + 4
+
+
+def _line_batch(seqs: np.ndarray, texts: list[bytes], levels: np.ndarray, frequent: int, t: int) -> pa.RecordBatch:
+    hashes, text, line_no = word_hashes(texts)
+    tokens = (levels[(hashes & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(59)) | (hashes >> np.uint64(5))
+    change = np.ones(len(text), bool)
+    change[1:] = (text[1:] != text[:-1]) | (line_no[1:] != line_no[:-1])
+    line = np.cumsum(change) - 1
+    width = np.uint64(max(1, int(line[-1] if len(line) else 0).bit_length()))
+    order = np.argsort((line.astype(np.uint64) << (np.uint64(64) - width)) | ((tokens << np.uint64(1)) >> width))
+    tokens, line = tokens[order], line[order]
+    new = np.ones(len(line), bool)
+    new[1:] = (tokens[1:] != tokens[:-1]) | (line[1:] != line[:-1])
+    tokens, line = tokens[new], line[new]
+    starts = np.flatnonzero(np.diff(line, prepend=-1))
+    n = np.diff(np.append(starts, len(line)))
+    bits = np.uint64(1) << (tokens & np.uint64(63))
+    half = np.where(tokens & np.uint64(64), bits, np.uint64(0))
+    reduced = lambda f, x: (f.reduceat(x, starts) if len(starts) else x[:0]).view(np.int64)
+    few = np.minimum(n, n - -(-n * t // 1000) + 2)
+    chosen = np.arange(len(line)) - np.repeat(starts, n) < np.repeat(few, n)
+    short = (tokens[chosen] & np.uint64((1 << 30) - 1)).astype(np.int32)
+    short = np.where((tokens[chosen] >> np.uint64(59)).astype(np.int64) >= frequent, -1 - short, short)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(few)).astype(np.int32)), pa.array(short, pa.int32()))
+    maps = [reduced(np.bitwise_xor, bits), np.where(n > 64, reduced(np.bitwise_xor, half), 0)]
+    columns = [seqs[text[change]], line_no[change].astype(np.int32), *(reduced(np.add, _mixed(_mixed(tokens, m), MIX[2])) for m in MIX[:2]), n.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists, *map(pa.array, maps)], names=["seq", "line_no", "c1", "c2", "n", "prefix", "b", "half"])
 
-def token_lists(lines: DataFrame, levels: Column, *keep: str) -> DataFrame:
-    """keep and tokens (distinct, rare first) of the column line; lines without words are left out."""
 
-    def token(w: Column) -> Column:
-        h = F.xxhash64(w)
-        c = _counter(h)
-        level = F.coalesce(F.get(levels, F.shiftright(c, 4)), F.lit(0).cast("long"))
-        level = F.call_function("shiftright", level, F.shiftleft(c.bitwiseAND(F.lit(15)), 2)).bitwiseAND(F.lit(15).cast("long"))
-        return F.shiftleft(level, 59).bitwiseOR(F.shiftrightunsigned(h, 5))
-
-    tokens = F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), token)))
-    return lines.select(*keep, tokens.alias("tokens")).where(F.size("tokens") > 0)
-
-
-def _bitmap(half: bool) -> Column:
-    """64 bits toggled by the tokens; with ``half`` by those with bit 6 alone."""
+def line_table(texts: DataFrame, places: Places, t: int) -> DataFrame:
+    """at, c1 and c2 (class), n, prefix (30 bits of each token; -1 - bits if frequent) and bitmaps of the lines with words."""
+    levels, frequent = rarity_levels(texts)
 
-    def toggle(acc: Column, x: Column) -> Column:
-        done = acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")))
-        return F.when(x.bitwiseAND(F.lit(64)) == 0, acc).otherwise(done) if half else done
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seqs = batch.column(0).to_numpy()
+            for first, some in _slices(batch, 1):
+                yield _line_batch(seqs[first : first + len(some)], some, levels, frequent, t)
 
-    return F.aggregate("tokens", F.lit(0).cast("long"), toggle)
+    lines = texts.select("seq", "text").mapInArrow(run, "seq long, line_no int, c1 long, c2 long, n int, prefix array<int>, b long, half long")
+    return keep_table(lines.select(places.pack(F.col("seq"), F.col("line_no")).alias("at"), "c1", "c2", "n", "prefix", "b", "half"), "lines")
 
 
 def _least_shared(n1: Column, n2: Column, t: int) -> Column:
@@ -133,23 +226,6 @@ def _least_shared(n1: Column, n2: Column, t: int) -> Column:
     return F.ceil((n1 + n2) * F.lit(t) / F.lit(1000 + t) - F.lit(1e-9))
 
 
-def line_table(texts: DataFrame, places: Places, t: int) -> DataFrame:
-    """at, c1 and c2 (class), n, prefix (30 bits of each token; -1 - bits if frequent) and bitmaps of the lines with words."""
-    levels, frequent = rarity_levels(texts)
-    lines = texts.select("seq", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line"))
-    lines = token_lists(lines.select(places.pack(F.col("seq"), F.col("line_no")).alias("at"), "line"), levels, "at")
-    n = F.size("tokens")
-    few = n - F.ceil(n * F.lit(t) / F.lit(1000) - F.lit(1e-9)).cast("int") + 2
-
-    def short(x: Column) -> Column:
-        bits = x.bitwiseAND(F.lit((1 << 30) - 1)).cast("int")
-        return F.when(F.shiftright(x, 59) >= frequent, F.lit(-1) - bits).otherwise(bits)
-
-    prefix = F.transform(F.slice("tokens", F.lit(1), few), short)
-    maps = [_bitmap(False).alias("b"), F.when(n > 64, _bitmap(True)).otherwise(F.lit(0).cast("long")).alias("half")]
-    return keep_table(lines.select("at", F.xxhash64("tokens").alias("c1"), F.xxhash64(F.lit(1), "tokens").alias("c2"), n.alias("n"), prefix.alias("prefix"), *maps), "lines")
-
-
 def _close(a: str, b: str, t: int) -> Column:
     """Length and bitmap filters for classes a and b."""
     n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -221,16 +297,17 @@ def removed_lines(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[Place
     lines = line_table(texts, places, t)
     same = lines.groupBy("c1", "c2").agg(F.min(F.struct("at", "n", "b", "half", "prefix")).alias("first"))
     classes = keep_table(same.select("first.*"), "classes")
+    repeated = cut(lines.select("at").join(classes.select("at"), "at", "left_anti"))
+    drop_table(lines)
     several = classes.where("n > 1")  # a single word is similar to itself alone
     gone = _verified(texts, places, _leaders(several, t), t)
     more = _verified(texts, places, _meetings(several, gone, t), t)
-    stay = classes.select("at").join(gone.unionByName(more).withColumnRenamed("late", "at"), "at", "left_anti")
-    return places, cut(lines.select("at").join(stay, "at", "left_anti"))
+    return places, cut(repeated.union(gone).union(more).distinct())
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with text reduced to the lines that stay, and n_lines and n_removed (columns of these names are replaced)."""
-    kept = ordered_texts(docs)
+    kept = numbered_texts(docs)
     places, gone = removed_lines(kept.select("seq", F.col("row.text").alias("text"), "n_lines"), threshold)
     name = next(c for c in docs.columns if c.lower() == "text")
     others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != name]
