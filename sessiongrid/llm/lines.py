@@ -16,7 +16,7 @@ equal to another in both (of such, one is the first). The steps:
    bits differ in k tokens at least.
 5. Large groups of near copies do not meet pair by pair: each class is first compared with the earliest of those that
    share one of its LEADING prefix tokens, in one of SALTS groups; only classes that stay seek all earlier ones.
-6. The similarity is verified on the words themselves, not on hashes.
+6. The similarity is verified on the words themselves, not on hashes; of each class's earlier ones the nearest first.
 
 Steps 1 and 3 to 6 are built-in functions. Words are counted and turned into tokens in Arrow batches, as that takes
 a quarter of the time of built-in array functions (figures in the README).
@@ -42,8 +42,8 @@ COUNTERS, TOGETHER = 1 << 20, 1 << 12
 #: Bytes of text that are turned into tokens at once (whole texts; more if a text is longer).
 SLICE = 1 << 20
 #: A token whose counter holds this many words or more is frequent.
-FREQUENT = 512
-LEADING, SALTS = 3, 16
+FREQUENT = 2048
+LEADING, SALTS = 4, 16
 #: Pairs of one early line beyond which they are dealt out.
 DEALT = 1000
 BROADCAST_BYTES = 32 << 20
@@ -226,40 +226,55 @@ def _least_shared(n1: Column, n2: Column, t: int) -> Column:
     return F.ceil((n1 + n2) * F.lit(t) / F.lit(1000 + t) - F.lit(1e-9))
 
 
-def _close(a: str, b: str, t: int) -> Column:
-    """Length and bitmap filters for classes a and b."""
-    n1, n2 = F.col(f"{a}.n"), F.col(f"{b}.n")
-    x, y = F.col(f"{a}.b").bitwiseXOR(F.col(f"{b}.b")), F.col(f"{a}.half").bitwiseXOR(F.col(f"{b}.half"))
-    differ = F.when((n1 > 64) & (n2 > 64), F.bit_count(y) + F.bit_count(x.bitwiseXOR(y))).otherwise(F.bit_count(x))
-    return (F.least(n1, n2) * 1000 >= F.greatest(n1, n2) * t) & (n1 + n2 - differ >= 2 * _least_shared(n1, n2, t))
+def _differ(x: dict[str, Column], y: dict[str, Column]) -> Column:
+    """By their bitmaps, two classes differ in that many tokens at least."""
+    n1, n2 = x["n"], y["n"]
+    whole, half = x["b"].bitwiseXOR(y["b"]), x["half"].bitwiseXOR(y["half"])
+    return F.when((n1 > 64) & (n2 > 64), F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half))).otherwise(F.bit_count(whole))
+
+
+def _close(x: dict[str, Column], y: dict[str, Column], t: int) -> Column:
+    """Length and bitmap filters for two classes by n, b and half."""
+    n1, n2 = x["n"], y["n"]
+    return (F.least(n1, n2) * 1000 >= F.greatest(n1, n2) * t) & (n1 + n2 - _differ(x, y) >= 2 * _least_shared(n1, n2, t))
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """(late, early): of each late class the early one that differs least by the bitmaps."""
+    return pairs.groupBy("late").agg(F.min(F.struct("differ", "early")).alias("x")).select("late", "x.early")
 
 
 def _leaders(classes: DataFrame, t: int) -> DataFrame:
-    """(late, early): each class with the earliest of its salt that share one of its leading tokens."""
+    """(late, early): each class with the nearest leader, the earliest that share a leading token and its salt.
+
+    The salt also depends on the token, so that near copies with the same tokens meet different leaders.
+    """
     tokens = F.slice(F.sort_array(F.transform(F.slice("prefix", F.lit(1), F.size("prefix") - 1), lambda x: F.xxhash64(x))), 1, LEADING)
-    posts = classes.select("at", "n", "b", "half", F.explode(tokens).alias("token")).withColumn("salt", F.pmod(F.xxhash64("at"), F.lit(SALTS)))
+    posts = classes.select("at", "n", "b", "half", F.explode(tokens).alias("token")).withColumn("salt", F.pmod(F.xxhash64("at", "token"), F.lit(SALTS)))
     leads = posts.groupBy("token", "salt").agg(F.min(F.struct("at", "n", "b", "half")).alias("lead"), F.count("*").alias("size")).where("size > 1")
     leads = leads.select("token", "salt", "lead.*")
-    met = posts.alias("x").join(leads.alias("y"), ["token", "salt"]).where((F.col("y.at") < F.col("x.at")) & _close("x", "y", t))
-    return cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early")).distinct())
+    x, y = ({c: F.col(f"{a}.{c}") for c in ("n", "b", "half")} for a in "xy")
+    met = posts.alias("x").join(leads.alias("y"), ["token", "salt"]).where((F.col("y.at") < F.col("x.at")) & _close(x, y, t))
+    return cut(_nearest(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ"))))
 
 
 def _meetings(classes: DataFrame, gone: DataFrame, t: int) -> DataFrame:
-    """(late, early): classes that share a prefix token or, of a frequent one, two; late ones of ``gone`` are left out."""
-    seeks = F.when(F.col("gone").isNull(), 1).otherwise(0)
+    """(late, early, differ): classes that share a prefix token or, of a frequent one, two; without late ones of ``gone``."""
+    seeks = F.when(F.col("gone").isNull(), 1).otherwise(0).cast("long")
     rows = classes.join(gone.select(F.col("late").alias("at"), F.lit(True).alias("gone")), "at", "left").select("at", "n", "b", "half", "prefix", seeks.alias("seeks"))
-    keep = ["at", "n", "b", "half", "seeks"]
-    posts = rows.select(*keep, "prefix", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < F.size("prefix") - 1)
-    alone = posts.where("token >= 0").select(*keep, "pos", F.col("token").cast("long").alias("key"))
-    paired = posts.where("token < 0").select(*keep, "pos", "token", F.explode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("next"))
-    posts = alone.unionByName(paired.select(*keep, "pos", F.xxhash64("token", "next").alias("key")))
+    # one integer for n, the position and whether the class seeks earlier ones
+    what = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("seeks")).alias("what")
+    posts = rows.select("at", "b", "half", "n", "seeks", "prefix", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < F.size("prefix") - 1)
+    alone = posts.where("token >= 0").select("at", "b", "half", what, F.col("token").cast("long").alias("key"))
+    paired = posts.where("token < 0").select("at", "b", "half", what, "token", F.explode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("next"))
+    posts = alone.unionByName(paired.select("at", "b", "half", "what", F.xxhash64("token", "next").alias("key")))
+    x, y = ({"n": F.shiftright(f"{a}.what", 32), "pos": F.shiftright(f"{a}.what", 1).bitwiseAND(F.lit((1 << 31) - 1)), "seeks": F.col(f"{a}.what").bitwiseAND(F.lit(1)), "b": F.col(f"{a}.b"), "half": F.col(f"{a}.half")} for a in "xy")
     # the token of the post is the first that both share, or another post finds them
-    shared = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    room = F.least(x["n"] - x["pos"], y["n"] - y["pos"]) >= _least_shared(x["n"], y["n"], t)
     # both sides read the same columns and no filter is of one side alone, so that one shuffle serves both
-    late = (F.col("y.at") < F.col("x.at")) & (F.col("x.seeks") * 2 + F.col("y.seeks") >= 2)
-    room = shared >= _least_shared(F.col("x.n"), F.col("y.n"), t)
-    met = posts.alias("x").join(posts.alias("y"), F.col("x.key") == F.col("y.key")).where(late & room & _close("x", "y", t))
-    return cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early")).distinct())
+    late = (F.col("y.at") < F.col("x.at")) & (x["seeks"] * 2 + y["seeks"] >= 2)
+    met = posts.alias("x").join(posts.alias("y"), F.col("x.key") == F.col("y.key")).where(late & room & _close(x, y, t))
+    return cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ")).distinct())
 
 
 def _lists(places: Places, at: DataFrame) -> DataFrame:
@@ -301,8 +316,10 @@ def removed_lines(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[Place
     drop_table(lines)
     several = classes.where("n > 1")  # a single word is similar to itself alone
     gone = _verified(texts, places, _leaders(several, t), t)
-    more = _verified(texts, places, _meetings(several, gone, t), t)
-    return places, cut(repeated.union(gone).union(more).distinct())
+    pairs = _meetings(several, gone, t)
+    near = _verified(texts, places, cut(_nearest(pairs)), t)
+    more = _verified(texts, places, cut(pairs.join(near, "late", "left_anti").select("late", "early")), t)
+    return places, cut(repeated.union(gone).union(near).union(more).distinct())
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
