@@ -277,21 +277,24 @@ def _meetings(classes: DataFrame, gone: DataFrame, t: int) -> DataFrame:
     return cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ")).distinct())
 
 
-def _lists(places: Places, at: DataFrame) -> DataFrame:
-    """seq and line_nos of the places in column at."""
+def _lists(places: Places, at: DataFrame) -> tuple[DataFrame, bool]:
+    """seq and line_nos of the places in column at, and whether they may be broadcast: 64 bytes a list, 8 a number."""
     seq, line = places.unpack(F.col("at"))
-    return at.select(seq.alias("seq"), line.alias("line_no")).groupBy("seq").agg(F.collect_list("line_no").alias("line_nos"))
+    lists = cut(at.select(seq.alias("seq"), line.alias("line_no")).groupBy("seq").agg(F.collect_list("line_no").alias("line_nos")))
+    size = lists.agg(F.sum(F.size("line_nos") * 8 + 64)).first()[0] or 0
+    return lists, size <= BROADCAST_BYTES
 
 
-def _beside(texts: DataFrame, lists: DataFrame, lines: int, how: str) -> DataFrame:
-    """texts joined with lists of ``lines`` line numbers in all (a list takes 64 bytes at most beside its numbers)."""
-    return texts.join(F.broadcast(lists) if lines * 72 <= BROADCAST_BYTES else lists, "seq", how)
+def _beside(texts: DataFrame, places: Places, at: DataFrame, how: str) -> DataFrame:
+    """texts with line_nos of the places in column at."""
+    lists, few = _lists(places, at)
+    return texts.join(F.broadcast(lists) if few else lists, "seq", how)
 
 
 def _verified(texts: DataFrame, places: Places, pairs: DataFrame, t: int) -> DataFrame:
     """The pairs (late, early) whose sets of words have that similarity."""
-    wanted = cut(pairs.select(F.col("late").alias("at")).union(pairs.select("early")).distinct())
-    found = _beside(texts.select("seq", F.split(_plain(F.col("text")), "\n").alias("lines")), _lists(places, wanted), wanted.count(), "inner")
+    wanted = pairs.select(F.col("late").alias("at")).union(pairs.select("early")).distinct()
+    found = _beside(texts.select("seq", F.split(_plain(F.col("text")), "\n").alias("lines")), places, wanted, "inner")
     found = found.select("seq", F.explode(F.transform("line_nos", lambda k: F.struct(k.alias("k"), F.get("lines", k).alias("line")))).alias("x"))
     words = keep_table(found.select(places.pack(F.col("seq"), F.col("x.k")).alias("at"), F.array_distinct(_words(F.col("x.line"))).alias("words")), "words")
     # pairs of an early line that has many are dealt out over copies of its words
@@ -319,7 +322,7 @@ def removed_lines(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[Place
     pairs = _meetings(several, gone, t)
     near = _verified(texts, places, cut(_nearest(pairs)), t)
     more = _verified(texts, places, cut(pairs.join(near, "late", "left_anti").select("late", "early")), t)
-    return places, cut(repeated.union(gone).union(near).union(more).distinct())
+    return places, repeated.union(gone).union(near).union(more).distinct()
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -329,7 +332,7 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     name = next(c for c in docs.columns if c.lower() == "text")
     others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != name]
     rows = kept.select("seq", F.struct(F.lit(0), *others).alias("rest"), F.split("row.text", "\n").alias("lines"), "n_lines")
-    rows = _beside(rows, _lists(places, gone), gone.count(), "left")
+    rows = _beside(rows, places, gone, "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "line_nos")
     text = F.when(F.col("line_nos").isNull(), F.array_join("lines", "\n")).otherwise(F.array_join(F.transform(left, lambda k: F.get("lines", k)), "\n"))
     out = [text.alias(c) if c == name else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
