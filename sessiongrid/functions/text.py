@@ -25,9 +25,18 @@ def fold_accents(x: Column) -> Column:
     return F.translate(x, ACCENTED, PLAIN)
 
 
-def sanitized(x: Column, limit: int = 500) -> Column:
-    """Error text without secrets, local paths and query strings, cut to a length."""
-    x = F.regexp_replace(x, r"(?i)(token|password|secret|api[_-]?key)\s*[=:]\s*\S+", "$1=<redacted>")
-    x = F.regexp_replace(x, r"https?://\S+", "<url>")
-    x = F.regexp_replace(x, r"(/[A-Za-z0-9_.-]+){2,}", "<path>")
+#: Shapes of credentials in error texts, the part to keep as group 1, and how much of a text is kept (fixed values).
+CREDENTIALS = [
+    r"(?i)(authorization\s*[:=]\s*)[^\s,;]+",
+    r"(?i)((?:api[_-]?key|token|password|secret)\s*[:=]\s*)[^\s,;&]+",
+    r"(?i)([?&](?:api[_-]?key|token|password|secret)=)[^&\s]+",
+]
+ERROR_LENGTH = 1000
+
+
+def sanitized(x: Column, limit: int = ERROR_LENGTH) -> Column:
+    """Error text without the values of credentials, cut to a length; null becomes empty."""
+    x = F.coalesce(x, F.lit(""))
+    for shape in CREDENTIALS:
+        x = F.regexp_replace(x, shape, "$1[REDACTED]")
     return F.substring(x, 1, limit)

@@ -38,10 +38,31 @@ def scale_metrics(compared: DataFrame) -> DataFrame:
     return rows.groupBy("period", "day_group").agg(F.count("*").alias("n_rows"), F.countDistinct("ticker").alias("tickers"), F.avg("close_gap_pct").alias("mean_gap_pct"))
 
 
-def verdict(metrics: DataFrame, least_match: float = 0.99, most_conflicts: float = 0.01) -> DataFrame:
-    """PASS, PARTIAL or FAIL of each period from its total row."""
-    rate = F.col("conflicts") / F.greatest(F.col("matched"), F.lit(1))
-    return metrics.where("ticker = '__ALL__'").select("period", F.when((F.col("match_rate") >= least_match) & (rate <= most_conflicts), "PASS").when(F.col("match_rate") >= least_match / 2, "PARTIAL").otherwise("FAIL").alias("verdict"))
+def acceptance_status(quality: DataFrame, errors: DataFrame, by: str = "period") -> DataFrame:
+    """PASS, PARTIAL or FAIL with the first reason, by period; differences between sources are counted, never judged.
+
+    quality: valid_nominal_ohlc (null where a bar is incomplete), split_factor_unavailable, nominal_conversion_consistent,
+    has_yfinance_split, cross_source_price_warning. errors: one row for each provider error of a period; a period that has
+    errors alone fails too.
+    """
+    evaluable = F.col("valid_nominal_ohlc").isNotNull()
+    m = quality.groupBy(by).agg(
+        F.count("*").alias("n_rows"), F.bool_or(is_true(F.col("split_factor_unavailable"))).alias("no_factor"), F.bool_and(is_true(F.col("nominal_conversion_consistent"))).alias("consistent"), F.bool_or(is_true(F.col("has_yfinance_split"))).alias("split"),
+        F.count_if(~evaluable).alias("missing_rows"), F.count_if(~F.col("valid_nominal_ohlc")).alias("invalid_rows"), F.count_if("valid_nominal_ohlc").alias("valid_rows"), F.count_if("cross_source_price_warning").alias("warning_rows"),
+    )
+    m = m.join(errors.groupBy(by).agg(F.count("*").alias("errors")), by, "full").fillna(0, subset=["errors", "n_rows", "missing_rows", "invalid_rows", "valid_rows", "warning_rows"])
+    reason = (
+        F.when(F.col("errors") > 0, "PROVIDER_ERRORS")
+        .when(F.col("n_rows") == 0, "NO_ROWS")
+        .when(F.col("no_factor"), "SPLIT_FACTOR_UNAVAILABLE")
+        .when(~F.col("consistent"), "NOMINAL_CONVERSION_INCONSISTENT")
+        .when(~F.col("split"), "NO_SPLIT_OBSERVED")
+        .when(F.col("missing_rows") == F.col("n_rows"), "NO_EVALUABLE_ROW")
+        .when(F.col("valid_rows") == 0, "NO_VALID_ROW")
+        .otherwise("ACCEPTED")
+    )
+    status = F.when(F.col("reason") == "ACCEPTED", "PASS").when(F.col("reason") == "NO_SPLIT_OBSERVED", "PARTIAL").otherwise("FAIL")
+    return m.withColumn("reason", reason).select(by, status.alias("status"), "reason", "errors", "missing_rows", "invalid_rows", "warning_rows")
 
 
 def index_dates(raw: DataFrame, calendar: DataFrame, code: str, zone: str = "Europe/Istanbul") -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: What failures of a symbol say (fixed value).
+SYMBOL_MESSAGE = "(?i)(not found|delisted|redirect|symbol)"
+
 
 def range_chunks(requests: DataFrame, months: int) -> DataFrame:
     """Each inclusive range (start, end) cut into chunks of n months; the next chunk begins the day after the last."""
@@ -57,12 +60,34 @@ def collection_summary(status: DataFrame) -> DataFrame:
     return status.agg(F.count_if(F.col("status").isNotNull()).alias("attempted"), *[F.count_if(F.col("status") == k).alias(k.lower()) for k in kinds], (F.count_if(F.col("status") == "COMPLETE") / n).alias("complete_rate"))
 
 
-def review_issues(coverage: DataFrame, calendar_first: str, calendar_last: str, late_days: int = 30, gap: int = 5) -> DataFrame:
-    """Securities whose coverage asks for a look at the ticker mapping, one row for each issue."""
+def review_issues(observed: DataFrame, calendar: DataFrame, collected: DataFrame, first: str = "A", second: str = "B") -> DataFrame:
+    """What asks for a look at a ticker mapping: one row for each security and issue, with the sessions of its gaps.
+
+    observed: security_id, date, source (two sources); calendar: session_date; collected: security_id and failure_reason of
+    each attempt. A series that begins late, ends early or has a gap of any length is an issue; a gap is looked for in the
+    second source, or in both where that has nothing. One row of a security and session at most is shuffled.
+    """
+    sessions = calendar.select(F.col("session_date").alias("date")).distinct()
+    ranked = sessions.withColumn("k", F.row_number().over(Window.orderBy("date")))  # a calendar is small
+    ends = sessions.agg(F.min("date").alias("cal_first"), F.max("date").alias("cal_last"))
+    days = observed.groupBy("security_id", "date").agg(F.bool_or(F.col("source") == first).alias("a"), F.bool_or(F.col("source") == second).alias("b"))
+    per = days.groupBy("security_id").agg(F.min("date").alias("first_observed"), F.max("date").alias("last_observed"), F.count_if("a").alias("n_a"), F.count_if("b").alias("n_b"), F.count_if(F.col("a") & F.col("b")).alias("n_both"))
+    base = days.join(per.select("security_id", "n_b"), "security_id").where("b or n_b = 0").join(ranked, "date")
+    before = F.lag("k").over(Window.partitionBy("security_id").orderBy("k"))
+    gap = base.select("security_id", (F.col("k") - before - 1).alias("missing")).groupBy("security_id").agg(F.coalesce(F.sum("missing"), F.lit(0)).alias("gap_sessions"), F.coalesce(F.max("missing"), F.lit(0)).alias("longest_gap"))
+    messages = collected.groupBy("security_id").agg(F.bool_or(F.coalesce("failure_reason", F.lit("")).rlike(SYMBOL_MESSAGE)).alias("symbol"))
+    rows = messages.join(per, "security_id", "full").join(gap, "security_id", "left").crossJoin(F.broadcast(ends))
+    rows = rows.fillna(0, subset=["n_a", "n_b", "n_both", "gap_sessions", "longest_gap"])
+    late, early, inner = F.col("first_observed") > F.col("cal_first"), F.col("last_observed") < F.col("cal_last"), F.col("gap_sessions") > 0
     issues = F.array_compact(F.array(
-        F.when(F.col("observed_sessions") == 0, "NO_HISTORY_BOTH_PROVIDERS"),
-        F.when(F.datediff("first_observed", F.lit(calendar_first).cast("date")) > late_days, "LATE_SERIES_START"),
-        F.when(F.datediff(F.lit(calendar_last).cast("date"), "last_observed") > late_days, "EARLY_SERIES_END"),
-        F.when(F.col("longest_gap") >= gap, "INTERNAL_SESSION_GAP"),
+        F.when(F.col("first_observed").isNull(), "NO_HISTORY_BOTH_PROVIDERS"),
+        F.when(late, "LATE_SERIES_START"),
+        F.when(early, "EARLY_SERIES_END"),
+        F.when(inner, "INTERNAL_SESSION_GAP"),
+        F.when((F.col("n_a") != F.col("n_both")) | (F.col("n_b") != F.col("n_both")), "PROVIDER_DATE_COVERAGE_MISMATCH"),
+        F.when(F.col("symbol"), "PROVIDER_SYMBOL_OR_REDIRECT"),
+        F.when(late | early | inner, "POSSIBLE_OLD_OR_NEW_TICKER_SIGNAL"),
     ))
-    return coverage.select("security_id", F.explode(issues).alias("issue"), "longest_gap", "missing_sessions")
+    own = F.col("issue_type") == "INTERNAL_SESSION_GAP"
+    out = rows.select("security_id", F.explode(issues).alias("issue_type"), "first_observed", "last_observed", "gap_sessions", "longest_gap")
+    return out.withColumns({"gap_sessions": F.when(own, F.col("gap_sessions")).otherwise(0), "longest_gap": F.when(own, F.col("longest_gap")).otherwise(0)})

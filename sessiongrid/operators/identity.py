@@ -11,28 +11,40 @@ FAR = "9999-12-31"
 
 
 def resolve(rows: DataFrame, mapping: DataFrame, date: str = "date") -> DataFrame:
-    """rows (ticker, date) with security_id, mapping_status and the number of effective rules.
+    """rows (ticker, date) with security_id, mapping_status, current_ticker and the number of effective rules.
 
-    mapping: security_id, ticker, valid_from, valid_to (null: open), both ends inclusive. A ticker without rules gets an
-    identifier of its own (AUTO); with rules but none in force it is OUTSIDE_VALIDITY under the smallest candidate.
+    mapping: security_id, ticker, valid_from, valid_to (null: open; both ends inclusive), is_current_ticker. A ticker
+    without rules gets an identifier of its own (AUTO_NEW_TICKER); with rules but none in force it is OUTSIDE_VALIDITY
+    under the smallest candidate. Two rules in force at once fail the query, as no choice between them is right.
     Mapping tables are small: Spark broadcasts them by its own size estimate. One pass: all rules of a ticker come as
     an array, so rows are not multiplied.
     """
-    rules = mapping.select(normalize_ticker(F.col("ticker")).alias("ticker"), F.struct("security_id", "valid_from", F.coalesce("valid_to", F.lit(FAR).cast("date")).alias("valid_to")).alias("rule"))
+    rules = mapping.select(normalize_ticker(F.col("ticker")).alias("ticker"), "security_id", "valid_from", F.coalesce("valid_to", F.lit(FAR).cast("date")).alias("valid_to"), F.coalesce("is_current_ticker", F.lit(False)).alias("is_current"))
+    # the current ticker of a security: the one marked so, else the last to begin
+    current = rules.groupBy("security_id").agg(F.max_by("ticker", F.struct("is_current", "valid_from", "ticker")).alias("current"))
+    rules = rules.join(current, "security_id").select("ticker", F.struct("security_id", "valid_from", "valid_to", "is_current", "current").alias("rule"))
     rules = rules.groupBy("ticker").agg(F.array_sort(F.collect_list("rule")).alias("rules"))
     joined = rows.withColumn("ticker", normalize_ticker(F.col("ticker"))).join(rules, "ticker", "left")
     live = F.filter("rules", lambda r: (r["valid_from"] <= F.col(date)) & (F.col(date) <= r["valid_to"]))
     joined = joined.withColumn("__live", live)
-    status = F.when(F.col("rules").isNull(), "AUTO").when(F.size("__live") == 0, "OUTSIDE_VALIDITY").when(F.size("__live") > 1, "AMBIGUOUS").otherwise("MAPPED")
-    ident = F.when(F.col("rules").isNull(), security_id(F.col("ticker"))).when(F.size("__live") == 0, F.array_min(F.transform("rules", lambda r: r["security_id"]))).otherwise(F.element_at("__live", 1)["security_id"])
-    return joined.withColumn("security_id", ident).withColumn("mapping_status", status).withColumn("effective_rules", F.coalesce(F.when(F.col("rules").isNotNull(), F.size("__live")), F.lit(0))).drop("rules", "__live")
+    chosen = F.get("__live", F.lit(0))
+    several = F.raise_error(F.concat(F.lit("several mapping rules for "), F.col("ticker"), F.lit(" on "), F.col(date).cast("string")))
+    mapped = F.when(chosen["is_current"], "MAPPED_CURRENT_TICKER").otherwise("MAPPED_HISTORICAL_TICKER")
+    status = F.when(F.col("rules").isNull(), "AUTO_NEW_TICKER").when(F.size("__live") == 0, "OUTSIDE_VALIDITY").when(F.size("__live") > 1, several.cast("string")).otherwise(mapped)
+    first = F.get("rules", F.lit(0))  # rules are sorted by security_id
+    known = F.coalesce(chosen, first)
+    ident = F.when(F.col("rules").isNull(), security_id(F.col("ticker"))).otherwise(known["security_id"])
+    now = F.when(F.col("rules").isNull(), F.col("ticker")).otherwise(known["current"])
+    n = F.when(F.col("rules").isNotNull(), F.size("__live")).otherwise(0)
+    return joined.withColumns({"security_id": ident, "mapping_status": status, "current_ticker": now, "effective_rules": n}).drop("rules", "__live")
 
 
 def dedup_identity(rows: DataFrame, date: str = "date") -> DataFrame:
-    """Drop rows outside validity, then one row for each security and date: current ticker first, then the row's hash."""
+    """Drop rows outside validity, then one row for each security and date: mapped before unmapped, then by the row's hash."""
     inside = rows.where(F.col("mapping_status") != "OUTSIDE_VALIDITY")
     content = F.sha2(F.to_json(F.struct(*sorted(inside.columns))), 256)
-    w = Window.partitionBy("security_id", date).orderBy("priority", content) if "priority" in inside.columns else Window.partitionBy("security_id", date).orderBy(content)
+    unmapped = (F.col("mapping_status") == "AUTO_NEW_TICKER").cast("int")
+    w = Window.partitionBy("security_id", date).orderBy(unmapped, content)
     return inside.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 

@@ -18,9 +18,11 @@ def three_session_labels(clean: DataFrame, rules: DataFrame) -> DataFrame:
     The first failing check wins. The days T+1..T+3 are the entry dates that follow each other over all securities; a
     security's rows on them are looked up by equality, since a missing row is not a shifted one.
     """
-    successor = clean.select("prediction_date", "entry_date").distinct()
+    days = clean.groupBy("prediction_date").agg(F.min("entry_date").alias("entry_date"), F.max("entry_date").alias("last"))
+    several = F.raise_error(F.concat(F.lit("several entry dates of "), F.col("prediction_date").cast("string"))).cast("date")
+    successor = days.select("prediction_date", F.when(F.col("entry_date") == F.col("last"), F.col("entry_date")).when(F.col("last").isNotNull(), several).alias("entry_date"))
     after = lambda n, a, b: successor.select(F.col("prediction_date").alias(a), F.col("entry_date").alias(b))
-    rows = clean.join(F.broadcast(after(2, "entry_date", "date_2")), "entry_date", "left").join(F.broadcast(after(3, "date_2", "date_3")), "date_2", "left")
+    rows = clean.join(after(2, "entry_date", "date_2"), "entry_date", "left").join(after(3, "date_2", "date_3"), "date_2", "left")
     bar = clean.select("security_id", F.col("entry_date"), F.struct(*BARS).alias("bar"))
     for k in (2, 3):
         rows = rows.join(bar.select("security_id", F.col("entry_date").alias(f"date_{k}"), F.col("bar").alias(f"bar_{k}")), ["security_id", f"date_{k}"], "left")

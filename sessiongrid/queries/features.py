@@ -120,13 +120,26 @@ def internal_gaps(spark, sf_dir) -> DataFrame:
     return grid.internal_gaps(panel, grid.build_calendar(panel))
 
 
-@query(f"""WITH {sql.PW},\n{sql.GRID},\ngaps AS ({_GAPS})
-SELECT security_id, issue, longest_gap, missing_sessions FROM (
-  SELECT *, unnest(list_filter([CASE WHEN observed_sessions = 0 THEN 'NO_HISTORY_BOTH_PROVIDERS' END, CASE WHEN first_observed - DATE '1995-01-02' > 30 THEN 'LATE_SERIES_START' END,
-         CASE WHEN DATE '2001-10-29' - last_observed > 30 THEN 'EARLY_SERIES_END' END, CASE WHEN longest_gap >= 5 THEN 'INTERNAL_SESSION_GAP' END], lambda x: x IS NOT NULL)) AS issue FROM gaps)""", dates=())
+@query("""WITH o AS (SELECT DISTINCT printf('S%06d', l_suppkey) AS security_id, CAST(date_trunc('week', l_shipdate) AS DATE) AS d, l_linenumber > 4 AS b FROM lineitem WHERE l_suppkey % 10 <> 3 OR l_linenumber <= 4),
+cal AS (SELECT d, row_number() OVER (ORDER BY d) AS k FROM (SELECT DISTINCT d FROM o)),
+days AS (SELECT security_id, d, k, bool_or(NOT b) AS a, bool_or(b) AS b FROM o JOIN cal USING (d) GROUP BY ALL),
+per AS (SELECT security_id, min(d) AS first_observed, max(d) AS last_observed, bool_or(b) AS has_b, bool_or(a <> b) AS mismatch FROM days GROUP BY 1),
+g AS (SELECT security_id, coalesce(sum(miss), 0) AS gaps, coalesce(max(miss), 0) AS longest FROM (SELECT security_id, k - lag(k) OVER (PARTITION BY security_id ORDER BY k) - 1 AS miss FROM days JOIN per USING (security_id) WHERE days.b OR NOT has_b) GROUP BY 1),
+c AS (SELECT printf('S%06d', s_suppkey) AS security_id, s_suppkey % 9 = 0 AS symbol FROM supplier UNION ALL SELECT printf('X%06d', s_suppkey), false FROM supplier WHERE s_suppkey % 10 = 0),
+i AS (
+  SELECT security_id, first_observed, last_observed, gaps, longest, unnest(list_filter([CASE WHEN first_observed IS NULL THEN 'NO_HISTORY_BOTH_PROVIDERS' END, CASE WHEN first_observed > lo THEN 'LATE_SERIES_START' END, CASE WHEN last_observed < hi THEN 'EARLY_SERIES_END' END, CASE WHEN gaps > 0 THEN 'INTERNAL_SESSION_GAP' END,
+         CASE WHEN mismatch THEN 'PROVIDER_DATE_COVERAGE_MISMATCH' END, CASE WHEN symbol THEN 'PROVIDER_SYMBOL_OR_REDIRECT' END, CASE WHEN first_observed > lo OR last_observed < hi OR gaps > 0 THEN 'POSSIBLE_OLD_OR_NEW_TICKER_SIGNAL' END], lambda x: x IS NOT NULL)) AS issue_type
+  FROM c FULL JOIN per USING (security_id) LEFT JOIN g USING (security_id), (SELECT min(d) AS lo, max(d) AS hi FROM cal))
+SELECT security_id, issue_type, first_observed, last_observed, CASE WHEN issue_type = 'INTERNAL_SESSION_GAP' THEN gaps ELSE 0 END AS gap_sessions, CASE WHEN issue_type = 'INTERNAL_SESSION_GAP' THEN longest ELSE 0 END AS longest_gap FROM i""", dates=("first_observed", "last_observed"))
 def mapping_review(spark, sf_dir) -> DataFrame:
-    panel = bars.supplier_week(spark, sf_dir)
-    return coverage.review_issues(grid.internal_gaps(panel, grid.build_calendar(panel)), "1995-01-02", "2001-10-29")
+    """Two sources of supplier weeks: the lines 1 to 4 of orders and those from 5 on, of which each tenth supplier has none."""
+    items = bars.table(spark, sf_dir, "lineitem").where("l_suppkey % 10 <> 3 or l_linenumber <= 4")
+    observed = items.select(F.format_string("S%06d", "l_suppkey").alias("security_id"), F.to_date(F.date_trunc("week", "l_shipdate")).alias("date"), F.when(F.col("l_linenumber") > 4, "B").otherwise("A").alias("source"))
+    k = F.col("s_suppkey")
+    reason = F.when(k % 9 == 0, "Symbol NOT found").when(k % 9 == 1, "timeout")
+    suppliers = bars.table(spark, sf_dir, "supplier")
+    collected = suppliers.select(F.format_string("S%06d", k).alias("security_id"), reason.alias("failure_reason")).unionByName(suppliers.where(k % 10 == 0).select(F.format_string("X%06d", k).alias("security_id"), F.lit(None).cast("string").alias("failure_reason")))
+    return coverage.review_issues(observed, observed.select(F.col("date").alias("session_date")), collected)
 
 
 @query(f"WITH {sql.PN},\n{sql.GRID}\nSELECT p.prediction_date, c.session_index, l.prediction_date AS label_available_date FROM calendar p JOIN calendar c USING (prediction_date) LEFT JOIN calendar l ON l.session_index = c.session_index + 3", dates=("prediction_date", "label_available_date"))

@@ -33,26 +33,26 @@ def nominal_split_factor(spark, sf_dir) -> DataFrame:
 
 
 _MAP = """mapping AS (
-  SELECT printf('SEC%04d', s_suppkey) AS security_id, printf('S%06d', s_suppkey) AS ticker, DATE '1996-01-01' + CAST(s_suppkey % 50 AS INT) AS valid_from, CASE WHEN s_suppkey % 3 = 0 THEN DATE '1999-06-30' END AS valid_to
+  SELECT printf('SEC%04d', s_suppkey) AS security_id, printf('S%06d', s_suppkey) AS ticker, DATE '1996-01-01' + CAST(s_suppkey % 50 AS INT) AS valid_from, CASE WHEN s_suppkey % 3 = 0 THEN DATE '1999-06-30' END AS valid_to, s_suppkey % 3 <> 0 AS is_current
   FROM supplier WHERE s_suppkey % 4 <> 0
-  UNION ALL SELECT printf('SEC%04d', s_suppkey), printf('S%06d', s_suppkey + 1), DATE '1999-06-30' + 1, NULL FROM supplier WHERE s_suppkey % 12 = 3)"""
+  UNION ALL SELECT printf('SEC%04d', s_suppkey), printf('S%06d', s_suppkey + 1), DATE '1999-06-30' + 1, NULL, true FROM supplier WHERE s_suppkey % 12 = 3)"""
 
 
 def mapping(spark, sf_dir) -> DataFrame:
     """A mapping with open, closed and renamed tickers, from the supplier keys."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"))
     ident = F.format_string("SEC%04d", "k")
-    first = s.where("k % 4 <> 0").select(ident.alias("security_id"), F.format_string("S%06d", "k").alias("ticker"), F.date_add(F.lit("1996-01-01").cast("date"), (F.col("k") % 50).cast("int")).alias("valid_from"), F.when(F.col("k") % 3 == 0, F.lit("1999-06-30").cast("date")).alias("valid_to"))
-    second = s.where("k % 12 = 3").select(ident, F.format_string("S%06d", F.col("k") + 1), F.lit("1999-07-01").cast("date"), F.lit(None).cast("date"))
+    first = s.where("k % 4 <> 0").select(ident.alias("security_id"), F.format_string("S%06d", "k").alias("ticker"), F.date_add(F.lit("1996-01-01").cast("date"), (F.col("k") % 50).cast("int")).alias("valid_from"), F.when(F.col("k") % 3 == 0, F.lit("1999-06-30").cast("date")).alias("valid_to"), (F.col("k") % 3 != 0).alias("is_current_ticker"))
+    second = s.where("k % 12 = 3").select(ident, F.format_string("S%06d", F.col("k") + 1), F.lit("1999-07-01").cast("date"), F.lit(None).cast("date"), F.lit(True))
     return first.union(second)
 
 
 _RESOLVED = f"""rows AS (SELECT DISTINCT printf('S%06d', l_suppkey) AS ticker, CAST(date_trunc('month', l_shipdate) AS DATE) AS date FROM lineitem), {_MAP},
+now AS (SELECT security_id, arg_max(ticker, row(is_current, valid_from, ticker)) AS current FROM mapping GROUP BY 1),
 resolved AS (
-  SELECT r.ticker, r.date, CASE WHEN count(m.ticker) = 0 THEN 'AUTO' WHEN count(m.ticker) FILTER (live) = 0 THEN 'OUTSIDE_VALIDITY' WHEN count(m.ticker) FILTER (live) > 1 THEN 'AMBIGUOUS' ELSE 'MAPPED' END AS mapping_status,
-         CASE WHEN count(m.ticker) = 0 THEN 'SEC_' || substr(sha256('BIST:EQUITY:' || r.ticker), 1, 12) WHEN count(m.ticker) FILTER (live) = 0 THEN min(m.security_id) ELSE min(m.security_id) FILTER (live) END AS security_id,
-         CAST(count(m.ticker) FILTER (live) AS INT) AS effective_rules
-  FROM rows r LEFT JOIN (SELECT * FROM mapping) m ON m.ticker = r.ticker, LATERAL (SELECT coalesce(m.valid_from <= r.date AND r.date <= coalesce(m.valid_to, DATE '9999-12-31'), false) AS live)
+  SELECT r.ticker, r.date, CASE WHEN count(m.ticker) = 0 THEN 'AUTO_NEW_TICKER' WHEN count(m.ticker) FILTER (live) = 0 THEN 'OUTSIDE_VALIDITY' WHEN bool_or(is_current) FILTER (live) THEN 'MAPPED_CURRENT_TICKER' ELSE 'MAPPED_HISTORICAL_TICKER' END AS mapping_status,
+         CASE WHEN count(m.ticker) = 0 THEN 'SEC_' || substr(sha256('BIST:EQUITY:' || r.ticker), 1, 12) ELSE min(m.security_id) END AS security_id, coalesce(min(current), r.ticker) AS current_ticker, CAST(count(m.ticker) FILTER (live) AS INT) AS effective_rules
+  FROM rows r LEFT JOIN (SELECT * FROM mapping JOIN now USING (security_id)) m ON m.ticker = r.ticker, LATERAL (SELECT coalesce(m.valid_from <= r.date AND r.date <= coalesce(m.valid_to, DATE '9999-12-31'), false) AS live)
   GROUP BY 1, 2)"""
 
 
@@ -63,14 +63,18 @@ def _resolved(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {_RESOLVED}\nSELECT * FROM resolved", dates=("date",))
 def identity_resolve(spark, sf_dir) -> DataFrame:
-    return _resolved(spark, sf_dir).select("ticker", "date", "mapping_status", "security_id", "effective_rules")
+    return _resolved(spark, sf_dir).select("ticker", "date", "mapping_status", "security_id", "current_ticker", "effective_rules")
 
 
-@query(f"WITH {_RESOLVED}\nSELECT security_id, date, min(ticker) AS ticker, count(*) - 1 AS dropped FROM resolved WHERE mapping_status <> 'OUTSIDE_VALIDITY' GROUP BY 1, 2", dates=("date",))
+@query(f"""WITH {_RESOLVED}, twice AS (
+  SELECT *, sha256('{{"date":"' || date || '","mapping_status":"' || mapping_status || '","note":"' || note || '","security_id":"' || security_id || '","ticker":"' || ticker || '"}}') AS h
+  FROM (SELECT date, mapping_status, unnest(CASE WHEN CAST(substr(ticker, 2) AS INT) % 2 = 0 THEN ['a', 'b', 'c'] ELSE ['a'] END) AS note, security_id, ticker FROM resolved) WHERE mapping_status <> 'OUTSIDE_VALIDITY')
+SELECT security_id, date, arg_min(ticker, row(mapping_status = 'AUTO_NEW_TICKER', h)) AS ticker, arg_min(note, row(mapping_status = 'AUTO_NEW_TICKER', h)) AS note, count(*) - 1 AS dropped FROM twice GROUP BY 1, 2""", dates=("date",))
 def identity_dedup(spark, sf_dir) -> DataFrame:
-    rows = _resolved(spark, sf_dir).select("ticker", "date", "mapping_status", "security_id").withColumn("priority", F.col("ticker"))
+    notes = F.when(F.substring("ticker", 2, 6).cast("int") % 2 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("a")))
+    rows = _resolved(spark, sf_dir).select("ticker", "date", "mapping_status", "security_id", F.explode(notes).alias("note"))
     n = rows.where("mapping_status <> 'OUTSIDE_VALIDITY'").groupBy("security_id", "date").agg((F.count("*") - 1).alias("dropped"))
-    return identity.dedup_identity(rows).join(n, ["security_id", "date"]).select("security_id", "date", "ticker", "dropped")
+    return identity.dedup_identity(rows).join(n, ["security_id", "date"]).select("security_id", "date", "ticker", "note", "dropped")
 
 
 @query(f"""WITH {_MAP}, sec AS (SELECT printf('SEC%04d', s_suppkey) AS security_id, printf('S%06d', s_suppkey) AS ticker FROM supplier)

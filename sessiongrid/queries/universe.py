@@ -344,10 +344,18 @@ def scale_metrics(spark, sf_dir) -> DataFrame:
     return acceptance.scale_metrics(_compared(spark, sf_dir)).withColumn("mean_gap_pct", F.round("mean_gap_pct", 6))
 
 
-@query(f"""WITH {_CMP}, m AS (SELECT period, count(*) FILTER (has_other) / count(*) AS rate, count(*) FILTER (conflict) / greatest(count(*) FILTER (has_other), 1) AS bad FROM cmp2 GROUP BY 1)
-SELECT period, CASE WHEN rate >= 0.99 AND bad <= 0.01 THEN 'PASS' WHEN rate >= 0.495 THEN 'PARTIAL' ELSE 'FAIL' END AS verdict FROM m""", dates=())
+@query(f"""WITH {_CMP}, q AS (SELECT period, CASE WHEN has_other THEN inr END AS valid, period = '1997' AND s % 7 = 2 AS nofactor, NOT (period = '1998' AND s % 5 = 1) AS consistent, period <> '1999' AND s % 3 = 1 AS split, conflict FROM cmp2),
+m AS (SELECT period, bool_or(nofactor) AS nofactor, bool_and(consistent) AS consistent, bool_or(split) AS split, count(*) FILTER (valid IS NULL) AS missing_rows, count(*) FILTER (NOT valid) AS invalid_rows, count(*) FILTER (conflict) AS warning_rows FROM q GROUP BY 1),
+e AS (SELECT '2000' AS period, count(*) AS errors FROM region UNION ALL SELECT '1980', count(*) FROM region),
+r AS (SELECT period, coalesce(errors, 0) AS errors, coalesce(missing_rows, 0) AS missing_rows, coalesce(invalid_rows, 0) AS invalid_rows, coalesce(warning_rows, 0) AS warning_rows,
+        CASE WHEN errors > 0 THEN 'PROVIDER_ERRORS' WHEN nofactor THEN 'SPLIT_FACTOR_UNAVAILABLE' WHEN NOT consistent THEN 'NOMINAL_CONVERSION_INCONSISTENT' WHEN NOT split THEN 'NO_SPLIT_OBSERVED' ELSE 'ACCEPTED' END AS reason
+      FROM m FULL JOIN e USING (period))
+SELECT *, CASE reason WHEN 'ACCEPTED' THEN 'PASS' WHEN 'NO_SPLIT_OBSERVED' THEN 'PARTIAL' ELSE 'FAIL' END AS status FROM r""", dates=())
 def acceptance_verdict(spark, sf_dir) -> DataFrame:
-    return acceptance.verdict(acceptance.acceptance_metrics(_compared(spark, sf_dir)))
+    s, p = F.substring("ticker", 2, 3).cast("int"), F.col("period")
+    quality = _compared(spark, sf_dir).select("period", F.when(F.col("has_other"), F.col("open_in_range")).alias("valid_nominal_ohlc"), ((p == "1997") & (s % 7 == 2)).alias("split_factor_unavailable"), (~((p == "1998") & (s % 5 == 1))).alias("nominal_conversion_consistent"), ((p != "1999") & (s % 3 == 1)).alias("has_yfinance_split"), F.col("price_conflict").alias("cross_source_price_warning"))
+    errors = table(spark, sf_dir, "region").select(F.explode(F.array(F.lit("2000"), F.lit("1980"))).alias("period"))
+    return acceptance.acceptance_status(quality, errors)
 
 
 _RAW_INDEX = "SELECT CAST(epoch_ms(date_trunc('day', ts)) AS BIGINT) - 3 * 3600000 AS ms, sum(value) AS v FROM events GROUP BY 1"
@@ -418,34 +426,72 @@ def security_ids(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", security_id(F.col("c_name")).alias("security_id"))
 
 
-@query(r"""SELECT page_id, substr(regexp_replace(regexp_replace('failed: ' || url || ' token=abc', '(?i)(token|password|secret|api[_-]?key)\s*[=:]\s*\S+', '\1=<redacted>', 'g'), 'https?://\S+', '<url>', 'g'), 1, 500) AS message FROM pages""", dates=())
+@query(r"""SELECT page_id, substr(regexp_replace(regexp_replace(regexp_replace('failed: ' || url || '?api_key=k1&x=1 Authorization: abc123, token = t;1 secret:s', '(?i)(authorization\s*[:=]\s*)[^\s,;]+', '\1[REDACTED]', 'g'),
+  '(?i)((?:api[_-]?key|token|password|secret)\s*[:=]\s*)[^\s,;&]+', '\1[REDACTED]', 'g'), '(?i)([?&](?:api[_-]?key|token|password|secret)=)[^&\s]+', '\1[REDACTED]', 'g'), 1, 1000) AS message FROM pages""", dates=())
 def error_sanitizer(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", sanitized(F.concat(F.lit("failed: "), F.col("url"), F.lit(" token=abc"))).alias("message"))
+    text = F.concat(F.lit("failed: "), F.col("url"), F.lit("?api_key=k1&x=1 Authorization: abc123, token = t;1 secret:s"))
+    return table(spark, sf_dir, "pages").select("page_id", sanitized(text).alias("message"))
 
 
-_LISTED = """listed AS (SELECT CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'bad ticker' ELSE 'T' || printf('%04d', c_custkey % 10000) END AS ticker, CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 7 = 1 THEN 'ABC YATIRIM ORTAKLIĞI' WHEN c_custkey % 7 = 2 THEN 'XYZ BORSA YATIRIM FONU' ELSE 'SANAYI A.S.' END AS title, c_custkey FROM customer),
-uni AS (
-  SELECT l.*, m.market, CASE WHEN title IS NULL THEN 'UNKNOWN' WHEN title LIKE '%BORSA YATIRIM FONU%' THEN 'ETF' WHEN title LIKE '%YATIRIM ORTAKLIĞI%' THEN 'INVESTMENT_TRUST' ELSE 'EQUITY' END AS instrument_type
-  FROM listed l LEFT JOIN (SELECT 'T' || printf('%04d', c_custkey % 10000) AS ticker, any_value(c_mktsegment) AS market FROM customer WHERE c_custkey % 5 <> 0 GROUP BY 1) m ON m.ticker = l.ticker),
+_LISTED = """listed AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 10 = 3 THEN 'BORÇLANMA ARAÇLARI PİYASASI' ELSE 'PAY PİYASASI' END AS market_group, CASE WHEN c_custkey % 23 = 0 THEN 'EMTİA PAZARI' ELSE c_mktsegment END AS market_name,
+         CASE WHEN c_custkey % 17 = 0 THEN '' ELSE 'T' || printf('%07d', c_custkey) END AS candidate_ticker,
+         CASE c_custkey % 7 WHEN 1 THEN 'ABC YATIRIM ORTAKLIĞI A.Ş.' WHEN 2 THEN 'XYZ BORSA YATIRIM FONU' WHEN 3 THEN 'abc varant' WHEN 4 THEN '' ELSE 'SANAYİ A.Ş.' END AS company_name, 'oid' || c_custkey AS mkk_member_oid, CASE WHEN c_custkey % 31 = 0 THEN 'f1' ELSE '' END AS fund_oid
+  FROM customer),
+uni AS (SELECT *, CASE WHEN company_name LIKE '%BORSA YATIRIM FONU%' THEN 'ETF' WHEN company_name LIKE '%varant%' THEN 'WARRANT' WHEN fund_oid <> '' THEN 'FUND' ELSE 'EQUITY' END AS instrument_type FROM listed),
 au AS (
-  SELECT *, CASE WHEN ticker IS NULL THEN 'MISSING_TICKER' WHEN NOT regexp_full_match(ticker, '[A-Z0-9]{3,6}') THEN 'INVALID_TICKER' WHEN market IS NULL THEN 'NOT_ON_A_MARKET' WHEN market = 'MACHINERY' THEN 'EXCLUDED_MARKET' WHEN instrument_type = 'UNKNOWN' THEN 'UNKNOWN_INSTRUMENT' WHEN instrument_type <> 'EQUITY' THEN 'NOT_AN_EQUITY' END AS exclusion_reason FROM uni)"""
+  SELECT *, CASE WHEN k % 41 = 0 THEN 'KAP_MEMBERSHIP_ENDED' WHEN market_group <> 'PAY PİYASASI' THEN 'NOT_PAY_MARKET' WHEN market_name = 'EMTİA PAZARI' THEN 'NON_EQUITY_MARKET' WHEN instrument_type <> 'EQUITY' THEN instrument_type
+                 WHEN candidate_ticker = '' THEN 'MISSING_TICKER' WHEN k % 5 = 0 AND k % 10 <> 0 THEN 'NOT_ACTIVE_KAP_BIST_COMPANY' ELSE '' END AS exclusion_reason FROM uni)"""
+
+
+def _market_pages(spark, sf_dir) -> DataFrame:
+    """A page for each nation; its script pushes groups of markets with their lists."""
+    k = F.col("c_custkey")
+    group = F.when(k % 10 == 3, "BORÇLANMA ARAÇLARI PİYASASI").otherwise("PAY PİYASASI")
+    market = F.when(k % 23 == 0, "EMTİA PAZARI").otherwise(F.col("c_mktsegment"))
+    title = F.when(k % 7 == 1, "ABC YATIRIM ORTAKLIĞI A.Ş.").when(k % 7 == 2, "XYZ BORSA YATIRIM FONU").when(k % 7 == 3, "abc varant").when(k % 7 != 4, "SANAYİ A.Ş.")
+    item = F.struct(F.when(k % 17 != 0, F.format_string(" t%07d.is ", k)).alias("stockCode"), title.alias("title"), F.lit("T").alias("types"), F.concat(F.lit("oid"), k).alias("mkkMemberOid"), F.when(k % 31 == 0, "f1").alias("fundOid"))
+    rows = table(spark, sf_dir, "customer").groupBy("c_nationkey", group.alias("g"), market.alias("m")).agg(F.collect_list(item).alias("list"))
+    markets = F.struct(F.concat(F.lit("fm"), "m").alias("financialMarketOid"), F.col("m").alias("marketName"), F.concat(F.lit("mo"), "m").alias("marketOid"), F.col("list").alias("marketDetailContentList"))
+    groups = rows.groupBy("c_nationkey", "g").agg(F.collect_list(markets).alias("contents"))
+    data = groups.groupBy("c_nationkey").agg(F.struct(F.collect_list(F.struct(F.col("g").alias("title"), "contents")).alias("data")).alias("record"))
+    pushed = F.to_json(F.array(F.lit("1"), F.concat(F.lit("15:"), F.to_json("record"))))
+    return data.select(F.col("c_nationkey").cast("long").alias("page_id"), F.concat(F.lit("<html><script>self.__next_f.push("), pushed, F.lit(")</script></html>")).alias("html"))
+
+
+MARKETS_SCHEMA = "struct<data:array<struct<title:string,contents:array<struct<financialMarketOid:string,marketName:string,marketOid:string,marketDetailContentList:array<struct<stockCode:string,title:string,types:string,mkkMemberOid:string,fundOid:string>>>>>>>"
+
+
+def _markets(spark, sf_dir) -> DataFrame:
+    return html.market_rows(html.script_payloads(_market_pages(spark, sf_dir), MARKETS_SCHEMA))
+
+
+@query(f"WITH {_LISTED}\nSELECT market_group, 'fm' || market_name AS financial_market_oid, market_name, 'mo' || market_name AS market_oid, company_name, 'T' AS types, mkk_member_oid, fund_oid, candidate_ticker FROM listed", dates=())
+def kap_markets(spark, sf_dir) -> DataFrame:
+    return _markets(spark, sf_dir)
 
 
 def _active(spark, sf_dir) -> DataFrame:
     k = F.col("c_custkey")
-    ticker = F.format_string("T%04d", (k % 10000).cast("int"))
     customers = table(spark, sf_dir, "customer")
-    listed = customers.select("c_custkey", F.when(k % 17 == 0, None).when(k % 13 == 0, "bad ticker").otherwise(ticker).alias("ticker"), F.when(k % 19 == 0, None).when(k % 7 == 1, "ABC YATIRIM ORTAKLIĞI").when(k % 7 == 2, "XYZ BORSA YATIRIM FONU").otherwise("SANAYI A.S.").alias("title"))
-    markets = customers.where(k % 5 != 0).select(ticker.alias("ticker"), F.col("c_mktsegment").alias("market"))
-    return html.active_universe(listed, markets, ["MACHINERY"])
+    # of each tenth customer the ticker is known and not the member
+    companies = customers.where((k % 5 != 0) | (k % 10 == 0)).select(F.concat(F.lit("oid"), F.when(k % 10 == 0, -k).otherwise(k)).alias("mkk_member_oid"), F.format_string("T%07d", k).alias("ticker"))
+    ended = customers.where(k % 41 == 0).select(F.concat(F.lit("oid"), k).alias("mkk_member_oid"))
+    return html.active_universe(_markets(spark, sf_dir), companies, ended)
 
 
-@query(f"WITH {_LISTED}\nSELECT c_custkey, ticker, title, market, instrument_type, exclusion_reason FROM au", dates=())
+@query(f"""WITH {_LISTED}
+SELECT candidate_ticker, company_name, mkk_member_oid, market_name, instrument_type, exclusion_reason, exclusion_reason = '' AS include_in_v1, CASE WHEN exclusion_reason = '' THEN 'SEC_' || substr(sha256('BIST:EQUITY:' || candidate_ticker), 1, 12) ELSE '' END AS security_id FROM au""", dates=())
 def active_universe(spark, sf_dir) -> DataFrame:
-    return _active(spark, sf_dir).select("c_custkey", "ticker", "title", "market", "instrument_type", "exclusion_reason")
+    return _active(spark, sf_dir).select("candidate_ticker", "company_name", "mkk_member_oid", "market_name", "instrument_type", "exclusion_reason", "include_in_v1", "security_id")
 
 
 @query(f"""WITH {_LISTED}
-SELECT 'market' AS dimension, coalesce(market, 'NONE') AS value, count(*) AS n FROM au GROUP BY 2 UNION ALL SELECT 'instrument_type', instrument_type, count(*) FROM au GROUP BY 2 UNION ALL SELECT 'exclusion_reason', coalesce(exclusion_reason, 'NONE'), count(*) FROM au GROUP BY 2""", dates=())
+SELECT 'market_name' AS dimension, market_name AS value, count(*) AS n FROM au GROUP BY 2 UNION ALL SELECT 'instrument_type', instrument_type, count(*) FROM au GROUP BY 2 UNION ALL SELECT 'exclusion_reason', CASE WHEN exclusion_reason = '' THEN 'NONE' ELSE exclusion_reason END, count(*) FROM au GROUP BY 2""", dates=())
 def active_universe_summary(spark, sf_dir) -> DataFrame:
     return html.universe_summary(_active(spark, sf_dir))
+
+
+@query(r"SELECT page_id, strip_accents(lower(" + _VISIBLE + r")) LIKE '%the%' AND strip_accents(lower(" + _VISIBLE + r")) LIKE '%of%' AS mentions FROM pages", dates=())
+def html_mentions(spark, sf_dir) -> DataFrame:
+    return html.mentions(table(spark, sf_dir, "pages"), ["the", "of"])

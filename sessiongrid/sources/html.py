@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fold_accents
-
-#: Instrument types by patterns in the upper-case title, in order (fixed values).
-INSTRUMENTS = [("VARANT", "WARRANT"), ("SERTİFİKA", "CERTIFICATE"), ("BORSA YATIRIM FONU", "ETF"), ("GAYRİMENKUL YATIRIM FONU", "REAL_ESTATE_FUND"), ("YATIRIM FONU", "FUND"), ("YATIRIM ORTAKLIĞI", "INVESTMENT_TRUST")]
+from ..functions.nulls import is_true
+from ..functions.text import fold_accents, normalize_ticker, security_id
+
+#: Instrument types by parts of the upper-case title, the first that fits (fixed values).
+INSTRUMENTS = [
+    ("ETF", ["BORSA YATIRIM FONU"]),
+    ("FUND", ["YATIRIM FONU", "EMEKLİLİK FONU", "FON SEPETİ"]),
+    ("WARRANT", ["VARANT"]),
+    ("CERTIFICATE", ["SERTİFİKA"]),
+    ("RIGHTS_COUPON", ["RÜÇHAN", "YENİ PAY ALMA HAKKI"]),
+    ("DEBT_INSTRUMENT", ["TAHVİL", "BONO", "BORÇLANMA ARACI"]),
+    ("LEASE_CERTIFICATE", ["KİRA SERTİFİK"]),
+]
+#: The group of markets of shares, and its markets that hold no shares (fixed values).
+SHARE_MARKETS = "PAY PİYASASI"
+OTHER_MARKETS = ["YAPILANDIRILMIŞ ÜRÜNLER VE FON PAZARI", "EMTİA PAZARI"]
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -50,33 +62,56 @@ def companies(records: DataFrame) -> DataFrame:
     return rows.select("mkkMemberOid", F.col("kapMemberTitle").alias("title"), codes.alias("ticker"), "cityName", "kapMemberType").where("ticker <> ''").dropDuplicates()
 
 
-def instrument_type(title: Column, default: str = "EQUITY") -> Column:
-    out = F.lit(default)
-    for pattern, kind in reversed(INSTRUMENTS):
-        out = F.when(F.upper(title).contains(pattern), kind).otherwise(out)
-    return F.when(title.isNull(), "UNKNOWN").otherwise(out)
+def market_rows(records: DataFrame) -> DataFrame:
+    """Groups of markets with their lists (three levels) as one row for each listed instrument; nulls become empty."""
+    groups = records.select(F.explode("record.data").alias("g"))
+    markets = groups.select(F.col("g.title").alias("market_group"), F.explode("g.contents").alias("m"))
+    listed = markets.select("market_group", "m.financialMarketOid", "m.marketName", "m.marketOid", F.explode("m.marketDetailContentList").alias("i"))
+    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    ticker = F.coalesce(normalize_ticker(F.col("i.stockCode")), F.lit(""))
+    names = {"market_group": "market_group", "financial_market_oid": "financialMarketOid", "market_name": "marketName", "market_oid": "marketOid", "company_name": "i.title", "types": "i.types", "mkk_member_oid": "i.mkkMemberOid", "fund_oid": "i.fundOid"}
+    return listed.select(*[text(c).alias(name) for name, c in names.items()], ticker.alias("candidate_ticker"))
+
+
+def instrument_type(title: Column, fund_oid: Column) -> Column:
+    """By the title; where none fits, a fund if it has a fund's identifier, else a share."""
+    upper = F.upper(F.coalesce(title, F.lit("")))
+    out = F.when(F.trim(F.coalesce(fund_oid, F.lit(""))) != "", "FUND").otherwise("EQUITY")
+    for kind, parts in reversed(INSTRUMENTS):
+        fits = F.lit(False)
+        for part in parts:
+            fits = fits | upper.contains(part)
+        out = F.when(fits, kind).otherwise(out)
+    return out
 
 
-def active_universe(listed: DataFrame, markets: DataFrame, excluded: list[str]) -> DataFrame:
-    """Listed securities (ticker, title) with market, instrument_type and the first reason to leave them out."""
-    known = markets.select("ticker", "market").dropDuplicates(["ticker"])
-    rows = listed.join(known, "ticker", "left").withColumn("instrument_type", instrument_type(F.col("title")))
+def active_universe(markets: DataFrame, companies: DataFrame, ended: DataFrame) -> DataFrame:
+    """The rows of markets (market_rows) with instrument_type, the first reason to leave them out, and security_id.
+
+    companies: mkk_member_oid and ticker of active ones; ended: mkk_member_oid of former members. One row stays one row.
+    """
+    flag = lambda df, c, name: df.where(F.col(c) != "").select(F.col(c).alias(f"{name}_key")).distinct().withColumn(name, F.lit(True))
+    rows = markets.withColumn("instrument_type", instrument_type(F.col("company_name"), F.col("fund_oid")))
+    for df, c, name, own in [(ended, "mkk_member_oid", "has_ended", "mkk_member_oid"), (companies, "mkk_member_oid", "active_oid", "mkk_member_oid"), (companies, "ticker", "active_code", "candidate_ticker")]:
+        known = flag(df, c, name)
+        rows = rows.join(known, rows[own] == known[f"{name}_key"], "left").drop(f"{name}_key")
     reason = (
-        F.when(F.col("ticker").isNull() | (F.col("ticker") == ""), "MISSING_TICKER")
-        .when(~F.col("ticker").rlike("^[A-Z0-9]{3,6}$"), "INVALID_TICKER")
-        .when(F.col("market").isNull(), "NOT_ON_A_MARKET")
-        .when(F.col("market").isin(excluded), "EXCLUDED_MARKET")
-        .when(F.col("instrument_type") == "UNKNOWN", "UNKNOWN_INSTRUMENT")
-        .when(F.col("instrument_type") != "EQUITY", "NOT_AN_EQUITY")
+        F.when(is_true(F.col("has_ended")), "KAP_MEMBERSHIP_ENDED")
+        .when(F.col("market_group") != SHARE_MARKETS, "NOT_PAY_MARKET")
+        .when(F.col("market_name").isin(OTHER_MARKETS), "NON_EQUITY_MARKET")
+        .when(F.col("instrument_type") != "EQUITY", F.col("instrument_type"))
+        .when(F.col("candidate_ticker") == "", "MISSING_TICKER")
+        .when(~is_true(F.col("active_oid")) & ~is_true(F.col("active_code")), "NOT_ACTIVE_KAP_BIST_COMPANY")
+        .otherwise("")
     )
-    return rows.withColumn("exclusion_reason", reason)
+    rows = rows.withColumn("exclusion_reason", reason).drop("has_ended", "active_oid", "active_code").withColumn("include_in_v1", F.col("exclusion_reason") == "")
+    return rows.withColumn("security_id", F.when(F.col("include_in_v1"), security_id(F.col("candidate_ticker"))).otherwise(""))
 
 
 def universe_summary(universe: DataFrame) -> DataFrame:
-    """Counts by market, by instrument type and by reason, as grouping sets."""
-    sets = universe.groupingSets([["market"], ["instrument_type"], ["exclusion_reason"]], "market", "instrument_type", "exclusion_reason")
-    g = F.grouping_id()
-    out = sets.agg(g.alias("g"), F.count("*").alias("n"))
-    dimension = F.when(F.col("g") == 3, "market").when(F.col("g") == 5, "instrument_type").otherwise("exclusion_reason")
-    value = F.when(F.col("g") == 3, F.col("market")).when(F.col("g") == 5, F.col("instrument_type")).otherwise(F.col("exclusion_reason"))
-    return out.select(dimension.alias("dimension"), F.coalesce(value, F.lit("NONE")).alias("value"), "n")
+    """Counts by market, by instrument type and by reason (NONE for those that stay), as grouping sets."""
+    sets = universe.groupingSets([["market_name"], ["instrument_type"], ["exclusion_reason"]], "market_name", "instrument_type", "exclusion_reason")
+    out = sets.agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
+    dimension = F.when(F.col("g") == 3, "market_name").when(F.col("g") == 5, "instrument_type").otherwise("exclusion_reason")
+    value = F.when(F.col("g") == 3, F.col("market_name")).when(F.col("g") == 5, F.col("instrument_type")).otherwise(F.col("exclusion_reason"))
+    return out.select(dimension.alias("dimension"), F.when(value == "", "NONE").otherwise(value).alias("value"), "n")

@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from sessiongrid.functions.text import fold_accents, normalize_ticker, security_id
-from sessiongrid.operators import cleaning, coverage, folds, identity, labels, metrics, nominal, ticks
+from sessiongrid.functions.text import fold_accents, normalize_ticker, sanitized, security_id
+from sessiongrid.operators import acceptance, cleaning, coverage, folds, identity, labels, metrics, nominal, ticks
+from sessiongrid.sources import html
 
 DAY = dt.date(2024, 1, 2)
 SESSIONS = [dt.date(2024, 1, d) for d in (2, 3, 4, 5, 8, 9, 10)]
@@ -42,11 +43,52 @@ def test_later_splits_only(spark):
 
 
 def test_identity_by_date(spark):
-    mapping = spark.createDataFrame([("SEC1", "ESKI", dt.date(2020, 3, 13), dt.date(2024, 1, 3)), ("SEC1", "YENI", dt.date(2024, 1, 4), None)], "security_id string, ticker string, valid_from date, valid_to date")
+    schema = "security_id string, ticker string, valid_from date, valid_to date, is_current_ticker boolean"
+    mapping = spark.createDataFrame([("SEC1", "ESKI", dt.date(2020, 3, 13), dt.date(2024, 1, 3), False), ("SEC1", "YENI", dt.date(2024, 1, 4), None, True)], schema)
     rows = spark.createDataFrame([("ESKI", dt.date(2024, 1, 3)), ("ESKI", dt.date(2024, 1, 4)), ("YENI", dt.date(2024, 1, 4)), ("DIGER", DAY)], "ticker string, date date")
-    got = {(r["ticker"], r["date"].day): (r["mapping_status"], r["security_id"][:4]) for r in identity.resolve(rows, mapping).collect()}
-    assert got == {("ESKI", 3): ("MAPPED", "SEC1"), ("ESKI", 4): ("OUTSIDE_VALIDITY", "SEC1"), ("YENI", 4): ("MAPPED", "SEC1"), ("DIGER", 2): ("AUTO", "SEC_")}
+    got = {(r["ticker"], r["date"].day): (r["mapping_status"], r["security_id"][:4], r["current_ticker"]) for r in identity.resolve(rows, mapping).collect()}
+    assert got == {("ESKI", 3): ("MAPPED_HISTORICAL_TICKER", "SEC1", "YENI"), ("ESKI", 4): ("OUTSIDE_VALIDITY", "SEC1", "YENI"), ("YENI", 4): ("MAPPED_CURRENT_TICKER", "SEC1", "YENI"), ("DIGER", 2): ("AUTO_NEW_TICKER", "SEC_", "DIGER")}
     assert identity.overlaps(mapping, "security_id").count() == 0
+    both = mapping.union(spark.createDataFrame([("SEC2", "YENI", dt.date(2024, 1, 2), None, True)], schema))
+    with pytest.raises(Exception, match="several mapping rules for YENI on 2024-01-04"):
+        identity.resolve(rows, both).collect()
+
+
+def test_mapped_rows_come_before_unmapped(spark):
+    rows = spark.createDataFrame([("S", DAY, "AUTO_NEW_TICKER", "A"), ("S", DAY, "MAPPED_HISTORICAL_TICKER", "Z"), ("T", DAY, "OUTSIDE_VALIDITY", "B")], "security_id string, date date, mapping_status string, ticker string")
+    assert [r["ticker"] for r in identity.dedup_identity(rows).collect()] == ["Z"]
+
+
+def test_issues_of_two_sources(spark):
+    day = lambda d: dt.date(2024, 1, d)
+    observed = spark.createDataFrame([("FULL", day(d), s) for d in (2, 3, 4, 5) for s in "AB"] + [("LATE", day(d), s) for d in (3, 5) for s in "AB"] + [("ONLY", day(d), "A") for d in (2, 3, 4, 5)], "security_id string, date date, source string")
+    calendar = spark.createDataFrame([(day(d),) for d in (2, 3, 4, 5)], "session_date date")
+    collected = spark.createDataFrame([("FULL", "possibly Delisted"), ("LATE", None), ("NONE", None)], "security_id string, failure_reason string")
+    got = {(r["security_id"], r["issue_type"]): r["longest_gap"] for r in coverage.review_issues(observed, calendar, collected).collect()}
+    assert got == {("FULL", "PROVIDER_SYMBOL_OR_REDIRECT"): 0, ("LATE", "LATE_SERIES_START"): 0, ("LATE", "INTERNAL_SESSION_GAP"): 1, ("LATE", "POSSIBLE_OLD_OR_NEW_TICKER_SIGNAL"): 0, ("ONLY", "PROVIDER_DATE_COVERAGE_MISMATCH"): 0, ("NONE", "NO_HISTORY_BOTH_PROVIDERS"): 0}
+
+
+def test_acceptance_has_no_threshold(spark):
+    row = lambda p, valid, none, same, split, warn: (p, valid, none, same, split, warn)
+    quality = spark.createDataFrame([row("a", True, False, True, True, True), row("a", None, False, True, False, True), row("b", True, False, True, False, False), row("c", True, True, True, True, False), row("d", False, False, True, True, False), row("e", None, False, True, True, None), row("f", True, False, False, True, False), row("g", True, False, True, True, False)], "period string, valid_nominal_ohlc boolean, split_factor_unavailable boolean, nominal_conversion_consistent boolean, has_yfinance_split boolean, cross_source_price_warning boolean")
+    errors = spark.createDataFrame([("g",), ("h",)], "period string")
+    got = {r["period"]: (r["status"], r["reason"]) for r in acceptance.acceptance_status(quality, errors).collect()}
+    assert got == {"a": ("PASS", "ACCEPTED"), "b": ("PARTIAL", "NO_SPLIT_OBSERVED"), "c": ("FAIL", "SPLIT_FACTOR_UNAVAILABLE"), "d": ("FAIL", "NO_VALID_ROW"), "e": ("FAIL", "NO_EVALUABLE_ROW"), "f": ("FAIL", "NOMINAL_CONVERSION_INCONSISTENT"), "g": ("FAIL", "PROVIDER_ERRORS"), "h": ("FAIL", "PROVIDER_ERRORS")}
+
+
+def test_universe_reasons_and_instruments(spark):
+    names = ["market_group", "market_name", "candidate_ticker", "company_name", "mkk_member_oid", "fund_oid"]
+    rows = [("PAY PİYASASI", "YILDIZ", "AAA", "Sanayi Yatırım Ortaklığı A.Ş.", "o1", ""), ("PAY PİYASASI", "YILDIZ", "BBB", "X BORSA YATIRIM FONU", "o2", "f"), ("PAY PİYASASI", "YILDIZ", "CCC", "SANAYİ", "o3", "f"), ("PAY PİYASASI", "EMTİA PAZARI", "DDD", "SANAYİ", "o4", ""), ("TAHVİL", "YILDIZ", "EEE", "SANAYİ", "o5", ""), ("PAY PİYASASI", "YILDIZ", "", "SANAYİ", "o6", ""), ("PAY PİYASASI", "YILDIZ", "GGG", "SANAYİ", "o7", ""), ("PAY PİYASASI", "YILDIZ", "HHH", "SANAYİ", "o8", ""), ("PAY PİYASASI", "YILDIZ", "III", "X RÜÇHAN", "o9", "")]
+    companies = spark.createDataFrame([("o1", "Q"), ("zz", "GGG"), ("o6", "R")], "mkk_member_oid string, ticker string")
+    ended = spark.createDataFrame([("o3",), ("",)], "mkk_member_oid string")
+    got = {r["mkk_member_oid"]: (r["instrument_type"], r["exclusion_reason"]) for r in html.active_universe(spark.createDataFrame(rows, names), companies, ended).collect()}
+    assert got == {"o1": ("EQUITY", ""), "o2": ("ETF", "ETF"), "o3": ("FUND", "KAP_MEMBERSHIP_ENDED"), "o4": ("EQUITY", "NON_EQUITY_MARKET"), "o5": ("EQUITY", "NOT_PAY_MARKET"), "o6": ("EQUITY", "MISSING_TICKER"), "o7": ("EQUITY", ""), "o8": ("EQUITY", "NOT_ACTIVE_KAP_BIST_COMPANY"), "o9": ("RIGHTS_COUPON", "RIGHTS_COUPON")}
+
+
+def test_credentials_are_hidden(spark):
+    df = spark.createDataFrame([("Authorization: Bearer; x",), ("GET /p?api_key=k&b=1 token = t, Password:p",), (None,), ("x" * 2000,)], "m string")
+    got = [r[0] for r in df.select(sanitized(F.col("m"))).collect()]
+    assert got == ["Authorization: [REDACTED]; x", "GET /p?api_key=[REDACTED]&b=1 token = [REDACTED], Password:[REDACTED]", "", "x" * 1000]
 
 
 VOLUMES = [(0.0, 0.0, "BOTH_VOLUMES_ZERO"), (None, None, "BOTH_VOLUMES_MISSING_UNRESOLVED"), (5.0, None, "SOURCE_VOLUME_CONFLICT"), (5.0, 0.0, "SOURCE_VOLUME_CONFLICT"), (-1.0, 2.0, "INVALID_VOLUME_REQUIRES_REVIEW"), (0.0, None, "VOLUME_EVIDENCE_INSUFFICIENT"), (1.0, 1.0, "POSITIVE_VOLUME_CONFIRMED")]
