@@ -45,7 +45,7 @@ def test_file_is_a_valid_archive(spark):
     import gzip
 
     path = new_folder(spark, "warc")
-    warc.write_archives(warc.with_types(spark.createDataFrame([(1, "http://h/", "ab" * 30), (2, "http://h/2", "ab" * 30)], PAGE)).coalesce(1), path, chunk=50)
+    warc.write_archives(spark.createDataFrame([(1, "http://h/", "ab" * 30), (2, "http://h/2", "ab" * 30), (3, "http://h/3", "c" * 50), (4, None, "")], PAGE).coalesce(1), path, chunk=50)
     data = b"".join(gzip.open(f).read() for f in sorted(glob.glob(path.removeprefix("file://") + "/part-*.gz")))
     records = 0
     while data:
@@ -54,16 +54,25 @@ def test_file_is_a_valid_archive(spark):
         n = int(dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])[b"Content-Length"])
         assert rest[n : n + 4] == b"\r\n\r\n"
         data, records = rest[n + 4 :], records + 1
-    assert records == 2
+    assert records == 4
 
 
 def test_chunk_table_carries_running_digests(spark):
-    typed = warc.with_types(spark.createDataFrame([(1, "u", "abcdef")], PAGE))
-    rows = warc.chunk_table(typed, 4).orderBy("chunk").collect()
+    rows = warc.chunk_table(spark.createDataFrame([(1, "u", "abcdef")], PAGE), chunk=4).orderBy("chunk").collect()
     assert [r["chunk"] for r in rows] == [0, 1, 2, 3, 4]
     assert rows[1]["digest"] == hashlib.sha1(b"abcd").hexdigest() and rows[2]["digest"] == hashlib.sha1(b"abcdef").hexdigest()
 
 
+def test_long_payload_and_clashing_columns(spark):
+    text = "payload \u00fc\r\n" * 400_000
+    df = spark.createDataFrame([("a>b c", "u", text, 1, "x"), ("null", "u", "s", 2, "y"), (None, "u", "s", 3, "z")], "page_id string, url string, html string, chunk int, sha string")
+    got = {r["page_id"]: r for r in warc.archive(df, new_folder(spark, "warc")).collect()}
+    assert got["a>b c"]["payload_digest"] == b32(text.encode()) and got["a>b c"]["payload_bytes"] == len(text.encode())
+    assert (got["null"]["record_type"], got[None]["record_type"], got[None]["refers_to"]) == ("response", "revisit", "null")
+    rows = warc.chunk_table(df).groupBy("record").count().collect()
+    assert max(r["count"] for r in rows) == -(-len(text.encode()) // warc.CHUNK) + 3
+
+
 def test_empty(spark):
     assert warc.archive(spark.createDataFrame([], PAGE), new_folder(spark, "warc")).count() == 0
 
