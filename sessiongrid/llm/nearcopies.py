@@ -29,7 +29,7 @@ from . import simhash
 from .common import cut, keep_table, text_key
 
 THRESHOLD = 0.8
-BROADCAST_TEXTS = 2_000_000
+BROADCAST_TEXTS, BROADCAST_BYTES = 2_000_000, 32 << 20
 #: Bits of a set's map.
 MAP = 1024
 
@@ -115,9 +115,10 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
     edges = cut(simhash.links(rows.select("fp").distinct()).unionByName(same))
     roots = simhash.components(edges)
 
-    posts = rows.where("n > 0").dropDuplicates(["cls"]).select("cls", "fp", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = posts.groupBy("token").agg(F.count("*").alias("posts")).where("posts > 1").select("token")
-    met = keep_table(posts.join(shared.hint("shuffle_hash"), "token").select("token", "cls", "fp", "n", "pos"), "meetings")
+    posts = keep_table(rows.where("n > 0").select("cls", "fp", "n", "prefix").dropDuplicates(["cls"]), "sets").select("cls", "fp", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = cut(posts.groupBy("token").agg(F.count("*").alias("posts")).where("posts > 1").select("token"))
+    few = shared.count() * 16 <= BROADCAST_BYTES  # a token and its place in the table of the join
+    met = keep_table(posts.join(F.broadcast(shared) if few else shared.hint("shuffle_hash"), "token").select("token", "cls", "fp", "n", "pos"), "meetings")
 
     def mixed(roots: DataFrame) -> DataFrame:
         """met with the class so far, where a token has several."""
