@@ -120,23 +120,23 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
     few = shared.count() * 16 <= BROADCAST_BYTES  # a token and its place in the table of the join
     met = keep_table(posts.join(F.broadcast(shared) if few else shared.hint("shuffle_hash"), "token").select("token", "cls", "fp", "n", "pos"), "meetings")
 
-    def mixed(roots: DataFrame) -> DataFrame:
-        """met with the class so far, where a token has several."""
-        known = met.join(roots, met["fp"] == roots["node"], "left").select("token", "cls", "n", "pos", F.coalesce("root", "fp").alias("root"))
-        several = known.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-        return known.join(several, "token")
+    def known(roots: DataFrame) -> DataFrame:
+        """met with the class so far."""
+        return met.join(roots, met["fp"] == roots["node"], "left").select("token", "cls", "n", "pos", F.coalesce("root", "fp").alias("root"))
 
     apart = F.col("root") != F.col("root2")
     # shared tokens can stand before both places, or from there on
     most = F.least("pos", "pos2") + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
     close = (F.least("n", "n2") * 1000 >= F.greatest("n", "n2") * t) & (most >= _least(t))
-    now = cut(mixed(roots))
-    lead = now.groupBy("token").agg(F.min("cls").alias("other"), F.min_by("n", "cls").alias("n2"), F.min_by("pos", "cls").alias("pos2"), F.min_by("root", "cls").alias("root2"))
-    first = cut(now.join(lead, "token").where(apart & close).select("cls", "other", "n", "n2").distinct())
+    # one aggregation gives the tokens of several classes and their first set
+    lead = known(roots).groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("cls", "n", "pos", "root")).alias("x")).where("low <> high")
+    lead = lead.select("token", F.col("x.cls").alias("other"), F.col("x.n").alias("n2"), F.col("x.pos").alias("pos2"), F.col("x.root").alias("root2"))
+    first = cut(known(roots).join(lead, "token").where(apart & close).select("cls", "other", "n", "n2").distinct())
     edges = edges.unionByName(_verified(docs, rows, first, words, t))
     roots = simhash.components(edges)
 
-    now = cut(mixed(roots))
+    several = known(roots).groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
+    now = known(roots).join(several, "token")
     other = now.select("token", F.col("cls").alias("other"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("root").alias("root2"))
     pairs = now.join(other, "token").where((F.col("other") < F.col("cls")) & apart & close).select("cls", "other", "n", "n2").distinct()
     pairs = cut(pairs.join(first, ["cls", "other"], "left_anti"))
