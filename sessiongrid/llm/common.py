@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a new temporary one only where that is unset (tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; a new temporary one where that is unset in local mode."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="sessiongrid-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -77,18 +77,22 @@ def _least(t: int) -> Column:
 
 
 def _mapped(rows: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
-    """The pairs (cls, other, n, n2) whose maps allow that similarity."""
+    """(cls, other, differ) of the pairs (cls, other, n, n2) whose maps, which differ in that many bits, allow that similarity."""
     wanted = pairs.select("cls").union(pairs.select(F.col("other").alias("cls"))).distinct()
     maps = cut(rows.select("cls", "map").join(wanted, "cls").groupBy("cls").agg(F.first("map").alias("map")))
     both = pairs.join(maps, "cls").join(maps.select(F.col("cls").alias("other"), F.col("map").alias("map2")), "other")
     bits = F.zip_with("map", "map2", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     differ = F.aggregate(bits, F.lit(0), lambda acc, x: acc + x)
-    return cut(both.where(F.col("n") + F.col("n2") - differ >= 2 * _least(t)).select("cls", "other"))
+    return cut(both.withColumn("differ", differ).where(F.col("n") + F.col("n2") - F.col("differ") >= 2 * _least(t)).select("cls", "other", "differ"))
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """(cls, other): of each set the one whose map differs least."""
+    return cut(pairs.groupBy("cls").agg(F.min(F.struct("differ", "other")).alias("x")).select("cls", "x.other"))
 
 
 def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, t: int) -> DataFrame:
-    """(a, b): fingerprints of the pairs (cls, other, n, n2) whose sets have that similarity."""
-    pairs = _mapped(rows, pairs, t)
+    """(a, b): fingerprints of the pairs (cls, other) whose sets have that similarity."""
     wanted = pairs.select("cls").union(pairs.select(F.col("other").alias("cls"))).distinct()
     places = cut(rows.join(wanted, "cls").groupBy("cls").agg(F.min("key").alias("key"), F.min("fp").alias("fp")))
     few = places.count() <= BROADCAST_TEXTS
@@ -131,7 +135,8 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
     # one aggregation gives the tokens of several classes and their first set
     lead = known(roots).groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("cls", "n", "pos", "root")).alias("x")).where("low <> high")
     lead = lead.select("token", F.col("x.cls").alias("other"), F.col("x.n").alias("n2"), F.col("x.pos").alias("pos2"), F.col("x.root").alias("root2"))
-    first = cut(known(roots).join(lead, "token").where(apart & close).select("cls", "other", "n", "n2").distinct())
+    met_lead = cut(known(roots).join(lead, "token").where(apart & close).select("cls", "other", "n", "n2").distinct())
+    first = _nearest(_mapped(rows, met_lead, t))
     edges = edges.unionByName(_verified(docs, rows, first, words, t))
     roots = simhash.components(edges)
 
@@ -139,8 +144,15 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
     now = known(roots).join(several, "token")
     other = now.select("token", F.col("cls").alias("other"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("root").alias("root2"))
     pairs = now.join(other, "token").where((F.col("other") < F.col("cls")) & apart & close).select("cls", "other", "n", "n2").distinct()
-    pairs = cut(pairs.join(first, ["cls", "other"], "left_anti"))
-    return simhash.components(edges.unionByName(_verified(docs, rows, pairs, words, t)))
+    # whole sets are large, so each meets its nearest one first, and others only while their classes are still apart
+    pairs = _mapped(rows, cut(pairs.join(first, ["cls", "other"], "left_anti")), t)
+    near = _nearest(pairs)
+    edges = edges.unionByName(_verified(docs, rows, near, words, t))
+    roots = simhash.components(edges)
+    fps = rows.groupBy("cls").agg(F.min("fp").alias("fp"))
+    classes = fps.join(roots, fps["fp"] == roots["node"], "left").select("cls", F.coalesce("root", "fp").alias("root"))
+    left = pairs.join(near, ["cls", "other"], "left_anti").join(classes, "cls").join(classes.select(F.col("cls").alias("other"), F.col("root").alias("root2")), "other")
+    return simhash.components(edges.unionByName(_verified(docs, rows, cut(left.where(apart).select("cls", "other")), words, t)))
 
 
 def near_copies(docs: DataFrame, words: int, threshold: float = THRESHOLD) -> DataFrame:
