@@ -8,8 +8,8 @@ of them. The steps:
    first n - ceil(threshold * n) + 1 of n shingle hashes in ascending order. Similar sets share a prefix token.
 2. Classes by SimHash, and by equal sets.
 3. Sets of different classes meet where they share a prefix token, under length, positional and bitmap filters (hashes
-   toggle bits of a map; sets whose maps differ in k bits differ in k shingles at least), and Jaccard is verified on the
-   whole sets. First each set meets the first one of its tokens, so that a large group becomes one
+   toggle bits of a map of two bits or more for each shingle; sets whose maps differ in k bits differ in k shingles at
+   least; the longer of two maps is folded to the length of the shorter), and Jaccard is verified on the whole sets. First each set meets the first one of its tokens, so that a large group becomes one
    class without meeting pair by pair; then those meet that are still in different classes.
 
 Texts without words are one class. XXH64 hashes stand for shingles and texts.
@@ -30,7 +30,7 @@ from .common import cut, keep_table, text_key
 
 THRESHOLD = 0.8
 BROADCAST_TEXTS, BROADCAST_BYTES = 2_000_000, 32 << 20
-#: Bits of a set's map.
+#: Bits of a set's map at least; maps are powers of two.
 MAP = 1024
 
 
@@ -44,7 +44,9 @@ def _prefix(n: int, t: int) -> int:
 
 
 def bitmap(own: np.ndarray) -> np.ndarray:
-    return np.packbits((np.bincount(own & (MAP - 1), minlength=MAP) & 1).astype(np.uint8)).view(np.int64)
+    """Parities of the hashes by their low bits; a map of too few bits for its set would tell nothing."""
+    bits = max(MAP, 1 << (2 * len(own)).bit_length())
+    return np.packbits((np.bincount(own & (bits - 1), minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
 def shingle_rows(docs: DataFrame, words: int, t: int) -> DataFrame:
@@ -76,12 +78,20 @@ def _least(t: int) -> Column:
     return F.ceil((F.col("n") + F.col("n2")) * F.lit(t) / F.lit(1000 + t) - F.lit(1e-9))
 
 
+def _folded(column: str, words: Column) -> Column:
+    """A map folded to so many words (a power of two): the parities by fewer low bits."""
+    parts = F.sequence(F.lit(1), (F.size(column) / words).cast("int") - 1)
+    whole = F.aggregate(parts, F.slice(column, F.lit(1), words), lambda acc, k: F.zip_with(acc, F.slice(column, k * words + 1, words), lambda a, b: a.bitwiseXOR(b)))
+    return F.when(F.size(column) == words, F.col(column)).otherwise(whole)
+
+
 def _mapped(rows: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
     """(cls, other, differ) of the pairs (cls, other, n, n2) whose maps, which differ in that many bits, allow that similarity."""
     wanted = pairs.select("cls").union(pairs.select(F.col("other").alias("cls"))).distinct()
     maps = cut(rows.select("cls", "map").join(wanted, "cls").groupBy("cls").agg(F.first("map").alias("map")))
     both = pairs.join(maps, "cls").join(maps.select(F.col("cls").alias("other"), F.col("map").alias("map2")), "other")
-    bits = F.zip_with("map", "map2", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    least = F.least(F.size("map"), F.size("map2"))
+    bits = F.zip_with(_folded("map", least), _folded("map2", least), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
     differ = F.aggregate(bits, F.lit(0), lambda acc, x: acc + x)
     return cut(both.withColumn("differ", differ).where(F.col("n") + F.col("n2") - F.col("differ") >= 2 * _least(t)).select("cls", "other", "differ"))
 
@@ -105,7 +115,7 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, t:
                 sets = [shingle_set(list(simhash.shingle_hashes(x.as_py(), words))) for x in some.column(2)]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "fp", "tokens"])
 
-    sets = keep_table(texts.mapInArrow(run, "cls long, fp long, tokens array<long>").dropDuplicates(["cls"]), "tokens")
+    sets = keep_table(texts.dropDuplicates(["cls"]).mapInArrow(run, "cls long, fp long, tokens array<long>"), "tokens")
     both = pairs.join(sets, "cls").join(sets.select(F.col("cls").alias("other"), F.col("fp").alias("fp2"), F.col("tokens").alias("tokens2")), "other")
     common = F.size(F.array_intersect("tokens", "tokens2"))
     return cut(both.where(common * 1000 >= (F.size("tokens") + F.size("tokens2") - common) * t).select(F.col("fp").alias("a"), F.col("fp2").alias("b")))

@@ -53,3 +53,24 @@ def test_one_row_of_each_group_without_ids_or_with_repeated_ones(spark, sf_dir):
     df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], DOCS).repartition(3)
     got = [(r["doc_id"], r["text"]) for r in pipeline.drop_near_copies(spark, df, sf_dir).collect()]
     assert sorted(got, key=str) == sorted([(1, a), (2, b), (3, c), (None, d)], key=str)
+
+
+def test_long_texts_that_share_a_passage_are_told_apart_by_their_maps(spark):
+    """Maps of different lengths count no more differing bits than there are differing shingles, and enough to tell texts apart."""
+    import numpy as np
+
+    from sessiongrid.llm import nearcopies
+
+    rng = np.random.default_rng(3)
+    common = rng.integers(-(2**63), 2**63 - 1, 4000)
+    more = [np.unique(np.concatenate([common[:share], rng.integers(-(2**63), 2**63 - 1, n - share)])) for share, n in ((4000, 4000), (4000, 4600), (500, 4600), (3600, 4090))]
+    rows = [(k, len(x), [int(v) for v in nearcopies.bitmap(x)]) for k, x in enumerate(more)]
+    assert len({len(m) for _, _, m in rows}) == 2
+    frame = spark.createDataFrame(rows, "cls long, n int, map array<long>")
+    pairs = spark.createDataFrame([(i, j, len(more[i]), len(more[j])) for i in range(4) for j in range(i)], "cls long, other long, n int, n2 int")
+    got = {(r["cls"], r["other"]): r["differ"] for r in nearcopies._mapped(frame, pairs, 800).collect()}
+    for (i, j), differ in got.items():
+        assert differ <= len(np.setxor1d(more[i], more[j]))
+    similar = {(i, j) for i in range(4) for j in range(i) if len(np.intersect1d(more[i], more[j])) >= 0.8 * len(np.union1d(more[i], more[j]))}
+    assert similar <= set(got)
+    assert not {p for p in got if 2 in p}
