@@ -57,18 +57,21 @@ def shingle_rows(docs: DataFrame, words: int, t: int) -> DataFrame:
     schema = T.StructType([chosen.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("key", "fp", "cls")), T.StructField("n", T.IntegerType()), *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("prefix", "map"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
         for batch in batches:
-            fps, classes, sizes, prefixes, maps = [], [], [], [], []
-            for text in batch.column(2):
-                blocks = list(simhash.shingle_hashes(text.as_py(), words))
-                own = shingle_set(blocks)
-                fps.append(simhash.majority(blocks))
-                classes.append(xxhash.xxh64_intdigest(own.tobytes()))
-                sizes.append(len(own))
-                prefixes.append(own[: _prefix(len(own), t)])
-                maps.append(bitmap(own))
-            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), signed(fps), signed(classes), pa.array(sizes, pa.int32()), *(pa.array(x, pa.list_(pa.int64())) for x in (prefixes, maps))], names=schema.names)
+            for k in range(0, batch.num_rows, 256):
+                some = batch.slice(k, 256)
+                fps, classes, sizes, prefixes, maps = [], [], [], [], []
+                for text in some.column(2):
+                    blocks = list(simhash.shingle_hashes(text.as_py(), words))
+                    own = shingle_set(blocks)
+                    fps.append(simhash.majority(blocks))
+                    classes.append(xxhash.xxh64_intdigest(own.tobytes()))
+                    sizes.append(len(own))
+                    prefixes.append(own[: _prefix(len(own), t)].copy())  # a view would keep the whole set
+                    maps.append(bitmap(own))
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (prefixes, maps)]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), signed(fps), signed(classes), pa.array(sizes, pa.int32()), *lists], names=schema.names)
 
     return chosen.mapInArrow(run, schema)
 
