@@ -6,6 +6,9 @@ means n sessions, because the grid has a row for each session. Cross-sectional r
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,17 +29,17 @@ BASE = list(HISTORY)
 FEATURES = BASE + list(RANKS)
 MIN_CROSS_SECTION = 20
 USES_BENCHMARK = {"market_ret_1", "relative_ret_1", "relative_ret_5", "relative_ret_20"}
-#: Inputs that a feature reads, for its reasons.
-READS = {f: ["close"] for f in BASE} | {
-    "distance_from_high_20": ["close", "high"], "true_range_pct": ["close", "high", "low"], "range_expansion_5_20": ["close", "high", "low"],
-    "log_median_tl_volume_20": ["tl_volume"], "tl_volume_ratio_5_20": ["tl_volume"], "tl_volume_zscore_20": ["tl_volume"], "tl_volume_cv_20": ["tl_volume"],
-    "amihud_20": ["close", "tl_volume"], "overnight_gap": ["close", "open"], "intraday_return": ["close", "open"], "close_location_value": ["close", "high", "low"],
-    "market_ret_1": [],
-}
+USES_VOLUME = {"log_median_tl_volume_20", "tl_volume_ratio_5_20", "tl_volume_zscore_20", "tl_volume_cv_20", "amihud_20"}
+REASONS = ["warm_up", "source_missing", "invalid_math", "xu100_missing", "cross_section_insufficient", "infinite_replaced"]
 
 
 def base_features(grid: DataFrame) -> DataFrame:
     """grid (densified bars with benchmark_close) with the 28 base features; infinite ones become null."""
+    return _computed(grid).select(*grid.columns, *[finite(F.col(f)).alias(f) for f in BASE])
+
+
+def _computed(grid: DataFrame) -> DataFrame:
+    """grid with the 28 base features as computed."""
     o, h, low, c, v, m = (F.col(f"_{x}") for x in ("open", "high", "low", "close", "tl_volume", "benchmark_close"))
     clean = grid.withColumns({f"_{x}": positive(F.col(x)) for x in ("open", "high", "low", "close", "tl_volume", "benchmark_close")})
     lag = lambda x, n: F.lag(x, n).over(security())
@@ -98,7 +101,7 @@ def base_features(grid: DataFrame) -> DataFrame:
         "market_ret_1": F.col("_m1"),
         **{f"relative_ret_{n}": F.col(f"_r{n}") - F.col(f"_m{n}") for n in (1, 5, 20)},
     }
-    return step.select(*grid.columns, *[finite(made[f]).alias(f) for f in BASE])
+    return step.select(*grid.columns, *[made[f].alias(f) for f in BASE])
 
 
 def cross_sectional(rows: DataFrame, minimum: int = MIN_CROSS_SECTION) -> DataFrame:
@@ -122,42 +125,68 @@ def all_features(grid: DataFrame) -> DataFrame:
     return cross_sectional(base_features(grid).where("_source_row_present"))
 
 
-def reasons(grid: DataFrame) -> DataFrame:
-    """Observed rows by feature (long form) with the reasons of a missing value.
+def _with_reasons(grid: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Observed rows, and for each of the 32 features a struct of its name, whether it is missing, and its reasons.
 
-    warm_up: fewer sessions since the security's first one than the feature needs; source_missing and xu100_missing:
-    an input is missing within that history; invalid_math: inputs are there but the value is not.
+    A row is within n sessions of the last bad input if the running maximum of bad sessions is: six maxima over one sort
+    serve all histories.
     """
-    rows = base_features(grid)
-    first = F.min(F.when(F.col("_source_row_present"), F.col("session_index"))).over(Window.partitionBy("security_id"))
-    rows = rows.withColumn("_age", F.col("session_index") - first + 1)
-    usable = {x: positive(F.col(x)).isNull() for x in ("open", "high", "low", "close", "tl_volume", "benchmark_close")}
-    spans = sorted({HISTORY[f] for f in BASE})
-    flags = {f"_miss_{x}_{n}": F.max(usable[x].cast("int")).over(last_rows(n)) for x in usable for n in spans}
-    rows = rows.withColumns(flags)
+    price, volume, index = ("open", "high", "low", "close"), ("tl_volume",), ("benchmark_close",)
+    number = lambda x: F.col(x).try_cast("double")
+    lacks = lambda x: number(x).isNull() | F.isnan(number(x))
+    endless = lambda x: is_true(F.abs(number(x)) == float("inf"))
+    some = lambda test, names: functools.reduce(operator.or_, map(test, names))
+    past = security().rowsBetween(Window.unboundedPreceding, 0)
+    session = F.col("session_index")
+    bad = {f"_{kind}_{name}": some(test, names) for kind, test in (("no", lacks), ("inf", endless)) for name, names in (("price", price), ("volume", volume), ("index", index))}
+    last = {name: session - F.max(F.when(cond, session)).over(past) for name, cond in bad.items()}
+    age = session - F.min(F.when(F.col("_source_row_present"), session)).over(past)
+    rows = _computed(grid).withColumns(last | {"_age": age}).where("_source_row_present")
+    rows = rows.withColumns({f"_made_{f}": F.abs(F.col(f)) == float("inf") for f in BASE} | {f: finite(F.col(f)) for f in BASE})
+    rows = cross_sectional(rows)
 
     def of(f: str) -> Column:
-        n = HISTORY[f]
-        inputs = [F.col(f"_miss_{x}_{n}") for x in READS[f]]
-        source = is_true(F.greatest(*inputs, F.lit(0), F.lit(0)) == 1)
-        index = is_true(F.col(f"_miss_benchmark_close_{n}") == 1) if f in USES_BENCHMARK else F.lit(False)
-        warm = is_true(F.col("_age") < n)
-        missing = F.col(f).isNull()
-        return F.struct(
-            F.lit(f).alias("feature"), missing.alias("missing"), (missing & warm).alias("warm_up"), (missing & ~warm & source).alias("source_missing"),
-            (missing & ~warm & index).alias("xu100_missing"), (missing & ~warm & ~source & ~index).alias("invalid_math"),
-        )
+        base = RANKS.get(f, f)
+        n = HISTORY[base]
+        within = lambda kind, names: functools.reduce(operator.or_, [is_true(F.col(f"_{kind}_{x}") < n) for x in names], F.lit(False))
+        inputs = ["volume"] if base in USES_VOLUME else ["price"]
+        if base == "amihud_20":
+            inputs = ["volume", "price"]
+        market = ["index"] if base in USES_BENCHMARK else []
+        none = F.col(base).isNull()
+        warm = none & is_true(F.col("_age") < n - 1)
+        source = none & ~warm & within("no", [] if base == "market_ret_1" else inputs)
+        no_index = none & ~warm & within("no", market)
+        thin = ~none & F.col(f).isNull()
+        replaced = is_true(F.col(f"_made_{base}")) | (none & within("inf", inputs + market))
+        found = dict(zip(REASONS, (warm, source, none & ~warm & ~source & ~no_index, no_index, thin, replaced)))
+        return F.struct(F.lit(f).alias("feature"), F.col(f).isNull().alias("missing"), *[c.alias(r) for r, c in found.items()])
+
+    return rows, [of(f) for f in FEATURES]
 
-    rows = rows.where("_source_row_present")
-    return rows.select("security_id", "prediction_date", F.inline(F.array(*[of(f) for f in BASE])))
+
+def reasons(grid: DataFrame) -> DataFrame:
+    """Observed rows by feature (long form) with the reasons of a missing value.
+
+    warm_up: fewer sessions since the security's first one than the feature needs. source_missing, xu100_missing: prices
+    or volume, or the index, are null within that history. invalid_math: none of these. cross_section_insufficient: too
+    few values of the day for a rank, which else has the reasons of what it ranks. infinite_replaced: the value was
+    infinite, or is missing with an infinite input within its history.
+    """
+    rows, flags = _with_reasons(grid)
+    return rows.select("security_id", "prediction_date", F.inline(F.array(*flags)))
 
 
 def quality(grid: DataFrame) -> DataFrame:
-    """One row for each base feature: rows, valid and missing values, and how often each reason applies."""
-    count = lambda c: F.count_if(c).alias(c)
-    return reasons(grid).groupBy("feature").agg(
-        F.count("*").alias("n_rows"), F.count_if(~F.col("missing")).alias("valid"), count("missing"), count("warm_up"), count("source_missing"), count("xu100_missing"), count("invalid_math")
-    )
+    """One row for each of the 32 features: rows, valid and missing values, and how often each reason applies.
+
+    The counts of all features are one aggregation of the wide rows, unfolded when they are a single row.
+    """
+    rows, flags = _with_reasons(grid)
+    names = ["missing", *REASONS]
+    wide = rows.agg(F.count("*").alias("n_rows"), *[F.count_if(flag[c]).alias(f"{f}__{c}") for f, flag in zip(FEATURES, flags) for c in names])
+    lines = [F.struct(F.lit(f).alias("feature"), "n_rows", (F.col("n_rows") - F.col(f"{f}__missing")).alias("valid"), *[F.col(f"{f}__{c}").alias(c) for c in names]) for f in FEATURES]
+    return wide.select(F.inline(F.array(*lines)))
 
 
 def daily_quality(features: DataFrame) -> DataFrame:

@@ -75,20 +75,30 @@ def grid_densify(spark, sf_dir) -> DataFrame:
 
 
 def _reason_sql() -> str:
-    inputs = {"open": "o", "high": "h", "low": "l", "close": "c", "tl_volume": "v"}
-    parts = []
-    for f in features.BASE:
-        n = features.HISTORY[f]
-        miss = lambda x: f"max(CAST({x} IS NULL AS INT)) OVER (PARTITION BY security_id ORDER BY session_index ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) = 1"  # noqa: B023, E731
-        source = " OR ".join(miss(inputs[x]) for x in features.READS[f]) or "false"
-        index = miss("m") if f in features.USES_BENCHMARK else "false"
-        parts.append(f"SELECT security_id, prediction_date, present, '{f}' AS feature, {f} IS NULL AS missing, age < {n} AS warm, ({source}) AS src, ({index}) AS idx FROM aged")
-    aged = "aged AS (SELECT *, session_index - min(CASE WHEN present THEN session_index END) OVER (PARTITION BY security_id) + 1 AS age FROM base)"
-    flags = "flags AS (SELECT security_id, prediction_date, feature, missing, missing AND warm AS warm_up, missing AND NOT warm AND src AS source_missing, missing AND NOT warm AND idx AS xu100_missing, missing AND NOT warm AND NOT src AND NOT idx AS invalid_math FROM (" + " UNION ALL ".join(parts) + ") WHERE present)"
-    return f"WITH {sql.PW},\n{sql.BASE_CTES},\n{aged},\n{flags}\n"
-
-
-@query(_reason_sql() + "SELECT feature, CAST(sum(CAST(missing AS INT)) AS BIGINT) AS missing, CAST(sum(CAST(warm_up AS INT)) AS BIGINT) AS warm_up, CAST(sum(CAST(source_missing AS INT)) AS BIGINT) AS source_missing, CAST(sum(CAST(xu100_missing AS INT)) AS BIGINT) AS xu100_missing, CAST(sum(CAST(invalid_math AS INT)) AS BIGINT) AS invalid_math, count(*) AS n_rows, CAST(sum(CAST(NOT missing AS INT)) AS BIGINT) AS valid FROM flags GROUP BY feature", dates=())
+    parts, frames = [], {}
+
+    def near(names: list[str], n: int) -> str:
+        for x in names:
+            frames[f"{x}_{n}"] = f"max({x}) OVER (PARTITION BY security_id ORDER BY session_index ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) = 1"
+        return " OR ".join(f"{x}_{n}" for x in names) or "false"
+
+    for f in features.FEATURES:
+        base = sql.RANK_SQL.get(f, f)
+        n = features.HISTORY[base]
+        source = {"market_ret_1": [], "amihud_20": ["no_volume", "no_price"]}.get(base, ["no_volume"] if base in features.USES_VOLUME else ["no_price"])
+        index = near(["no_index"], n) if base in features.USES_BENCHMARK else "false"
+        parts.append(f"SELECT security_id, prediction_date, '{f}' AS feature, {f} IS NULL AS missing, {base} IS NULL AS none, age < {n - 1} AS warm, ({near(source, n)}) AS src, ({index}) AS idx FROM ranked")
+    raw = "SELECT *, CAST(o IS NULL OR h IS NULL OR l IS NULL OR c IS NULL AS INT) AS no_price, CAST(v IS NULL AS INT) AS no_volume, CAST(m IS NULL AS INT) AS no_index FROM base"
+    aged = f"aged AS (SELECT *, session_index - min(CASE WHEN present THEN session_index END) OVER (PARTITION BY security_id) AS age, {', '.join(f'{e} AS {x}' for x, e in frames.items())} FROM ({raw}))"
+    ranked = f"ranked AS (SELECT *, {', '.join(f'{sql.rank(x)} AS {n}' for n, x in sql.RANK_SQL.items())} FROM aged WHERE present)"
+    flags = "flags AS (SELECT security_id, prediction_date, feature, missing, none AND warm AS warm_up, none AND NOT warm AND src AS source_missing, none AND NOT warm AND NOT src AND NOT idx AS invalid_math, none AND NOT warm AND idx AS xu100_missing, missing AND NOT none AS cross_section_insufficient, false AS infinite_replaced FROM (" + " UNION ALL ".join(parts) + "))"
+    return f"WITH {sql.PW},\n{sql.BASE_CTES},\n{aged},\n{ranked},\n{flags}\n"
+
+
+_COUNTS = ", ".join(f"CAST(sum(CAST({x} AS INT)) AS BIGINT) AS {x}" for x in ("missing", *features.REASONS))
+
+
+@query(f"{_reason_sql()}SELECT feature, {_COUNTS}, count(*) AS n_rows, CAST(sum(CAST(NOT missing AS INT)) AS BIGINT) AS valid FROM flags GROUP BY feature", dates=())
 def feat_quality(spark, sf_dir) -> DataFrame:
     return features.quality(dense(bars.supplier_week(spark, sf_dir)))
 

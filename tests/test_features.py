@@ -99,3 +99,25 @@ def test_partitioning_changes_nothing(spark):
     a = features.base_features(densify(df, build_calendar(df), df.groupBy("prediction_date").agg({"close": "avg"}).withColumnRenamed("avg(close)", "benchmark_close")))
     b = features.base_features(densify(df.repartition(17), build_calendar(df), df.groupBy("prediction_date").agg({"close": "avg"}).withColumnRenamed("avg(close)", "benchmark_close")))
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_reasons_of_missing_values(spark):
+    df = panel(spark, drop=range(3), change=lambda i: {"close": None} if i == 8 else {"high": math.inf} if i == 14 else {"open": 0.0} if i == 20 else {})
+    index = spark.createDataFrame([(dt.date(2024, 1, 1) + dt.timedelta(i), None if i == 24 else 7000.0 + i) for i in range(30)], "prediction_date date, benchmark_close double")
+    grid = densify(df, build_calendar(index), index)
+    got = {}
+    for r in features.reasons(grid).collect():
+        got[(r["feature"], (r["prediction_date"] - dt.date(2024, 1, 1)).days)] = {x for x in features.REASONS if r[x]}
+    assert got["ret_1", 3] == {"warm_up"} and got["ret_1", 4] == set()
+    assert got["ret_1", 8] == got["ret_1", 9] == {"source_missing"} and got["ret_1", 10] == set()
+    assert got["true_range_pct", 14] == {"invalid_math", "infinite_replaced"} and got["true_range_pct", 16] == set()
+    assert got["intraday_return", 20] == {"invalid_math"} and got["overnight_gap", 21] == set()
+    assert got["relative_ret_1", 24] == got["market_ret_1", 25] == {"xu100_missing"}
+    assert got["relative_ret_1", 9] == {"source_missing"} and got["market_ret_1", 9] == set()
+    # one security, where a rank needs 20
+    assert got["cs_ret_1_rank", 5] == {"cross_section_insufficient"} and got["cs_ret_1_rank", 8] == {"source_missing"}
+    counts = {r["feature"]: r for r in features.quality(grid).collect()}
+    assert len(counts) == 32 and all(r["valid"] + r["missing"] == r["n_rows"] == 27 for r in counts.values())
+    for f, r in counts.items():
+        for x in features.REASONS:
+            assert r[x] == sum(x in reasons for (name, _), reasons in got.items() if name == f), (f, x)
