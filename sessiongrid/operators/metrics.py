@@ -92,3 +92,9 @@ def calibration(scores: DataFrame, bins: int = 10) -> DataFrame:
     number = F.when(F.col("place") < big, F.floor(F.col("place") / (size + 1))).otherwise(more + F.floor((F.col("place") - big) / size)) + 1
     out = rows.groupBy(number.cast("int").alias("bin")).agg(F.count("*").alias("n_rows"), F.avg("probability").alias("mean_prediction"), F.avg("label").alias("observed_rate"))
     return out.withColumn("gap", F.abs(F.col("mean_prediction") - F.col("observed_rate")))
+
+
+def calibration_gap(scores: DataFrame, bins: int = 10) -> DataFrame:
+    """One row: requested and effective bins, labelled rows, and the bins' gaps weighted by their rows."""
+    size = F.sum("n_rows")
+    return calibration(scores, bins).agg(F.lit(bins).alias("requested_bins"), F.count("*").alias("effective_bins"), size.cast("long").alias("n_rows"), (F.sum(F.col("n_rows") * F.col("gap")) / size).alias("weighted_gap"))

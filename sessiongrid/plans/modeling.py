@@ -1,7 +1,7 @@
 """Fitting, scoring and recording walk-forward models with Spark's own learners.
 
-The learner is an interface: anything with ``fit(fit, validation)`` whose result has ``score(rows)``. The default is a
-logistic regression of spark.ml on imputed features; boosted trees are the other choice. Results are not those of other
+The learner is an interface: anything whose ``fit(fit, validation)`` gives a function that scores rows. The default is
+a logistic regression of spark.ml on the 32 features, imputed; boosted trees are the other choice. Results are not those of other
 libraries' boosters.
 """
 
@@ -15,47 +15,88 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.nulls import number
 from ..operators import folds as fold_ops
 from ..operators import metrics
 from ..operators.features import FEATURES
 
 
+def model_matrix(rows: DataFrame, features: tuple[str, ...] = tuple(FEATURES)) -> DataFrame:
+    """rows with the features as doubles in their fixed order behind all other columns; what is no number is null."""
+    missing = sorted(set(features) - set(rows.columns))
+    if missing:
+        raise ValueError(f"features are missing: {missing}")
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in features], *[number(F.col(f)).alias(f) for f in features])
+
+
 @dataclass(frozen=True)
 class Learner:
-    """Median imputation, assembly and a classifier of spark.ml."""
+    """Median imputation, assembly and a classifier of spark.ml whose complexity the validation rows choose.
+
+    trees: boosting stops when the validation loss no longer falls. logistic: of the penalties, the one with the least
+    validation log loss.
+    """
 
     kind: str = "logistic"
     features: tuple[str, ...] = tuple(FEATURES)
+    penalties: tuple[float, ...] = (0.1, 0.01, 0.001)
 
-    def fit(self, fit: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    def fit(self, fit: DataFrame, validation: DataFrame) -> Callable[[DataFrame], DataFrame]:
         from pyspark.ml import Pipeline
         from pyspark.ml.classification import GBTClassifier, LogisticRegression
         from pyspark.ml.feature import Imputer, VectorAssembler
         from pyspark.ml.functions import vector_to_array
 
-        known = fit.agg(*[F.count(f).alias(f) for f in self.features]).first().asDict()
-        used = [f for f in self.features if known[f]]
+        both = model_matrix(fit.withColumn("__held", F.lit(False)).unionByName(validation.withColumn("__held", F.lit(True))), self.features)
+        both = both.withColumn("label", F.col("label").cast("double"))
+        counts = both.groupBy("__held").agg(F.countDistinct("label").alias("classes"), *[F.count(f"`{f}`").alias(f) for f in self.features])
+        seen = {r["__held"]: r for r in counts.collect()}
+        if len(seen) < 2 or any(r["classes"] != 2 for r in seen.values()):
+            raise ValueError("fit and validation rows must each hold both classes")
+        used = [f for f in self.features if seen[False][f]]
         filled = [f"__{f}" for f in used]
-        last = GBTClassifier(labelCol="label", maxIter=20, seed=42) if self.kind == "trees" else LogisticRegression(labelCol="label", regParam=0.01, maxIter=30)
-        stages = [Imputer(inputCols=used, outputCols=filled, strategy="median"), VectorAssembler(inputCols=filled, outputCol="features"), last]
-        model = Pipeline(stages=stages).fit(fit.withColumn("label", F.col("label").cast("double")))
-        return lambda rows: model.transform(rows).withColumn("probability", vector_to_array("probability")[1]).drop("features", "rawPrediction", "prediction", *filled)
+        prepare = Pipeline(stages=[Imputer(inputCols=used, outputCols=filled, strategy="median"), VectorAssembler(inputCols=filled, outputCol="features")]).fit(both.where(~F.col("__held")))
+        ready = prepare.transform(both).select("__held", "label", "features").persist()
+        try:
+            if self.kind == "trees":
+                model = GBTClassifier(labelCol="label", maxIter=100, maxDepth=4, seed=42, validationIndicatorCol="__held").fit(ready)
+            else:
+                probability = F.least(F.greatest(vector_to_array("probability")[1], F.lit(1e-15)), F.lit(1 - 1e-15))
+                loss = F.avg(-F.when(F.col("label") == 1, F.log(probability)).otherwise(F.log(1 - probability)))
+                models = [LogisticRegression(labelCol="label", regParam=x, maxIter=30).fit(ready.where(~F.col("__held"))) for x in self.penalties]
+                losses = [m.transform(ready.where("__held")).agg(loss.alias("loss")).first()["loss"] for m in models]
+                model = models[losses.index(min(losses))]
+        finally:
+            ready.unpersist()
+        made = ["features", "rawPrediction", "prediction", *filled]
+        return lambda rows: model.transform(prepare.transform(model_matrix(rows, self.features))).withColumn("probability", vector_to_array("probability")[1]).drop(*made)
 
 
-def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldConfig, learner: Learner | None = None) -> DataFrame:
-    """Out-of-sample scores of every fold's test rows: fold_id, key, label (as known), probability and daily rank.
+def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldConfig, as_of: str, learner: Learner | None = None, threshold: float = 0.5) -> DataFrame:
+    """Out-of-sample scores of every fold's test rows, with daily ranks within each fold.
 
-    One fit for each fold; the driver iterates over folds (tens), never over rows.
+    fold_id, security_id, prediction_date, prediction_eligible, label, label_status, probability, predicted_class (1 from
+    the threshold on). Labels that were not available as of the date are blanked (status NA). A fold learns from fit
+    and validation rows alone; one fit for each fold: the driver iterates over folds (tens), never over rows. The split
+    panel is a checkpoint, if the session has a folder for them, so no fold computes it again.
     """
     learner = learner or Learner()
     table = fold_ops.folds(calendar, config)
-    parts = fold_ops.split(panel, table).persist()  # each fold fits and scores from it
+    parts = fold_ops.split(panel, table)
+    if panel.sparkSession.sparkContext.getCheckpointDir():
+        parts = parts.checkpoint()
+    known = F.coalesce(F.col("label_available_date") <= F.lit(as_of).cast("date"), F.lit(False))
     out = None
     for row in table.select("fold_id").orderBy("fold_id").collect():
         own = parts.where(F.col("fold_id") == row["fold_id"])
-        score = learner.fit(own.where("part = 'fit'"))
-        test = score(own.where("part = 'test'")).select("fold_id", "security_id", "prediction_date", "prediction_eligible", F.col("label").cast("int").alias("label"), "probability")
+        score = learner.fit(own.where("part = 'fit'"), own.where("part = 'validation'"))
+        test = score(own.where("part = 'test'")).select(
+            "fold_id", "security_id", "prediction_date", "prediction_eligible", F.when(known, F.col("label").cast("int")).alias("label"),
+            F.when(known, F.col("label_status")).otherwise("NA").alias("label_status"), "probability", (F.col("probability") >= threshold).cast("int").alias("predicted_class"),
+        )
         out = test if out is None else out.unionByName(test)
+    if out is None:
+        raise ValueError("the calendar holds no complete fold")
     return metrics.daily_rank(out)
 
 

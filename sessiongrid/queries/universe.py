@@ -9,6 +9,7 @@ from ..functions.text import normalize_ticker, sanitized, security_id
 from ..operators import acceptance, bars, coverage, folds, labels, metrics, ticks, universe
 from ..operators.bars import table
 from ..plans import modeling
+from ..plans.feature_query import feature_query
 from ..sources import html, snapshots
 from . import daily, sql
 from .registry import Registry
@@ -224,13 +225,24 @@ def calibration_bins(spark, sf_dir) -> DataFrame:
     return metrics.calibration(scores(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("mean_prediction", "observed_rate", "gap")})
 
 
+@query(f"""WITH {_SCORES}, b AS (SELECT *, ntile(10) OVER (ORDER BY probability, security_id, prediction_date) AS bin FROM scores WHERE label IS NOT NULL),
+bins AS (SELECT count(*) AS n, abs(avg(probability) - avg(label)) AS gap FROM b GROUP BY bin)
+SELECT 10 AS requested_bins, count(*) AS effective_bins, CAST(sum(n) AS BIGINT) AS n_rows, round(sum(n * gap) / sum(n), 6) AS weighted_gap FROM bins""", dates=())
+def calibration_gap(spark, sf_dir) -> DataFrame:
+    return metrics.calibration_gap(scores(spark, sf_dir)).withColumn("weighted_gap", F.round("weighted_gap", 6))
+
+
 @query()
 def walk_forward_model(spark, sf_dir) -> DataFrame:
-    """Out-of-sample scores of a logistic regression in walk-forward folds (a trained model; no SQL)."""
-    panel = _panel(spark, sf_dir).withColumn("feature_2", F.col("available_history_sessions").cast("double"))
-    learner = modeling.Learner(features=("feature_1", "feature_2"))
+    """Out-of-sample scores of a logistic regression on the 32 features in walk-forward folds (a trained model; no SQL)."""
+    master, seen, _, calendar, index = _inputs(spark, sf_dir)
+    rows = daily.observed(spark, sf_dir)
+    prices = rows.select("security_id", F.col("date").alias("prediction_date"), *[F.col(f"yf_nominal_{c}").alias(c) for c in bars.BAR[:4]], F.col("is_tl_volume").alias("tl_volume"), F.col("yf_share_volume").alias("share_volume"))
+    feats = feature_query(prices).drop("session_index")
+    eligible = universe.prediction_universe(master, seen, feats, calendar, index)
+    panel = universe.training_panel(eligible, feats, _labels(spark, sf_dir), calendar, AS_OF)
     config = folds.FoldConfig(validation=40, test=60, minimum_fit=100, horizon=3, history=21)
-    return modeling.walk_forward(panel, _calendar(spark, sf_dir), config, learner)
+    return modeling.walk_forward(panel, calendar, config, AS_OF)
 
 
 # Ranges and collection ----------------------------------------------------------------------------------------------
