@@ -1,7 +1,7 @@
 """Chat formatting with typed content parts; built-in functions only.
 
-Each message is an array of parts {type, text, uri, width, height, seconds, pages}. A visitor (a fold over the parts)
-flattens them in order: text is escaped, other kinds become placeholders numbered through the conversation, whose
+Each message is an array of parts {type, text, uri, width, height, seconds, pages}. A visitor of the parts flattens
+them in order: text is escaped, other kinds become placeholders numbered through the conversation, whose
 references and expanded token counts are recorded. Messages are wrapped as
 
     <|turn|>role NEWLINE content <|end|>
@@ -16,7 +16,7 @@ conversation id form one conversation. An empty table gives no conversation. Ext
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, END = "<|turn|>", "<|end|>"
@@ -24,6 +24,8 @@ PART = "struct<type:string,text:string,uri:string,width:int,height:int,seconds:d
 #: Expansion: an image has a token for each patch, a clip for each frame, a document a fixed number for a page.
 IMAGE_PATCH, AUDIO_TOKENS_PER_SECOND, TOKENS_PER_PAGE = 14, 25, 256
 LOSS_ROLE = "assistant"
+#: Code points that are searched through for a place in a text.
+BLOCK = 16384
 
 
 def escape(text: Column) -> Column:
@@ -58,48 +60,41 @@ def expanded_tokens(part: Column) -> Column:
     )
 
 
+def _is_media(part: Column) -> Column:
+    return F.coalesce(part["type"], F.lit("text")) != "text"
+
+
+def _placeholder(part: Column, number: Column) -> Column:
+    return F.concat(F.lit("<|"), escape(part["type"]), F.lit(":"), number.cast("string"), F.lit("|>"))
+
+
 def format_conversations(messages: DataFrame, parts: str = "parts") -> DataFrame:
     """messages (conv_id, turn, role, parts) -> a row for each conversation.
 
     formatted: the text; loss_spans: start and length in code points; attachments: placeholder, kind, uri and expanded
-    tokens; expanded_tokens: their sum. A conversation is one value of the result, so its turns meet in one row; the
-    partial aggregate collects what it can before the shuffle.
+    tokens; expanded_tokens: their sum. Each turn is written in its own row; running sums over the conversation's turns
+    number its attachments and give its place. A conversation is one value of the result, so its turns meet in one
+    row at last, by the same shuffle; nothing grows turn by turn.
     """
-    row = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce(F.col(parts), F.array().cast(f"array<{PART}>")).alias("parts"))
-    turns = messages.select("conv_id", row.alias("m")).groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("turns"))
-    is_text = lambda p: F.coalesce(p["type"], F.lit("text")) == "text"
-    # Placeholders are numbered through the conversation: k-th attachment of all.
-    media = F.filter(F.flatten(F.transform("turns", lambda t: t["parts"])), lambda p: p.isNotNull() & ~is_text(p))
-    turns = turns.withColumn("media", media)
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("contents"))
-
-    def visit(acc: Column, t: Column) -> Column:
-        inner = F.aggregate(
-            F.filter(t["parts"], lambda p: p.isNotNull()),
-            F.struct(acc["n"].alias("n"), F.lit("").alias("s")),
-            lambda a, p: F.when(is_text(p), F.struct(a["n"].alias("n"), F.concat(a["s"], escape(F.coalesce(p["text"], F.lit("")))).alias("s"))).otherwise(
-                F.struct((a["n"] + 1).alias("n"), F.concat(a["s"], F.lit("<|"), escape(p["type"]), F.lit(":"), a["n"].cast("string"), F.lit("|>")).alias("s"))
-            ),
-        )
-        return inner
-
-    # Most conversations have text alone; the fold carries the number of attachments from turn to turn otherwise.
-    plain = F.transform("turns", lambda t: F.concat_ws("", F.transform(F.filter(t["parts"], lambda p: p.isNotNull()), lambda p: escape(F.coalesce(p["text"], F.lit(""))))))
-    mixed = F.aggregate("turns", start, lambda acc, t: _appended(acc, visit(acc, t)))["contents"]
-    turns = turns.withColumn("contents", F.when(F.size("media") == 0, plain).otherwise(mixed))
-    pieces = F.zip_with("turns", "contents", lambda t, c: F.struct(F.concat(F.lit(TURN), escape_role(t["role"]), F.lit("\n")).alias("head"), c.alias("content"), (t["role"] == LOSS_ROLE).alias("loss")))
-    turns = turns.withColumn("pieces", pieces)
-    sizes = F.transform("pieces", lambda p: F.length(p["head"]) + F.length(p["content"]) + len(END))
-    spans = F.aggregate(
-        F.arrays_zip(F.col("pieces.head").alias("head"), F.col("pieces.content").alias("content"), F.col("pieces.loss").alias("loss"), sizes.alias("size")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + p["size"]).alias("at"),
-            F.when(p["loss"], F.concat(a["spans"], F.array(F.struct((a["at"] + F.length(p["head"])).alias("start"), F.length(p["content"]).alias("length"))))).otherwise(a["spans"]).alias("spans"),
-        ),
-    )["spans"]
-    attachments = F.transform("media", lambda p, i: F.struct(F.concat(F.lit("<|"), escape(p["type"]), F.lit(":"), i.cast("string"), F.lit("|>")).alias("placeholder"), p["type"].alias("kind"), p["uri"].alias("uri"), expanded_tokens(p).alias("tokens")))
-    return turns.select(
+    given = F.filter(F.coalesce(F.col(parts), F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull())
+    order = ["turn", "role", "given"]
+    rows = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), given.alias("given"))
+    before = Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    n_media = F.size(F.filter("given", _is_media))
+    rows = rows.withColumn("first", F.coalesce(F.sum(n_media).over(before), F.lit(0)))
+    # positions of the turn's attachments; the place of a part among them is its number
+    media = F.filter(F.sequence(F.lit(0), F.size("given")), lambda k: _is_media(F.get("given", k)) & F.get("given", k).isNotNull())
+    visit = F.transform(F.array(media), lambda at: F.concat_ws("", F.transform("given", lambda p, k: F.when(_is_media(p), _placeholder(p, F.col("first") + F.array_position(at, k) - 1)).otherwise(escape(F.coalesce(p["text"], F.lit("")))))))
+    head = F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n"))
+    found = F.transform(F.filter("given", _is_media), lambda p, k: F.struct(_placeholder(p, F.col("first") + k).alias("placeholder"), p["type"].alias("kind"), p["uri"].alias("uri"), expanded_tokens(p).alias("tokens")))
+    rows = rows.select("conv_id", *order, head.alias("head"), visit[0].alias("content"), found.alias("found"))
+    size = (F.length("head") + F.length("content") + len(END)).cast("long")
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy(*order))
+    rows = rows.select("conv_id", F.struct(number.alias("k"), F.coalesce(F.sum(size).over(before), F.lit(0)).alias("at"), "head", "content", (F.col("role") == LOSS_ROLE).alias("loss"), "found").alias("piece"))
+    pieces = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    spans = F.transform(F.filter("pieces", lambda p: p["loss"]), lambda p: F.struct((p["at"] + F.length(p["head"])).cast("int").alias("start"), F.length(p["content"]).alias("length")))
+    attachments = F.flatten(F.col("pieces.found"))
+    return pieces.select(
         "conv_id",
         F.concat_ws("", F.transform("pieces", lambda p: F.concat(p["head"], p["content"], F.lit(END)))).alias("formatted"),
         spans.alias("loss_spans"),
@@ -108,10 +103,6 @@ def format_conversations(messages: DataFrame, parts: str = "parts") -> DataFrame
     )
 
 
-def _appended(acc: Column, inner: Column) -> Column:
-    return F.struct(inner["n"].alias("n"), F.concat(acc["contents"], F.array(inner["s"])).alias("contents"))
-
-
 def parse(formatted: Column) -> Column:
     """The turns of a formatted conversation: array of role and content (placeholders stay as they are)."""
     turns = F.filter(F.split(formatted, r"<\|turn\|>"), lambda t: t != "")
@@ -120,8 +111,25 @@ def parse(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.concat_ws("", F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))))
+    """All text under the loss mask, unescaped, nothing between.
+
+    Places in UTF-8 are found by counting from the front, so spans are read from blocks of BLOCK code points.
+    """
+    count = F.floor(F.length(formatted) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), count), lambda j: F.substring(formatted, j * BLOCK + 1, F.lit(BLOCK)))
+
+    def within(blocks: Column, s: Column) -> Column:
+        first, last = F.floor(s["start"] / BLOCK).cast("int"), F.floor((s["start"] + s["length"]) / BLOCK).cast("int")
+
+        def part(j: Column) -> Column:
+            low = F.greatest(s["start"], j * BLOCK)
+            return F.substring(F.get(blocks, j), low - j * BLOCK + 1, F.least(s["start"] + s["length"], (j + 1) * BLOCK) - low)
+
+        return F.concat_ws("", F.transform(F.sequence(first, last), part))
+
+    # the list of blocks is bound to a variable, so that it is made once for all spans
+    texts = F.transform(F.array(blocks), lambda b: F.concat_ws("", F.transform(spans, lambda s: unescape(within(b, s)))))
+    return texts[0]
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
 """Chat formatting: exact read-back, typed parts, loss spans."""
 
+import hashlib
+import time
+
 from comparing import rows_of, rows_of_sql
 from pyspark.sql import functions as F
 
@@ -45,6 +48,19 @@ def test_typed_parts_become_ordered_placeholders(spark):
     assert r["formatted"][s["start"] : s["start"] + s["length"]] == "<|document:2|>ok"
 
 
+def test_long_conversation(spark):
+    n = 40_000
+    rows = spark.range(n).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é<"), F.col("id").cast("string"), F.repeat(F.lit("x&"), F.when(F.col("id") == 5, 50_000).otherwise(20))).alias("text"))
+    out = chat.format_conversations(rows.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))
+    start = time.monotonic()
+    got = chat.read_back(out).first()
+    texts = [f"é<{k}" + "x&" * (50_000 if k == 5 else 20) for k in range(n)]
+    assert got["n_turns"] == n and got["loss_chars"] == sum(map(len, texts[1::2]))
+    assert got["loss_sha256"] == hashlib.sha256("".join(texts[1::2]).encode()).hexdigest()
+    assert got["turns_sha256"] == hashlib.sha256("".join(f"{'assistant' if k % 2 else 'user'}\n{t}\n" for k, t in enumerate(texts)).encode()).hexdigest()
+    assert time.monotonic() - start < 40
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_conversations(df.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))).count() == 0
