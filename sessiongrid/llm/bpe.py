@@ -30,7 +30,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 NOT_LATIN = "[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ͷ]"
 #: Words kept with their ids in a worker, and characters taken together; bounds on memory, not on results.
-CACHE_WORDS, SLICE_CHARS = 500_000, 12_000_000
+CACHE_WORDS, SLICE_CHARS = 200_000, 4_000_000
 
 
 class ByteBPE:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -31,10 +32,31 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def keep_table(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back; for rows too wide for checkpoint()."""
+#: Whole texts that go to Python at once; Spark's default of 10,000 rows suits numbers.
+TEXTS = 512
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int | None):
+    """Within it, what is run hands Arrow batches of so many rows at most to Python (None: as the session says)."""
+    before = spark.conf.get(BATCH)
+    if rows is not None:
+        spark.conf.set(BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
+def keep_table(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back; for rows too wide for checkpoint().
+
+    batch: rows that go to Python at once.
+    """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    with batches_of(df.sparkSession, batch):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, drop_table, keep_table, shuffle_partitions, text_key
+from .common import TEXTS, batches_of, cut, drop_table, keep_table, shuffle_partitions, text_key
 
 THRESHOLD = 0.8
 #: Counters of words, and how many of them are one row when they are added up.
 COUNTERS, TOGETHER = 1 << 20, 1 << 12
-#: Bytes of text that are turned into tokens at once (whole texts; more if a text is longer).
-SLICE = 1 << 20
+#: Bytes of text that are turned into tokens at once (whole texts; more if a text is longer) and hashed at once.
+SLICE = 1 << 18
 #: A token whose counter holds this many words or more is frequent.
 FREQUENT = 2048
 LEADING, SALTS = 4, 16
@@ -114,14 +114,13 @@ PARTS = np.zeros(256, bool)
 PARTS[list(b" \t\n\x0b\x0c\r")] = True
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text, line number) of every word of texts, in order."""
-    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+def _hashed(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of every word of raw, in order."""
     inside = ~PARTS[raw]
     edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), starts
     sizes = ends - starts
     firsts = np.cumsum(sizes) - sizes
     at = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
@@ -129,7 +128,29 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     by = BYTES[at & 63]
     if (long := at >= 64).any():
         by[long] = _mixed(by[long] ^ (at[long] >> 6).astype(np.uint64), MIX[2]) | np.uint64(1)
-    hashes = _mixed(np.add.reduceat((raw[inside].astype(np.uint64) + np.uint64(1)) * by, firsts), MIX[0])
+    return _mixed(np.add.reduceat((raw[inside].astype(np.uint64) + np.uint64(1)) * by, firsts), MIX[0]), starts
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, line number) of every word of texts, in order.
+
+    Work on bytes takes some 50 times their room, so it is done on pieces that end at a separator.
+    """
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    found, at = [], 0
+    while at < len(raw):
+        end = min(at + SLICE, len(raw))
+        while end < len(raw):
+            gaps = np.flatnonzero(PARTS[raw[end : end + SLICE]])
+            end = end + int(gaps[0]) if len(gaps) else min(end + SLICE, len(raw))
+            if len(gaps):
+                break
+        hashes, starts = _hashed(raw[at:end])
+        found.append((hashes, starts + at))
+        at = end
+    if not any(len(h) for h, _ in found):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes, starts = (np.concatenate(x) for x in zip(*found))
     breaks = np.flatnonzero(raw == 10)
     line = np.searchsorted(breaks, starts)
     begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
@@ -159,7 +180,7 @@ def rarity_levels(texts: DataFrame) -> tuple[np.ndarray, int]:
         n = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for _, some in _slices(batch, 0):
-                n += np.bincount((word_hashes(some)[0] & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+                np.add.at(n, (word_hashes(some)[0] & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
         rows = [(k, np.ascontiguousarray(n[k * TOGETHER : (k + 1) * TOGETHER]).tobytes()) for k in range(COUNTERS // TOGETHER)]
         yield pa.RecordBatch.from_pydict({"block": pa.array([k for k, _ in rows], pa.int32()), "counts": pa.array([c for _, c in rows], pa.binary())})
 
@@ -173,7 +194,9 @@ def rarity_levels(texts: DataFrame) -> tuple[np.ndarray, int]:
     schema = "block int, counts binary"
     counted = texts.select("text").mapInArrow(count, schema).repartition(min(shuffle_partitions(texts.sparkSession), COUNTERS // TOGETHER), "block")
     n = np.zeros(COUNTERS, np.int64)
-    for r in counted.mapInArrow(add, schema).collect():
+    with batches_of(texts.sparkSession, TEXTS):
+        sums = counted.mapInArrow(add, schema).collect()
+    for r in sums:
         n[r["block"] * TOGETHER : (r["block"] + 1) * TOGETHER] = np.frombuffer(r["counts"], np.int64)
     mean = max(1, int(n.sum())) / COUNTERS
     levels = np.clip(np.floor(np.log2(np.maximum(n, 1) / mean)) + 4, 0, 15).astype(np.uint8)
@@ -218,7 +241,7 @@ def line_table(texts: DataFrame, places: Places, t: int) -> DataFrame:
                 yield _line_batch(seqs[first : first + len(some)], some, levels, frequent, t)
 
     lines = texts.select("seq", "text").mapInArrow(run, "seq long, line_no int, c1 long, c2 long, n int, prefix array<int>, b long, half long")
-    return keep_table(lines.select(places.pack(F.col("seq"), F.col("line_no")).alias("at"), "c1", "c2", "n", "prefix", "b", "half"), "lines")
+    return keep_table(lines.select(places.pack(F.col("seq"), F.col("line_no")).alias("at"), "c1", "c2", "n", "prefix", "b", "half"), "lines", TEXTS)
 
 
 def _least_shared(n1: Column, n2: Column, t: int) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import cut, keep_table, text_key
+from .common import TEXTS, cut, keep_table, text_key
 
 THRESHOLD = 0.8
 BROADCAST_TEXTS, BROADCAST_BYTES = 2_000_000, 32 << 20
@@ -118,7 +118,7 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, t:
                 sets = [shingle_set(list(simhash.shingle_hashes(x.as_py(), words))) for x in some.column(2)]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "fp", "tokens"])
 
-    sets = keep_table(texts.dropDuplicates(["cls"]).mapInArrow(run, "cls long, fp long, tokens array<long>"), "tokens")
+    sets = keep_table(texts.dropDuplicates(["cls"]).mapInArrow(run, "cls long, fp long, tokens array<long>"), "tokens", TEXTS)
     both = pairs.join(sets, "cls").join(sets.select(F.col("cls").alias("other"), F.col("fp").alias("fp2"), F.col("tokens").alias("tokens2")), "other")
     common = F.size(F.array_intersect("tokens", "tokens2"))
     return cut(both.where(common * 1000 >= (F.size("tokens") + F.size("tokens2") - common) * t).select(F.col("fp").alias("a"), F.col("fp2").alias("b")))
@@ -170,6 +170,6 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
 
 def near_copies(docs: DataFrame, words: int, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, key and class (a number that linked texts share) of each row of docs."""
-    rows = keep_table(shingle_rows(docs, words, round(threshold * 1000)), "shingles")
+    rows = keep_table(shingle_rows(docs, words, round(threshold * 1000)), "shingles", TEXTS)
     roots = fingerprint_roots(docs, rows, words, threshold)
     return rows.join(roots, rows["fp"] == roots["node"], "left").select("doc_id", "key", F.coalesce("root", "fp").alias("class"))

@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
 class _Weights(dict):
     """Summed weights by word, looked up in the hashed table once for each distinct word."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __init__(self, table: np.ndarray):
         super().__init__()

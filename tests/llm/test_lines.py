@@ -120,3 +120,10 @@ def test_word_hashes():
     assert h[0] == h[2] and h[1] == h[6] and len(set(h.tolist())) == 5
     many = [str(k).encode() for k in range(100_000)]
     assert len(set(lines.word_hashes([b" ".join(many)])[0].tolist())) == 100_000
+
+
+def test_pieces_change_no_hash(monkeypatch):
+    texts = [b"one two  three\n" * 50 + b"x" * 300, b"", b"\n\n", b" a\tb " * 40 + b"y" * 100]
+    want = [x.tolist() for x in lines.word_hashes(texts)]
+    monkeypatch.setattr(lines, "SLICE", 16)
+    assert [x.tolist() for x in lines.word_hashes(texts)] == want
