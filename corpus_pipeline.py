@@ -11,15 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessiongrid.llm import bpe, decontaminate, lines, nearcopies, toxicity
-from sessiongrid.llm.common import cut, keep_table, mark_copies, table, text_key
+from sessiongrid.llm.common import BATCH, TEXTS, cut, keep_table, mark_copies, table, text_key
 from sessiongrid.llm.queries import TOXIC_FROM, tokenizer_path
 
 #: The near-duplicate stage takes shingles of five words.
 SHINGLE = 5
 
 
+def few_texts(spark: SparkSession) -> None:
+    """Whole texts go to Python TEXTS at a time in this session, so that tasks hold few of them."""
+    spark.conf.set(BATCH, str(TEXTS))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold by a model of the labelled ones among them."""
+    few_texts(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model).where(F.col("score") < TOXIC_FROM).select(*docs.columns)
 
@@ -48,6 +54,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the text decoded from them."""
+    few_texts(spark)
     return bpe.round_trip(docs, tokenizer_path())
 
 
@@ -66,5 +73,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = keep_table(stage(spark, docs, sf_dir), name)
+        docs = keep_table(stage(spark, docs, sf_dir), name, TEXTS)
     return STAGES[-1][1](spark, docs, sf_dir)
