@@ -61,10 +61,16 @@ def keep_table(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
 
 
 def drop_table(df: DataFrame) -> None:
-    """Delete the files of a table made by keep_table that nothing reads again."""
+    """Delete the files of a table made by keep_table that nothing reads again.
+
+    The files of shuffles that nothing refers to any more go as well: Spark deletes them once the driver has collected
+    its garbage, which it is asked to do here.
+    """
+    jvm = df.sparkSession.sparkContext._jvm
     for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        path = jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

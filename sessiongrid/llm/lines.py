@@ -326,7 +326,9 @@ def _verified(texts: DataFrame, places: Places, pairs: DataFrame, t: int) -> Dat
     copies = words.join(many.withColumnRenamed("early", "at"), "at", "left").select(F.col("at").alias("early"), F.col("words").alias("words2"), F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("deals", F.lit(1)) - 1)).alias("deal"))
     both = dealt.join(copies, ["early", "deal"]).join(words.select(F.col("at").alias("late"), "words"), "late")
     common = F.size(F.array_intersect("words", "words2"))
-    return cut(both.where(common * 1000 >= (F.size("words") + F.size("words2") - common) * t).select("late").distinct())
+    found = cut(both.where(common * 1000 >= (F.size("words") + F.size("words2") - common) * t).select("late").distinct())
+    drop_table(words)
+    return found
 
 
 def removed_lines(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[Places, DataFrame]:
@@ -343,6 +345,7 @@ def removed_lines(texts: DataFrame, threshold: float = THRESHOLD) -> tuple[Place
     several = classes.where("n > 1")  # a single word is similar to itself alone
     gone = _verified(texts, places, _leaders(several, t), t)
     pairs = _meetings(several, gone, t)
+    drop_table(classes)
     near = _verified(texts, places, cut(_nearest(pairs)), t)
     more = _verified(texts, places, cut(pairs.join(near, "late", "left_anti").select("late", "early")), t)
     return places, repeated.union(gone).union(near).union(more).distinct()
