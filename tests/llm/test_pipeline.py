@@ -37,10 +37,8 @@ def test_toxicity_only_drops_rows(stages):
 
 
 def test_line_stage(stages):
-    import hashlib
-
-    want = {k: h for k, _, _, h in brute_lines(pairs(stages[1]))}
-    assert {k: hashlib.sha256(t.encode()).hexdigest() for k, t in pairs(stages[2])} == want
+    want = sorted((k, text) for k, text, _, _ in brute_lines(pairs(stages[1])))
+    assert pairs(stages[2]) == want
     assert stages[2].where("n_chars <> length(text)").count() == 0
 
 
