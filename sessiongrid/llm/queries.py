@@ -7,17 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, fingerprints, lines, quality, simhash, suffixes, toxicity, warc
+from . import alignment, bpe, chat, decontaminate, fingerprints, lines, ownership, quality, runs, simhash, suffixes, toxicity, warc
 from .common import new_folder, table
 from .learning import with_contract
 
 TOXIC_FROM, QUALITY_FROM = 0.3, 0.7
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +150,77 @@ FROM documents LEFT JOIN t USING (doc_id)
 """
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners are the sources of the documents, their repositories the languages within a source."""
+    return ownership.report(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+found AS (
+  SELECT r, 1 AS k, 'assign' AS kind, regexp_extract_all(t, a) AS hits, string_split_regex(t, a) AS gaps
+  FROM (SELECT r, t, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+' AS a FROM d)
+  UNION ALL SELECT r, 2, 'access', regexp_extract_all(t, 'AKIA[A-Z0-9]+'), string_split_regex(t, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT r, 3, 'hex', regexp_extract_all(t, '[0-9a-f]{24,}'), string_split_regex(t, '[0-9a-f]{24,}') FROM d
+  UNION ALL SELECT r, 4, 'live', regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}'), string_split_regex(t, '[A-Za-z0-9+/_=-]{20,}') FROM d),
+placed AS (
+  SELECT r, k, kind, hits[i] AS hit,
+         CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda g: length(g))), 0) AS BIGINT) AS s
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found)),
+spans AS (
+  SELECT r, k, kind, s, s + length(hit) AS e, CASE WHEN k = 1 THEN regexp_extract(hit, '[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1) ELSE hit END AS v
+  FROM placed),
+base AS (SELECT * FROM spans WHERE k = 1 AND length(v) >= 6 OR k = 2 AND length(v) >= 20 OR k = 3),
+looks AS (
+  SELECT *, length(v) >= 16 AND len(list_distinct(string_split(v, ''))) >= 10 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AS looks
+  FROM (SELECT * FROM base UNION ALL
+        SELECT * FROM spans x WHERE k = 4 AND NOT EXISTS (SELECT 1 FROM base WHERE base.r = x.r AND base.s < x.e AND base.e > x.s))),
+candidates AS (SELECT * FROM looks WHERE k < 4 OR looks),
+owned AS (SELECT v, count(DISTINCT source) AS owners, bool_or(looks) AS looks FROM candidates JOIN d USING (r) GROUP BY v),
+judged AS (
+  SELECT r, k, kind, s, e, CASE WHEN owners >= 3 THEN 'example' WHEN owned.looks THEN 'live' ELSE 'plain' END AS verdict
+  FROM candidates JOIN owned USING (v)),
+t AS (
+  SELECT r, count(*) FILTER (k = 1) AS n_assign, count(*) FILTER (k = 2) AS n_access, count(*) FILTER (k = 3) AS n_hex,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER (k < 4) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS spans,
+         count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_examples
+  FROM judged WHERE k < 4 OR verdict = 'live' GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_examples, 0) AS n_examples
+FROM d LEFT JOIN t USING (r)
+"""
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the texts, chosen by the checksum of the id, are made periodic from one word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    sized = split.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    rest = F.col("n") - F.col("a")
+    period = sized.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return period.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    first = found.withColumn("longest", longest)
+    return first.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op4_suffix_dedup, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination, op10_line_dedup)
+    f.__name__: f for f in (op1_toxicity, op2_bpe, op3_chat, op4_suffix_dedup, op5_warc, op6_quality, op7_fingerprints, op8_simhash, op9_decontamination, op10_line_dedup, op11_secret_scan, op12_token_alignment, op13_periodic_runs)
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op5_warc": OP5_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": OP3_SQL, "op5_warc": OP5_SQL, "op9_decontamination": OP9_SQL, "op10_line_dedup": OP10_SQL, "op11_secret_scan": OP11_SQL}
