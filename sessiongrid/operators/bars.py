@@ -65,5 +65,9 @@ def user_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benchmark(panel: DataFrame) -> DataFrame:
-    """The panel's own index: mean close by session."""
-    return panel.groupBy("prediction_date").agg(F.avg("close").alias("benchmark_close"))
+    """The panel's own index: mean close by session.
+
+    Closes are added up as exact decimals, so the mean does not depend on the order in which rows arrive.
+    """
+    total = F.sum(F.col("close").cast("decimal(28,8)")).cast("double")
+    return panel.groupBy("prediction_date").agg((total / F.count("close")).alias("benchmark_close"))

@@ -22,7 +22,7 @@ PE = """panel AS (
 
 GRID = """calendar AS (
   SELECT prediction_date, CAST(row_number() OVER (ORDER BY prediction_date) - 1 AS BIGINT) AS session_index FROM (SELECT DISTINCT prediction_date FROM panel)),
-bench AS (SELECT prediction_date, avg(close) AS m FROM panel GROUP BY 1),
+bench AS (SELECT prediction_date, CAST(sum(CAST(close AS DECIMAL(28, 8))) AS DOUBLE) / count(close) AS m FROM panel GROUP BY 1),
 grid AS (
   SELECT s.security_id, c.prediction_date, c.session_index, p.open AS o, p.high AS h, p.low AS l, p.close AS c, p.tl_volume AS v, p.share_volume, b.m,
          p.security_id IS NOT NULL AS present

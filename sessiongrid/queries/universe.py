@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_ticker, sanitized, security_id
-from ..operators import acceptance, bars, coverage, folds, labels, metrics, ticks, universe
+from ..operators import acceptance, bars, coverage, feasibility, folds, labels, metrics, ticks, universe
 from ..operators.bars import table
 from ..plans import modeling
 from ..plans.feature_query import feature_query
@@ -136,29 +136,57 @@ def fold_split_counts(spark, sf_dir) -> DataFrame:
 
 
 _V, _T, _H, _M = SMALL.validation, SMALL.test, SMALL.history - 1, SMALL.minimum_fit
+
+
+def _window_sql(name: str, cond: str) -> str:
+    return f"""count(n) FILTER ({cond}) AS {name}_available_label_session_count, {", ".join(f"CAST(coalesce(sum({x}) FILTER ({cond}), 0) AS BIGINT) AS {name}_{y}_count" for x, y in (("n", "row"), ("pos", "positive"), ("neg", "negative")))},
+         coalesce(min(n) FILTER ({cond}), 0) AS {name}_daily_row_count_min, coalesce(quantile_cont(n, 0.5) FILTER ({cond}), 0) AS {name}_daily_row_count_median, coalesce(max(n) FILTER ({cond}), 0) AS {name}_daily_row_count_max,
+         count(n) FILTER ({cond} AND early) AS {name}_2020_2021_session_count, CAST(coalesce(sum(n) FILTER ({cond} AND early), 0) AS BIGINT) AS {name}_2020_2021_row_count"""
+
+
+_TEST_SUMS = ", ".join(f"CAST(sum({x}) FILTER (test) AS BIGINT) AS test_{y}" for x, y in (("el", "row_count"), ("lb", "labeled_row_count"), ("ap", "positive_count"), ("an", "negative_count"), ("el - lb", "na_label_count")))
+_MADE_COUNTS = [c for c in feasibility.COLUMNS[6:] if not c.endswith("_date") and c.split("_", 1)[1] not in ("calendar_session_count", "contract_labeled_session_count", "purged_session_count") and c != "total_complete_fold_count"]
 _FEASIBLE = f"""{_PANEL},
+cut AS (SELECT k, date FROM cal WHERE date <= DATE '{AS_OF}'),
 days AS (
-  SELECT cal.k, count(*) FILTER (lab) AS n, count(*) FILTER (lab AND label = 1) AS pos, count(*) FILTER (lab AND label = 0) AS neg, max(CASE WHEN lab THEN label_available_date END) AS av, count(*) FILTER (prediction_eligible) AS el
-  FROM cal LEFT JOIN (SELECT *, coalesce(prediction_eligible AND label_status = 'LABELED' AND label IN (0, 1) AND label_available_date IS NOT NULL, false) AS lab FROM panel3) p ON p.k = cal.k GROUP BY 1),
-cand AS (SELECT c.k AS t, c.date, v.date AS vdate, (SELECT count(*) FROM cal) AS total FROM cal c LEFT JOIN cal v ON v.k = c.k - {_V}),
+  SELECT cut.k, cut.date, year(cut.date) IN (2020, 2021) AS early, nullif(count(*) FILTER (lab), 0) AS n, count(*) FILTER (lab AND label = 1) AS pos, count(*) FILTER (lab AND label = 0) AS neg, max(CASE WHEN lab THEN label_available_date END) AS av,
+         count(*) FILTER (prediction_eligible) AS el, count(*) FILTER (prediction_eligible AND label_status = 'LABELED') AS lb, count(*) FILTER (prediction_eligible AND label = 1) AS ap, count(*) FILTER (prediction_eligible AND label = 0) AS an
+  FROM cut LEFT JOIN (SELECT *, coalesce(prediction_eligible AND label_status = 'LABELED' AND label IN (0, 1) AND label_available_date IS NOT NULL, false) AS lab FROM panel3) p ON p.k = cut.k GROUP BY 1, 2),
+cand AS (SELECT c.k AS t, c.date AS cdate, v.date AS vdate, (SELECT count(*) FROM cut) AS total FROM cut c LEFT JOIN cut v ON v.k = c.k - {_V}),
 wide AS (
-  SELECT t, cand.date AS cdate, total, days.*, coalesce(days.k BETWEEN {_H} AND t - {_V} - 1 AND av < vdate AND n > 0, false) AS fit, coalesce(days.k BETWEEN t - {_V} AND t - 1 AND av < cand.date AND n > 0, false) AS val, days.k BETWEEN t AND t + {_T} - 1 AS test
+  SELECT t, cdate, total, days.*, coalesce(days.k BETWEEN {_H} AND t - {_V} - 1 AND av < vdate, false) AS fit, coalesce(days.k BETWEEN t - {_V} AND t - 1 AND av < cdate, false) AS val, days.k BETWEEN t AND t + {_T} - 1 AS test
   FROM cand JOIN days ON days.k < t + {_T}),
 stats AS (
-  SELECT t AS candidate_index, cdate AS candidate_date, total, count(*) FILTER (fit) AS fit_sessions, CAST(coalesce(sum(n) FILTER (fit), 0) AS BIGINT) AS fit_rows, CAST(coalesce(sum(pos) FILTER (fit), 0) AS BIGINT) AS fit_pos, CAST(coalesce(sum(neg) FILTER (fit), 0) AS BIGINT) AS fit_neg, quantile_cont(n, 0.5) FILTER (fit) AS fit_daily_median,
-         count(*) FILTER (val) AS validation_sessions, CAST(coalesce(sum(n) FILTER (val), 0) AS BIGINT) AS validation_rows, CAST(coalesce(sum(pos) FILTER (val), 0) AS BIGINT) AS validation_pos, CAST(coalesce(sum(neg) FILTER (val), 0) AS BIGINT) AS validation_neg,
-         count(*) FILTER (test) AS test_sessions, CAST(coalesce(sum(el) FILTER (test), 0) AS BIGINT) AS test_rows
+  SELECT t, cdate, total, {_window_sql('fit', 'fit')}, {_window_sql('validation', 'val')}, {_TEST_SUMS}, min(el) FILTER (test) AS test_daily_row_count_min, quantile_cont(el, 0.5) FILTER (test) AS test_daily_row_count_median, max(el) FILTER (test) AS test_daily_row_count_max
   FROM wide GROUP BY ALL),
+why AS (
+  SELECT *, CASE WHEN t < {_V} THEN 'insufficient sessions for the validation window' WHEN t - {_V} - 3 - {_H} < {_M} THEN 'insufficient post-warm-up purged fit sessions before first validation' WHEN t + {_T} > total THEN 'no complete walk-forward test block can be generated' END AS broken,
+         concat_ws('|', CASE WHEN fit_available_label_session_count < {_M} THEN 'FIT_LABELED_SESSIONS_BELOW_252' END, CASE WHEN validation_available_label_session_count <> {_V - 3} THEN 'VALIDATION_AVAILABLE_LABEL_SESSIONS_NOT_57' END, CASE WHEN fit_positive_count = 0 OR fit_negative_count = 0 THEN 'FIT_MISSING_BINARY_CLASS' END,
+           CASE WHEN validation_positive_count = 0 OR validation_negative_count = 0 THEN 'VALIDATION_MISSING_BINARY_CLASS' END, CASE WHEN fit_row_count = 0 THEN 'FIT_EMPTY' END, CASE WHEN validation_row_count = 0 THEN 'VALIDATION_EMPTY' END, CASE WHEN test_row_count = 0 THEN 'TEST_EMPTY' END) AS codes
+  FROM stats),
 feas AS (
-  SELECT * EXCLUDE (total), CASE WHEN candidate_index - {_V} - 3 - {_H} < {_M} THEN 'INSUFFICIENT_FIT_SESSIONS' WHEN candidate_index + {_T} > total THEN 'NO_COMPLETE_TEST_BLOCK' ELSE
-    concat_ws('|', CASE WHEN fit_sessions < {_M} THEN 'FIT_LABELED_SESSIONS_BELOW_MINIMUM' END, CASE WHEN validation_sessions <> {_V - 3} THEN 'VALIDATION_AVAILABLE_LABEL_SESSIONS_SHORT' END, CASE WHEN fit_pos = 0 OR fit_neg = 0 THEN 'FIT_MISSING_BINARY_CLASS' END,
-      CASE WHEN validation_pos = 0 OR validation_neg = 0 THEN 'VALIDATION_MISSING_BINARY_CLASS' END, CASE WHEN fit_rows = 0 THEN 'FIT_EMPTY' END, CASE WHEN validation_rows = 0 THEN 'VALIDATION_EMPTY' END, CASE WHEN test_rows = 0 THEN 'TEST_EMPTY' END) END AS failure_reason
-  FROM stats)"""
+  SELECT CAST(cdate AS VARCHAR) AS candidate_first_test_date, coalesce(broken, codes) = '' AS feasible, coalesce(broken, codes) AS failure_reason, CAST({_H} AS BIGINT) AS warmup_session_count,
+         {", ".join(f"CASE WHEN broken IS NULL THEN coalesce(CAST((SELECT date FROM cut WHERE k = {k}) AS VARCHAR), '') ELSE '' END AS {name}" for name, k in (('fit_start_date', _H), ('fit_end_date', f't - {_V} - 1'), ('validation_start_date', f't - {_V}'), ('validation_end_date', 't - 1'), ('test_start_date', 't'), ('test_end_date', f't + {_T} - 1')))},
+         {", ".join(f"CAST(CASE WHEN broken IS NULL THEN {x} ELSE 0 END AS BIGINT) AS {name}" for name, x in (('fit_calendar_session_count', f't - {_V} - {_H}'), ('fit_contract_labeled_session_count', f't - {_V} - {_H} - 3'), ('fit_purged_session_count', 3), ('validation_calendar_session_count', _V), ('validation_contract_labeled_session_count', _V - 3), ('validation_purged_session_count', 3), ('test_calendar_session_count', _T), ('total_complete_fold_count', f'(total - t) // {_T}')))},
+         {", ".join(f"CASE WHEN broken IS NULL THEN {x} ELSE 0 END AS {x}" for x in _MADE_COUNTS)}
+  FROM why)"""
 
 
-@query(f"WITH {_FEASIBLE}\nSELECT *, failure_reason = '' AS feasible FROM feas", dates=("candidate_date",))
+def _scan(spark, sf_dir) -> DataFrame:
+    return feasibility.scan(_panel(spark, sf_dir), _calendar(spark, sf_dir), AS_OF, SMALL)
+
+
+@query(f"WITH {_FEASIBLE}\nSELECT * FROM feas", dates=())
 def fold_feasibility(spark, sf_dir) -> DataFrame:
-    return folds.feasibility(_panel(spark, sf_dir), _calendar(spark, sf_dir), SMALL)
+    return _scan(spark, sf_dir)
+
+
+@query(f"""WITH {_FEASIBLE},
+good AS (SELECT candidate_first_test_date AS d, total_complete_fold_count AS f, row_number() OVER (ORDER BY candidate_first_test_date) - 1 AS r, count(*) OVER () AS n FROM feas WHERE feasible),
+other AS (SELECT string_agg(DISTINCT d, '|' ORDER BY d) AS a FROM good WHERE n >= 2 AND r IN (least(20, n - 1), least(40, n - 1), least(60, n - 1)))
+SELECT max(d) FILTER (r = 0) AS earliest_feasible_date, coalesce((SELECT a FROM other), '') AS alternative_dates, max(d) FILTER (r = 0) AS recommended_first_test_date, CAST(coalesce(max(f) FILTER (r = 0), 0) AS BIGINT) AS recommended_total_fold_count FROM good""", dates=())
+def fold_recommendation(spark, sf_dir) -> DataFrame:
+    return feasibility.recommendation(_scan(spark, sf_dir))
 
 
 # Metrics on a deterministic score -----------------------------------------------------------------------------------
