@@ -39,6 +39,46 @@ def gaps(requests: DataFrame, covered: DataFrame, key: str) -> DataFrame:
     return before.unionByName(tail).unionByName(whole).unionByName(none).where("gap_start <= gap_end")
 
 
+#: What a stored range says that was fetched and held nothing (fixed value).
+NO_DATA = "NO_DATA_IN_RANGE"
+
+
+def unblocked(entries: DataFrame, key: str) -> DataFrame:
+    """The readable ranges of the store that may be used.
+
+    entries: key, start, end (inclusive), is_current (the store's current version), readable, result. A range of the
+    current version that cannot be read blocks every range that it overlaps, of an older version too, for what they
+    say may be out of date; an older one that cannot be read is passed over. One sweep over the points where
+    blocking ranges begin and others end: a range is blocked if one that began by its end reaches its start.
+    """
+    blocking = ~F.col("readable") & F.col("is_current")
+    marked = entries.where("readable or is_current").withColumn("__at", F.when(blocking, F.col("start")).otherwise(F.col("end")))
+    so_far = Window.partitionBy(key).orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(blocking, F.col("end"))).over(so_far)
+    swept = marked.withColumn("__reach", reach)
+    return swept.where("readable and (__reach is null or __reach < start)").drop("__at", "__reach")
+
+
+def versioned_coverage(requests: DataFrame, entries: DataFrame, key: str) -> DataFrame:
+    """Per request (key, start, end) the stored ranges that serve it and the gaps that are left, in order.
+
+    Columns: key, start, end, kind (HIT, EMPTY_HIT for a range that held nothing, GAP), from_date, to_date, is_current. The
+    cursor passes over the ranges by (start, end, current before older): a range serves if it reaches the cursor, and
+    what lies between the cursor and its start is a gap; the last gap is found before a mark behind the request.
+    """
+    usable = unblocked(entries, key).select(key, F.col("start").alias("s"), F.col("end").alias("e"), (~F.col("is_current")).cast("int").alias("older"), "result")
+    asked = requests.select(key, "start", "end").distinct()
+    met = asked.join(usable, key).where("s <= end and e >= start")
+    behind = asked.select("*", F.date_add("end", 1).alias("s"), F.date_add("end", 1).alias("e"), F.lit(2).alias("older"), F.lit(None).cast("string").alias("result"))
+    order = Window.partitionBy(key, "start", "end").orderBy("s", "e", "older", "result").rowsBetween(Window.unboundedPreceding, -1)
+    clipped = met.unionByName(behind).withColumns({"low": F.greatest("start", "s"), "high": F.when(F.col("older") < 2, F.least("end", "e"))})
+    swept = clipped.withColumn("cursor", F.coalesce(F.date_add(F.max("high").over(order), 1), F.col("start")))
+    hit = F.struct(F.when(F.col("result") == NO_DATA, "EMPTY_HIT").otherwise("HIT").alias("kind"), F.col("low").alias("from_date"), F.col("high").alias("to_date"), (F.col("older") == 0).alias("is_current"))
+    gap = F.struct(F.lit("GAP").alias("kind"), F.col("cursor").alias("from_date"), F.date_sub("low", 1).alias("to_date"), F.lit(None).cast("boolean").alias("is_current"))
+    found = F.array_compact(F.array(F.when(F.col("low") > F.col("cursor"), gap), F.when((F.col("high") >= F.col("cursor")) & (F.col("cursor") <= F.col("end")), hit)))
+    return swept.select(key, "start", "end", F.inline(found))
+
+
 def collection_status(results: DataFrame) -> DataFrame:
     """Per security: worst status of its sources, rows, ranges and notes.
 

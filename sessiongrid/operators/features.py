@@ -1,7 +1,9 @@
 """The 32 features of a security and session, their missing-value reasons and their quality.
 
-All windows share one partitioning and order, so Spark sorts the grid once and evaluates them in one Window node; lag n
-means n sessions, because the grid has a row for each session. Cross-sectional ranks need a second shuffle, by date.
+Rows are the sessions on which a security was observed, with the sessions' numbers; a dense grid serves as well. Windows
+are ranges of session numbers, so what lies n sessions back is found without rows for sessions that nobody observed, and a
+gap is never bridged. All of them share one partitioning and order: one shuffle and one sort. What depends on the session
+alone (the index and its returns) is computed once for each session. Ranks need a second shuffle, by date.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ import operator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import finite, is_true, last_rows, positive, ratio, security
+from ..functions.nulls import finite, is_true, positive, ratio, security
+from .grid import per_session
 
 #: Base features with the sessions that each needs (fixed values).
 HISTORY = {
@@ -33,17 +36,71 @@ USES_VOLUME = {"log_median_tl_volume_20", "tl_volume_ratio_5_20", "tl_volume_zsc
 REASONS = ["warm_up", "source_missing", "invalid_math", "xu100_missing", "cross_section_insufficient", "infinite_replaced"]
 
 
-def base_features(grid: DataFrame) -> DataFrame:
-    """grid (densified bars with benchmark_close) with the 28 base features; infinite ones become null."""
-    return _computed(grid).select(*grid.columns, *[finite(F.col(f)).alias(f) for f in BASE])
+#: What rows know of the index at their session.
+MARKET = ["_market_1", "_market_5", "_market_20", "_no_index", "_inf_index"]
 
 
-def _computed(grid: DataFrame) -> DataFrame:
-    """grid with the 28 base features as computed."""
-    o, h, low, c, v, m = (F.col(f"_{x}") for x in ("open", "high", "low", "close", "tl_volume", "benchmark_close"))
-    clean = grid.withColumns({f"_{x}": positive(F.col(x)) for x in ("open", "high", "low", "close", "tl_volume", "benchmark_close")})
-    lag = lambda x, n: F.lag(x, n).over(security())
-    before = lag(c, 1)
+def _last(n: int):
+    """The last n sessions, this one included."""
+    return security().rangeBetween(1 - n, 0)
+
+
+def _at(x: Column, n: int) -> Column:
+    """x of the session n before; null if that was not observed."""
+    return F.max(x).over(security().rangeBetween(-n, -n))
+
+
+def _number(x: str) -> Column:
+    return F.col(x).try_cast("double")
+
+
+def _lacks(x: str) -> Column:
+    return _number(x).isNull() | F.isnan(_number(x))
+
+
+def _endless(x: str) -> Column:
+    return is_true(F.abs(_number(x)) == float("inf"))
+
+
+def with_market(rows: DataFrame, sessions=None) -> DataFrame:
+    """rows, one for each session under the window ``sessions``, with the index's returns over 1, 5 and 20 sessions and
+    how many sessions ago it was last missing, and last infinite."""
+    sessions = sessions or Window.orderBy("session_index")
+    session, past = F.col("session_index"), sessions.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_m", positive(F.col("benchmark_close")))
+    made = {f"_market_{n}": ratio(F.col("_m"), F.lag("_m", n).over(sessions)) - 1 for n in (1, 5, 20)}
+    ages = {f"_{kind}_index": session - F.max(F.when(test("benchmark_close"), session)).over(past) for kind, test in (("no", _lacks), ("inf", _endless))}
+    return rows.withColumns(made | ages).drop("_m")
+
+
+def on_sessions(observations: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Observations on sessions, with session_index, benchmark_close and what is known of the index; others are dropped.
+
+    sessions: (prediction_date, session_index from 0 without gaps, benchmark_close), one row for each session.
+    """
+    return observations.join(per_session(with_market(sessions)), "prediction_date").withColumn("_source_row_present", F.lit(True))
+
+
+def _known(rows: DataFrame) -> DataFrame:
+    """rows with the columns MARKET; a dense grid without them has the index in its own rows."""
+    return rows if MARKET[0] in rows.columns else with_market(rows, security())
+
+
+def _own(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c not in MARKET]
+
+
+def base_features(rows: DataFrame) -> DataFrame:
+    """rows with the 28 base features; infinite ones become null."""
+    return _computed(rows).select(*_own(rows), *[finite(F.col(f)).alias(f) for f in BASE])
+
+
+def _computed(rows: DataFrame) -> DataFrame:
+    """rows with MARKET and the 28 base features as computed."""
+    rows = _known(rows)
+    o, h, low, c, v = (F.col(f"_{x}") for x in ("open", "high", "low", "close", "tl_volume"))
+    clean = rows.withColumns({f"_{x}": positive(F.col(x)) for x in ("open", "high", "low", "close", "tl_volume")})
+    before = _at(c, 1)
     # What later windows read is computed first: one step of windows over the other, same sort.
     tr = F.when(h.isNotNull() & low.isNotNull() & before.isNotNull(), F.greatest(h - low, F.abs(h - before), F.abs(low - before)) / before)
     change = c - before
@@ -54,20 +111,18 @@ def _computed(grid: DataFrame) -> DataFrame:
         "_gain": F.when(change.isNotNull(), F.greatest(change, F.lit(0.0))),
         "_loss": F.when(change.isNotNull(), F.greatest(-change, F.lit(0.0))),
         "_lv": F.log1p(v),
-        "_m1": ratio(m, lag(m, 1)) - 1,
-        **{f"_r{n}": ratio(c, lag(c, n)) - 1 for n in (2, 3, 5, 10, 20)},
-        **{f"_m{n}": ratio(m, lag(m, n)) - 1 for n in (5, 20)},
+        **{f"_r{n}": ratio(c, _at(c, n)) - 1 for n in (2, 3, 5, 10, 20)},
     })
     r1, trc, lv = F.col("_r1"), F.col("_tr"), F.col("_lv")
-    prior = security().rowsBetween(-20, -1)
+    prior = security().rangeBetween(-20, -1)
     # Each window aggregate is a column once; Spark does not merge equal ones inside larger expressions.
     sets = [("_close", 5), ("_close", 20), ("_high", 20), ("_up", 5), ("_r1", 5), ("_r1", 20), ("_tr", 5), ("_tr", 20), ("_tl_volume", 5), ("_tl_volume", 20), ("_illiquid", 20), ("_gain", 14), ("_loss", 14)]
     aggs = {("_close", 5): "avg", ("_close", 20): "avg", ("_high", 20): "max", ("_r1", 5): "stddev_samp", ("_r1", 20): "stddev_samp"}
     step = step.withColumns({"_up": F.when(r1.isNotNull(), (r1 > 0).cast("double")), "_illiquid": ratio(F.abs(r1), v)})
-    wide = {f"_n{x}_{n}": F.count(x).over(last_rows(n)) for x, n in sets}
-    wide |= {f"_a{x}_{n}": getattr(F, aggs.get((x, n), "avg"))(x).over(last_rows(n)) for x, n in sets}
-    wide |= {"_s_volume_20": F.stddev_samp("_tl_volume").over(last_rows(20)), "_n_prior": F.count("_lv").over(prior), "_a_prior": F.avg("_lv").over(prior), "_s_prior": F.stddev_samp("_lv").over(prior)}
-    wide |= {"_volumes": F.collect_list("_tl_volume").over(last_rows(20))}
+    wide = {f"_n{x}_{n}": F.count(x).over(_last(n)) for x, n in sets}
+    wide |= {f"_a{x}_{n}": getattr(F, aggs.get((x, n), "avg"))(x).over(_last(n)) for x, n in sets}
+    wide |= {"_s_volume_20": F.stddev_samp("_tl_volume").over(_last(20)), "_n_prior": F.count("_lv").over(prior), "_a_prior": F.avg("_lv").over(prior), "_s_prior": F.stddev_samp("_lv").over(prior)}
+    wide |= {"_volumes": F.collect_list("_tl_volume").over(_last(20))}
     step = step.withColumns(wide)
 
     def of(x: str, n: int) -> Column:
@@ -98,52 +153,56 @@ def _computed(grid: DataFrame) -> DataFrame:
         "intraday_return": ratio(c, o) - 1,
         "close_location_value": ratio(2 * c - h - low, h - low),
         "rsi_14_sma": rsi,
-        "market_ret_1": F.col("_m1"),
-        **{f"relative_ret_{n}": F.col(f"_r{n}") - F.col(f"_m{n}") for n in (1, 5, 20)},
+        "market_ret_1": F.col("_market_1"),
+        **{f"relative_ret_{n}": F.col(f"_r{n}") - F.col(f"_market_{n}") for n in (1, 5, 20)},
     }
-    return step.select(*grid.columns, *[made[f].alias(f) for f in BASE])
+    return step.select(*rows.columns, *[made[f].alias(f) for f in BASE])
 
 
 def cross_sectional(rows: DataFrame, minimum: int = MIN_CROSS_SECTION) -> DataFrame:
     """rows with the rank features: (average rank - 1) / (valid - 1) within a date, null below ``minimum`` valid values."""
 
     day = Window.partitionBy("prediction_date")
+    n = F.count("*").over(day)
 
     def rank(source: str) -> Column:
-        # nulls sort last both ways, and the mean of a value's least and greatest place is its average rank: one shuffle
+        # nulls stand first; the rows equal to this one share the mean of their places: one sort for each source
         x = F.col(source)
-        up, down = F.rank().over(day.orderBy(x.asc_nulls_last())), F.rank().over(day.orderBy(x.desc_nulls_last()))
+        order = day.orderBy(x.asc_nulls_first())
         valid = F.count(x).over(day)
-        average = (up + valid - down + 1) / 2
+        average = F.rank().over(order) - (n - valid) + (F.count("*").over(order.rangeBetween(0, 0)) - 1) / 2
         return F.when(x.isNotNull() & (valid >= minimum), (average - 1) / (valid - 1))
 
     return rows.withColumns({name: rank(source) for name, source in RANKS.items()})
 
 
-def all_features(grid: DataFrame) -> DataFrame:
+def all_features(rows: DataFrame) -> DataFrame:
     """The 32 features of the sessions that were observed; ranks see those rows alone."""
-    return cross_sectional(base_features(grid).where("_source_row_present"))
+    return cross_sectional(base_features(rows).where("_source_row_present"))
 
 
-def _with_reasons(grid: DataFrame) -> tuple[DataFrame, list[Column]]:
+def _with_reasons(rows: DataFrame) -> tuple[DataFrame, list[Column]]:
     """Observed rows, and for each of the 32 features a struct of its name, whether it is missing, and its reasons.
 
     A row is within n sessions of the last bad input if the running maximum of bad sessions is: six maxima over one sort
-    serve all histories.
+    serve all histories. A gap before a row is bad up to the session before it. Of the ranks only the number of valid
+    values of the day is needed.
     """
-    price, volume, index = ("open", "high", "low", "close"), ("tl_volume",), ("benchmark_close",)
-    number = lambda x: F.col(x).try_cast("double")
-    lacks = lambda x: number(x).isNull() | F.isnan(number(x))
-    endless = lambda x: is_true(F.abs(number(x)) == float("inf"))
+    price, volume = ("open", "high", "low", "close"), ("tl_volume",)
     some = lambda test, names: functools.reduce(operator.or_, map(test, names))
     past = security().rowsBetween(Window.unboundedPreceding, 0)
     session = F.col("session_index")
-    bad = {f"_{kind}_{name}": some(test, names) for kind, test in (("no", lacks), ("inf", endless)) for name, names in (("price", price), ("volume", volume), ("index", index))}
-    last = {name: session - F.max(F.when(cond, session)).over(past) for name, cond in bad.items()}
+    known = _known(rows).withColumn("_gap", is_true(session - F.lag("session_index", 1).over(security()) > 1))
+    behind = F.when(F.col("_gap"), session - 1)
+    last = {}
+    for name, names in (("price", price), ("volume", volume)):
+        last[f"_no_{name}"] = session - F.max(F.coalesce(F.when(some(_lacks, names), session), behind)).over(past)
+        last[f"_inf_{name}"] = session - F.max(F.when(some(_endless, names), session)).over(past)
     age = session - F.min(F.when(F.col("_source_row_present"), session)).over(past)
-    rows = _computed(grid).withColumns(last | {"_age": age}).where("_source_row_present")
-    rows = rows.withColumns({f"_made_{f}": F.abs(F.col(f)) == float("inf") for f in BASE} | {f: finite(F.col(f)) for f in BASE})
-    rows = cross_sectional(rows)
+    made = _computed(known).withColumns(last | {"_age": age}).where("_source_row_present")
+    made = made.withColumns({f"_made_{f}": F.abs(F.col(f)) == float("inf") for f in BASE} | {f: finite(F.col(f)) for f in BASE})
+    day = Window.partitionBy("prediction_date")
+    rows = made.withColumns({name: F.when(F.count(source).over(day) >= MIN_CROSS_SECTION, F.col(source)) for name, source in RANKS.items()})
 
     def of(f: str) -> Column:
         base = RANKS.get(f, f)
@@ -165,7 +224,7 @@ def _with_reasons(grid: DataFrame) -> tuple[DataFrame, list[Column]]:
     return rows, [of(f) for f in FEATURES]
 
 
-def reasons(grid: DataFrame) -> DataFrame:
+def reasons(rows: DataFrame) -> DataFrame:
     """Observed rows by feature (long form) with the reasons of a missing value.
 
     warm_up: fewer sessions since the security's first one than the feature needs. source_missing, xu100_missing: prices
@@ -173,16 +232,16 @@ def reasons(grid: DataFrame) -> DataFrame:
     few values of the day for a rank, which else has the reasons of what it ranks. infinite_replaced: the value was
     infinite, or is missing with an infinite input within its history.
     """
-    rows, flags = _with_reasons(grid)
+    rows, flags = _with_reasons(rows)
     return rows.select("security_id", "prediction_date", F.inline(F.array(*flags)))
 
 
-def quality(grid: DataFrame) -> DataFrame:
+def quality(rows: DataFrame) -> DataFrame:
     """One row for each of the 32 features: rows, valid and missing values, and how often each reason applies.
 
     The counts of all features are one aggregation of the wide rows, unfolded when they are a single row.
     """
-    rows, flags = _with_reasons(grid)
+    rows, flags = _with_reasons(rows)
     names = ["missing", *REASONS]
     wide = rows.agg(F.count("*").alias("n_rows"), *[F.count_if(flag[c]).alias(f"{f}__{c}") for f, flag in zip(FEATURES, flags) for c in names])
     lines = [F.struct(F.lit(f).alias("feature"), "n_rows", (F.col("n_rows") - F.col(f"{f}__missing")).alias("valid"), *[F.col(f"{f}__{c}").alias(c) for c in names]) for f in FEATURES]

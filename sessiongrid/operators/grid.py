@@ -19,6 +19,12 @@ def build_calendar(*observed: DataFrame, date: str = "prediction_date") -> DataF
     return dates.distinct().select("session_date", numbered.cast("long").alias("session_index"))
 
 
+def per_session(df: DataFrame) -> DataFrame:
+    """df, which has one row for each session, for a broadcast: there are 36,525 dates in a century, so its size is
+    bounded whatever the panel's is."""
+    return F.broadcast(df)
+
+
 def densify(observations: DataFrame, calendar: DataFrame, benchmark: DataFrame | None = None) -> DataFrame:
     """Every security on every session, with _source_row_present; benchmark adds its columns by session."""
     grid = observations.select("security_id").distinct().crossJoin(F.broadcast(calendar.withColumnRenamed("session_date", "prediction_date")))

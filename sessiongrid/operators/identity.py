@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.checks import require
 from ..functions.text import normalize_ticker, security_id
 
 FAR = "9999-12-31"
@@ -15,7 +16,7 @@ def resolve(rows: DataFrame, mapping: DataFrame, date: str = "date") -> DataFram
 
     mapping: security_id, ticker, valid_from, valid_to (null: open; both ends inclusive), is_current_ticker. A ticker
     without rules gets an identifier of its own (AUTO_NEW_TICKER); with rules but none in force it is OUTSIDE_VALIDITY
-    under the smallest candidate. Two rules in force at once fail the query, as no choice between them is right.
+    under the smallest candidate. Two rules in force at once fail the query, whatever columns it reads, as no choice between them is right.
     Mapping tables are small: Spark broadcasts them by its own size estimate. One pass: all rules of a ticker come as
     an array, so rows are not multiplied.
     """
@@ -26,11 +27,11 @@ def resolve(rows: DataFrame, mapping: DataFrame, date: str = "date") -> DataFram
     rules = rules.groupBy("ticker").agg(F.array_sort(F.collect_list("rule")).alias("rules"))
     joined = rows.withColumn("ticker", normalize_ticker(F.col("ticker"))).join(rules, "ticker", "left")
     live = F.filter("rules", lambda r: (r["valid_from"] <= F.col(date)) & (F.col(date) <= r["valid_to"]))
-    joined = joined.withColumn("__live", live)
+    several = F.concat(F.lit("several mapping rules for "), F.col("ticker"), F.lit(" on "), F.col(date).cast("string"))
+    joined = require(joined.withColumn("__live", live), F.coalesce(F.size("__live"), F.lit(0)) <= 1, several)
     chosen = F.get("__live", F.lit(0))
-    several = F.raise_error(F.concat(F.lit("several mapping rules for "), F.col("ticker"), F.lit(" on "), F.col(date).cast("string")))
     mapped = F.when(chosen["is_current"], "MAPPED_CURRENT_TICKER").otherwise("MAPPED_HISTORICAL_TICKER")
-    status = F.when(F.col("rules").isNull(), "AUTO_NEW_TICKER").when(F.size("__live") == 0, "OUTSIDE_VALIDITY").when(F.size("__live") > 1, several.cast("string")).otherwise(mapped)
+    status = F.when(F.col("rules").isNull(), "AUTO_NEW_TICKER").when(F.size("__live") == 0, "OUTSIDE_VALIDITY").otherwise(mapped)
     first = F.get("rules", F.lit(0))  # rules are sorted by security_id
     known = F.coalesce(chosen, first)
     ident = F.when(F.col("rules").isNull(), security_id(F.col("ticker"))).otherwise(known["security_id"])

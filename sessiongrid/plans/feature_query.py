@@ -1,11 +1,12 @@
-"""The feature query end to end: bars to calendar to dense grid to 32 features."""
+"""The feature query end to end: bars to sessions to 32 features."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from ..operators.bars import benchmark
-from ..operators.features import FEATURES, all_features
+from ..operators.features import FEATURES, all_features, on_sessions
 from ..operators.grid import build_calendar, densify
 
 
@@ -14,5 +15,12 @@ def dense(panel: DataFrame) -> DataFrame:
     return densify(panel, build_calendar(panel), benchmark(panel))
 
 
+def observed(panel: DataFrame) -> DataFrame:
+    """The panel's rows on its own sessions with its own index; one aggregation gives both, and no row is made up."""
+    number = F.row_number().over(Window.orderBy("prediction_date")) - 1
+    sessions = benchmark(panel).where("prediction_date is not null").withColumn("session_index", number.cast("long"))
+    return on_sessions(panel, sessions)
+
+
 def feature_query(panel: DataFrame) -> DataFrame:
-    return all_features(dense(panel)).select("security_id", "prediction_date", "session_index", *FEATURES)
+    return all_features(observed(panel)).select("security_id", "prediction_date", "session_index", *FEATURES)

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,23 @@ def model_matrix(rows: DataFrame, features: tuple[str, ...] = tuple(FEATURES)) -
     return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in features], *[number(F.col(f)).alias(f) for f in features])
 
 
+@dataclass(frozen=True)
+class Fitted:
+    """A fitted pipeline: preparation and classifier."""
+
+    pipeline: PipelineModel
+    features: tuple[str, ...]
+    made: tuple[str, ...]
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        """rows with their probability."""
+        scored = self.pipeline.transform(model_matrix(rows, self.features))
+        return scored.withColumn("probability", vector_to_array("probability")[1]).drop(*self.made)
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().save(path)
+
+
 @dataclass(frozen=True)
 class Learner:
     """Median imputation, assembly and a classifier of spark.ml whose complexity the validation rows choose.
@@ -41,11 +59,10 @@ class Learner:
     features: tuple[str, ...] = tuple(FEATURES)
     penalties: tuple[float, ...] = (0.1, 0.01, 0.001)
 
-    def fit(self, fit: DataFrame, validation: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    def fit(self, fit: DataFrame, validation: DataFrame) -> Fitted:
         from pyspark.ml import Pipeline
         from pyspark.ml.classification import GBTClassifier, LogisticRegression
         from pyspark.ml.feature import Imputer, VectorAssembler
-        from pyspark.ml.functions import vector_to_array
 
         both = model_matrix(fit.withColumn("__held", F.lit(False)).unionByName(validation.withColumn("__held", F.lit(True))), self.features)
         both = both.withColumn("label", F.col("label").cast("double"))
@@ -68,17 +85,17 @@ class Learner:
                 model = models[losses.index(min(losses))]
         finally:
             ready.unpersist()
-        made = ["features", "rawPrediction", "prediction", *filled]
-        return lambda rows: model.transform(prepare.transform(model_matrix(rows, self.features))).withColumn("probability", vector_to_array("probability")[1]).drop(*made)
+        return Fitted(PipelineModel([*prepare.stages, model]), self.features, ("features", "rawPrediction", "prediction", *filled))
 
 
-def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldConfig, as_of: str, learner: Learner | None = None, threshold: float = 0.5) -> DataFrame:
+def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldConfig, as_of: str, learner: Learner | None = None, threshold: float = 0.5, keep: dict[str, Fitted] | None = None) -> DataFrame:
     """Out-of-sample scores of every fold's test rows, with daily ranks within each fold.
 
     fold_id, security_id, prediction_date, prediction_eligible, label, label_status, probability, predicted_class (1 from
     the threshold on). Labels that were not available as of the date are blanked (status NA). A fold learns from fit
     and validation rows alone; one fit for each fold: the driver iterates over folds (tens), never over rows. The split
-    panel is a checkpoint, if the session has a folder for them, so no fold computes it again.
+    panel is a checkpoint, if the session has a folder for them, so no fold computes it again. keep: gets the fitted model
+    of each fold.
     """
     learner = learner or Learner()
     table = fold_ops.folds(calendar, config)
@@ -90,6 +107,8 @@ def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldCon
     for row in table.select("fold_id").orderBy("fold_id").collect():
         own = parts.where(F.col("fold_id") == row["fold_id"])
         score = learner.fit(own.where("part = 'fit'"), own.where("part = 'validation'"))
+        if keep is not None:
+            keep[row["fold_id"]] = score
         test = score(own.where("part = 'test'")).select(
             "fold_id", "security_id", "prediction_date", "prediction_eligible", F.when(known, F.col("label").cast("int")).alias("label"),
             F.when(known, F.col("label_status")).otherwise("NA").alias("label_status"), "probability", (F.col("probability") >= threshold).cast("int").alias("predicted_class"),

@@ -1,8 +1,8 @@
 """Queries over the driver's tables, each with equivalent SQL where SQL can say it."""
 
-from . import features, rules, universe
+from . import features, reports, rules, universe
 
-MODULES = (features, rules, universe)
+MODULES = (features, rules, universe, reports)
 
 
 def all_queries() -> dict:

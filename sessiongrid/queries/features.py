@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import bars, coverage, features, grid
-from ..plans.feature_query import dense, feature_query
+from ..plans.feature_query import dense, feature_query, observed
 from . import sql
 from .registry import Registry
 
@@ -30,7 +30,7 @@ GROUPS = {
 for _name, _columns in GROUPS.items():
 
     def _run(spark, sf_dir, columns=_columns) -> DataFrame:
-        rows = features.base_features(dense(bars.nation_week(spark, sf_dir))).where("_source_row_present")
+        rows = features.base_features(observed(bars.nation_week(spark, sf_dir)))
         return rows.select("security_id", "prediction_date", *[r(c) for c in columns])
 
     query(f"WITH {sql.PN},\n{sql.BASE_CTES}\nSELECT security_id, prediction_date, {sql.rounded(_columns)} FROM features", _name)(_run)
@@ -55,7 +55,7 @@ def feat_all_32_suppliers(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {sql.PE},\n{sql.BASE_CTES}\nSELECT security_id, prediction_date, {sql.rounded(['ret_1', 'return_volatility_5', 'overnight_gap', 'close_location_value'])} FROM features")
 def feat_user_days(spark, sf_dir) -> DataFrame:
-    rows = features.base_features(dense(bars.user_day(spark, sf_dir))).where("_source_row_present")
+    rows = features.base_features(observed(bars.user_day(spark, sf_dir)))
     return rows.select("security_id", "prediction_date", *[r(c) for c in ("ret_1", "return_volatility_5", "overnight_gap", "close_location_value")])
 
 
@@ -100,12 +100,12 @@ _COUNTS = ", ".join(f"CAST(sum(CAST({x} AS INT)) AS BIGINT) AS {x}" for x in ("m
 
 @query(f"{_reason_sql()}SELECT feature, {_COUNTS}, count(*) AS n_rows, CAST(sum(CAST(NOT missing AS INT)) AS BIGINT) AS valid FROM flags GROUP BY feature", dates=())
 def feat_quality(spark, sf_dir) -> DataFrame:
-    return features.quality(dense(bars.supplier_week(spark, sf_dir)))
+    return features.quality(observed(bars.supplier_week(spark, sf_dir)))
 
 
 @query(_reason_sql() + "SELECT * FROM flags")
 def feat_reason_masks(spark, sf_dir) -> DataFrame:
-    return features.reasons(dense(bars.supplier_week(spark, sf_dir)))
+    return features.reasons(observed(bars.supplier_week(spark, sf_dir)))
 
 
 _ALL = " AND ".join(f"{f} IS NOT NULL" for f in features.BASE)
@@ -114,7 +114,7 @@ _MISS = " + ".join(f"CAST({f} IS NULL AS INT)" for f in features.BASE)
 
 @query(f"WITH {sql.PN},\n{sql.BASE_CTES},\ndays AS (SELECT prediction_date, count(*) FILTER ({_ALL}) AS valid, sum({_MISS}) AS missing, count(*) AS n FROM features GROUP BY 1)\nSELECT min(valid) AS min_valid, quantile_cont(valid, 0.5) AS median_valid, max(valid) AS max_valid, CAST(sum(missing) AS BIGINT) AS missing_cells, round(sum(missing) / (sum(n) * {len(features.BASE)}), 6) AS missing_share FROM days", dates=())
 def feat_daily_quality(spark, sf_dir) -> DataFrame:
-    rows = features.base_features(dense(bars.nation_week(spark, sf_dir))).where("_source_row_present")
+    rows = features.base_features(observed(bars.nation_week(spark, sf_dir)))
     return features.daily_quality(rows).withColumn("missing_share", F.round("missing_share", 6))
 
 

@@ -10,6 +10,7 @@ from ..operators import acceptance, bars, coverage, feasibility, folds, labels,
 from ..operators.bars import table
 from ..plans import modeling
 from ..plans.feature_query import feature_query
+from ..plans.training import training_plan
 from ..sources import html, snapshots
 from . import daily, sql
 from .registry import Registry
@@ -81,13 +82,13 @@ def universe_exclusions(spark, sf_dir) -> DataFrame:
 AS_OF = "2026-06-30"
 
 
-def _labels(spark, sf_dir) -> DataFrame:
+def labelled(spark, sf_dir) -> DataFrame:
     return labels.three_session_labels(daily.clean(spark, sf_dir), ticks.tariff(spark)).select("security_id", "prediction_date", "label", "label_status")
 
 
 def _panel(spark, sf_dir) -> DataFrame:
     _, _, feats, calendar, _ = _inputs(spark, sf_dir)
-    return universe.training_panel(_universe(spark, sf_dir), feats, _labels(spark, sf_dir), calendar, AS_OF)
+    return training_plan(_universe(spark, sf_dir), feats, labelled(spark, sf_dir), calendar, AS_OF)
 
 
 _PANEL = f"""{daily.LABELS},
@@ -268,7 +269,7 @@ def walk_forward_model(spark, sf_dir) -> DataFrame:
     prices = rows.select("security_id", F.col("date").alias("prediction_date"), *[F.col(f"yf_nominal_{c}").alias(c) for c in bars.BAR[:4]], F.col("is_tl_volume").alias("tl_volume"), F.col("yf_share_volume").alias("share_volume"))
     feats = feature_query(prices).drop("session_index")
     eligible = universe.prediction_universe(master, seen, feats, calendar, index)
-    panel = universe.training_panel(eligible, feats, _labels(spark, sf_dir), calendar, AS_OF)
+    panel = training_plan(eligible, feats, labelled(spark, sf_dir), calendar, AS_OF)
     config = folds.FoldConfig(validation=40, test=60, minimum_fit=100, horizon=3, history=21)
     return modeling.walk_forward(panel, calendar, config, AS_OF)
 
@@ -484,6 +485,10 @@ au AS (
                  WHEN candidate_ticker = '' THEN 'MISSING_TICKER' WHEN k % 5 = 0 AND k % 10 <> 0 THEN 'NOT_ACTIVE_KAP_BIST_COMPANY' ELSE '' END AS exclusion_reason FROM uni)"""
 
 
+#: Scripts that are no payload, and lists that lack a key or the group of share markets.
+_DECOYS = r"""<html><script>var x = [1];</script><script>self.__next_f.push([1,broken)</script><script>self.__next_f.push([1,"2:[{\\"title\\":\\"PAY PİYASASI\\"}]"])</script><script>self.__next_f.push([1,"3:{\\"d\\":[{\\"title\\":\\"x\\",\\"contents\\":[]}]}"])</script>"""
+
+
 def _market_pages(spark, sf_dir) -> DataFrame:
     """A page for each nation; its script pushes groups of markets with their lists."""
     k = F.col("c_custkey")
@@ -496,14 +501,15 @@ def _market_pages(spark, sf_dir) -> DataFrame:
     groups = rows.groupBy("c_nationkey", "g").agg(F.collect_list(markets).alias("contents"))
     data = groups.groupBy("c_nationkey").agg(F.struct(F.collect_list(F.struct(F.col("g").alias("title"), "contents")).alias("data")).alias("record"))
     pushed = F.to_json(F.array(F.lit("1"), F.concat(F.lit("15:"), F.to_json("record"))))
-    return data.select(F.col("c_nationkey").cast("long").alias("page_id"), F.concat(F.lit("<html><script>self.__next_f.push("), pushed, F.lit(")</script></html>")).alias("html"))
+    return data.select(F.col("c_nationkey").cast("long").alias("page_id"), F.concat(F.lit(_DECOYS + "<script>self.__next_f.push("), pushed, F.lit(")</script></html>")).alias("html"))
 
 
-MARKETS_SCHEMA = "struct<data:array<struct<title:string,contents:array<struct<financialMarketOid:string,marketName:string,marketOid:string,marketDetailContentList:array<struct<stockCode:string,title:string,types:string,mkkMemberOid:string,fundOid:string>>>>>>>"
+MARKETS_SCHEMA = "array<struct<title:string,contents:array<struct<financialMarketOid:string,marketName:string,marketOid:string,marketDetailContentList:array<struct<stockCode:string,title:string,types:string,mkkMemberOid:string,fundOid:string>>>>>>"
 
 
 def _markets(spark, sf_dir) -> DataFrame:
-    return html.market_rows(html.script_payloads(_market_pages(spark, sf_dir), MARKETS_SCHEMA))
+    found = html.only_payload(_market_pages(spark, sf_dir), ["title", "contents"], MARKETS_SCHEMA, ("title", html.SHARE_MARKETS))
+    return html.market_rows(found.select("page_id", F.struct(F.col("record").alias("data")).alias("record")))
 
 
 @query(f"WITH {_LISTED}\nSELECT market_group, 'fm' || market_name AS financial_market_oid, market_name, 'mo' || market_name AS market_oid, company_name, 'T' AS types, mkk_member_oid, fund_oid, candidate_ticker FROM listed", dates=())

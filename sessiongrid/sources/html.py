@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.checks import require
 from ..functions.nulls import is_true
 from ..functions.text import fold_accents, normalize_ticker, security_id
 
@@ -55,6 +56,51 @@ def script_payloads(pages: DataFrame, schema: str, push: str = "self.__next_f.pu
     return rows.where("s is not null").select("page_id", F.from_json(body, schema).alias("record")).where("record is not null")
 
 
+#: Levels of nesting that are searched; a document that goes deeper fails.
+DEPTH = 12
+
+
+def _children(value: str) -> Column:
+    """The elements of a list, or the values of an object; none of anything else."""
+    none = F.array().cast("array<variant>")
+    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.map_values(F.try_variant_get(value, "$", "map<string,variant>")), none)
+
+
+def script_documents(pages: DataFrame, push: str = "self.__next_f.push") -> DataFrame:
+    """page_id and doc (variant): the JSON behind the first colon of the string that a script pushes as second element.
+
+    Scripts that push nothing, something that does not parse, or no such string are passed over.
+    """
+    script = F.explode(F.regexp_extract_all("html", F.lit(r"(?s)<script[^>]*>(.*?)</script>"), 1))
+    call = F.regexp_extract(F.trim("script"), r"(?s)" + push.replace(".", r"\.") + r"\((.*)\)\s*$", 1)
+    rows = pages.select("page_id", script.alias("script")).select("page_id", F.try_parse_json(call).alias("pushed"))
+    second = F.try_variant_get("pushed", "$[1]", "variant")
+    texts = rows.where(F.schema_of_variant(second) == "STRING").select("page_id", F.try_variant_get("pushed", "$[1]", "string").alias("s")).where(F.col("s").contains(":"))
+    return texts.select("page_id", F.try_parse_json(F.trim(F.substring("s", F.instr("s", ":") + 1, F.length("s")))).alias("doc")).where("doc is not null")
+
+
+def only_payload(pages: DataFrame, required: list[str], schema: str, among: tuple[str, str] | None = None) -> DataFrame:
+    """page_id and record: the one list within a page's scripts whose items are all objects with the required keys.
+
+    Lists are sought at every level. among: a key and the value that some item must have there. A page with no such
+    list, or with several, fails the query, and so does one nested deeper than DEPTH. schema: type of the list.
+    """
+    rows = script_documents(pages).select("page_id", F.col("doc").alias("value"), F.lit(True).alias("open"))
+    for _ in range(DEPTH):
+        inner = F.when(F.col("open"), F.transform(_children("value"), lambda x: F.struct(x.alias("value"), F.lit(True).alias("open"))))
+        own = F.array(F.struct("value", F.lit(False).alias("open")))
+        rows = rows.select("page_id", F.explode(F.concat(own, F.coalesce(inner, F.array().cast("array<struct<value:variant,open:boolean>>")))).alias("x")).select("page_id", "x.*")
+    rows = require(rows, ~(F.col("open") & (F.size(_children("value")) > 0)), F.concat(F.lit(f"more than {DEPTH} levels in page "), F.col("page_id").cast("string")))
+    items = F.try_variant_get("value", "$", "array<map<string,variant>>")
+    fits = (F.size(items) > 0) & F.forall(items, lambda m: is_true(F.size(F.array_intersect(F.map_keys(m), F.array(*map(F.lit, required)))) == len(required)))
+    if among:
+        fits = fits & F.exists(items, lambda m: is_true(F.try_variant_get(F.element_at(m, among[0]), "$", "string") == among[1]))
+    found = rows.where(is_true(fits)).select("page_id", F.to_json("value").alias("payload")).groupBy("page_id").agg(F.count("*").alias("n"), F.min("payload").alias("payload"))
+    counted = pages.select("page_id").join(found, "page_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    message = F.concat(F.lit("expected one embedded payload, found "), F.col("n").cast("string"), F.lit(" in page "), F.col("page_id").cast("string"))
+    return require(counted, F.col("n") == 1, message).select("page_id", F.from_json("payload", schema).alias("record"))
+
+
 def companies(records: DataFrame) -> DataFrame:
     """Nested groups of companies as distinct rows; a code field holds one or more share classes."""
     rows = records.select(F.explode("record.content").alias("g")).select(F.inline("g.companies"))
@@ -62,6 +108,16 @@ def companies(records: DataFrame) -> DataFrame:
     return rows.select("mkkMemberOid", F.col("kapMemberTitle").alias("title"), codes.alias("ticker"), "cityName", "kapMemberType").where("ticker <> ''").dropDuplicates()
 
 
+def company_rows(records: DataFrame) -> DataFrame:
+    """Groups (code, content) as one distinct row for each company and page; nulls become empty texts. A company without an
+    identifier or a name fails the query."""
+    items = records.select("page_id", F.explode("record").alias("g")).select("page_id", F.explode("g.content").alias("i")).where("i is not null")
+    text = lambda c: F.trim(F.coalesce(F.col(f"i.{c}"), F.lit("")))
+    names = {"mkk_member_oid": "mkkMemberOid", "company_name": "kapMemberTitle", "stock_code": "stockCode", "city_name": "cityName", "kap_member_type": "kapMemberType"}
+    rows = items.select("page_id", *[text(c).alias(name) for name, c in names.items()])
+    return require(rows, (F.col("mkk_member_oid") != "") & (F.col("company_name") != ""), F.concat(F.lit("incomplete company in page "), F.col("page_id").cast("string"))).distinct()
+
+
 def market_rows(records: DataFrame) -> DataFrame:
     """Groups of markets with their lists (three levels) as one row for each listed instrument; nulls become empty."""
     groups = records.select(F.explode("record.data").alias("g"))
