@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import ByteBPE, gather
+from .bpe import SLICE_CHARS, ByteBPE, gather
 from .common import TEXTS, keep_table
 
 #: Characters from which on a unit is full; a longer text is one of its own or the last of one.
 UNIT_CHARS = 2_000_000
+#: Texts that go to Python at once; tokenizers do better on many, and take SLICE_CHARS characters of them at a time.
+ROWS = 4 * TEXTS
 #: Pairs of ids expanded at once.
 BLOCK = 1 << 21
 #: Bits of B's ids in a pair, the bits above are A's id.
@@ -182,6 +184,16 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<{raw[:2].decode()}", offset=2).astype(np.int64)
 
 
+def _stretches(sizes: list[int], full: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of consecutive texts, each stretch ending with the text that makes it full."""
+    start, total = 0, 0
+    for k, n in enumerate(sizes):
+        total += n
+        if total >= full or k + 1 == len(sizes):
+            yield start, k + 1
+            start, total = k + 1, 0
+
+
 def aligned_units(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", key: str = "doc_id") -> DataFrame:
     """Rows of units: arrays over the unit's documents (key, numbers of tokens, groups and links, digest of the groups,
     links as packed numbers), and its distinct pairs of ids with how many of its documents hold them linked.
@@ -195,8 +207,7 @@ def aligned_units(docs: DataFrame, a_path: str, b_path: str, text_col: str = "te
         + [T.StructField(c, T.ArrayType(T.BinaryType())) for c in ("places", "times")] + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("pairs", "n_docs")]
     )
 
-    def unit(model: Tokenizers, keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
-        a_ids, b_ids = model.encode(texts)
+    def unit(model: Tokenizers, keys: pa.Array, a_ids: list[np.ndarray], b_ids: list[np.ndarray]) -> pa.RecordBatch:
         n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (a_ids, b_ids))
         a, b = np.concatenate(a_ids), np.concatenate(b_ids)
         a_group, b_group = groups(model.a.length[a], model.b.length[b])
@@ -204,14 +215,14 @@ def aligned_units(docs: DataFrame, a_path: str, b_path: str, text_col: str = "te
         edge = np.concatenate([a_group, [-1]])[np.where(n_a > 0, last, -1)] + 1  # and the groups up to its end
         edge = np.maximum.accumulate(edge)
         n_groups = np.diff(np.concatenate([[0], edge]))
-        doc = np.repeat(np.arange(len(texts)), n_groups)
+        doc = np.repeat(np.arange(len(keys)), n_groups)
         held, pair, times = links(a_group, a, b_group, b, doc)
         pairs, place, n_docs = np.unique(pair, return_inverse=True, return_counts=True)
-        cuts = np.searchsorted(held, np.arange(len(texts) + 1))
+        cuts = np.searchsorted(held, np.arange(len(keys) + 1))
         text, ends = groups_as_text(model.a, model.b, a_group, a, b_group, b) if len(a) else (np.zeros(0, np.uint8), np.zeros(0, np.int64))
         ends = np.concatenate([[0], ends])
         row = {"n_a": n_a.tolist(), "n_b": n_b.tolist(), "n_groups": n_groups.tolist(), "n_links": [], "digest": [], "places": [], "times": [], "pairs": pairs, "n_docs": n_docs}
-        for k in range(len(texts)):
+        for k in range(len(keys)):
             lo, hi = cuts[k : k + 2].tolist()
             row["n_links"].append(int(times[lo:hi].sum()))
             row["places"].append(packed(np.diff(place[lo:hi], prepend=0)))
@@ -225,14 +236,11 @@ def aligned_units(docs: DataFrame, a_path: str, b_path: str, text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Tokenizers(a_path, b_path)
         for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                some, chars, start = [], 0, at
-                while at < batch.num_rows and chars < UNIT_CHARS:
-                    some.append(batch.column(1)[at].as_py() or "")
-                    chars += len(some[-1])
-                    at += 1
-                yield unit(model, batch.column(0).slice(start, at - start), some)
+            sizes = [len(t.as_py() or "") for t in batch.column(1)]
+            for start, stop in _stretches(sizes, SLICE_CHARS):
+                a_ids, b_ids = model.encode([t.as_py() or "" for t in batch.column(1).slice(start, stop - start)])
+                for lo, hi in _stretches(sizes[start:stop], UNIT_CHARS):
+                    yield unit(model, batch.column(0).slice(start + lo, hi - lo), a_ids[lo:hi], b_ids[lo:hi])
 
     return chosen.mapInArrow(run, schema).withColumn("unit", F.monotonically_increasing_id())
 
@@ -254,7 +262,7 @@ def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     n_best: links whose count is the highest of their A id,
     count_sum: the counts of all links added up.
     """
-    units = keep_table(aligned_units(docs, a_path, b_path), "units", TEXTS)
+    units = keep_table(aligned_units(docs, a_path, b_path), "units", ROWS)
     known = pair_counts(units)
     theirs = units.select(F.col("unit").alias("holder"), F.explode("pairs").alias("pair")).join(known, "pair").select("holder", "pair", "n", "best")
     own = units.select("unit", "key", "n_a", "n_b", "n_groups", "n_links", "digest", "places", "times")
