@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters that lose their accents, and what they become (fixed values).
-ACCENTED = "ÇĞİÖŞÜçğıöşüÂâÎîÛûÉéÈèÊêËëÀàÄäÔôÓóÍíÚúÑñ"
-PLAIN = "CGIOSUcgiosuAaIiUuEeEeEeEeAaAaOoOoIiUuNn"
+
+@functools.cache
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """By the compatibility decomposition without combining marks: characters, the single ones that they become, and the
+    Latin ligatures and digraphs that become several."""
+    singles, several = {"ı": "i"}, {}
+    for code in [*range(0x80, 0xD800), *range(0xF900, 0x10000)]:
+        folded = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        if len(folded) == 1 and folded != chr(code):
+            singles[chr(code)] = folded
+        elif len(folded) > 1 and folded.isascii() and folded.isalpha() and (code < 0x250 or 0xFB00 <= code <= 0xFB06):
+            several[chr(code)] = folded
+    return "".join(singles), "".join(singles.values()), several
 
 
 def normalize_ticker(x: Column) -> Column:
@@ -22,7 +35,11 @@ def security_id(ticker: Column) -> Column:
 
 
 def fold_accents(x: Column) -> Column:
-    return F.translate(x, ACCENTED, PLAIN)
+    """x with every character as its base character, combining marks dropped, and the dotless i as i."""
+    singles, plain, several = _folds()
+    for ligature, letters in several.items():
+        x = F.replace(x, F.lit(ligature), F.lit(letters))
+    return F.regexp_replace(F.translate(x, singles, plain), r"\p{Mn}+", "")
 
 
 #: Shapes of credentials in error texts, the part to keep as group 1, and how much of a text is kept (fixed values).

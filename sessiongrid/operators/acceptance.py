@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import is_true
+from .grid import per_session
 
 
 def compare_sources(reference: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,21 +70,26 @@ def index_dates(raw: DataFrame, calendar: DataFrame, code: str, zone: str = "Eur
     """Index rows by local date: timestamps are UTC milliseconds of local midnight."""
     ts = F.timestamp_millis(F.col("source_timestamp_ms"))
     local = F.from_utc_timestamp(ts, zone)
-    rows = raw.where(F.col("index_code") == code).select("source_timestamp_ms", "source_value", F.to_date(ts).alias("utc_date"), F.to_date(local).alias("local_date"), ((F.hour(local) == 0) & (F.minute(local) == 0) & (F.second(local) == 0)).alias("local_midnight"))
-    sessions = F.broadcast(calendar.select("session_date", F.lit(True).alias("is_session")))
-    rows = rows.join(sessions.withColumnRenamed("session_date", "local_date"), "local_date", "left").withColumnRenamed("is_session", "local_session")
-    return rows.join(sessions.withColumnRenamed("session_date", "utc_date"), "utc_date", "left").withColumnRenamed("is_session", "utc_session").fillna(False, subset=["local_session", "utc_session"])
+    rows = raw.where(F.col("index_code") == code).select("source_timestamp_ms", "source_value", F.to_date(ts).alias("utc_date"), F.to_date(local).alias("local_date"), F.date_add(F.to_date(ts), 1).alias("legacy_date"), ((F.hour(local) == 0) & (F.minute(local) == 0) & (F.second(local) == 0)).alias("local_midnight"))
+    sessions = per_session(calendar.select("session_date", F.lit(True).alias("is_session")))
+    for kind in ("local", "utc", "legacy"):
+        rows = rows.join(sessions.select(F.col("session_date").alias(f"{kind}_date"), F.col("is_session").alias(f"{kind}_session")), f"{kind}_date", "left")
+    return rows.fillna(False, subset=["local_session", "utc_session", "legacy_session"])
 
 
 def index_validation(resolved: DataFrame) -> DataFrame:
-    """One row: counts and the checks that an index must pass; one job."""
+    """One row: counts, the share of rows whose date is a session under each way to read it (UTC, local, the day after
+    UTC), and the checks that an index must pass; one job."""
     ok = is_true((F.col("source_value") > 0) & (F.col("source_value") < float("inf")))
     m = resolved.agg(
         F.count("*").alias("n_rows"), F.countDistinct("source_timestamp_ms").alias("timestamps"), F.count_if(~ok).alias("bad_values"), F.count_if("local_midnight").alias("midnights"),
-        F.count_if("local_session").alias("local_matches"), F.count_if("utc_session").alias("utc_matches"),
+        F.count_if("local_session").alias("local_matches"), F.count_if("utc_session").alias("utc_matches"), F.count_if("legacy_session").alias("legacy_matches"),
+        F.count_if(F.col("legacy_date") == F.col("local_date")).alias("legacy_equals_local"), F.countDistinct("local_date").alias("local_dates"),
     )
-    good = (F.col("n_rows") > 0) & (F.col("timestamps") == F.col("n_rows")) & (F.col("bad_values") == 0) & (F.col("midnights") == F.col("n_rows")) & (F.col("local_matches") == F.col("n_rows")) & (F.col("utc_matches") < F.col("local_matches"))
-    return m.withColumn("status", F.when(good, "VALIDATED").otherwise("REJECTED"))
+    good = (F.col("n_rows") > 0) & (F.col("timestamps") == F.col("n_rows")) & (F.col("bad_values") == 0) & (F.col("midnights") == F.col("n_rows")) & (F.col("local_matches") == F.col("n_rows")) & (F.col("utc_matches") < F.col("local_matches")) & (F.col("local_dates") == F.col("n_rows"))
+    share = lambda c: F.when(F.col("n_rows") > 0, F.col(c) / F.col("n_rows"))
+    ratios = {"utc_match_ratio": share("utc_matches"), "local_match_ratio": share("local_matches"), "legacy_match_ratio": share("legacy_matches"), "local_midnight_ratio": share("midnights"), "legacy_equals_local_ratio": share("legacy_equals_local")}
+    return m.withColumns(ratios).withColumn("status", F.when(good, "VALIDATED").otherwise("REJECTED"))
 
 
 def index_cross_check(panel: DataFrame, benchmark: DataFrame, least: int = 20) -> DataFrame:

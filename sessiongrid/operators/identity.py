@@ -63,3 +63,15 @@ def overlaps(mapping: DataFrame, by: str) -> DataFrame:
     w = Window.partitionBy(by).orderBy("valid_from", "valid_to", "security_id", "ticker")
     reach = F.max(F.coalesce("valid_to", F.lit(FAR).cast("date"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
     return mapping.withColumn("earlier_end", reach).where(F.col("valid_from") <= F.col("earlier_end"))
+
+
+def period_violations(manifest: DataFrame, start: str, end: str) -> DataFrame:
+    """What is wrong with the planned periods of securities: outside the collection's range, ending before they begin, or
+    beginning before an earlier one of the security has ended (an open end is the range's)."""
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    w = Window.partitionBy("security_id").orderBy("period_start", "period_end", "provider_ticker")
+    before = F.lag("period_end").over(w)
+    issues = F.array_compact(F.array(
+        F.when((F.col("period_start") < lo) | (F.col("period_end") > hi), "OUTSIDE_RANGE"), F.when(F.col("period_start") > F.col("period_end"), "START_AFTER_END"), F.when(F.col("period_start") <= F.col("before"), "OVERLAP"),
+    ))
+    return manifest.withColumn("before", before).select("security_id", "provider_ticker", "period_start", "period_end", F.explode(issues).alias("issue"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,20 +44,46 @@ def classification(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
-def _by_score(scores: DataFrame) -> DataFrame:
-    """Positives and negatives of each distinct score with the totals at or above it, over ranges of scores.
+#: Ranges of a value whose totals are added up in one place; a power of two.
+RANGES = 1024
+
+
+def _bounds(rows: DataFrame, by: str) -> DataFrame:
+    """One row: at most RANGES - 1 values of ``by`` that cut rows into parts of about the same size, from a sketch of them."""
+    shares = F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)])
+    return rows.agg(F.array_sort(F.array_distinct(F.percentile_approx(by, shares, 20 * RANGES))).alias("__bounds"))
+
+
+def _range_of(value: Column) -> Column:
+    """The number of bounds at or below value, by halving."""
+    bounds = F.coalesce("__bounds", F.array().cast("array<double>"))
+    widths = F.array(*[F.lit(RANGES >> k) for k in range(1, RANGES.bit_length())])
+    return F.aggregate(widths, F.lit(0), lambda low, w: F.when((low + w <= F.size(bounds)) & (F.get(bounds, low + w - 1) <= value), low + w).otherwise(low))
 
-    Running totals come from two levels, so no window sees all scores: totals of a score's thousandth (at most 1,001 of
-    them are added up in one place), plus those above within the thousandth.
+
+def running_totals(counts: DataFrame, rows: DataFrame, by: str, columns: list[str], descending: bool = False) -> DataFrame:
+    """counts (unique by ``by``, a double) with NAME_before for each column: its total over all values that come before.
+
+    rows: what the bounds of the ranges are taken from, so that each range holds about as many of them, wherever the
+    values lie. The totals of at most RANGES ranges are added up in one place and sent to all tasks; the rest is added up
+    within a range, so no window sees all values.
     """
-    counts = scores.where(F.col("label").isin(0, 1)).groupBy("probability").agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-    counts = counts.withColumn("range", F.floor(F.col("probability") * 1000).cast("int"))
-    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
-    coarse = counts.groupBy("range").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
-    coarse = coarse.select("range", F.coalesce(F.sum("rp").over(above), F.lit(0)).alias("bp"), F.coalesce(F.sum("rn").over(above), F.lit(0)).alias("bn"))
-    inner = Window.partitionBy("range").orderBy(F.desc("probability"))
-    rows = counts.join(F.broadcast(coarse), "range")
-    return rows.select("probability", "pos", "neg", (F.col("bp") + F.sum("pos").over(inner)).alias("tp"), (F.col("bn") + F.sum("neg").over(inner)).alias("fp"))
+    ranged = counts.crossJoin(F.broadcast(_bounds(rows, by))).withColumn("__range", _range_of(F.col(by))).drop("__bounds")  # one row
+    way = F.desc if descending else F.asc
+    above = Window.orderBy(way("__range")).rowsBetween(Window.unboundedPreceding, -1)
+    coarse = ranged.groupBy("__range").agg(*[F.sum(c).alias(f"__{c}") for c in columns])
+    coarse = coarse.select("__range", *[F.coalesce(F.sum(f"__{c}").over(above), F.lit(0)).alias(f"__{c}_above") for c in columns])
+    inner = Window.partitionBy("__range").orderBy(way(by)).rowsBetween(Window.unboundedPreceding, -1)
+    joined = ranged.join(F.broadcast(coarse), "__range")  # RANGES rows at most
+    return joined.select(*counts.columns, *[(F.col(f"__{c}_above") + F.coalesce(F.sum(c).over(inner), F.lit(0))).alias(f"{c}_before") for c in columns])
+
+
+def _by_score(scores: DataFrame) -> DataFrame:
+    """Positives and negatives of each distinct score with the totals at or above it."""
+    rows = scores.where(F.col("label").isin(0, 1) & F.col("probability").isNotNull()).select("probability", "label")
+    counts = rows.groupBy("probability").agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
+    totals = running_totals(counts, rows, "probability", ["pos", "neg"], descending=True)
+    return totals.select("probability", "pos", "neg", (F.col("pos_before") + F.col("pos")).alias("tp"), (F.col("neg_before") + F.col("neg")).alias("fp"))
 
 
 def roc_auc(scores: DataFrame) -> DataFrame:
@@ -77,15 +103,19 @@ def average_precision(scores: DataFrame) -> DataFrame:
 def calibration(scores: DataFrame, bins: int = 10) -> DataFrame:
     """Equal-count bins by probability (ties by key): mean prediction, observed rate and their gap.
 
-    Places come from counts of probability ranges and row numbers within them, so no single task ranks all rows.
+    A row's place is the number of rows with a smaller probability (running_totals), those of smaller securities with its
+    own, and those of its security before it: no task ranks all rows, nor all rows of one probability.
     """
-    rows = scores.where(F.col("label").isin(0, 1)).select("security_id", "prediction_date", "label", "probability", F.floor(F.col("probability") * 1000).cast("int").alias("range"))
-    below = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy("range").agg(F.count("*").alias("n"))
-    every = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sizes = sizes.select("range", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("before"), F.sum("n").over(every).alias("total"))
-    place = F.col("before") + F.row_number().over(Window.partitionBy("range").orderBy("probability", "security_id", "prediction_date")) - 1
-    rows = rows.join(F.broadcast(sizes), "range").withColumn("place", place).withColumn("k", F.least(F.lit(bins), F.col("total")))
+    rows = scores.where(F.col("label").isin(0, 1) & F.col("probability").isNotNull()).select("security_id", "prediction_date", "label", "probability")
+    per_security = rows.groupBy("probability", "security_id").agg(F.count("*").alias("n"))
+    counts = per_security.groupBy("probability").agg(F.sum("n").alias("n"))
+    before = running_totals(counts, rows, "probability", ["n"]).select("probability", "n_before")
+    smaller = Window.partitionBy("probability").orderBy("security_id").rowsBetween(Window.unboundedPreceding, -1)
+    held = per_security.join(before, "probability").select("probability", "security_id", (F.col("n_before") + F.coalesce(F.sum("n").over(smaller), F.lit(0))).alias("before"))
+    total = rows.agg(F.count("*").alias("total"))  # one row
+    place = F.col("before") + F.row_number().over(Window.partitionBy("probability", "security_id").orderBy("prediction_date")) - 1
+    joined = rows.join(held, ["probability", "security_id"]).crossJoin(F.broadcast(total))
+    rows = joined.withColumn("place", place).withColumn("k", F.least(F.lit(bins), F.col("total")))
     # the first total % k bins hold one row more
     size, more = F.floor(F.col("total") / F.col("k")), F.col("total") % F.col("k")
     big = more * (size + 1)

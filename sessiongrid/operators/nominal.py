@@ -24,14 +24,6 @@ def restore_nominal(bars: DataFrame, key: str = "ticker", date: str = "date", sp
     return rows.withColumns({f"yf_nominal_{p}": positive(F.col(p)) * F.col("split_factor") for p in PRICES})
 
 
-def normalize_history(frame: DataFrame, names: dict[str, str], known: set[str], date: str = "date") -> DataFrame:
-    """Rename provider columns; what is missing becomes null; unknown numeric columns add up in yf_other_action_value."""
-    unknown = [c for c, t in frame.dtypes if c not in names and c not in known and t in ("double", "float", "int", "bigint", "smallint")]
-    other = sum((F.abs(F.coalesce(F.col(c).cast("double"), F.lit(0.0))) for c in unknown), F.lit(0.0))
-    kept = [F.col(a).alias(b) if a in frame.columns else F.lit(None).cast("double").alias(b) for a, b in names.items()]
-    return frame.select(*[F.to_date(c).alias(c) if c == date else F.col(c) for c in frame.columns if c in known], *kept, other.alias("yf_other_action_value"))
-
-
 def keep_last(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row for each key: the last by an explicit total order."""
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])

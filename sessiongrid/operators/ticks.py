@@ -58,14 +58,35 @@ def upper_limits(rows: DataFrame, rules: DataFrame, previous_close: str = "previ
     )
 
 
+#: What every rule of a set must say alike about its source.
+METADATA = ["official_source_name", "official_document_number", "official_document_date", "official_effective_date", "official_source_url", "source_checksum"]
+
+
 def tariff_violations(rules: DataFrame) -> DataFrame:
-    """What is wrong with a tariff: gaps between bands or regimes, and a last band or regime that is not open."""
+    """What is wrong with a tariff, by rule set (price_min where a band is meant, else null).
+
+    Bands must begin at 0.01, follow each other without gap or overlap, and the last be open; the dates of a set must be
+    one pair, and the next set of an instrument begin the day after; the last must be open. Where rules bear METADATA, each
+    must be there, be the same throughout a set (checksums in any case), and the checksum be 64 hexadecimal digits.
+    """
     band = Window.partitionBy("rule_set_id", "instrument_type").orderBy("price_min")
     bands = rules.withColumn("before", F.lag("price_max").over(band)).withColumn("first", F.row_number().over(band) == 1).withColumn("last", F.lead("price_min").over(band).isNull())
     issue = F.when(F.col("first") & (F.col("price_min") != F.lit("0.01").cast(PRICE)), "FIRST_BAND_NOT_0.01").when(~F.col("first") & ~F.col("before").eqNullSafe(F.col("price_min")), "BAND_GAP").when(F.col("last") & F.col("price_max").isNotNull(), "LAST_BAND_CLOSED")
     found = bands.select("rule_set_id", F.col("price_min").cast("double").alias("price_min"), issue.alias("issue")).where("issue is not null")
-    regimes = rules.groupBy("instrument_type", "rule_set_id").agg(F.min("effective_from").alias("a"), F.max("effective_to").alias("b"), F.count_if(F.col("effective_to").isNull()).alias("open"))
-    order = Window.partitionBy("instrument_type").orderBy("a")
-    regimes = regimes.withColumn("next", F.lead("a").over(order))
-    regime_issue = F.when(F.col("next").isNotNull() & ((F.col("open") > 0) | (F.date_add("b", 1) != F.col("next"))), "REGIME_GAP").when(F.col("next").isNull() & (F.col("open") == 0), "LAST_REGIME_CLOSED")
-    return found.unionByName(regimes.select("rule_set_id", F.lit(None).cast("double").alias("price_min"), regime_issue.alias("issue")).where("issue is not null"))
+    known = [c for c in METADATA if c in rules.columns]
+    text = lambda c: F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))) if c == "source_checksum" else F.coalesce(F.col(c).cast("string"), F.lit(""))
+    lacking = F.lit(False)
+    for c in known:
+        lacking = lacking | (text(c) == "")
+    odd = ~text("source_checksum").rlike("^[0-9a-f]{64}$") if "source_checksum" in known else F.lit(False)
+    sets = rules.groupBy("instrument_type", "rule_set_id").agg(
+        F.min("effective_from").alias("a"), F.max("effective_to").alias("b"), F.count_if(F.col("effective_to").isNull()).alias("open"), F.size(F.collect_set(F.struct("effective_from", F.coalesce("effective_to", F.lit("9999-12-31").cast("date"))))).alias("dates"),
+        F.size(F.collect_set(F.struct(*[text(c).alias(c) for c in known], F.lit(1).alias("one")))).alias("sources"), F.bool_or(lacking).alias("lacking"), F.bool_or(~lacking & odd).alias("odd"),
+    )
+    following = F.lead("a").over(Window.partitionBy("instrument_type").orderBy("a", "rule_set_id"))
+    sets = sets.withColumn("next", following)
+    issues = F.array_compact(F.array(
+        F.when(F.col("dates") > 1, "INCONSISTENT_DATES"), F.when(F.col("lacking"), "METADATA_MISSING"), F.when(F.col("sources") > 1, "INCONSISTENT_METADATA"), F.when(F.col("odd"), "CHECKSUM_NOT_SHA256"),
+        F.when(F.col("next").isNotNull() & ((F.col("open") > 0) | (F.date_add("b", 1) != F.col("next"))), "REGIME_GAP").when(F.col("next").isNull() & (F.col("open") == 0), "LAST_REGIME_CLOSED"),
+    ))
+    return found.unionByName(sets.select("rule_set_id", F.lit(None).cast("double").alias("price_min"), F.explode(issues).alias("issue")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import bars, cleaning, identity, labels, nominal, ticks
+from ..operators import bars, cleaning, identity, labels, nominal, providers, ticks
 from ..operators.bars import table
 from . import daily
 from .registry import Registry
@@ -86,10 +86,72 @@ def mapping_plan(spark, sf_dir) -> DataFrame:
     return identity.collection_plan(securities, mapping(spark, sf_dir), "1996-01-20", "2001-01-31")
 
 
-@query(f"""WITH {_MAP}, o AS (SELECT *, max(coalesce(valid_to, DATE '9999-12-31')) OVER (PARTITION BY ticker ORDER BY valid_from, valid_to NULLS FIRST, security_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier_end FROM mapping)
+#: The mapping, and for some securities a second rule that begins a month before the first ends, or on the same day.
+_OVER = f"""{_MAP},
+over_map AS (SELECT * FROM mapping UNION ALL SELECT 'SEC9' || substr(security_id, 5), ticker, CASE WHEN valid_to IS NULL THEN valid_from ELSE valid_to - 30 END, DATE '2001-12-31', false FROM mapping WHERE CAST(substr(security_id, 4) AS INT) % 5 = 1)"""
+
+
+@query(f"""WITH {_OVER}, o AS (SELECT *, max(coalesce(valid_to, DATE '9999-12-31')) OVER (PARTITION BY ticker ORDER BY valid_from, valid_to NULLS FIRST, security_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier_end FROM over_map)
 SELECT security_id, ticker, valid_from, earlier_end FROM o WHERE valid_from <= earlier_end""", dates=("valid_from", "earlier_end"))
 def mapping_overlaps(spark, sf_dir) -> DataFrame:
-    return identity.overlaps(mapping(spark, sf_dir), "ticker").select("security_id", "ticker", "valid_from", "earlier_end")
+    rules = mapping(spark, sf_dir)
+    second = rules.where(F.substring("security_id", 4, 9).cast("int") % 5 == 1)
+    begin = F.when(F.col("valid_to").isNull(), F.col("valid_from")).otherwise(F.date_sub("valid_to", 30))
+    second = second.select(F.concat(F.lit("SEC9"), F.substring("security_id", 5, 20)).alias("security_id"), "ticker", begin.alias("valid_from"), F.lit("2001-12-31").cast("date").alias("valid_to"), F.lit(False).alias("is_current_ticker"))
+    return identity.overlaps(rules.union(second), "ticker").select("security_id", "ticker", "valid_from", "earlier_end")
+
+
+@query("""WITH m AS (SELECT printf('C%06d', o_custkey) AS security_id, 'T' || o_orderkey AS provider_ticker, CAST(o_orderdate AS DATE) AS period_start, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 - 2 AS INT) AS period_end FROM orders),
+b AS (SELECT *, lag(period_end) OVER (PARTITION BY security_id ORDER BY period_start, period_end, provider_ticker) AS before FROM m)
+SELECT security_id, provider_ticker, period_start, period_end, unnest(list_filter([CASE WHEN period_start < DATE '1995-03-01' OR period_end > DATE '2001-06-30' THEN 'OUTSIDE_RANGE' END, CASE WHEN period_start > period_end THEN 'START_AFTER_END' END, CASE WHEN period_start <= before THEN 'OVERLAP' END], lambda x: x IS NOT NULL)) AS issue FROM b""", dates=("period_start", "period_end"))
+def manifest_periods(spark, sf_dir) -> DataFrame:
+    day, k = F.to_date("o_orderdate"), F.col("o_orderkey")
+    manifest = table(spark, sf_dir, "orders").select(F.format_string("C%06d", "o_custkey").alias("security_id"), F.concat(F.lit("T"), k).alias("provider_ticker"), day.alias("period_start"), F.date_add(day, (k % 40 - 2).cast("int")).alias("period_end"))
+    return identity.period_violations(manifest, "1995-03-01", "2001-06-30")
+
+
+# Providers ----------------------------------------------------------------------------------------------------------
+
+_RAW_ROW = "row(l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)"
+_LAST_ROW = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
+
+
+def _raw_lines(spark, sf_dir) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem")
+    return items.withColumns({"ticker": F.format_string(" s%06d.is ", "l_suppkey"), "price": F.col("l_extendedprice") / F.col("l_quantity")})
+
+
+@query(f"""WITH r AS (SELECT printf('S%06d', l_suppkey) AS ticker, CAST(l_shipdate AS DATE) AS date, l_extendedprice / l_quantity AS p, *, {_RAW_ROW} AS o FROM lineitem),
+k AS (SELECT ticker, date, arg_max(p, o) AS p, arg_max(l_extendedprice, o) AS v, arg_max(l_linenumber, o) AS n, arg_max(l_quantity, o) AS q FROM r GROUP BY 1, 2)
+SELECT ticker, date, p * 1.5 AS is_raw_high, CASE WHEN n <> 3 THEN p / 2 END AS is_raw_low, p AS is_raw_close, p AS is_raw_weighted_average, p AS is_adjusted_high, p AS is_adjusted_low, p * 0.5 AS is_adjusted_close, p AS is_adjusted_weighted_average, v AS is_tl_volume, v + 1 AS is_raw_tl_volume,
+       q AS is_market_cap_try, CAST(NULL AS DOUBLE) AS is_market_cap_usd, CAST(NULL AS DOUBLE) AS is_free_float_market_cap_try, CAST(NULL AS DOUBLE) AS is_free_float_market_cap_usd FROM k""", dates=("date",))
+def provider_equity_history(spark, sf_dir) -> DataFrame:
+    p, v = F.col("price"), F.col("l_extendedprice")
+    names = {"HGDG_TARIH": F.col("l_shipdate"), "HGDG_KAPANIS": p * 0.5, "HGDG_AOF": p, "HGDG_MIN": p, "HGDG_MAX": p, "HGDG_HACIM": v, "HG_KAPANIS": p, "HG_AOF": p, "HG_MIN": F.when(F.col("l_linenumber") != 3, p / 2), "HG_MAX": p * 1.5, "HG_HACIM": v + 1, "PD": F.col("l_quantity")}
+    return providers.equity_history(_raw_lines(spark, sf_dir).withColumns(names), _LAST_ROW)
+
+
+@query(f"""WITH r AS (SELECT printf('S%06d', l_suppkey) AS ticker, CAST(l_shipdate AS DATE) AS date, *, {_RAW_ROW} AS o FROM lineitem),
+k AS (SELECT ticker, date, arg_max(row(l_quantity, l_tax, l_discount, l_linenumber, l_returnflag), o) AS x FROM r GROUP BY 1, 2)
+SELECT ticker, date, x[1] AS yf_share_volume, x[2] AS yf_dividends, 0.0::DOUBLE AS yf_stock_splits, 0.0::DOUBLE AS yf_capital_gains, abs(0 - x[3]) + CAST(x[4] AS DOUBLE) AS yf_other_action_value FROM k""", dates=("date",))
+def provider_auxiliary(spark, sf_dir) -> DataFrame:
+    """Prices are there and left out; a negative discount and a line number in text are columns that nobody knows."""
+    raw = _raw_lines(spark, sf_dir).select("ticker", F.col("l_shipdate").alias("date"), *_LAST_ROW, F.col("price").alias("Close"), F.col("l_quantity").alias("Volume"), F.col("l_tax").alias("Dividends"), (-F.col("l_discount")).alias("Fee"), F.col("l_linenumber").cast("string").alias("Note"), F.col("l_returnflag").alias("Mark"))
+    return providers.auxiliary(raw, _LAST_ROW)
+
+
+@query(f"""WITH p AS ({_PM}), c AS (SELECT *, CASE WHEN month(date) = 6 THEN 2.0 WHEN month(date) = 9 THEN -1.0 ELSE 0.0 END AS split, CASE WHEN year(date) % 2 = 0 THEN high END AS close FROM p)
+SELECT ticker, date, low AS yf_provider_open, high AS yf_provider_high, low AS yf_provider_low, close AS yf_provider_close, CAST(NULL AS DOUBLE) AS yf_provider_adjusted_close, month(date) * 10.0::DOUBLE AS yf_share_volume, 0.0::DOUBLE AS yf_dividends, split AS yf_stock_splits, 0.0::DOUBLE AS yf_capital_gains, abs(low - high) AS yf_other_action_value,
+       coalesce(product(CASE WHEN split > 0 THEN split ELSE 1.0 END) OVER w, 1.0) AS split_factor, close * coalesce(product(CASE WHEN split > 0 THEN split ELSE 1.0 END) OVER w, 1.0) AS yf_nominal_close
+FROM c WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)""", dates=("date",))
+def provider_quotes(spark, sf_dir) -> DataFrame:
+    months = bars.supplier_month(spark, sf_dir)
+    month = F.month("prediction_date")
+    raw = months.select(
+        F.lower("security_id").alias("ticker"), F.col("prediction_date").cast("timestamp").alias("date"), F.col("low").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"), F.when(F.year("prediction_date") % 2 == 0, F.col("high")).alias("Close"),
+        (month * 10).alias("Volume"), F.when(month == 6, 2.0).when(month == 9, -1.0).otherwise(0.0).alias("Stock Splits"), (F.col("low") - F.col("high")).alias("Range"), F.lit("text").alias("Note"),
+    )
+    return providers.quotes(raw).drop("split_valid", "split_ignored", "yf_nominal_open", "yf_nominal_high", "yf_nominal_low")
 
 
 # Ticks --------------------------------------------------------------------------------------------------------------
@@ -114,16 +176,33 @@ def upper_limit(spark, sf_dir) -> DataFrame:
     return ticks.upper_limits(rows, ticks.tariff(spark)).select("o_orderkey", "raw_upper_limit", "tick_size", "estimated_upper_limit", F.col("price_step_resolution_status").alias("status"))
 
 
-_BROKEN = "(VALUES ('A', 0.01, 20.0), ('A', 25.0, 50.0), ('A', 50.0, 100.0), ('B', 0.05, NULL)) t(rule_set_id, lo, hi)"
+_RULES = """rules AS (
+  SELECT 'R' || n_nationkey AS rule_set_id, 'I' || n_regionkey AS instrument_type, DATE '2020-01-01' + 100 * (n_nationkey % 5) AS a, CASE WHEN n_nationkey % 5 < 4 OR n_nationkey % 3 = 0 THEN DATE '2020-01-01' + 100 * (n_nationkey % 5) + CASE WHEN n_nationkey % 7 = 3 THEN 90 ELSE 99 END END AS b,
+         CAST(CASE WHEN band = 0 AND n_nationkey % 6 = 1 THEN 0.05 ELSE [0.01, 20, 50][band + 1] END AS DOUBLE) AS lo, CASE WHEN band = 2 AND n_nationkey % 8 <> 5 THEN NULL WHEN band = 0 AND n_nationkey % 4 = 2 THEN 19.5 ELSE [20.0, 50.0, 100.0][band + 1] END AS hi,
+         CASE WHEN n_nationkey % 9 = 4 AND band = 1 THEN 'other' WHEN n_nationkey % 10 = 7 THEN '' ELSE 'office' END AS name, CASE WHEN n_nationkey % 11 = 2 THEN 'abc' WHEN band = 1 THEN upper(sha256(n_name)) ELSE sha256(n_name) END AS checksum
+  FROM nation, (SELECT unnest([0, 1, 2]) AS band))"""
 
 
-@query(f"""SELECT rule_set_id, CAST(lo AS DOUBLE) AS price_min, CASE WHEN before IS NULL AND rn = 1 AND lo <> 0.01 THEN 'FIRST_BAND_NOT_0.01' WHEN rn > 1 AND before IS DISTINCT FROM lo THEN 'BAND_GAP' ELSE 'LAST_BAND_CLOSED' END AS issue
-FROM (SELECT *, lag(hi) OVER w AS before, row_number() OVER w AS rn, lead(lo) OVER w AS nxt FROM {_BROKEN} WINDOW w AS (PARTITION BY rule_set_id ORDER BY lo))
-WHERE (rn = 1 AND lo <> 0.01) OR (rn > 1 AND before IS DISTINCT FROM lo) OR (nxt IS NULL AND hi IS NOT NULL)
-UNION ALL SELECT 'A', NULL, 'REGIME_GAP'""", dates=())
+@query(f"""WITH {_RULES},
+bands AS (SELECT *, lag(hi) OVER w AS before, row_number() OVER w AS rn, lead(lo) OVER w AS nxt FROM rules WINDOW w AS (PARTITION BY rule_set_id, instrument_type ORDER BY lo)),
+sets AS (SELECT instrument_type, rule_set_id, min(a) AS a, max(b) AS b, count(*) FILTER (b IS NULL) AS open, count(DISTINCT name || lower(checksum)) AS sources, bool_or(name = '') AS lacking, bool_or(name <> '' AND NOT regexp_matches(lower(checksum), '^[0-9a-f]{{64}}$')) AS odd FROM rules GROUP BY 1, 2),
+sets2 AS (SELECT *, lead(a) OVER (PARTITION BY instrument_type ORDER BY a, rule_set_id) AS nxt FROM sets)
+SELECT rule_set_id, lo AS price_min, CASE WHEN rn = 1 AND lo <> 0.01 THEN 'FIRST_BAND_NOT_0.01' WHEN rn > 1 AND before IS DISTINCT FROM lo THEN 'BAND_GAP' ELSE 'LAST_BAND_CLOSED' END AS issue FROM bands WHERE (rn = 1 AND lo <> 0.01) OR (rn > 1 AND before IS DISTINCT FROM lo) OR (nxt IS NULL AND hi IS NOT NULL)
+UNION ALL SELECT rule_set_id, NULL, unnest(list_filter([CASE WHEN lacking THEN 'METADATA_MISSING' END, CASE WHEN sources > 1 THEN 'INCONSISTENT_METADATA' END, CASE WHEN odd THEN 'CHECKSUM_NOT_SHA256' END,
+  CASE WHEN nxt IS NOT NULL AND (open > 0 OR b + 1 <> nxt) THEN 'REGIME_GAP' WHEN nxt IS NULL AND open = 0 THEN 'LAST_REGIME_CLOSED' END], lambda x: x IS NOT NULL)) FROM sets2""", dates=())
 def tariff_validate(spark, sf_dir) -> DataFrame:
-    rows = [("A", "2020-01-01", "2020-12-31", "0.01", "20"), ("A", "2020-01-01", "2020-12-31", "25", "50"), ("A", "2020-01-01", "2020-12-31", "50", "100"), ("B", "2021-02-01", None, "0.05", None)]
-    rules = spark.createDataFrame(rows, "rule_set_id string, a string, b string, lo string, hi string").select("rule_set_id", F.lit("EQUITY").alias("instrument_type"), F.to_date("a").alias("effective_from"), F.to_date("b").alias("effective_to"), F.col("lo").cast(ticks.PRICE).alias("price_min"), F.col("hi").cast(ticks.PRICE).alias("price_max"))
+    """A rule set for each nation, three bands each, with faults of every kind; nations of a region follow each other."""
+    n, band = F.col("n_nationkey"), F.col("band")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", "n_name", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("band"))
+    start = F.date_add(F.lit("2020-01-01").cast("date"), (100 * (n % 5)).cast("int"))
+    end = F.when((n % 5 < 4) | (n % 3 == 0), F.date_add(start, F.when(n % 7 == 3, 90).otherwise(99)))
+    low = F.when((band == 0) & (n % 6 == 1), F.lit("0.05")).otherwise(F.element_at(F.array(F.lit("0.01"), F.lit("20"), F.lit("50")), band + 1))
+    high = F.when((band == 2) & (n % 8 != 5), F.lit(None)).when((band == 0) & (n % 4 == 2), F.lit("19.5")).otherwise(F.element_at(F.array(F.lit("20"), F.lit("50"), F.lit("100")), band + 1))
+    digest = F.sha2("n_name", 256)
+    rules = nations.select(
+        F.concat(F.lit("R"), n).alias("rule_set_id"), F.concat(F.lit("I"), F.col("n_regionkey")).alias("instrument_type"), start.alias("effective_from"), end.alias("effective_to"), low.cast(ticks.PRICE).alias("price_min"), high.cast(ticks.PRICE).alias("price_max"),
+        F.when((n % 9 == 4) & (band == 1), "other").when(n % 10 == 7, "").otherwise("office").alias("official_source_name"), F.when(n % 11 == 2, "abc").when(band == 1, F.upper(digest)).otherwise(digest).alias("source_checksum"),
+    )
     return ticks.tariff_violations(rules)
 
 

@@ -28,7 +28,7 @@ def row_hash(df: DataFrame) -> Column:
 def content_hash(df: DataFrame) -> DataFrame:
     """n_rows and content_hash: sums of the four quarters of all row hashes, hashed once more."""
     h = df.select(row_hash(df).alias("h"))
-    quarter = lambda k: F.sum(F.conv(F.substring("h", 16 * k + 1, 15), 16, 10).cast("decimal(38,0)"))
+    quarter = lambda k: F.sum(F.conv(F.substring("h", 16 * k + 1, 16), 16, 10).cast("decimal(38,0)"))
     sums = h.agg(F.count("*").alias("n_rows"), *[quarter(k).alias(f"q{k}") for k in range(4)])
     return sums.select("n_rows", F.sha2(F.concat_ws(":", F.col("n_rows").cast("string"), *[F.coalesce(F.col(f"q{k}"), F.lit(0)).cast("string") for k in range(4)]), 256).alias("content_hash"))
 
