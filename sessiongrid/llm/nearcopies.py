@@ -6,13 +6,18 @@ of them. The steps:
 
 1. A pass over the texts gives each its fingerprint, the number and hash of its shingle set, and the set's prefix: the
    first n - ceil(threshold * n) + 1 of n shingle hashes in ascending order. Similar sets share a prefix token.
-2. Classes by SimHash, and by equal sets.
-3. Sets of different classes meet where they share a prefix token, under length, positional and bitmap filters (hashes
+2. A passage that many texts share would fill their prefixes. So tokens that more than FREQUENT prefixes hold are counted,
+   with all tokens of the sets concerned, and stand last, the most frequent at the end; those sets get prefixes in this
+   order: their own tokens first. All other sets' prefixes hold no such token and are the same in both orders.
+3. Classes by SimHash, and by equal sets.
+4. Sets of different classes meet where they share a prefix token, under length, positional and bitmap filters (hashes
    toggle bits of a map of two bits or more for each shingle; sets whose maps differ in k bits differ in k shingles at
    least; the longer of two maps is folded to the length of the shorter), and Jaccard is verified on the whole sets. First each set meets the first one of its tokens, so that a large group becomes one
    class without meeting pair by pair; then those meet that are still in different classes.
 
-Texts without words are one class. XXH64 hashes stand for shingles and texts.
+Null texts count as empty; texts without words are one class. Repeated rows and rows without an id are classed like all
+others; ids are of any type. Columns other than doc_id and text are ignored; an empty table gives an empty result. XXH64
+hashes stand for shingles and texts.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ from . import simhash
 from .common import TEXTS, cut, keep_table, text_key
 
 THRESHOLD = 0.8
-BROADCAST_TEXTS, BROADCAST_BYTES = 2_000_000, 32 << 20
+BROADCAST_BYTES = 32 << 20
+#: Prefixes from which on a token is frequent.
+FREQUENT = 64
 #: Bits of a set's map at least; maps are powers of two.
 MAP = 1024
 
@@ -104,11 +111,10 @@ def _nearest(pairs: DataFrame) -> DataFrame:
     return cut(pairs.groupBy("cls").agg(F.min(F.struct("differ", "other")).alias("x")).select("cls", "x.other"))
 
 
-def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, t: int) -> DataFrame:
-    """(a, b): fingerprints of the pairs (cls, other) whose sets have that similarity."""
-    wanted = pairs.select("cls").union(pairs.select(F.col("other").alias("cls"))).distinct()
+def _whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """cls, fp and tokens (all shingle hashes) of the wanted sets (cls), from their texts."""
     places = cut(rows.join(wanted, "cls").groupBy("cls").agg(F.min("key").alias("key"), F.min("fp").alias("fp")))
-    few = places.count() <= BROADCAST_TEXTS
+    few = places.count() * 32 <= BROADCAST_BYTES  # three integers and their place in the table of the join
     texts = docs.select(text_key().alias("key"), "text").join(F.broadcast(places) if few else places, "key").select("cls", "fp", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,12 +124,43 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, t:
                 sets = [shingle_set(list(simhash.shingle_hashes(x.as_py(), words))) for x in some.column(2)]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["cls", "fp", "tokens"])
 
-    sets = keep_table(texts.dropDuplicates(["cls"]).mapInArrow(run, "cls long, fp long, tokens array<long>"), "tokens", TEXTS)
+    return keep_table(texts.dropDuplicates(["cls"]).mapInArrow(run, "cls long, fp long, tokens array<long>"), "tokens", TEXTS)
+
+
+def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, t: int) -> DataFrame:
+    """(a, b): fingerprints of the pairs (cls, other) whose sets have that similarity."""
+    sets = _whole_sets(docs, rows, pairs.select("cls").union(pairs.select(F.col("other").alias("cls"))).distinct(), words)
     both = pairs.join(sets, "cls").join(sets.select(F.col("cls").alias("other"), F.col("fp").alias("fp2"), F.col("tokens").alias("tokens2")), "other")
     common = F.size(F.array_intersect("tokens", "tokens2"))
     return cut(both.where(common * 1000 >= (F.size("tokens") + F.size("tokens2") - common) * t).select(F.col("fp").alias("a"), F.col("fp2").alias("b")))
 
 
+def _beside(df: DataFrame, tokens: DataFrame, how: str = "inner") -> DataFrame:
+    """df joined to a table of tokens, which is broadcast if its size allows; else Spark splits the frequent ones."""
+    return df.join(F.broadcast(tokens) if tokens.count() * 24 <= BROADCAST_BYTES else tokens, "token", how)
+
+
+def prefix_posts(docs: DataFrame, rows: DataFrame, words: int, t: int) -> DataFrame:
+    """cls, fp, n, pos and token of each prefix token of each set, frequent tokens last."""
+    sets = keep_table(rows.where("n > 0").select("cls", "fp", "n", "prefix").dropDuplicates(["cls"]), "sets")
+    posts = sets.select("cls", "fp", "n", F.posexplode("prefix").alias("pos", "token"))
+    frequent = cut(posts.groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT))
+    if frequent.isEmpty():
+        return posts
+    concerned = cut(_beside(posts, frequent).select("cls").distinct())
+    whole = _whole_sets(docs, rows, concerned, words)
+    # frequent among all tokens of these sets, so that no passage comes back with its other tokens
+    more = whole.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT)
+    frequent = cut(frequent.unionByName(more).groupBy("token").agg(F.max("held").alias("held")))
+    last = cut(_beside(posts, frequent).select("cls").distinct())
+    whole = whole.unionByName(_whole_sets(docs, rows, cut(last.join(concerned, "cls", "left_anti")), words))
+    each = _beside(whole.select("cls", F.explode("tokens").alias("token")), frequent, "left")
+    ordered = each.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "token"))).alias("tokens"))
+    size = F.expr(f"n - (n * {t} + 999) div 1000 + 1").cast("int")
+    made = ordered.join(sets.select("cls", "fp", "n"), "cls").select("cls", "fp", "n", F.posexplode(F.slice("tokens.token", F.lit(1), size)).alias("pos", "token"))
+    return posts.join(last, "cls", "left_anti").select("cls", "fp", "n", "pos", "token").unionByName(made)
+
+
 def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: float = THRESHOLD) -> DataFrame:
     """(node, root) of fingerprints as simhash.components gives them; rows: the kept shingle_rows of docs."""
     t = round(threshold * 1000)
@@ -132,10 +169,9 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
     edges = cut(simhash.links(rows.select("fp").distinct()).unionByName(same))
     roots = simhash.components(edges)
 
-    posts = keep_table(rows.where("n > 0").select("cls", "fp", "n", "prefix").dropDuplicates(["cls"]), "sets").select("cls", "fp", "n", F.posexplode("prefix").alias("pos", "token"))
+    posts = keep_table(prefix_posts(docs, rows, words, t), "posts")
     shared = cut(posts.groupBy("token").agg(F.count("*").alias("posts")).where("posts > 1").select("token"))
-    few = shared.count() * 16 <= BROADCAST_BYTES  # a token and its place in the table of the join
-    met = keep_table(posts.join(F.broadcast(shared) if few else shared.hint("shuffle_hash"), "token").select("token", "cls", "fp", "n", "pos"), "meetings")
+    met = keep_table(_beside(posts, shared), "meetings")
 
     def known(roots: DataFrame) -> DataFrame:
         """met with the class so far."""

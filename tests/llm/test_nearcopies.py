@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline as pipeline
+from test_simhash import slow_fingerprint
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -29,11 +30,12 @@ def edited_rows(seed=4):
 
 
 def lowest_of_classes(rows, t=0.8):
-    sets = [shingles(r[1]) for r in rows]
+    """The lowest ids of the classes by links of that similarity, or of fingerprints within four bits."""
+    sets, fps = [shingles(r[1]) for r in rows], [slow_fingerprint(r[1], 5) for r in rows]
     low = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            if len(sets[i] & sets[j]) >= t * len(sets[i] | sets[j]) and low[i] != low[j]:
+            if (len(sets[i] & sets[j]) >= t * len(sets[i] | sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 4) and low[i] != low[j]:
                 a, b = sorted((low[i], low[j]))
                 low = [a if x == b else x for x in low]
     return sorted({rows[k][0] for k in low})
@@ -55,6 +57,39 @@ def test_one_row_of_each_group_without_ids_or_with_repeated_ones(spark, sf_dir):
     assert sorted(got, key=str) == sorted([(1, a), (2, b), (3, c), (None, d)], key=str)
 
 
+def shared_passage(n: int) -> list[tuple]:
+    """Texts of 60 words that all share and 60 of their own, no two similar, and one near copy of the first."""
+    common = " ".join(f"c{k}" for k in range(60))
+    rows = [(k, " ".join(f"w{k}_{i}" for i in range(60)) + " " + common) for k in range(n)]
+    return [*rows, (n, rows[0][1] + " end")]
+
+
+def test_a_passage_of_many_texts_makes_no_pairs(spark):
+    from sessiongrid.llm import nearcopies
+
+    made = []
+    for n in (150, 300, 600):
+        docs = spark.createDataFrame(shared_passage(n), "doc_id long, text string").repartition(4)
+        rows = nearcopies.keep_table(nearcopies.shingle_rows(docs, 5, 800), "shingles")
+        posts = nearcopies.prefix_posts(docs, rows, 5, 800)
+        held = posts.groupBy("token").count().where("count > 1")
+        made.append(sum(r["count"] * (r["count"] - 1) // 2 for r in held.collect()))
+        assert posts.groupBy("cls").count().select("count").distinct().count() <= 2
+    assert max(made) <= 24  # the two copies alone share tokens, however many texts there are
+
+
+def test_frequent_tokens_lose_no_similar_texts(spark, sf_dir, monkeypatch):
+    """Order by rarity from three prefixes on: the same classes as without, and as by brute force."""
+    from sessiongrid.llm import nearcopies
+
+    rows = [(k, f"{t} {' '.join(f'c{i}' for i in range(40))}" if k % 2 else t, "en", "s", 1) for k, t, *_ in edited_rows(9)] + [(900 + k, t, "en", "s", 1) for k, t in shared_passage(30)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    for least in (3, 64):
+        monkeypatch.setattr(nearcopies, "FREQUENT", least)
+        got = sorted(r["doc_id"] for r in pipeline.drop_near_copies(spark, df, sf_dir).collect())
+        assert got == lowest_of_classes(rows)
+
+
 def test_long_texts_that_share_a_passage_are_told_apart_by_their_maps(spark):
     """Maps of different lengths count no more differing bits than there are differing shingles, and enough to tell texts apart."""
     import numpy as np

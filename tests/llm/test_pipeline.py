@@ -66,10 +66,44 @@ def test_run_equals_the_stages(spark, sf_dir, stages):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, stages[-1].collect()))
 
 
+PASSAGE = "one two three four five six seven eight nine ten eleven twelve"
+
+
 def test_odd_rows(spark, sf_dir):
-    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "fine text of some words here", "en", "s", 5), (3, "fine text of some words here", "en", "s", 5), (None, "no id at all in this row", None, None, 1)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for some in (df, df.limit(0)):
-        for _, stage in pipeline.STAGES:
-            some = stage(spark, some, sf_dir)
-        assert some.count() >= 0
+    fine = "fine text of some words here"
+    rows = [(1, None), (2, ""), (3, fine), (3, fine), (4, fine), (None, "no id at all in this row"), (None, None), (5, f"{PASSAGE}\nshort line\n{PASSAGE}"), (6, "\u00e9" * 70_000)]
+    df = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    some, kept = df, []
+    for _, stage in pipeline.STAGES[:-1]:
+        some = stage(spark, some, sf_dir)
+        kept.append(sorted([(r["doc_id"], r["text"]) for r in some.collect()], key=str))
+    # rows without words are one class, those of no id last; equal texts keep the lowest id
+    lines = [(1, None), (2, ""), (3, fine), (3, ""), (4, ""), (None, "no id at all in this row"), (None, None), (5, f"{PASSAGE}\nshort line"), (6, "\u00e9" * 70_000)]
+    assert kept[0] == sorted(rows, key=str) and kept[1] == sorted(lines, key=str)
+    assert kept[2] == kept[3] == sorted([(1, None), (3, fine), (None, "no id at all in this row"), (5, f"{PASSAGE}\nshort line"), (6, "\u00e9" * 70_000)], key=str)
+    assert sorted(r["n_tokens"] for r in pipeline.encode(spark, some, sf_dir).collect())[0] == 0
+    none = df.limit(0)
+    for _, stage in pipeline.STAGES:
+        none = stage(spark, none, sf_dir)
+    assert none.count() == 0
+
+
+def test_columns_of_any_name_and_ids_of_any_type_stay(spark, sf_dir):
+    names = ["score", "offending", "last", "id", "key", "again", "place", "row", "seq", "n_lines", "n_removed", "hits", "fp", "cls", "class", "__rest", "_rest", "d", "line_nos", "a.b"]
+    rows = [(f"k{k}", f"text number {k} with words of its own {k * 7} {k * 11}", *[f"{n}{k}" for n in names]) for k in range(6)]
+    df = spark.createDataFrame(rows, f"doc_id string, text string, {', '.join(f'`{n}` string' for n in names)}")
+    some = df
+    for _, stage in pipeline.STAGES[:-1]:
+        some = stage(spark, some, sf_dir)
+        assert some.columns == df.columns
+    assert sorted(map(tuple, some.collect())) == rows
+    assert [r["doc_id"] for r in pipeline.encode(spark, some, sf_dir).orderBy("doc_id").collect()] == [r[0] for r in rows]
+
+
+def test_settings_of_the_session_stay(spark, sf_dir):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20)
+    pipeline.drop_toxic(spark, docs, sf_dir)
+    pipeline.encode(spark, docs, sf_dir)
+    assert spark.conf.get(key) == before

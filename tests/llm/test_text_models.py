@@ -90,3 +90,41 @@ def test_the_bound_keeps_the_ratio_of_classes(spark):
     for kind, label, share in ((toxicity, "toxic", 0.1), (quality, "quality", 0.9)):
         means = [kind.score_documents(docs, kind.train(docs, labels, per_class)).agg(F.avg("score")).first()[0] for per_class in (200, 3000)]
         assert all(abs(m - share) < 0.07 for m in means), (label, means)
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    from sessiongrid.llm import learning
+
+    rows = [(1, f"text {k}") for k in range(50)] + [(k, "x" * 100) for k in range(2, 40)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    whole = learning.training_sample(docs, labels, "toxic").collect()
+    assert len(whole) == len({r["doc_id"] for r in whole}) and {1, 2} & {r["doc_id"] for r in whole}
+    assert len(learning.training_sample(docs, labels, "toxic", per_class=2).collect()) <= 4
+    monkeypatch.setattr(learning, "SAMPLE_BYTES", 1000)
+    some = learning.training_sample(docs, labels, "toxic").collect()
+    assert 5 <= len(some) < len(whole) and sum(len(r["text"]) for r in some) <= 1000
+    text_ids = learning.training_sample(docs.withColumn("doc_id", docs.doc_id.cast("string")), labels, "toxic")
+    assert {r["doc_id"] for r in text_ids.collect()} <= {str(r["doc_id"]) for r in whole}
+
+
+def test_scores_equal_slow_ones(spark, texts):
+    """The document score is the noisy-or of its sentences, a quality score the logistic of a sum over its features."""
+    import math
+    import re
+
+    import numpy as np
+
+    from sessiongrid.llm import toxicity
+
+    some = sorted(texts.items())[:60] + [(-1, ""), (-2, None), (-3, "...")]
+    weights = np.random.default_rng(3).normal(0, 0.1, toxicity.BUCKETS).astype(np.float32)
+    model = toxicity.ToxicityModel(weights, -2.0)
+    df = spark.createDataFrame(some, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(df, model).collect()}
+    for k, t in some:
+        none = 1.0
+        for m in re.finditer(toxicity.SENTENCE, t or ""):
+            z = sum(float(weights[b]) for w in re.findall(toxicity.WORD, m[0].lower()) for b in toxicity.buckets_of(w)) - 2.0
+            none *= 1 - 1 / (1 + math.exp(-min(30, max(-30, z))))
+        assert abs(got[k] - (1 - none)) < 1e-5
