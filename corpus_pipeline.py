@@ -11,51 +11,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessiongrid.llm import bpe, decontaminate, lines, nearcopies, toxicity
-from sessiongrid.llm.common import BATCH, TEXTS, cut, keep_table, mark_copies, table, text_key
+from sessiongrid.llm.common import TEXTS, batches_of, cut, keep_table, mark_copies, table, text_key
 from sessiongrid.llm.queries import TOXIC_FROM, tokenizer_path
 
 #: The near-duplicate stage takes shingles of five words.
 SHINGLE = 5
 
 
-def few_texts(spark: SparkSession) -> None:
-    """Whole texts go to Python TEXTS at a time in this session, so that tasks hold few of them."""
-    spark.conf.set(BATCH, str(TEXTS))
+def packed(docs: DataFrame, *plain: str) -> tuple[DataFrame, str]:
+    """docs as the columns ``plain`` and one struct of all others, so that no stage's own columns clash with them; its name."""
+    name = "__rest"
+    while name in docs.columns:
+        name += "_"
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in plain]
+    return docs.select(*plain, F.struct(F.lit(0).alias("__"), *others).alias(name)), name
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, name: str, *plain: str) -> DataFrame:
+    return rows.select(*[F.col(c) if c in plain else F.col(f"`{name}`.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold by a model of the labelled ones among them."""
-    few_texts(spark)
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model).where(F.col("score") < TOXIC_FROM).select(*docs.columns)
+    """Documents scored below the threshold by a model of the labelled ones among them; a table, written TEXTS rows at a time."""
+    with batches_of(spark, TEXTS):
+        model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    rows, rest = packed(docs, "text")
+    return keep_table(unpacked(toxicity.score_documents(rows, model).where(F.col("score") < TOXIC_FROM), docs, rest, "text"), "toxicity", TEXTS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that resemble an earlier one."""
-    done = lines.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return done.select(*docs.columns)
+    rows, rest = packed(docs, "doc_id", "text")
+    done = unpacked(lines.dedup_lines(rows), docs, rest, "doc_id", "text")
+    return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else done
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies one row, the first by doc_id (null last) and hash of the text."""
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "key")
-    found = nearcopies.near_copies(docs, SHINGLE).select(place.alias("place"), "class")
+    ident = {"last": F.col("doc_id").isNull(), "id": F.col("doc_id"), "key": F.col("key")}
+    place = F.struct(*[x.alias(c) for c, x in ident.items()])
+    found = nearcopies.near_copies(docs.select("doc_id", "text"), SHINGLE).select(place.alias("place"), "class")
     lows = found.groupBy("class").agg(F.min("place").alias("low"))
-    copies = cut(found.join(lows, "class").where(F.col("place") != F.col("low")).select("place.*").distinct())
-    keyed = docs.withColumns({"last": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0)), "key": text_key()})
-    kept = keyed.join(copies, ["last", "id", "key"], "left_anti")
-    return mark_copies(kept, ["last", "id", "key"], "again").where(~F.col("again")).select(*docs.columns)
+    text = lambda x: F.coalesce(x.cast("string"), F.lit(""))
+    keys = ["last", "id", "key"]
+    copies = cut(found.join(lows, "class").where(~F.col("place").eqNullSafe(F.col("low"))).select("place.last", text(F.col("place.id")).alias("id"), "place.key").distinct())
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias("last"), text(F.col("doc_id")).alias("id"), text_key().alias("key"))
+    kept = keyed.join(copies, keys, "left_anti")
+    return mark_copies(kept, keys, "again").where(~F.col("again")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of the benchmark occurs."""
-    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the text decoded from them."""
-    few_texts(spark)
-    return bpe.round_trip(docs, tokenizer_path())
+    """doc_id, n_tokens and the digests of the ids and of the text decoded from them; a table, written TEXTS rows at a time."""
+    return keep_table(bpe.round_trip(docs.select("doc_id", "text"), tokenizer_path()), "bpe", TEXTS)
 
 
 STAGES = [
@@ -73,5 +85,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = keep_table(stage(spark, docs, sf_dir), name, TEXTS)
+        done = stage(spark, docs, sf_dir)
+        docs = done if stage is drop_toxic else keep_table(done, name, TEXTS)
     return STAGES[-1][1](spark, docs, sf_dir)
