@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
@@ -40,21 +38,6 @@ def is_true(x: Column) -> Column:
     return F.coalesce(x, F.lit(False))
 
 
-def last_rows(n: int):
-    return security().rowsBetween(1 - n, 0)
-
-
-def full(x: Column, n: int, agg: Callable[[Column], Column], window=None) -> Column:
-    """agg over n rows of the grid where none of them is missing."""
-    window = window or last_rows(n)
-    return F.when(F.count(x).over(window) == n, agg(x).over(window))
-
-
-def close_numpy(a: Column, b: Column, rtol: float, atol: float) -> Column:
-    """|a - b| <= atol + rtol |b|."""
-    return F.abs(a - b) <= atol + rtol * F.abs(b)
-
-
 def close_symmetric(a: Column, b: Column, rel: float, absolute: float) -> Column:
     """|a - b| <= max(rel max(|a|, |b|), absolute)."""
     return F.abs(a - b) <= F.greatest(rel * F.greatest(F.abs(a), F.abs(b)), F.lit(absolute))

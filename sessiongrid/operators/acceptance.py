@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import is_true
+from ..sources.snapshots import row_hash
 from .grid import per_session
 
 
@@ -100,4 +101,32 @@ def index_cross_check(panel: DataFrame, benchmark: DataFrame, least: int = 20) -
     before = F.lag("close").over(per)
     rows = panel.withColumn("r", F.when(before > 0, F.col("close") / before - 1))
     days = rows.groupBy("prediction_date", "session_index").agg(F.count("r").alias("securities"), F.percentile("r", 0.5).alias("median_return")).where(F.col("securities") >= least)
-    return days.join(F.broadcast(benchmark), "prediction_date")
+    return days.join(per_session(benchmark), "prediction_date")
+
+
+def largest_misses(quality: DataFrame, limit: int = 20) -> DataFrame:
+    """The normal days whose nominal open lies outside the day's range, those with the widest gaps, at most ``limit``.
+
+    Ties go by ticker and date; a row that misses a gap is last. Each task keeps its own ``limit`` rows.
+    """
+    misses = quality.where(F.col("normal_day") & ~F.col("nominal_open_within_range"))
+    return misses.orderBy(F.col("nominal_open_range_gap").desc_nulls_last(), "ticker", "date").limit(limit)
+
+
+def telemetry(attempts: DataFrame, key: str = "current_ticker") -> DataFrame:
+    """By ticker over all attempts: requests, retries and how many attempts there were."""
+    return attempts.groupBy(key).agg(F.coalesce(F.sum("network_request_count"), F.lit(0)).alias("network_request_count"), F.coalesce(F.sum("retry_count"), F.lit(0)).alias("retry_count"), F.count("*").alias("attempt_count"))
+
+
+def same_scope(runs: DataFrame, reference: str, by: str = "run") -> DataFrame:
+    """By run: rows, the digest of its rows whatever their order, and whether it is the reference run's.
+
+    runs: the column ``by`` and those of the scope. The digest adds up the row hashes of all columns but ``by``; the
+    reference run's is one row.
+    """
+    rows = runs.select(F.col(by).alias("__run"), row_hash(runs.drop(by)).alias("h"))
+    quarter = lambda k: F.sum(F.conv(F.substring("h", 16 * k + 1, 16), 16, 10).cast("decimal(38,0)")).cast("string")
+    digests = rows.groupBy("__run").agg(F.count("*").alias("n_rows"), *[quarter(k).alias(f"q{k}") for k in range(4)])
+    digests = digests.select(F.col("__run").alias(by), "n_rows", F.sha2(F.concat_ws(":", F.col("n_rows").cast("string"), "q0", "q1", "q2", "q3"), 256).alias("scope_digest"))
+    own = digests.where(F.col(by) == reference).select(F.col("scope_digest").alias("__wanted"))
+    return digests.crossJoin(F.broadcast(own)).withColumn("scope_digest_equal", F.col("scope_digest") == F.col("__wanted")).drop("__wanted")

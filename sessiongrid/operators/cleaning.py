@@ -169,3 +169,31 @@ def clean_summary(clean: DataFrame) -> DataFrame:
         F.count("*").alias("n_rows"), F.count_if(F.col("entry_eligible")).alias("eligible"), F.count_if(~F.col("entry_eligible")).alias("excluded"),
         F.count_if(F.col("entry_eligible").isNull()).alias("undecided"), F.count_if("requires_review").alias("review"), F.count_if("corporate_action_window_flag").alias("in_action_window"),
     )
+
+
+def clean_totals(clean: DataFrame) -> DataFrame:
+    """One row: the 20 counts of a clean frame."""
+    held = lambda r: F.count_if(F.array_contains("entry_exclusion_reasons", r))
+    is_ = lambda c, v: F.count_if(F.col(c) == v)
+    return clean.agg(
+        F.count("*").alias("row_count"), F.count_if("entry_eligible").alias("entry_eligible_true"), F.count_if(~F.col("entry_eligible")).alias("entry_eligible_false"), F.count_if(F.col("entry_eligible").isNull()).alias("entry_eligible_unresolved"),
+        F.count_if("requires_review").alias("requires_review"), *[held(r).alias(r) for r in ("NO_OPEN", "NO_TRADE", "INVALID_OHLC", "NO_PREVIOUS_CLOSE", "LIMIT_OPEN", "SPECIAL_MARGIN_OR_CORPORATE_ACTION", "CORPORATE_ACTION_WINDOW", "PRICE_STEP_UNAVAILABLE")],
+        is_("price_step_resolution_status", "RESOLVED").alias("price_step_resolution_resolved"), is_("price_step_resolution_status", "UNAVAILABLE").alias("price_step_resolution_unavailable"),
+        is_("volume_quality_flag", "BOTH_VOLUMES_MISSING_UNRESOLVED").alias("both_volumes_missing"), is_("volume_quality_flag", "SOURCE_VOLUME_CONFLICT").alias("one_volume_conflict"),
+        F.count_if("corporate_action_window_flag").alias("corporate_action_window_rows"), F.count_if("cross_source_price_warning").alias("cross_source_warning"),
+    )
+
+
+def exceptions(clean: DataFrame, limit: int) -> DataFrame:
+    """The first rows (by security and day) that are not eligible, need a review or bear a price warning, at most ``limit``."""
+    odd = ~is_true(F.col("entry_eligible")) | is_true(F.col("requires_review")) | is_true(F.col("cross_source_price_warning"))
+    return clean.where(odd).orderBy("security_id", "prediction_date").limit(max(0, limit))
+
+
+#: The first day that models learn from (fixed value).
+MODEL_START = "2020-03-13"
+
+
+def from_model_start(rows: DataFrame, date: str = "prediction_date") -> DataFrame:
+    """rows from the models' first day on; Spark pushes the bound to the scan."""
+    return rows.where(F.col(date) >= F.lit(MODEL_START).cast("date"))

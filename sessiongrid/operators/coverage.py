@@ -116,7 +116,7 @@ def review_issues(observed: DataFrame, calendar: DataFrame, collected: DataFrame
     before = F.lag("k").over(Window.partitionBy("security_id").orderBy("k"))
     gap = base.select("security_id", (F.col("k") - before - 1).alias("missing")).groupBy("security_id").agg(F.coalesce(F.sum("missing"), F.lit(0)).alias("gap_sessions"), F.coalesce(F.max("missing"), F.lit(0)).alias("longest_gap"))
     messages = collected.groupBy("security_id").agg(F.bool_or(F.coalesce("failure_reason", F.lit("")).rlike(SYMBOL_MESSAGE)).alias("symbol"))
-    rows = messages.join(per, "security_id", "full").join(gap, "security_id", "left").crossJoin(F.broadcast(ends))
+    rows = messages.join(per, "security_id", "full").join(gap, "security_id", "left").crossJoin(F.broadcast(ends))  # one row
     rows = rows.fillna(0, subset=["n_a", "n_b", "n_both", "gap_sessions", "longest_gap"])
     late, early, inner = F.col("first_observed") > F.col("cal_first"), F.col("last_observed") < F.col("cal_last"), F.col("gap_sessions") > 0
     issues = F.array_compact(F.array(

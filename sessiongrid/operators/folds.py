@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .grid import per_session
+
 
 @dataclass(frozen=True)
 class FoldConfig:
@@ -35,7 +37,7 @@ def folds(calendar: DataFrame, config: FoldConfig = FoldConfig(), first_test_ind
     names = [n for n in rows.columns if n != "fold_id"]
     out = rows
     for n in names:
-        out = out.join(F.broadcast(calendar.select(F.col("session_index").cast("int").alias(n), F.col("session_date").alias(f"{n}_date"))), n)
+        out = out.join(per_session(calendar.select(F.col("session_index").cast("int").alias(n), F.col("session_date").alias(f"{n}_date"))), n)
     purged = F.col("validation_start") - F.col("training_start") - c.horizon
     return out.select("fold_id", *[f"{n}_date" for n in names], purged.cast("long").alias("fit_labeled_sessions"), F.lit(c.validation - c.horizon).cast("long").alias("validation_labeled_sessions"), F.lit(c.test).cast("long").alias("test_sessions"))
 
@@ -43,7 +45,7 @@ def folds(calendar: DataFrame, config: FoldConfig = FoldConfig(), first_test_ind
 def split(panel: DataFrame, fold_table: DataFrame) -> DataFrame:
     """panel rows by fold and part (fit, validation, test); labels must be available before the next part begins.
 
-    The fold table is small (one row for each block) and broadcast, so the panel is not shuffled.
+    The fold table has fewer rows than there are sessions and is broadcast, so the panel is not shuffled.
     """
     d, available = F.col("prediction_date"), F.col("label_available_date")
     labelled = (F.col("label_status") == "LABELED") & F.col("label").isin(0, 1)
@@ -52,7 +54,7 @@ def split(panel: DataFrame, fold_table: DataFrame) -> DataFrame:
         .when(d.between(F.col("validation_start_date"), F.col("validation_end_date")) & labelled & (available < F.col("test_start_date")), "validation")
         .when(d.between(F.col("test_start_date"), F.col("test_end_date")), "test")
     )
-    joined = panel.where("prediction_eligible").join(F.broadcast(fold_table), d.between(F.col("training_start_date"), F.col("test_end_date")))
+    joined = panel.where("prediction_eligible").join(per_session(fold_table), d.between(F.col("training_start_date"), F.col("test_end_date")))
     return joined.withColumn("part", part).where("part is not null")
 
 

@@ -27,16 +27,16 @@ def per_session(df: DataFrame) -> DataFrame:
 
 def densify(observations: DataFrame, calendar: DataFrame, benchmark: DataFrame | None = None) -> DataFrame:
     """Every security on every session, with _source_row_present; benchmark adds its columns by session."""
-    grid = observations.select("security_id").distinct().crossJoin(F.broadcast(calendar.withColumnRenamed("session_date", "prediction_date")))
+    grid = observations.select("security_id").distinct().crossJoin(per_session(calendar.withColumnRenamed("session_date", "prediction_date")))
     rows = grid.join(observations.withColumn("_source_row_present", F.lit(True)), ["security_id", "prediction_date"], "left")
     rows = rows.withColumn("_source_row_present", F.coalesce("_source_row_present", F.lit(False)))
-    return rows.join(F.broadcast(benchmark), "prediction_date", "left") if benchmark is not None else rows
+    return rows.join(per_session(benchmark), "prediction_date", "left") if benchmark is not None else rows
 
 
 def outside_calendar(observations: DataFrame, calendar: DataFrame, date: str = "prediction_date") -> DataFrame:
     """Rows whose date is no session: within the calendar's bounds an exclusion, outside them an error."""
     bounds = calendar.agg(F.min("session_date").alias("low"), F.max("session_date").alias("high"))
-    rows = observations.join(F.broadcast(calendar), observations[date] == calendar["session_date"], "left_anti").crossJoin(F.broadcast(bounds))
+    rows = observations.join(per_session(calendar), observations[date] == calendar["session_date"], "left_anti").crossJoin(F.broadcast(bounds))  # one row
     inside = F.col(date).between(F.col("low"), F.col("high"))
     return rows.withColumn("exclusion_reason", F.when(inside, "YFINANCE_NON_SESSION_WITHIN_VERIFIED_CALENDAR_BOUNDS").otherwise("OUTSIDE_CALENDAR_BOUNDS")).drop("low", "high")
 
@@ -45,13 +45,13 @@ def shift_sessions(rows: DataFrame, calendar: DataFrame, by: int, name: str, dat
     """rows with the date ``by`` sessions later (null past the end), by way of the session's number."""
     here = calendar.select(F.col("session_date").alias(date), (F.col("session_index") + by).alias("__to"))
     there = calendar.select(F.col("session_index").alias("__to"), F.col("session_date").alias(name))
-    return rows.join(F.broadcast(here), date, "left").join(F.broadcast(there), "__to", "left").drop("__to")
+    return rows.join(per_session(here), date, "left").join(per_session(there), "__to", "left").drop("__to")
 
 
 def internal_gaps(observations: DataFrame, calendar: DataFrame) -> DataFrame:
     """Per security: observed, missing and longest run of missing sessions between its first and last observation."""
     sessions = calendar.withColumnRenamed("session_date", "prediction_date")
-    rows = observations.select("security_id", "prediction_date").distinct().join(F.broadcast(sessions), "prediction_date")
+    rows = observations.select("security_id", "prediction_date").distinct().join(per_session(sessions), "prediction_date")
     gap = F.lead("session_index").over(Window.partitionBy("security_id").orderBy("session_index")) - F.col("session_index") - 1
     return (
         rows.withColumn("gap", F.coalesce(gap, F.lit(0)))

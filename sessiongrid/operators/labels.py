@@ -74,3 +74,17 @@ def label_summary(labels: DataFrame) -> DataFrame:
     """Counts of labels by outcome and, for missing ones, by reason."""
     kind = F.when(F.col("label_status") == "NA", F.concat(F.lit("NA:"), "label_na_reason")).when(F.col("label") == 1, "POSITIVE").otherwise("NEGATIVE")
     return labels.groupBy(kind.alias("outcome")).agg(F.count("*").alias("n_rows"), F.countDistinct("security_id").alias("securities"))
+
+
+def label_totals(labels: DataFrame) -> DataFrame:
+    """One row: labels by outcome, hits by session, and the reasons of missing labels with their counts, in order of name."""
+    label, hit = F.col("label"), F.col("target_hit_horizon")
+    reason = F.when(F.col("label_status") == "NA", F.col("label_na_reason"))
+    by_reason = labels.groupBy(reason.alias("reason")).agg(
+        F.count("*").alias("n"), F.count_if(label == 1).alias("p"), F.count_if(label == 0).alias("q"), F.count_if(label.isNull()).alias("na"), *[F.count_if(hit == k).alias(f"t{k}") for k in (1, 2, 3)],
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias
+    listed = F.transform(F.array_sort(F.collect_list(F.when(F.col("reason").isNotNull(), F.struct("reason", "n")))), lambda r: F.concat_ws("=", r["reason"], r["n"].cast("string")))
+    return by_reason.agg(
+        total("n")("row_count"), total("p")("label_positive"), total("q")("label_negative"), total("na")("label_na"), total("t1")("target_hit_t1"), total("t2")("target_hit_t2"), total("t3")("target_hit_t3"), F.array_join(listed, "|").alias("na_reasons"),
+    )

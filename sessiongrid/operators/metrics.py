@@ -128,3 +128,9 @@ def calibration_gap(scores: DataFrame, bins: int = 10) -> DataFrame:
     """One row: requested and effective bins, labelled rows, and the bins' gaps weighted by their rows."""
     size = F.sum("n_rows")
     return calibration(scores, bins).agg(F.lit(bins).alias("requested_bins"), F.count("*").alias("effective_bins"), size.cast("long").alias("n_rows"), (F.sum(F.col("n_rows") * F.col("gap")) / size).alias("weighted_gap"))
+
+
+def classification_report(scores: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """One row with all of it: classification, area under the ROC curve and average precision; no labelled row gives nulls."""
+    area, gain = roc_auc(scores).select("roc_auc"), average_precision(scores)
+    return classification(scores, threshold).crossJoin(F.broadcast(area)).crossJoin(F.broadcast(gain))  # one row each

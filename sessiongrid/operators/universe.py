@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import is_true, positive
-from .grid import shift_sessions
+from .grid import per_session, shift_sessions
 
 KEY = ["security_id", "prediction_date"]
 
@@ -18,13 +18,13 @@ def prediction_universe(master: DataFrame, observations: DataFrame, features: Da
     """
     sessions = calendar.withColumnRenamed("session_date", "prediction_date")
     if "prediction_date" not in master.columns:
-        master = master.select("security_id").distinct().crossJoin(F.broadcast(sessions.select("prediction_date")))
+        master = master.select("security_id").distinct().crossJoin(per_session(sessions.select("prediction_date")))
     keys = master.select(*KEY, F.lit(True).alias("in_master")).distinct()
     seen = observations.withColumn("observed", F.lit(True))
     made = features.select(*KEY, F.lit(True).alias("has_feature"))
-    panel = keys.join(seen, KEY, "full_outer").join(made, KEY, "full_outer").join(F.broadcast(sessions), "prediction_date", "left")
+    panel = keys.join(seen, KEY, "full_outer").join(made, KEY, "full_outer").join(per_session(sessions), "prediction_date", "left")
     index = benchmark.select("prediction_date", positive(F.col("benchmark_close")).isNotNull().alias("has_benchmark"))
-    panel = panel.join(F.broadcast(index), "prediction_date", "left")
+    panel = panel.join(per_session(index), "prediction_date", "left")
     first = F.min(F.when(F.col("observed"), F.col("session_index"))).over(Window.partitionBy("security_id"))
     panel = panel.withColumn("available_history_sessions", F.col("session_index") - first + 1)
     o, h, low, c = (positive(F.col(f"yf_nominal_{n}")) for n in ("open", "high", "low", "close"))
@@ -61,7 +61,7 @@ def daily_exclusions(universe: DataFrame) -> DataFrame:
     days = universe.select("prediction_date").distinct()
     reasons = universe.where("prediction_exclusion_reason is not null").select("prediction_exclusion_reason").distinct()
     counts = universe.where("prediction_exclusion_reason is not null").groupBy("prediction_date", "prediction_exclusion_reason").agg(F.count("*").alias("n"))
-    grid = days.crossJoin(F.broadcast(reasons))
+    grid = days.crossJoin(F.broadcast(reasons))  # the reasons are those of prediction_universe
     return grid.join(counts, ["prediction_date", "prediction_exclusion_reason"], "left").fillna(0, subset=["n"])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import bars, cleaning, nominal, ticks
-from ..operators.grid import build_calendar
+from ..operators.grid import build_calendar, per_session
 from . import sql
 
 DAYS = 9131
@@ -24,7 +24,7 @@ def observed(spark, sf_dir) -> DataFrame:
     """Observed rows: keys, nominal prices, volumes, actions and the other source's prices."""
     panel = bars.nation_week(spark, sf_dir)
     calendar = build_calendar(panel).withColumnRenamed("session_date", "prediction_date")
-    rows = panel.join(F.broadcast(calendar), "prediction_date")
+    rows = panel.join(per_session(calendar), "prediction_date")
     s, k = F.substring("security_id", 2, 3).cast("int"), F.col("session_index")
     rows = rows.withColumn("s", s).withColumn("date", F.date_add("prediction_date", DAYS))
     base = F.element_at(F.array(F.lit(9.0), F.lit(60.0), F.lit(300.0), F.lit(1500.0)), F.col("s") % 4 + 1)
@@ -48,7 +48,7 @@ def daily_grid(spark, sf_dir) -> DataFrame:
     """observed on every session of every security."""
     rows = nominal.factor_changes(observed(spark, sf_dir)).drop("ticker")
     calendar = rows.select("session_index", "date").distinct()
-    grid = rows.select("security_id").distinct().crossJoin(F.broadcast(calendar))
+    grid = rows.select("security_id").distinct().crossJoin(per_session(calendar))
     return grid.join(rows.withColumn("present", F.lit(True)), ["security_id", "session_index", "date"], "left")
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import bars, coverage, equality, features, outcomes, periods, security_quality
+from ..functions.nulls import filled
+from ..operators import acceptance, bars, cleaning, coverage, equality, features, grid, labels, metrics, outcomes, periods, security_quality, ticks
 from ..operators.bars import table
-from ..plans.feature_query import feature_query
+from ..plans.feature_query import dense, feature_query
 from ..sources import html
 from . import daily, sql, universe
 from .registry import Registry
@@ -178,12 +179,10 @@ def observed_status(spark, sf_dir) -> DataFrame:
 
 
 def _observed_status(spark, sf_dir) -> DataFrame:
-    from ..operators.grid import build_calendar, per_session
-
     panel = bars.supplier_week(spark, sf_dir).select("security_id", F.col("prediction_date").alias("date"))
-    calendar = build_calendar(panel, date="date")
+    calendar = grid.build_calendar(panel, date="date")
     k = F.col("session_index") + 1
-    seen = panel.join(per_session(calendar.withColumnRenamed("session_date", "date")), "date").where((F.substring("security_id", 2, 6).cast("int") % 9 != 4) | k.between(60, 250))
+    seen = panel.join(grid.per_session(calendar.withColumnRenamed("session_date", "date")), "date").where((F.substring("security_id", 2, 6).cast("int") % 9 != 4) | k.between(60, 250))
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"))
     status = suppliers.select(F.format_string("S%06d", "s").alias("security_id"), F.lit("PARTIAL").alias("status")).unionByName(suppliers.where("s % 10 = 0").select(F.format_string("X%06d", "s").alias("security_id"), F.lit("FAILED").alias("status")))
     return outcomes.observed_status(status, seen.select("security_id", "date"), calendar)
@@ -203,11 +202,11 @@ FROM st LEFT JOIN ident USING (security_id) LEFT JOIN cl USING (security_id) LEF
 def security_quality_report(spark, sf_dir) -> DataFrame:
     observed = daily.observed(spark, sf_dir)
     clean = daily.clean(spark, sf_dir)
-    labels = universe.labelled(spark, sf_dir)
+    found = universe.labelled(spark, sf_dir)
     n = F.col("n_nationkey")
     nations = table(spark, sf_dir, "nation").select(F.format_string("N%03d", n).alias("security_id"), F.col("n_name").alias("current_ticker"), n.cast("long").alias("missing_session_count"), (n % 4).cast("long").alias("longest_internal_gap_sessions"), (n % 3 != 0).alias("collection_complete"))
     unseen = table(spark, sf_dir, "region").agg(F.lit("NONE").alias("security_id"), F.lit("NONE").alias("current_ticker"), F.lit(7).cast("long").alias("missing_session_count"), F.lit(7).cast("long").alias("longest_internal_gap_sessions"), F.lit(False).alias("collection_complete"))
-    out = security_quality.by_security(nations.unionByName(unseen), observed, observed, clean, labels, observed.select("session_index").distinct())
+    out = security_quality.by_security(nations.unionByName(unseen), observed, observed, clean, found, observed.select("session_index").distinct())
     return out.withColumn("observed_session_ratio", F.round("observed_session_ratio", 6))
 
 
@@ -251,3 +250,88 @@ def _company_pages(spark, sf_dir) -> DataFrame:
 @query("""SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS page_id, 'oid' || c_custkey AS mkk_member_oid, trim(c_name) AS company_name, CASE WHEN c_custkey % 5 <> 0 THEN 'T' || c_custkey ELSE '' END AS stock_code, c_mktsegment AS city_name, 'IGS' AS kap_member_type FROM customer""", dates=())
 def kap_companies(spark, sf_dir) -> DataFrame:
     return html.company_rows(html.only_payload(_company_pages(spark, sf_dir), ["code", "content"], COMPANIES_SCHEMA))
+
+
+# Totals and small reports -------------------------------------------------------------------------------------------
+
+_HELD = ", ".join(f"count(*) FILTER (list_contains(reasons, '{r}')) AS {r}" for r in ("NO_OPEN", "NO_TRADE", "INVALID_OHLC", "NO_PREVIOUS_CLOSE", "LIMIT_OPEN", "SPECIAL_MARGIN_OR_CORPORATE_ACTION", "CORPORATE_ACTION_WINDOW", "PRICE_STEP_UNAVAILABLE"))
+
+
+@query(f"""WITH {daily.CLEAN}
+SELECT count(*) AS row_count, count(*) FILTER (eligible) AS entry_eligible_true, count(*) FILTER (NOT eligible) AS entry_eligible_false, count(*) FILTER (eligible IS NULL) AS entry_eligible_unresolved, count(*) FILTER (rev) AS requires_review, {_HELD},
+       count(*) FILTER (NOT nolim AND NOT noprev) AS price_step_resolution_resolved, count(*) FILTER (nolim OR noprev) AS price_step_resolution_unavailable, count(*) FILTER (vflag = 'BOTH_VOLUMES_MISSING_UNRESOLVED') AS both_volumes_missing, count(*) FILTER (vflag = 'SOURCE_VOLUME_CONFLICT') AS one_volume_conflict,
+       count(*) FILTER (awin) AS corporate_action_window_rows, count(*) FILTER (pw) AS cross_source_warning FROM clean""", dates=())
+def clean_totals(spark, sf_dir) -> DataFrame:
+    return cleaning.clean_totals(daily.clean(spark, sf_dir))
+
+
+@query(f"""WITH {daily.CLEAN}
+SELECT security_id, prediction_date, eligible AS entry_eligible, rev AS requires_review, pw AS cross_source_price_warning FROM clean WHERE eligible IS NOT TRUE OR rev OR pw ORDER BY security_id, prediction_date LIMIT 50""", dates=("prediction_date", "entry_eligible", "cross_source_price_warning"))
+def clean_exceptions(spark, sf_dir) -> DataFrame:
+    found = cleaning.exceptions(daily.clean(spark, sf_dir), 50)
+    return found.select("security_id", "prediction_date", "entry_eligible", "requires_review", F.coalesce("cross_source_price_warning", F.lit(False)).alias("cross_source_price_warning"))
+
+
+@query(f"""WITH {daily.LABELS}, n AS (SELECT why, count(*) AS n FROM labels3x WHERE label_status = 'NA' GROUP BY 1)
+SELECT count(*) AS row_count, count(*) FILTER (label = 1) AS label_positive, count(*) FILTER (label = 0) AS label_negative, count(*) FILTER (label IS NULL) AS label_na, count(*) FILTER (target_hit_horizon = 1) AS target_hit_t1, count(*) FILTER (target_hit_horizon = 2) AS target_hit_t2, count(*) FILTER (target_hit_horizon = 3) AS target_hit_t3,
+       (SELECT string_agg(why || '=' || n, '|' ORDER BY why) FROM n) AS na_reasons FROM labels3""".replace("labels3x", "(SELECT *, label_na_reason AS why FROM labels3)"), dates=())
+def label_totals(spark, sf_dir) -> DataFrame:
+    return labels.label_totals(labels.three_session_labels(daily.clean(spark, sf_dir), ticks.tariff(spark)))
+
+
+@query(f"""WITH {daily.CLEAN} SELECT security_id, prediction_date FROM clean WHERE prediction_date >= DATE '2020-03-13'""")
+def from_model_start(spark, sf_dir) -> DataFrame:
+    return cleaning.from_model_start(daily.clean(spark, sf_dir)).select("security_id", "prediction_date")
+
+
+@query(universe.REPORT_SQL, dates=())
+def classification_report(spark, sf_dir) -> DataFrame:
+    out = metrics.classification_report(universe.scores(spark, sf_dir))
+    return out.withColumns({c: F.round(c, 6) for c in ("accuracy", "precision", "recall", "f1", "positive_rate", "predicted_rate", "brier", "roc_auc", "average_precision")})
+
+
+@query("""WITH q AS (SELECT printf('S%06d', l_suppkey) AS ticker, CAST(l_shipdate AS DATE) AS date, sum(l_extendedprice) AS gap, bool_and(l_linenumber <> 2) AS normal_day, bool_or(l_returnflag = 'R') AS inside FROM lineitem GROUP BY 1, 2)
+SELECT ticker, date, round(gap, 2) AS nominal_open_range_gap FROM q WHERE normal_day AND NOT inside ORDER BY gap DESC, ticker, date LIMIT 20""", dates=("date",))
+def largest_misses(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.format_string("S%06d", "l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"))
+    quality = rows.agg(F.sum("l_extendedprice").alias("nominal_open_range_gap"), F.bool_and(F.col("l_linenumber") != 2).alias("normal_day"), F.bool_or(F.col("l_returnflag") == "R").alias("nominal_open_within_range"))
+    return acceptance.largest_misses(quality).select("ticker", "date", F.round("nominal_open_range_gap", 2).alias("nominal_open_range_gap"))
+
+
+@query(f"WITH {_OUTS}\nSELECT current_ticker, CAST(sum(network_request_count) AS BIGINT) AS network_request_count, CAST(sum(retry_count) AS BIGINT) AS retry_count, count(*) AS attempt_count FROM outs GROUP BY 1", dates=())
+def collection_telemetry(spark, sf_dir) -> DataFrame:
+    return acceptance.telemetry(_outcomes(spark, sf_dir))
+
+
+_SCOPE_HASH = """'{"o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority || '","status":"' || s || '"}'"""
+
+
+@query(f"""WITH x AS (SELECT 'one' AS run, o_custkey, o_orderpriority, o_orderstatus AS s FROM orders UNION ALL SELECT 'two', o_custkey, o_orderpriority, o_orderstatus FROM orders UNION ALL SELECT 'three', o_custkey, o_orderpriority, CASE WHEN o_orderkey % 97 = 1 THEN 'X' ELSE o_orderstatus END FROM orders),
+h AS (SELECT run, sha256({_SCOPE_HASH}) AS h FROM x),
+q AS (SELECT run, count(*) AS n_rows, sum(CAST('0x' || substr(h, 1, 16) AS UBIGINT)) AS a, sum(CAST('0x' || substr(h, 17, 16) AS UBIGINT)) AS b, sum(CAST('0x' || substr(h, 33, 16) AS UBIGINT)) AS c, sum(CAST('0x' || substr(h, 49, 16) AS UBIGINT)) AS d FROM h GROUP BY 1),
+r AS (SELECT run, n_rows, sha256(concat_ws(':', n_rows, a, b, c, d)) AS scope_digest FROM q)
+SELECT *, scope_digest = (SELECT scope_digest FROM r WHERE run = 'one') AS scope_digest_equal FROM r""", dates=())
+def scope_equivalence(spark, sf_dir) -> DataFrame:
+    """Three runs over the orders: the second the same in another order, the third with changes."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", F.col("o_orderstatus").alias("status"), "o_orderkey")
+    runs = orders.withColumn("run", F.lit("one")).unionByName(orders.repartition(7, "o_custkey").withColumn("run", F.lit("two"))).unionByName(orders.withColumns({"run": F.lit("three"), "status": F.when(F.col("o_orderkey") % 97 == 1, "X").otherwise(F.col("status"))}))
+    return acceptance.same_scope(runs.drop("o_orderkey"), "one")
+
+
+@query(f"""WITH {sql.PW}, cal AS (SELECT DISTINCT prediction_date AS d FROM panel WHERE CAST(substr(security_id, 2) AS INT) % 2 = 0 AND dayofyear(prediction_date) % 5 <> 0),
+o AS (SELECT DISTINCT security_id, prediction_date + CAST(CAST(substr(security_id, 2) AS INT) % 3 AS INT) AS date FROM panel)
+SELECT security_id, date, CASE WHEN date BETWEEN (SELECT min(d) FROM cal) AND (SELECT max(d) FROM cal) THEN 'YFINANCE_NON_SESSION_WITHIN_VERIFIED_CALENDAR_BOUNDS' ELSE 'OUTSIDE_CALENDAR_BOUNDS' END AS exclusion_reason FROM o WHERE date NOT IN (SELECT d FROM cal)""", dates=("date",))
+def outside_calendar(spark, sf_dir) -> DataFrame:
+    """Suppliers by week, moved by a day or two for some, against a calendar that lacks sessions."""
+    panel, s = bars.supplier_week(spark, sf_dir), F.substring("security_id", 2, 6).cast("int")
+    calendar = grid.build_calendar(panel.where((s % 2 == 0) & (F.dayofyear("prediction_date") % 5 != 0)))
+    observed = panel.select("security_id", F.date_add("prediction_date", s % 3).alias("date")).distinct()
+    return grid.outside_calendar(observed, calendar, "date").select("security_id", "date", "exclusion_reason")
+
+
+@query(f"""WITH {sql.PW},\n{sql.GRID}, x AS (SELECT security_id, session_index, CASE WHEN present AND session_index % 9 = 4 THEN c END AS v FROM grid)
+SELECT security_id, session_index, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY session_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(v IGNORE NULLS) OVER (PARTITION BY security_id ORDER BY session_index ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS filled FROM x""", dates=())
+def filled_constants(spark, sf_dir) -> DataFrame:
+    rows = dense(bars.supplier_week(spark, sf_dir))
+    value = F.when(F.col("_source_row_present") & (F.col("session_index") % 9 == 4), F.col("close"))
+    return rows.withColumn("v", value).select("security_id", "session_index", filled(F.col("v")).alias("filled"))

@@ -248,6 +248,14 @@ def average_precision(spark, sf_dir) -> DataFrame:
     return metrics.average_precision(scores(spark, sf_dir)).withColumn("average_precision", F.round("average_precision", 6))
 
 
+REPORT_SQL = f"""WITH {_SCORES}, m AS (SELECT count(*) AS n_rows, count(*) FILTER (label = 1 AND probability >= 0.5) AS tp, count(*) FILTER (label = 0 AND probability >= 0.5) AS fp, count(*) FILTER (label = 1 AND probability < 0.5) AS fn, count(*) FILTER (label = 0 AND probability < 0.5) AS tn, avg((probability - label) * (probability - label)) AS b FROM scores WHERE label IS NOT NULL),
+r AS (SELECT label, rank() OVER (ORDER BY probability) + (count(*) OVER (PARTITION BY probability) - 1) / 2.0 AS ar FROM scores WHERE label IS NOT NULL),
+t AS (SELECT probability, count(*) FILTER (label = 1) AS pos, count(*) AS n FROM scores WHERE label IS NOT NULL GROUP BY 1),
+c AS (SELECT pos, sum(pos) OVER (ORDER BY probability DESC) AS tp, sum(n) OVER (ORDER BY probability DESC) AS k FROM t)
+SELECT n_rows, tp, fp, fn, tn, round((tp + tn) / n_rows, 6) AS accuracy, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round((tp + fn) / n_rows, 6) AS positive_rate, round((tp + fp) / n_rows, 6) AS predicted_rate, round(b, 6) AS brier,
+       (SELECT round((sum(ar) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2.0) / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0)), 6) FROM r) AS roc_auc, (SELECT round(sum(pos * tp / k) / sum(pos), 6) FROM c) AS average_precision FROM m"""
+
+
 @query(f"""WITH {_SCORES}, b AS (SELECT *, ntile(10) OVER (ORDER BY probability, security_id, prediction_date) AS bin FROM scores WHERE label IS NOT NULL)
 SELECT CAST(bin AS INT) AS bin, count(*) AS n_rows, round(avg(probability), 6) AS mean_prediction, round(avg(label), 6) AS observed_rate, round(abs(avg(probability) - avg(label)), 6) AS gap FROM b GROUP BY 1""", dates=())
 def calibration_bins(spark, sf_dir) -> DataFrame:
