@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.checks import unique
+
 
 def build_calendar(*observed: DataFrame, date: str = "prediction_date") -> DataFrame:
     """(session_date, session_index): the distinct observed sessions, numbered from 0.
@@ -26,10 +28,13 @@ def per_session(df: DataFrame) -> DataFrame:
 
 
 def densify(observations: DataFrame, calendar: DataFrame, benchmark: DataFrame | None = None) -> DataFrame:
-    """Every security on every session, with _source_row_present; benchmark adds its columns by session."""
+    """Every security on every session, with _source_row_present; benchmark adds its columns by session.
+
+    Two observations of a security and session fail the query.
+    """
     grid = observations.select("security_id").distinct().crossJoin(per_session(calendar.withColumnRenamed("session_date", "prediction_date")))
     rows = grid.join(observations.withColumn("_source_row_present", F.lit(True)), ["security_id", "prediction_date"], "left")
-    rows = rows.withColumn("_source_row_present", F.coalesce("_source_row_present", F.lit(False)))
+    rows = unique(rows.withColumn("_source_row_present", F.coalesce("_source_row_present", F.lit(False))), ["security_id", "prediction_date"])
     return rows.join(per_session(benchmark), "prediction_date", "left") if benchmark is not None else rows
 
 

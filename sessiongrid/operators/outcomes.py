@@ -120,3 +120,19 @@ def observed_status(status: DataFrame, observed: DataFrame, calendar: DataFrame)
         *status.columns, "first_observed_date", "last_observed_date", F.coalesce("observed_session_count", F.lit(0)).alias("observed_session_count"), (F.col("sessions") - F.coalesce("on_calendar", F.lit(0))).alias("missing_session_count"),
         longest.alias("longest_internal_gap_sessions"), late.alias("late_start"), early.alias("early_end"), (late | early | (longest > 0)).alias("mapping_review_required"),
     )
+
+
+def collection_report(securities: DataFrame, status: DataFrame, found: DataFrame) -> DataFrame:
+    """One row: securities by status, what the second pass recovered, and the share of the attempted ones (1 at least) whose
+    source or derived table is complete in all outcomes. securities: security_id of the whole universe."""
+    parts = found.groupBy("security_id").agg(*[F.bool_and(F.coalesce(F.col(f"{x}_status") == "COMPLETE", F.lit(False))).alias(x) for x in (*STAGES, "nominal")])
+    rows = securities.select("security_id").distinct().join(status.select("security_id", "status", "last_collection_pass"), "security_id", "left").join(parts, "security_id", "left")
+    attempted = F.col("status").isNotNull() & ~F.coalesce(F.col("status").isin("PENDING", "UNATTEMPTED"), F.lit(False))
+    second = F.col("last_collection_pass") == 2
+    is_ = lambda s, more=F.lit(True): F.count_if((F.col("status") == s) & more)
+    n = F.greatest(F.count_if(attempted), F.lit(1))
+    return rows.agg(
+        F.count("*").alias("master_security_count"), F.count_if(attempted).alias("attempted_security_count"), *[is_(s).alias(f"{s.lower()}_security_count") for s in ("COMPLETE", "PARTIAL", "FAILED", "NO_HISTORY")], F.count_if(~attempted).alias("unattempted_security_count"),
+        *[(F.count_if(attempted & F.col(x)) / n).alias(f"{x}_success_rate") for x in (*STAGES, "nominal")], is_("COMPLETE", F.col("last_collection_pass") == 1).alias("first_pass_complete_count"), F.count_if(second).alias("retry_pass_attempted_count"),
+        is_("COMPLETE", second).alias("retry_pass_recovered_count"), is_("PARTIAL", second).alias("retry_pass_remaining_partial_count"), is_("FAILED", second).alias("retry_pass_remaining_failed_count"),
+    )

@@ -9,7 +9,7 @@ from ..functions.nulls import filled
 from ..operators import acceptance, bars, cleaning, coverage, equality, features, grid, labels, metrics, outcomes, periods, security_quality, ticks
 from ..operators.bars import table
 from ..plans.feature_query import dense, feature_query
-from ..sources import html
+from ..sources import html, snapshots
 from . import daily, sql, universe
 from .registry import Registry
 
@@ -335,3 +335,28 @@ def filled_constants(spark, sf_dir) -> DataFrame:
     rows = dense(bars.supplier_week(spark, sf_dir))
     value = F.when(F.col("_source_row_present") & (F.col("session_index") % 9 == 4), F.col("close"))
     return rows.withColumn("v", value).select("security_id", "session_index", filled(F.col("v")).alias("filled"))
+
+
+@query(f"""WITH {_OUTS}, p AS (SELECT security_id, bool_and(isyatirim_status = 'COMPLETE') AS a, bool_and(yfinance_status = 'COMPLETE') AS b, bool_and(nominal_status = 'COMPLETE') AS c FROM outs GROUP BY 1),
+u AS (SELECT printf('C%06d', c_custkey) AS security_id FROM customer), j AS (SELECT u.security_id, status, last_collection_pass AS l, a, b, c FROM u LEFT JOIN stat USING (security_id) LEFT JOIN p USING (security_id))
+SELECT count(*) AS master_security_count, count(status) AS attempted_security_count, count(*) FILTER (status = 'COMPLETE') AS complete_security_count, count(*) FILTER (status = 'PARTIAL') AS partial_security_count, count(*) FILTER (status = 'FAILED') AS failed_security_count, count(*) FILTER (status = 'NO_HISTORY') AS no_history_security_count,
+       count(*) FILTER (status IS NULL) AS unattempted_security_count, round(count(*) FILTER (a) / greatest(count(status), 1), 6) AS isyatirim_success_rate, round(count(*) FILTER (b) / greatest(count(status), 1), 6) AS yfinance_success_rate, round(count(*) FILTER (c) / greatest(count(status), 1), 6) AS nominal_success_rate,
+       count(*) FILTER (status = 'COMPLETE' AND l = 1) AS first_pass_complete_count, count(*) FILTER (l = 2) AS retry_pass_attempted_count, count(*) FILTER (status = 'COMPLETE' AND l = 2) AS retry_pass_recovered_count, count(*) FILTER (status = 'PARTIAL' AND l = 2) AS retry_pass_remaining_partial_count, count(*) FILTER (status = 'FAILED' AND l = 2) AS retry_pass_remaining_failed_count FROM j""", dates=())
+def collection_report(spark, sf_dir) -> DataFrame:
+    found = _outcomes(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer").select(F.format_string("C%06d", "c_custkey").alias("security_id"))
+    out = outcomes.collection_report(customers, outcomes.security_status(found), found)
+    return out.withColumns({f"{x}_success_rate": F.round(f"{x}_success_rate", 6) for x in ("isyatirim", "yfinance", "nominal")})
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, o_orderstatus AS a, o_totalprice AS b FROM orders WHERE o_orderkey % 17 <> 2),
+n AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 23 = 1 THEN 'X' ELSE o_orderstatus END AS a, CASE WHEN o_orderkey % 29 <> 3 THEN o_totalprice END AS b FROM orders WHERE o_orderkey % 19 <> 5),
+j AS (SELECT coalesce(o.d, n.d) AS d, o.k IS NULL AS added, n.k IS NULL AS removed, o.k IS NOT NULL AND n.k IS NOT NULL AND o.a IS DISTINCT FROM n.a AS ca, o.k IS NOT NULL AND n.k IS NOT NULL AND o.b IS DISTINCT FROM n.b AS cb FROM o FULL JOIN n ON o.k = n.k AND o.d = n.d)
+SELECT count(*) FILTER (ca OR cb) AS changed_row_count, CAST(sum(CASE WHEN ca OR cb THEN CAST(ca AS INT) + CAST(cb AS INT) + 1 ELSE 0 END) AS BIGINT) AS changed_cell_count, 'note|o_orderstatus|o_totalprice' AS changed_columns,
+       (SELECT string_agg(DISTINCT CAST(d AS VARCHAR), '|' ORDER BY CAST(d AS VARCHAR)) FROM j WHERE added) AS added_dates, (SELECT string_agg(DISTINCT CAST(d AS VARCHAR), '|' ORDER BY CAST(d AS VARCHAR)) FROM j WHERE removed) AS removed_dates FROM j""", dates=())
+def snapshot_revision(spark, sf_dir) -> DataFrame:
+    """Two versions of the orders; the new one has a column more."""
+    k = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"), "o_orderstatus", "o_totalprice")
+    new = orders.where(k % 19 != 5).select("o_orderkey", "date", F.when(k % 23 == 1, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), F.when(k % 29 != 3, F.col("o_totalprice")).alias("o_totalprice"), F.lit("n").alias("note"))
+    return snapshots.revision(orders.where(k % 17 != 2), new, ["o_orderkey", "date"], "date")

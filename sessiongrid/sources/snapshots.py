@@ -6,10 +6,13 @@ sums that add up in any order, so no task ever holds all rows.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MANIFEST = "snapshot_id string, dataset string, content_hash string, n_rows long, columns string, status string, revision long"
+MANIFEST = "snapshot_id string, dataset string, content_hash string, n_rows long, columns string, status string, revision long, schema string"
 
 
 def canonical(df: DataFrame) -> list[Column]:
@@ -63,19 +66,33 @@ class SnapshotStore:
         revision = self.manifest().where(F.col("dataset") == dataset).count() + 1
         ident = f"{dataset}-{revision:04d}-{mark['content_hash'][:12]}"
         df.write.mode("overwrite").parquet(f"{self.root}/data/{ident}")
-        row = [(ident, dataset, mark["content_hash"], mark["n_rows"], ",".join(df.columns), status, revision)]
+        row = [(ident, dataset, mark["content_hash"], mark["n_rows"], ",".join(df.columns), status, revision, df.schema.json())]
         self.spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("append").json(f"{self.root}/manifest")
         return ident
 
-    def read(self, ident: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/data/{ident}")
+    def read(self, ident: str, verified: bool = True, order_by: list[str] | None = None) -> DataFrame:
+        """The rows of a snapshot with the schema of its manifest row, in order of the identity columns if they are given.
+
+        verified: compare the rows with the manifest first, and raise if they differ.
+        """
+        rows = self.manifest().where(F.col("snapshot_id") == ident).select("schema").collect()
+        if not rows:
+            raise ValueError(f"no snapshot {ident}")
+        if verified and (issues := self.verify(ident)):
+            raise ValueError(f"snapshot {ident}: {issues}")
+        df = self._rows(ident, rows[0]["schema"])
+        return df.orderBy(*order_by) if order_by else df
+
+    def _rows(self, ident: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{self.root}/data/{ident}")
 
     def verify(self, ident: str) -> list[str]:
         """What differs between a snapshot and its manifest row."""
         rows = self.manifest().where(F.col("snapshot_id") == ident).collect()
         if not rows:
             return ["NOT_IN_MANIFEST"]
-        df, row = self.read(ident), rows[0]
+        row = rows[0]
+        df = self._rows(ident, row["schema"])
         mark = content_hash(df).first()
         checks = {"CONTENT_HASH": mark["content_hash"] == row["content_hash"], "ROW_COUNT": mark["n_rows"] == row["n_rows"], "COLUMNS": ",".join(df.columns) == row["columns"], "STATUS": row["status"] == "COMPLETE"}
         return [name for name, ok in checks.items() if not ok]
@@ -93,3 +110,18 @@ def diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     changed = F.array_compact(F.array(*[F.when(~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")), F.lit(c)) for c in sorted(values)]))
     kind = F.when(F.col("o").isNull(), "ADDED").when(F.col("n").isNull(), "REMOVED").when(F.size(changed) > 0, "CHANGED")
     return both.select(*keys, "copy", kind.alias("change"), F.when(F.col("o").isNotNull() & F.col("n").isNotNull(), F.array_join(changed, "|")).alias("columns")).where("change is not null")
+
+
+def revision(old: DataFrame, new: DataFrame, keys: list[str], date: str) -> DataFrame:
+    """One row over diff: changed rows and cells, changed columns (those of one side alone too), and the dates of rows that
+    came or went. date is one of the keys."""
+    values = [c for c in new.columns if c in old.columns and c not in keys]
+    alone = sorted(set(old.columns) ^ set(new.columns))
+    rows = diff(old.select(*keys, *values), new.select(*keys, *values), keys).withColumn("cols", F.split("columns", r"\|"))
+    cells = F.when(F.col("change") == "CHANGED", F.size("cols") + len(alone)).otherwise(0)
+    dates = lambda kind: F.array_join(F.array_sort(F.collect_set(F.when(F.col("change") == kind, F.col(date).cast("string")))), "|")
+    changed = F.flatten(F.collect_set(F.when(F.col("change") == "CHANGED", F.col("cols"))))
+    return rows.agg(
+        F.count_if(F.col("change") == "CHANGED").alias("changed_row_count"), F.coalesce(F.sum(cells), F.lit(0)).cast("long").alias("changed_cell_count"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(changed, F.array(*map(F.lit, alone)).cast("array<string>")))), "|").alias("changed_columns"), dates("ADDED").alias("added_dates"), dates("REMOVED").alias("removed_dates"),
+    )

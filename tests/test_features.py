@@ -121,3 +121,44 @@ def test_reasons_of_missing_values(spark):
     for f, r in counts.items():
         for x in features.REASONS:
             assert r[x] == sum(x in reasons for (name, _), reasons in got.items() if name == f), (f, x)
+
+
+def holes(spark):
+    """Five securities with gaps, a late one and an early one, bad prices, and an index that misses sessions."""
+    parts = [panel(spark, days=60, drop=drop, change=change, close=lambda i: 100.0 + (i * 7) % 13, securities=(name,)) for name, drop, change in (
+        ("A", (3, 4, 20, 41), None), ("B", range(15), lambda i: {"close": None} if i == 30 else {}), ("C", range(35, 60), lambda i: {"high": math.inf} if i == 9 else {}), ("D", (), lambda i: {"tl_volume": 0.0} if i % 19 == 5 else {}), ("E", range(1, 60, 2), None),
+    )]
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
+    index = spark.createDataFrame([(dt.date(2024, 1, 1) + dt.timedelta(i), None if i in (12, 50) else math.inf if i == 33 else 7000.0 + (i * 5) % 11) for i in range(60)], "prediction_date date, benchmark_close double")
+    return df, index
+
+
+def test_observed_rows_give_what_the_dense_grid_gives(spark):
+    df, index = holes(spark)
+    grid = densify(df, build_calendar(index), index)
+    sessions = index.join(build_calendar(index).withColumnRenamed("session_date", "prediction_date"), "prediction_date")
+    rows = features.on_sessions(df, sessions)
+    assert rows.count() == df.count() < grid.count()
+    key = ["security_id", "prediction_date"]
+    as_text = lambda frame, *columns: sorted(str(tuple(r)) for r in frame.select(*key, *columns).collect())
+    assert as_text(features.base_features(rows), *features.BASE) == as_text(features.base_features(grid).where("_source_row_present"), *features.BASE)
+    assert as_text(features.reasons(rows), "feature", "missing", *features.REASONS) == as_text(features.reasons(grid), "feature", "missing", *features.REASONS)
+    assert sorted(map(tuple, features.quality(rows).collect())) == sorted(map(tuple, features.quality(grid).collect()))
+
+
+def test_the_feature_query_makes_no_grid(spark):
+    from sessiongrid.plans.feature_query import feature_query
+
+    df, _ = holes(spark)
+    plan = feature_query(df)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_repeated_observations_fail(spark):
+    from pyspark.errors import PySparkException
+
+    df, index = holes(spark)
+    with pytest.raises(PySparkException, match="repeated security_id, prediction_date: A, 2024-01-01"):
+        densify(df.unionByName(df.where("security_id = 'A' and prediction_date = date'2024-01-01'")), build_calendar(index), index).count()

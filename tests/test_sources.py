@@ -18,7 +18,22 @@ def test_snapshot_is_saved_once_and_verified(spark, tmp_path):
     assert store.save(frame(spark).repartition(3).select("x", "n", "ticker").select("ticker", "n", "x"), "prices") == a
     b = store.save(frame(spark).where("n = 1"), "prices")
     assert b != a and store.find("prices") == b and store.verify(a) == [] and store.verify("none") == ["NOT_IN_MANIFEST"]
-    assert store.read(a).count() == 3
+    assert store.read(a).count() == 3 and store.read(a).schema == frame(spark).schema
+    assert [r["n"] for r in store.read(a, order_by=["n"]).collect()] == [1, 2, 2]
+    frame(spark).limit(1).write.mode("overwrite").parquet(f"file://{tmp_path}/store/data/{a}")
+    with pytest.raises(ValueError, match="CONTENT_HASH"):
+        store.read(a)
+    assert store.read(a, verified=False).count() == 1
+    with pytest.raises(ValueError, match="no snapshot"):
+        store.read("none")
+
+
+def test_revision_counts_cells_columns_and_dates(spark):
+    old = spark.createDataFrame([("A", "2024-01-01", 1, 1.0), ("B", "2024-01-02", 1, 1.0), ("C", "2024-01-03", 1, 1.0)], "k string, date string, n int, x double")
+    new = spark.createDataFrame([("A", "2024-01-01", 2, 3.0, "q"), ("B", "2024-01-02", 1, 1.0, "q"), ("D", "2024-01-05", 1, 1.0, "q")], "k string, date string, n int, x double, q string")
+    assert tuple(snapshots.revision(old, new, ["k", "date"], "date").first()) == (1, 3, "n|q|x", "2024-01-05", "2024-01-03")
+    assert tuple(snapshots.revision(old, old, ["k", "date"], "date").first()) == (0, 0, "", "", "")
+
 
 
 def test_content_hash_ignores_order_but_not_content(spark):
