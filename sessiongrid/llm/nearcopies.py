@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import TEXTS, cut, keep_table, text_key
+from .common import TEXTS, cut, drop_table, keep_table, text_key
 
 THRESHOLD = 0.8
 BROADCAST_BYTES = 32 << 20
@@ -132,7 +132,9 @@ def _verified(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, t:
     sets = _whole_sets(docs, rows, pairs.select("cls").union(pairs.select(F.col("other").alias("cls"))).distinct(), words)
     both = pairs.join(sets, "cls").join(sets.select(F.col("cls").alias("other"), F.col("fp").alias("fp2"), F.col("tokens").alias("tokens2")), "other")
     common = F.size(F.array_intersect("tokens", "tokens2"))
-    return cut(both.where(common * 1000 >= (F.size("tokens") + F.size("tokens2") - common) * t).select(F.col("fp").alias("a"), F.col("fp2").alias("b")))
+    found = cut(both.where(common * 1000 >= (F.size("tokens") + F.size("tokens2") - common) * t).select(F.col("fp").alias("a"), F.col("fp2").alias("b")))
+    drop_table(sets)
+    return found
 
 
 def _beside(df: DataFrame, tokens: DataFrame, how: str = "inner") -> DataFrame:
@@ -141,24 +143,28 @@ def _beside(df: DataFrame, tokens: DataFrame, how: str = "inner") -> DataFrame:
 
 
 def prefix_posts(docs: DataFrame, rows: DataFrame, words: int, t: int) -> DataFrame:
-    """cls, fp, n, pos and token of each prefix token of each set, frequent tokens last."""
+    """A table of cls, fp, n, pos and token of each prefix token of each set, frequent tokens last."""
     sets = keep_table(rows.where("n > 0").select("cls", "fp", "n", "prefix").dropDuplicates(["cls"]), "sets")
     posts = sets.select("cls", "fp", "n", F.posexplode("prefix").alias("pos", "token"))
     frequent = cut(posts.groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT))
     if frequent.isEmpty():
-        return posts
+        return keep_table(posts, "posts")
     concerned = cut(_beside(posts, frequent).select("cls").distinct())
-    whole = _whole_sets(docs, rows, concerned, words)
+    first = _whole_sets(docs, rows, concerned, words)
     # frequent among all tokens of these sets, so that no passage comes back with its other tokens
-    more = whole.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT)
+    more = first.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT)
     frequent = cut(frequent.unionByName(more).groupBy("token").agg(F.max("held").alias("held")))
     last = cut(_beside(posts, frequent).select("cls").distinct())
-    whole = whole.unionByName(_whole_sets(docs, rows, cut(last.join(concerned, "cls", "left_anti")), words))
+    second = _whole_sets(docs, rows, cut(last.join(concerned, "cls", "left_anti")), words)
+    whole = first.unionByName(second)
     each = _beside(whole.select("cls", F.explode("tokens").alias("token")), frequent, "left")
     ordered = each.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "token"))).alias("tokens"))
     size = F.expr(f"n - (n * {t} + 999) div 1000 + 1").cast("int")
     made = ordered.join(sets.select("cls", "fp", "n"), "cls").select("cls", "fp", "n", F.posexplode(F.slice("tokens.token", F.lit(1), size)).alias("pos", "token"))
-    return posts.join(last, "cls", "left_anti").select("cls", "fp", "n", "pos", "token").unionByName(made)
+    found = keep_table(posts.join(last, "cls", "left_anti").select("cls", "fp", "n", "pos", "token").unionByName(made), "posts")
+    for table in (first, second, sets):
+        drop_table(table)
+    return found
 
 
 def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: float = THRESHOLD) -> DataFrame:
@@ -169,9 +175,10 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
     edges = cut(simhash.links(rows.select("fp").distinct()).unionByName(same))
     roots = simhash.components(edges)
 
-    posts = keep_table(prefix_posts(docs, rows, words, t), "posts")
+    posts = prefix_posts(docs, rows, words, t)
     shared = cut(posts.groupBy("token").agg(F.count("*").alias("posts")).where("posts > 1").select("token"))
     met = keep_table(_beside(posts, shared), "meetings")
+    drop_table(posts)
 
     def known(roots: DataFrame) -> DataFrame:
         """met with the class so far."""
@@ -201,11 +208,15 @@ def fingerprint_roots(docs: DataFrame, rows: DataFrame, words: int, threshold: f
     fps = rows.groupBy("cls").agg(F.min("fp").alias("fp"))
     classes = fps.join(roots, fps["fp"] == roots["node"], "left").select("cls", F.coalesce("root", "fp").alias("root"))
     left = pairs.join(near, ["cls", "other"], "left_anti").join(classes, "cls").join(classes.select(F.col("cls").alias("other"), F.col("root").alias("root2")), "other")
-    return simhash.components(edges.unionByName(_verified(docs, rows, cut(left.where(apart).select("cls", "other")), words, t)))
+    roots = simhash.components(edges.unionByName(_verified(docs, rows, cut(left.where(apart).select("cls", "other")), words, t)))
+    drop_table(met)
+    return roots
 
 
 def near_copies(docs: DataFrame, words: int, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, key and class (a number that linked texts share) of each row of docs."""
     rows = keep_table(shingle_rows(docs, words, round(threshold * 1000)), "shingles", TEXTS)
     roots = fingerprint_roots(docs, rows, words, threshold)
-    return rows.join(roots, rows["fp"] == roots["node"], "left").select("doc_id", "key", F.coalesce("root", "fp").alias("class"))
+    found = cut(rows.join(roots, rows["fp"] == roots["node"], "left").select("doc_id", "key", F.coalesce("root", "fp").alias("class")))
+    drop_table(rows)
+    return found
