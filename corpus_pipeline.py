@@ -32,11 +32,11 @@ def unpacked(rows: DataFrame, docs: DataFrame, name: str, *plain: str) -> DataFr
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold by a model of the labelled ones among them; a table, written TEXTS rows at a time."""
+    """Documents scored below the threshold by a model of the labelled ones among them."""
     with batches_of(spark, TEXTS):
         model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     rows, rest = packed(docs, "text")
-    return keep_table(unpacked(toxicity.score_documents(rows, model).where(F.col("score") < TOXIC_FROM), docs, rest, "text"), "toxicity", TEXTS)
+    return unpacked(toxicity.score_documents(rows, model).where(F.col("score") < TOXIC_FROM), docs, rest, "text")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,6 +85,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        done = stage(spark, docs, sf_dir)
-        docs = done if stage is drop_toxic else keep_table(done, name, TEXTS)
+        docs = keep_table(stage(spark, docs, sf_dir), name, TEXTS)
     return STAGES[-1][1](spark, docs, sf_dir)
