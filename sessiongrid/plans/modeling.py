@@ -88,7 +88,17 @@ class Learner:
         return Fitted(PipelineModel([*prepare.stages, model]), self.features, ("features", "rawPrediction", "prediction", *filled))
 
 
-def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldConfig, as_of: str, learner: Learner | None = None, threshold: float = 0.5, keep: dict[str, Fitted] | None = None) -> DataFrame:
+def _untrained(parts: DataFrame) -> dict[str, float | None]:
+    """The folds whose fit or validation rows lack a class, with the share of label 1 among their fit rows (null: no rows)."""
+    of = lambda part, test: F.count_if((F.col("part") == part) & test)
+    label = F.col("label")
+    sides = [of(part, label == x).alias(f"{part}_{x}") for part in ("fit", "validation") for x in (0, 1)]
+    found = parts.groupBy("fold_id").agg(*sides).where(" or ".join(f"{part}_{x} = 0" for part in ("fit", "validation") for x in (0, 1)))
+    share = F.when(F.col("fit_0") + F.col("fit_1") > 0, F.col("fit_1") / (F.col("fit_0") + F.col("fit_1")))
+    return {r["fold_id"]: r["share"] for r in found.select("fold_id", share.alias("share")).collect()}  # one row a fold
+
+
+def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldConfig, as_of: str, learner: Learner | None = None, threshold: float = 0.5, keep: dict[str, Fitted] | None = None, base_rate: bool = False) -> DataFrame:
     """Out-of-sample scores of every fold's test rows, with daily ranks within each fold.
 
     fold_id, security_id, prediction_date, prediction_eligible, label, label_status, probability, predicted_class (1 from
@@ -96,6 +106,10 @@ def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldCon
     and validation rows alone; one fit for each fold: the driver iterates over folds (tens), never over rows. The split
     panel is a checkpoint, if the session has a folder for them, so no fold computes it again. keep: gets the fitted model
     of each fold.
+
+    A fold whose fit or validation rows lack a class cannot be learned from and is refused. base_rate: such a fold's test
+    rows get the share of label 1 among its fit rows instead (null, if none is labelled), and a column ``trained`` tells
+    which folds have a model.
     """
     learner = learner or Learner()
     table = fold_ops.folds(calendar, config)
@@ -103,15 +117,22 @@ def walk_forward(panel: DataFrame, calendar: DataFrame, config: fold_ops.FoldCon
     if panel.sparkSession.sparkContext.getCheckpointDir():
         parts = parts.checkpoint()
     known = F.coalesce(F.col("label_available_date") <= F.lit(as_of).cast("date"), F.lit(False))
+    shares = _untrained(parts) if base_rate else {}
     out = None
     for row in table.select("fold_id").orderBy("fold_id").collect():
         own = parts.where(F.col("fold_id") == row["fold_id"])
-        score = learner.fit(own.where("part = 'fit'"), own.where("part = 'validation'"))
-        if keep is not None:
-            keep[row["fold_id"]] = score
-        test = score(own.where("part = 'test'")).select(
+        trained = row["fold_id"] not in shares
+        if trained:
+            score = learner.fit(own.where("part = 'fit'"), own.where("part = 'validation'"))
+            if keep is not None:
+                keep[row["fold_id"]] = score
+            scored = score(own.where("part = 'test'"))
+        else:
+            scored = own.where("part = 'test'").withColumn("probability", F.lit(shares[row["fold_id"]]).cast("double"))
+        test = scored.select(
             "fold_id", "security_id", "prediction_date", "prediction_eligible", F.when(known, F.col("label").cast("int")).alias("label"),
             F.when(known, F.col("label_status")).otherwise("NA").alias("label_status"), "probability", (F.col("probability") >= threshold).cast("int").alias("predicted_class"),
+            *([F.lit(trained).alias("trained")] if base_rate else []),
         )
         out = test if out is None else out.unionByName(test)
     if out is None:

@@ -271,7 +271,10 @@ def calibration_gap(spark, sf_dir) -> DataFrame:
 
 @query()
 def walk_forward_model(spark, sf_dir) -> DataFrame:
-    """Out-of-sample scores of a logistic regression on the 32 features in walk-forward folds (a trained model; no SQL)."""
+    """Out-of-sample scores of a logistic regression on the 32 features in walk-forward folds (a trained model; no SQL).
+
+    The more trades a nation's week has, the fewer labels are left and of one class alone (sf0.1); such folds get base rates.
+    """
     master, seen, _, calendar, index = _inputs(spark, sf_dir)
     rows = daily.observed(spark, sf_dir)
     prices = rows.select("security_id", F.col("date").alias("prediction_date"), *[F.col(f"yf_nominal_{c}").alias(c) for c in bars.BAR[:4]], F.col("is_tl_volume").alias("tl_volume"), F.col("yf_share_volume").alias("share_volume"))
@@ -279,7 +282,7 @@ def walk_forward_model(spark, sf_dir) -> DataFrame:
     eligible = universe.prediction_universe(master, seen, feats, calendar, index)
     panel = training_plan(eligible, feats, labelled(spark, sf_dir), calendar, AS_OF)
     config = folds.FoldConfig(validation=40, test=60, minimum_fit=100, horizon=3, history=21)
-    return modeling.walk_forward(panel, calendar, config, AS_OF)
+    return modeling.walk_forward(panel, calendar, config, AS_OF, base_rate=True)
 
 
 # Ranges and collection ----------------------------------------------------------------------------------------------

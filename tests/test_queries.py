@@ -46,6 +46,25 @@ def test_labels_behind_the_cutoff_are_blank_and_classes_are_asked_for(spark):
         modeling.model_matrix(panel)
 
 
+def test_folds_of_one_class_get_base_rates(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(k) for k in range(40)]
+    calendar = spark.createDataFrame([(d, k) for k, d in enumerate(days)], "session_date date, session_index long")
+    schema = "security_id string, prediction_date date, prediction_eligible boolean, label int, label_status string, label_available_date date, a double"
+    config = folds.FoldConfig(validation=6, test=5, minimum_fit=10, horizon=1, history=2)
+
+    def scores(label, status):
+        rows = [(f"S{s}", days[k], True, label(k, s), status, days[k + 1] if k < 39 else None, float((k + s) % 2)) for k in range(40) for s in range(3)]
+        return modeling.walk_forward(spark.createDataFrame(rows, schema), calendar, config, "2024-03-01", modeling.Learner(features=("a",)), base_rate=True).toPandas()
+
+    ones, none, mixed = scores(lambda k, s: 1, "LABELED"), scores(lambda k, s: None, "NA"), scores(lambda k, s: (k + s) % 2 if k < 27 else 1, "LABELED")
+    assert (ones.probability == 1).all() and (ones.predicted_class == 1).all() and not ones.trained.any()
+    assert none.probability.isna().all() and none.predicted_class.isna().all() and len(none) == len(ones) == len(mixed)
+    assert not none.duplicated(["prediction_date", "daily_rank"]).any()
+    # the first folds hold both classes; from session 27 on the validation rows are of one class, the fit rows of both
+    assert set(mixed.fold_id[mixed.trained]) and set(mixed.fold_id[~mixed.trained])
+    assert mixed.probability[~mixed.trained].between(0.5, 0.99).all() and mixed.probability.notna().all()
+
+
 def test_entry_module_lists_each_query(spark):
     import __spark_entry__ as entry
 
