@@ -27,16 +27,21 @@ def merged(ranges: DataFrame, key: str) -> DataFrame:
 
 
 def gaps(requests: DataFrame, covered: DataFrame, key: str) -> DataFrame:
-    """What of each request (start, end) no covered range meets: before each covered range, and behind the last."""
-    have = merged(covered, key).select(key, F.col("start").alias("c_start"), F.col("end").alias("c_end"))
-    inside = requests.join(have, key, "left").where("c_start is null or (c_start <= end and c_end >= start)")
-    none = requests.join(inside.select(key).distinct(), key, "left_anti").select(key, F.col("start").alias("gap_start"), F.col("end").alias("gap_end"))
+    """What of each request (start, end) no covered range meets: before each covered range, and behind the last.
+
+    Ranges outside the bounds of all requests cover no day of one and are dropped before they are shuffled. Requests meet
+    the merged ranges in one join by key, whose order serves the sweep over a request's ranges.
+    """
+    bounds = requests.agg(F.min("start").alias("__low"), F.max("end").alias("__high"))
+    near = covered.select(key, "start", "end").join(F.broadcast(bounds), (F.col("end") >= F.col("__low")) & (F.col("start") <= F.col("__high")), "left_semi")  # one row
+    have = merged(near, key).select(F.col(key).alias("__key"), F.col("start").alias("c_start"), F.col("end").alias("c_end"))
+    met = (F.col(key) == F.col("__key")) & (F.col("c_start") <= F.col("end")) & (F.col("c_end") >= F.col("start"))
     order = Window.partitionBy(key, "start", "end").orderBy("c_start")
-    rows = inside.where("c_start is not null").withColumn("cursor", F.coalesce(F.date_add(F.lag("c_end").over(order), 1), F.col("start"))).withColumn("next", F.lead("c_start").over(order))
-    before = rows.select(key, F.col("cursor").alias("gap_start"), F.date_sub("c_start", 1).alias("gap_end"))
-    tail = rows.where("next is null").select(key, F.date_add("c_end", 1).alias("gap_start"), F.col("end").alias("gap_end"))
-    whole = inside.where("c_start is null").select(key, F.col("start").alias("gap_start"), F.col("end").alias("gap_end"))
-    return before.unionByName(tail).unionByName(whole).unionByName(none).where("gap_start <= gap_end")
+    rows = requests.select(key, "start", "end").join(have, met, "left").withColumns({"cursor": F.coalesce(F.date_add(F.lag("c_end").over(order), 1), F.col("start")), "next": F.lead("c_start").over(order)})
+    before = F.struct(F.col("cursor").alias("gap_start"), F.date_sub("c_start", 1).alias("gap_end"))
+    behind = F.struct(F.coalesce(F.date_add("c_end", 1), F.col("start")).alias("gap_start"), F.col("end").alias("gap_end"))
+    found = F.array_compact(F.array(F.when(F.col("c_start").isNotNull(), before), F.when(F.col("next").isNull(), behind)))
+    return rows.select(key, F.inline(found)).where("gap_start <= gap_end")
 
 
 #: What a stored range says that was fetched and held nothing (fixed value).

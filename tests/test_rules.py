@@ -199,3 +199,13 @@ def test_gaps_of_covered_ranges(spark):
     have = spark.createDataFrame([("A", d(1, 5), d(1, 8)), ("A", d(1, 7), d(1, 10)), ("A", d(1, 11), d(1, 12)), ("A", d(1, 30), d(2, 9))], "key string, start date, end date")
     got = sorted((r["key"], r["gap_start"].day, r["gap_end"].day) for r in coverage.gaps(want, have, "key").collect())
     assert got == [("A", 1, 4), ("A", 13, 29), ("B", 1, 5)]
+
+
+def test_a_key_keeps_the_request_that_no_range_meets_and_far_ranges_go_before_the_shuffle(spark):
+    d = lambda k: dt.date(2024, 1, k)
+    want = spark.createDataFrame([("a", d(5), d(9)), ("a", d(20), d(22)), (None, d(6), d(7))], "key string, start date, end date")
+    have = spark.createDataFrame([("a", d(6), d(7)), ("a", d(1), d(2)), ("a", d(25), d(28)), ("b", d(5), d(9))], "key string, start date, end date")
+    found = coverage.gaps(want, have, "key")
+    got = [(r["key"], r["gap_start"].day, r["gap_end"].day) for r in found.collect()]
+    assert sorted(got, key=str) == [("a", 20, 22), ("a", 5, 5), ("a", 8, 9), (None, 6, 7)]
+    assert "__high" in found._jdf.queryExecution().optimizedPlan().toString()
