@@ -162,3 +162,17 @@ def test_repeated_observations_fail(spark):
     df, index = holes(spark)
     with pytest.raises(PySparkException, match="repeated security_id, prediction_date: A, 2024-01-01"):
         densify(df.unionByName(df.where("security_id = 'A' and prediction_date = date'2024-01-01'")), build_calendar(index), index).count()
+
+
+def test_the_panel_is_aggregated_once_for_rows_and_index(spark, sf_dir):
+    """Both read the panel's rows after one shuffle: Spark finds the two aggregations equal."""
+    from sessiongrid.operators import bars
+    from sessiongrid.plans.feature_query import feature_query
+
+    df = feature_query(bars.supplier_week(spark, sf_dir))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 1
