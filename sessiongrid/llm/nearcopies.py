@@ -8,7 +8,8 @@ of them. The steps:
    first n - ceil(threshold * n) + 1 of n shingle hashes in ascending order. Similar sets share a prefix token.
 2. A passage that many texts share would fill their prefixes. So tokens that more than FREQUENT prefixes hold are counted,
    with all tokens of the sets concerned, and stand last, the most frequent at the end; those sets get prefixes in this
-   order: their own tokens first. All other sets' prefixes hold no such token and are the same in both orders.
+   order: their own tokens first. All other sets' prefixes hold no such token and are the same in both orders. Tokens
+   are counted in SHARES by their hash and sets are ordered in SHARES by theirs, one after the other.
 3. Classes by SimHash, and by equal sets.
 4. Sets of different classes meet where they share a prefix token, under length, positional and bitmap filters (hashes
    toggle bits of a map of two bits or more for each shingle; sets whose maps differ in k bits differ in k shingles at
@@ -31,12 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import TEXTS, cut, drop_table, keep_table, text_key
+from .common import TEXTS, cut, drop_table, free_shuffles, keep_table, text_key
 
 THRESHOLD = 0.8
 BROADCAST_BYTES = 32 << 20
 #: Prefixes from which on a token is frequent.
 FREQUENT = 64
+#: Whole sets are counted and ordered in so many shares, so that the disk holds the shuffle of one share at a time.
+SHARES = 8
 #: Bits of a set's map at least; maps are powers of two.
 MAP = 1024
 
@@ -142,27 +145,41 @@ def _beside(df: DataFrame, tokens: DataFrame, how: str = "inner") -> DataFrame:
     return df.join(F.broadcast(tokens) if tokens.count() * 24 <= BROADCAST_BYTES else tokens, "token", how)
 
 
+def _share(column: str, k: int) -> Column:
+    """Whether a hash is of share k."""
+    return F.pmod(column, F.lit(SHARES)) == k
+
+
 def prefix_posts(docs: DataFrame, rows: DataFrame, words: int, t: int) -> DataFrame:
     """A table of cls, fp, n, pos and token of each prefix token of each set, frequent tokens last."""
     sets = keep_table(rows.where("n > 0").select("cls", "fp", "n", "prefix").dropDuplicates(["cls"]), "sets")
     posts = sets.select("cls", "fp", "n", F.posexplode("prefix").alias("pos", "token"))
     frequent = cut(posts.groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT))
     if frequent.isEmpty():
-        return keep_table(posts, "posts")
+        found = keep_table(posts, "posts")
+        drop_table(sets)
+        return found
     concerned = cut(_beside(posts, frequent).select("cls").distinct())
     first = _whole_sets(docs, rows, concerned, words)
     # frequent among all tokens of these sets, so that no passage comes back with its other tokens
-    more = first.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT)
-    frequent = cut(frequent.unionByName(more).groupBy("token").agg(F.max("held").alias("held")))
+    tokens = first.select(F.explode("tokens").alias("token"))
+    for k in range(SHARES):
+        free_shuffles(docs.sparkSession)
+        more = cut(tokens.where(_share("token", k)).groupBy("token").agg(F.count("*").alias("held")).where(F.col("held") > FREQUENT))
+        frequent = frequent.unionByName(more)
+    frequent = cut(frequent.groupBy("token").agg(F.max("held").alias("held")))
     last = cut(_beside(posts, frequent).select("cls").distinct())
     second = _whole_sets(docs, rows, cut(last.join(concerned, "cls", "left_anti")), words)
-    whole = first.unionByName(second)
-    each = _beside(whole.select("cls", F.explode("tokens").alias("token")), frequent, "left")
-    ordered = each.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "token"))).alias("tokens"))
+    found = keep_table(posts.join(last, "cls", "left_anti").select("cls", "fp", "n", "pos", "token"), "posts")
+    drop_table(sets)
     size = F.expr(f"n - (n * {t} + 999) div 1000 + 1").cast("int")
-    made = ordered.join(sets.select("cls", "fp", "n"), "cls").select("cls", "fp", "n", F.posexplode(F.slice("tokens.token", F.lit(1), size)).alias("pos", "token"))
-    found = keep_table(posts.join(last, "cls", "left_anti").select("cls", "fp", "n", "pos", "token").unionByName(made), "posts")
-    for table in (first, second, sets):
+    for k in range(SHARES):
+        free_shuffles(docs.sparkSession)
+        some = first.unionByName(second).where(_share("cls", k)).select("cls", "fp", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+        each = _beside(some, frequent, "left")
+        ordered = each.groupBy("cls", "fp", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "token"))).alias("tokens"))
+        found = found.unionByName(keep_table(ordered.select("cls", "fp", "n", F.posexplode(F.slice("tokens.token", F.lit(1), size)).alias("pos", "token")), "posts"))
+    for table in (first, second):
         drop_table(table)
     return found
 

@@ -109,3 +109,18 @@ def test_long_texts_that_share_a_passage_are_told_apart_by_their_maps(spark):
     similar = {(i, j) for i in range(4) for j in range(i) if len(np.intersect1d(more[i], more[j])) >= 0.8 * len(np.union1d(more[i], more[j]))}
     assert similar <= set(got)
     assert not {p for p in got if 2 in p}
+
+
+def test_no_shuffle_holds_all_tokens_of_the_sets_with_a_passage(spark):
+    """Counting and ordering the tokens of the sets concerned goes share by share: 71,396 rows of one shuffle before."""
+    from sessiongrid.llm import nearcopies
+
+    docs = spark.createDataFrame(shared_passage(600), "doc_id long, text string").repartition(4)
+    rows = nearcopies.keep_table(nearcopies.shingle_rows(docs, 5, 800), "shingles")
+    context = spark.sparkContext
+    stages = lambda: {s.stageId(): s.shuffleWriteRecords() for s in (found.apply(k) for found in [context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), None)] for k in range(found.size()))}
+    before = stages()
+    posts = nearcopies.prefix_posts(docs, rows, 5, 800)
+    tokens = rows.selectExpr("sum(n)").first()[0]
+    assert max(n for k, n in stages().items() if k not in before) < tokens / 3
+    assert posts.groupBy("cls", "pos").count().where("count > 1").isEmpty()
