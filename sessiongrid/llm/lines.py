@@ -28,13 +28,15 @@ the texts by broadcast up to BROADCAST_BYTES, else by a shuffle. Any type of doc
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TEXTS, batches_of, cut, drop_table, keep_table, shuffle_partitions, text_key
+from .common import TEXTS, batches_of, cut, drop_table, free_shuffles, keep_table, shuffle_partitions, text_key
 
 THRESHOLD = 0.8
 #: Counters of words, and how many of them are one row when they are added up.
@@ -47,8 +49,12 @@ LEADING, SALTS = 4, 16
 #: Pairs of one early line beyond which they are dealt out.
 DEALT = 1000
 BROADCAST_BYTES = 32 << 20
+#: Keys by which classes meet are joined in so many shares, so that the disk holds the shuffle of one share at a time.
+SHARES = 2
 #: Bits of a place that one long integer holds; beyond, places are decimals.
 PLACE_BITS = 62
+#: No token of a prefix.
+NONE = -(1 << 31)
 
 
 def numbered_texts(docs: DataFrame) -> DataFrame:
@@ -287,17 +293,26 @@ def _meetings(classes: DataFrame, gone: DataFrame, t: int) -> DataFrame:
     rows = classes.join(gone.select(F.col("late").alias("at"), F.lit(True).alias("gone")), "at", "left").select("at", "n", "b", "half", "prefix", seeks.alias("seeks"))
     # one integer for n, the position and whether the class seeks earlier ones
     what = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("seeks")).alias("what")
-    posts = rows.select("at", "b", "half", "n", "seeks", "prefix", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < F.size("prefix") - 1)
-    alone = posts.where("token >= 0").select("at", "b", "half", what, F.col("token").cast("long").alias("key"))
-    paired = posts.where("token < 0").select("at", "b", "half", what, "token", F.explode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("next"))
-    posts = alone.unionByName(paired.select("at", "b", "half", "what", F.xxhash64("token", "next").alias("key")))
+    # the prefix tokens just before the one or two of the key: where two classes have the same there, they meet by an earlier key
+    before = lambda pos: F.coalesce(F.get("prefix", pos - 1), F.lit(NONE))
+    posts = rows.select("at", "b", "half", "n", "seeks", "prefix", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < F.size("prefix") - 1).withColumn("first", before(F.col("pos")))
+    alone = posts.where("token >= 0").select("at", "b", "half", what, "first", F.lit(NONE).alias("second"), F.col("token").cast("long").alias("key"))
+    paired = posts.where("token < 0").select("at", "b", "half", what, "first", "token", "prefix", "pos", F.posexplode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("on", "next"))
+    second = F.when(F.col("on") > 0, before(F.col("pos") + F.col("on") + 1)).otherwise(F.lit(NONE))
+    posts = alone.unionByName(paired.select("at", "b", "half", "what", "first", second.alias("second"), F.xxhash64("token", "next").alias("key")))
     x, y = ({"n": F.shiftright(f"{a}.what", 32), "pos": F.shiftright(f"{a}.what", 1).bitwiseAND(F.lit((1 << 31) - 1)), "seeks": F.col(f"{a}.what").bitwiseAND(F.lit(1)), "b": F.col(f"{a}.b"), "half": F.col(f"{a}.half")} for a in "xy")
     # the token of the post is the first that both share, or another post finds them
     room = F.least(x["n"] - x["pos"], y["n"] - y["pos"]) >= _least_shared(x["n"], y["n"], t)
     # both sides read the same columns and no filter is of one side alone, so that one shuffle serves both
     late = (F.col("y.at") < F.col("x.at")) & (x["seeks"] * 2 + y["seeks"] >= 2)
-    met = posts.alias("x").join(posts.alias("y"), F.col("x.key") == F.col("y.key")).where(late & room & _close(x, y, t))
-    return cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ")).distinct())
+    new = reduce(and_, [(F.col(f"x.{c}") != F.col(f"y.{c}")) | (F.col(f"x.{c}") == NONE) for c in ("first", "second")])
+    found = []
+    for k in range(SHARES):
+        some = posts.where(F.pmod("key", F.lit(SHARES)) == k)
+        met = some.alias("x").join(some.alias("y"), F.col("x.key") == F.col("y.key")).where(late & new & room & _close(x, y, t))
+        found.append(cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ")).distinct()))
+        free_shuffles(classes.sparkSession)
+    return cut(reduce(DataFrame.unionByName, found).distinct())
 
 
 def _lists(places: Places, at: DataFrame) -> tuple[DataFrame, bool]:
