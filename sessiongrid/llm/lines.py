@@ -287,8 +287,11 @@ def _leaders(classes: DataFrame, t: int) -> DataFrame:
     return cut(_nearest(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ"))))
 
 
-def _meetings(classes: DataFrame, gone: DataFrame, t: int) -> DataFrame:
-    """(late, early, differ): classes that share a prefix token or, of a frequent one, two; without late ones of ``gone``."""
+def _met(classes: DataFrame, gone: DataFrame, t: int) -> list[DataFrame]:
+    """Of each share of the keys (late, early, differ): classes that share a prefix token or, of a frequent one, two; without late ones of ``gone``.
+
+    A pair that shares a run of tokens comes once for the run, not for each key in it.
+    """
     seeks = F.when(F.col("gone").isNull(), 1).otherwise(0).cast("long")
     rows = classes.join(gone.select(F.col("late").alias("at"), F.lit(True).alias("gone")), "at", "left").select("at", "n", "b", "half", "prefix", seeks.alias("seeks"))
     # one integer for n, the position and whether the class seeks earlier ones
@@ -310,7 +313,15 @@ def _meetings(classes: DataFrame, gone: DataFrame, t: int) -> DataFrame:
     for k in range(SHARES):
         some = posts.where(F.pmod("key", F.lit(SHARES)) == k)
         met = some.alias("x").join(some.alias("y"), F.col("x.key") == F.col("y.key")).where(late & new & room & _close(x, y, t))
-        found.append(cut(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ")).distinct()))
+        found.append(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ")))
+    return found
+
+
+def _meetings(classes: DataFrame, gone: DataFrame, t: int) -> DataFrame:
+    """(late, early, differ) of the pairs that meet, each once."""
+    found = []
+    for met in _met(classes, gone, t):
+        found.append(cut(met.distinct()))
         free_shuffles(classes.sparkSession)
     return cut(reduce(DataFrame.unionByName, found).distinct())
 

@@ -127,3 +127,13 @@ def test_pieces_change_no_hash(monkeypatch):
     want = [x.tolist() for x in lines.word_hashes(texts)]
     monkeypatch.setattr(lines, "SLICE", 16)
     assert [x.tolist() for x in lines.word_hashes(texts)] == want
+
+
+def test_classes_meet_once_for_a_run_of_common_tokens(spark):
+    """Not by each of its 55 pairs of frequent tokens, nor by each of its rare ones."""
+    shared = list(range(1, 4)) + [-1 - k for k in range(10, 21)]
+    classes = [(k, 60, 0, 0, [*shared[:6], -100 - k, *shared[6:]]) for k in range(8)] + [(k, 60, 0, 0, shared) for k in range(8, 12)] + [(12, 60, 0, 0, [7, -30, -12])]
+    frame = spark.createDataFrame(classes, "at long, n int, b long, half long, prefix array<int>")
+    none = spark.createDataFrame([], "late long")
+    met = [(r["late"], r["early"]) for some in lines._met(frame, none, 800) for r in some.collect()]
+    assert set(met) == {(i, j) for i in range(12) for j in range(i)} and len(met) <= 2 * len(set(met))
