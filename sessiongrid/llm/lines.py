@@ -11,7 +11,8 @@ equal to another in both (of such, one is the first). The steps:
 3. Lines of one token set are one class (128 bits of hash); all but the first line of a class go.
 4. Classes meet where they share a prefix token: the first n - ceil(threshold * n) + 1 of n tokens, which similar sets
    must share. A frequent token alone would gather too many: it is joined with each token that follows it in a prefix longer
-   by one, as similar sets share a second token there. The first shared token bounds how many can follow (position), sizes
+   by one, as similar sets share a second token there. Classes whose tokens just before those of a key are the same as
+   well meet by an earlier key and not again. The first shared token bounds how many can follow (position), sizes
    bound the similarity (length), and a bitmap bounds it too: tokens toggle bits of a map, and sets whose maps differ in k
    bits differ in k tokens at least.
 5. Large groups of near copies do not meet pair by pair: each class is first compared with the earliest of those that
