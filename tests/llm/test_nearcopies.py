@@ -112,7 +112,7 @@ def test_long_texts_that_share_a_passage_are_told_apart_by_their_maps(spark):
 
 
 def test_no_shuffle_holds_all_tokens_of_the_sets_with_a_passage(spark):
-    """Counting and ordering the tokens of the sets concerned goes share by share: 71,396 rows of one shuffle before."""
+    """Counting and ordering the tokens of the sets concerned goes share by share, not in one shuffle."""
     from sessiongrid.llm import nearcopies
 
     docs = spark.createDataFrame(shared_passage(600), "doc_id long, text string").repartition(4)
