@@ -72,7 +72,7 @@ class Tokenizers:
         import sentencepiece
 
         self._a, self._b = PlainBPE(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.a = _Bytes([self._a.token_bytes.get(i, b"") for i in range(max(self._a.token_bytes) + 1)])
+        self.a = _Bytes(self._a.token_bytes())
         pieces = self._b.id_to_piece(list(range(self._b.get_piece_size())))
         self.b = _Bytes([bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)])
 

@@ -30,7 +30,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 NOT_LATIN = "[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ͷ]"
 #: Words kept with their ids in a worker, and characters taken together; bounds on memory, not on results.
-CACHE_WORDS, SLICE_CHARS = 200_000, 4_000_000
+CACHE_WORDS, SLICE_CHARS = 60_000, 4_000_000
 
 
 class ByteBPE:
@@ -50,15 +50,16 @@ class ByteBPE:
         char_of = {b: c for c, b in byte_of.items()}
         vocab = spec["model"]["vocab"]
         self._byte_ids = np.array([vocab[char_of[b]] for b in range(256)], dtype=np.int32)
-        self.token_bytes = {i: bytes(byte_of[c] for c in tok) for tok, i in vocab.items()}
+        known = {i: bytes(byte_of[c] for c in tok) for tok, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.token_bytes |= {i: t.encode() for t, i in self.special.items()}
-        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        self.merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in merges]
-        keys = np.array([a << 32 | b for a, b, _ in self.merges], dtype=np.int64)
+        known |= {i: t.encode() for t, i in self.special.items()}
+        # three numbers a merge: objects for each would be most of a worker's model
+        merges = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
+        self.merges = np.fromiter((i for a, b in merges for i in (vocab[a], vocab[b], vocab[a + b])), np.int32).reshape(-1, 3)
+        keys = self.merges[:, 0].astype(np.int64) << 32 | self.merges[:, 1]
         self._ranks = np.argsort(keys, kind="stable").astype(np.int32)
         self._keys = keys[self._ranks]
-        flat = [self.token_bytes[i] for i in range(max(self.token_bytes) + 1)]
+        flat = [known[i] for i in range(max(known) + 1)]
         self._token_len = np.array(list(map(len, flat)), dtype=np.int64)
         self._token_at = np.cumsum(self._token_len) - self._token_len
         self._token_flat = np.frombuffer(b"".join(flat), dtype=np.uint8)
@@ -67,6 +68,10 @@ class ByteBPE:
         self._category, self._path, self._own = unicodedata.category, path, None
         self._forget()
 
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every token in the order of their ids."""
+        return [self._token_flat[a : a + n].tobytes() for a, n in zip(self._token_at.tolist(), self._token_len.tolist())]
+
     def _forget(self) -> None:
         self._words = _Numbers()
         self._word_ids, self._word_len, self._word_at = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -122,7 +127,7 @@ class ByteBPE:
         note(self._rank(symbol[:-1], symbol[1:]), np.arange(n - 1, dtype=np.int32))
         while active:
             r = heapq.heappop(active)
-            a, b, new = self.merges[r]
+            a, b, new = self.merges[r].tolist()
             places = np.unique(np.concatenate(index.pop(r)))
             places = places[(symbol[places] == a) & (symbol[after[places]] == b)]  # earlier merges took the others
             if a == b and len(places) > 1:  # runs of one symbol pair up from the left
