@@ -232,7 +232,7 @@ def _line_batch(seqs: np.ndarray, texts: list[bytes], levels: np.ndarray, freque
     short = (tokens[chosen] & np.uint64((1 << 30) - 1)).astype(np.int32)
     short = np.where((tokens[chosen] >> np.uint64(59)).astype(np.int64) >= frequent, -1 - short, short)
     lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(few)).astype(np.int32)), pa.array(short, pa.int32()))
-    maps = [reduced(np.bitwise_xor, bits), np.where(n > 64, reduced(np.bitwise_xor, half), 0)]
+    maps = [reduced(np.bitwise_xor, bits), reduced(np.bitwise_xor, half)]
     columns = [seqs[text[change]], line_no[change].astype(np.int32), *(reduced(np.add, _mixed(_mixed(tokens, m), MIX[2])) for m in MIX[:2]), n.astype(np.int32)]
     return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists, *map(pa.array, maps)], names=["seq", "line_no", "c1", "c2", "n", "prefix", "b", "half"])
 
@@ -258,9 +258,8 @@ def _least_shared(n1: Column, n2: Column, t: int) -> Column:
 
 def _differ(x: dict[str, Column], y: dict[str, Column]) -> Column:
     """By their bitmaps, two classes differ in that many tokens at least."""
-    n1, n2 = x["n"], y["n"]
     whole, half = x["b"].bitwiseXOR(y["b"]), x["half"].bitwiseXOR(y["half"])
-    return F.when((n1 > 64) & (n2 > 64), F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half))).otherwise(F.bit_count(whole))
+    return F.bit_count(half) + F.bit_count(whole.bitwiseXOR(half))
 
 
 def _close(x: dict[str, Column], y: dict[str, Column], t: int) -> Column:
@@ -288,10 +287,18 @@ def _leaders(classes: DataFrame, t: int) -> DataFrame:
     return cut(_nearest(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ"))))
 
 
+def _lead() -> Column:
+    """One of the keys of a class: that of its first frequent token with the next one, else that of its first token."""
+    at = F.array_position(F.transform("prefix", lambda x: x < 0), True).cast("int")  # from 1; 0 if there is none
+    pair = F.xxhash64(F.get("prefix", at - 1), F.get("prefix", at))
+    return F.when((at > 0) & (at < F.size("prefix")), pair).otherwise(F.get("prefix", F.lit(0)).cast("long"))
+
+
 def _met(classes: DataFrame, gone: DataFrame, t: int) -> list[DataFrame]:
     """Of each share of the keys (late, early, differ): classes that share a prefix token or, of a frequent one, two; without late ones of ``gone``.
 
-    A pair that shares a run of tokens comes once for the run, not for each key in it.
+    A pair that shares a run of tokens comes once for the run, not for each key in it; a pair of classes with the same lead, the
+    key of their first frequent token (of the first token, where none is frequent), comes by that key alone.
     """
     seeks = F.when(F.col("gone").isNull(), 1).otherwise(0).cast("long")
     rows = classes.join(gone.select(F.col("late").alias("at"), F.lit(True).alias("gone")), "at", "left").select("at", "n", "b", "half", "prefix", seeks.alias("seeks"))
@@ -299,21 +306,23 @@ def _met(classes: DataFrame, gone: DataFrame, t: int) -> list[DataFrame]:
     what = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 1)).bitwiseOR(F.col("seeks")).alias("what")
     # the prefix tokens just before the one or two of the key: where two classes have the same there, they meet by an earlier key
     before = lambda pos: F.coalesce(F.get("prefix", pos - 1), F.lit(NONE))
-    posts = rows.select("at", "b", "half", "n", "seeks", "prefix", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < F.size("prefix") - 1).withColumn("first", before(F.col("pos")))
-    alone = posts.where("token >= 0").select("at", "b", "half", what, "first", F.lit(NONE).alias("second"), F.col("token").cast("long").alias("key"))
-    paired = posts.where("token < 0").select("at", "b", "half", what, "first", "token", "prefix", "pos", F.posexplode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("on", "next"))
+    posts = rows.select("at", "b", "half", "n", "seeks", "prefix", _lead().alias("lead"), F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < F.size("prefix") - 1).withColumn("first", before(F.col("pos")))
+    alone = posts.where("token >= 0").select("at", "b", "half", "lead", what, "first", F.lit(NONE).alias("second"), F.col("token").cast("long").alias("key"))
+    paired = posts.where("token < 0").select("at", "b", "half", "lead", what, "first", "token", "prefix", "pos", F.posexplode(F.slice("prefix", F.col("pos") + 2, F.size("prefix"))).alias("on", "next"))
     second = F.when(F.col("on") > 0, before(F.col("pos") + F.col("on") + 1)).otherwise(F.lit(NONE))
-    posts = alone.unionByName(paired.select("at", "b", "half", "what", "first", second.alias("second"), F.xxhash64("token", "next").alias("key")))
+    posts = alone.unionByName(paired.select("at", "b", "half", "lead", "what", "first", second.alias("second"), F.xxhash64("token", "next").alias("key")))
     x, y = ({"n": F.shiftright(f"{a}.what", 32), "pos": F.shiftright(f"{a}.what", 1).bitwiseAND(F.lit((1 << 31) - 1)), "seeks": F.col(f"{a}.what").bitwiseAND(F.lit(1)), "b": F.col(f"{a}.b"), "half": F.col(f"{a}.half")} for a in "xy")
     # the token of the post is the first that both share, or another post finds them
     room = F.least(x["n"] - x["pos"], y["n"] - y["pos"]) >= _least_shared(x["n"], y["n"], t)
     # both sides read the same columns and no filter is of one side alone, so that one shuffle serves both
     late = (F.col("y.at") < F.col("x.at")) & (x["seeks"] * 2 + y["seeks"] >= 2)
     new = reduce(and_, [(F.col(f"x.{c}") != F.col(f"y.{c}")) | (F.col(f"x.{c}") == NONE) for c in ("first", "second")])
+    # both have a post of a lead that they share, and meet there whatever stands before it
+    once = F.when(F.col("x.lead") == F.col("y.lead"), F.col("x.key") == F.col("x.lead")).otherwise(new & room)
     found = []
     for k in range(SHARES):
         some = posts.where(F.pmod("key", F.lit(SHARES)) == k)
-        met = some.alias("x").join(some.alias("y"), F.col("x.key") == F.col("y.key")).where(late & new & room & _close(x, y, t))
+        met = some.alias("x").join(some.alias("y"), F.col("x.key") == F.col("y.key")).where(late & once & _close(x, y, t))
         found.append(met.select(F.col("x.at").alias("late"), F.col("y.at").alias("early"), _differ(x, y).alias("differ")))
     return found
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from comparing import rows_of, rows_of_sql
@@ -137,3 +138,22 @@ def test_classes_meet_once_for_a_run_of_common_tokens(spark):
     none = spark.createDataFrame([], "late long")
     met = [(r["late"], r["early"]) for some in lines._met(frame, none, 800) for r in some.collect()]
     assert set(met) == {(i, j) for i in range(12) for j in range(i)} and len(met) <= 2 * len(set(met))
+
+
+def test_classes_of_one_lead_meet_once(spark):
+    """Their first frequent pair of tokens is the same, so no later run of common tokens brings the pair again."""
+    shared = list(range(1, 4)) + [-1 - k for k in range(10, 21)]
+    classes = [(k, 60, 0, 0, [50 + k, *shared[:6], -100 - k, *shared[6:]]) for k in range(8)] + [(8, 60, 0, 0, [1, -30, -31, -12, -13]), (9, 60, 0, 0, [1, 2, 3])]
+    frame = spark.createDataFrame(classes, "at long, n int, b long, half long, prefix array<int>")
+    none = spark.createDataFrame([], "late long")
+    met = [(r["late"], r["early"]) for some in lines._met(frame, none, 800) for r in some.collect() if r["late"] < 8]
+    assert sorted(met) == [(i, j) for i in range(8) for j in range(i)]
+    pairs = {(r["late"], r["early"]) for some in lines._met(frame, none, 800) for r in some.collect()}
+    assert {(8, j) for j in range(8)} | {(9, j) for j in range(9)} <= pairs  # other leads meet by their runs
+
+
+def test_short_lines_have_two_maps():
+    words = [str(k).encode() for k in range(40)]
+    batch = lines._line_batch(np.array([0]), [b" ".join(words)], np.zeros(lines.COUNTERS, np.uint8), 20, 800)
+    whole, half = (int(np.uint64(batch.column(k)[0].as_py() & ((1 << 64) - 1))) for k in (6, 7))
+    assert half.bit_count() + (whole ^ half).bit_count() > whole.bit_count()
