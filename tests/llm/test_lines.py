@@ -143,7 +143,7 @@ def test_classes_meet_once_for_a_run_of_common_tokens(spark):
 def test_classes_of_one_lead_meet_once(spark):
     """Their first frequent pair of tokens is the same, so no later run of common tokens brings the pair again."""
     shared = list(range(1, 4)) + [-1 - k for k in range(10, 21)]
-    classes = [(k, 60, 0, 0, [50 + k, *shared[:6], -100 - k, *shared[6:]]) for k in range(8)] + [(8, 60, 0, 0, [1, -30, -31, -12, -13]), (9, 60, 0, 0, [1, 2, 3])]
+    classes = [(k, 200, 0, 0, [50 + k, *shared[:6], -100 - k, *shared[6:]]) for k in range(8)] + [(8, 200, 0, 0, [1, -30, -31, -12, -13]), (9, 200, 0, 0, [1, 2, 3])]
     frame = spark.createDataFrame(classes, "at long, n int, b long, half long, prefix array<int>")
     none = spark.createDataFrame([], "late long")
     met = [(r["late"], r["early"]) for some in lines._met(frame, none, 800) for r in some.collect() if r["late"] < 8]
